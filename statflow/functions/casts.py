@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from statflow.functions._col import as_col
 
-# Fixed patterns: a plain decimal number with optional sign and blanks around
-# it, and its sign / integer-digit parts.
+# A plain decimal number with optional sign and blanks around
+# it, and the blank characters trimmed by the lenient cast.
 _DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d*)\s*$"
-_SIGN_AND_DIGITS = r"^\s*([+-]?)(\d*)"
+_BLANKS = " \t\n\r\f\u000b"
 
 
 def int_trunc(c: Column | str) -> Column:
@@ -25,16 +25,13 @@ def int_trunc(c: Column | str) -> Column:
 
     ``'12.5'``->12, ``'-3.9'``->-3, ``' 7 '``->7, ``'.'``->0; exponents,
     ``'NaN'``, thousands separators, empty and out-of-range values -> NULL.
-    Only the sign and the digits before the point are kept, so no double
-    rounding can creep in.
+    One regex validates the text; then only the sign and the digits before
+    the point are cast, so no double rounding can creep in.
     """
     v = as_col(c)
-    digits = F.concat(
-        F.regexp_extract(v, _SIGN_AND_DIGITS, 1),
-        F.lit("0"),
-        F.regexp_extract(v, _SIGN_AND_DIGITS, 2),
-    )
-    return F.when(v.rlike(_DECIMAL), digits.try_cast("int"))
+    head = F.substring_index(F.trim(v, F.lit(_BLANKS)), ".", 1)
+    whole = F.when(head.isin("", "+", "-"), F.lit(0)).otherwise(head.try_cast("int"))
+    return F.when(v.rlike(_DECIMAL), whole)
 
 
 def to_float(c: Column | str) -> Column:

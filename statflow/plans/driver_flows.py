@@ -228,7 +228,7 @@ def team_leader_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def team_box_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_frame(load(spark, sf, "lineitem"), _TEAM_BOX_GENS)
+    return raw_frame(load(spark, sf, "lineitem", spread_rows=True), _TEAM_BOX_GENS)
 
 
 # --- the flows ---------------------------------------------------------------

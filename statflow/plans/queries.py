@@ -70,7 +70,7 @@ _LINEITEM_PROFILE = Profile(
 
 
 def type_profile_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    raw = stringify(load(spark, sf, "lineitem"), money=["l_extendedprice"])
+    raw = stringify(load(spark, sf, "lineitem", spread_rows=True), money=["l_extendedprice"])
     return apply_profile(raw, _LINEITEM_PROFILE)
 
 
@@ -367,7 +367,7 @@ ORACLE_ROW_COUNT = "SELECT count(*) AS n FROM lineitem"
 # --- A3 X10 U2: word count ------------------------------------------------------
 
 def word_count_q(spark: SparkSession, sf: str) -> DataFrame:
-    return word_count(load(spark, sf, "documents"), "text")
+    return word_count(load(spark, sf, "documents", spread_rows=True), "text")
 
 
 ORACLE_WORD_COUNT = """
@@ -422,7 +422,7 @@ def captured_payloads(spark: SparkSession, sf: str) -> DataFrame:
     """One captured response per line item, in both envelope forms (the
     second with reversed headers), mixed JSON numbers/strings/nulls, and
     truncated responses for every third line."""
-    li = load(spark, sf, "lineitem")
+    li = load(spark, sf, "lineitem", spread_rows=True)
     parts = li.selectExpr(
         "CAST(l_orderkey AS STRING) AS ok",
         "CAST(l_linenumber AS STRING) AS ln",

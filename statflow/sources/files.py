@@ -33,6 +33,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the session's cores when the scan yields
+    fewer partitions than cores (a file with a single large row group is
+    read by one task). A scan that already splits wider, as any large
+    dataset does, is returned unchanged, so this never adds a shuffle at
+    scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table ``{sf_dir}/{name}.parquet``. ``spread_rows`` is for
+    queries with heavy per-row work (regex typing, JSON, text) on a large
+    table (see :func:`spread`)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
