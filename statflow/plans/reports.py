@@ -13,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from statflow.functions import parse_iso_date
+from statflow.operators.profile import Profile, apply_profile
 from statflow.plans import driver_flows as D
+from statflow.plans.profiles import TEAM_BOX_PROFILE
 
 # The API asks for totals, points ranking and 1000 newest games.
 TOTAL_STATS = ("MIN", "PTS", "REB", "AST")
@@ -39,6 +42,17 @@ def newest_games(games: DataFrame, n: int = GAME_LOG_ROWS, date: str = "GAME_DAT
     return games.orderBy(F.col(date).desc_nulls_last(), F.col(key).desc()).limit(n)
 
 
+def newest_raw_games(raw: DataFrame, profile: Profile, n: int = GAME_LOG_ROWS,
+                     date: str = "GAME_DATE", key: str = "GAME_ID") -> DataFrame:
+    """Newest-n game log straight from a raw landing: rows are ranked by the
+    parsed date alone, n are kept, and only those n are typed. Typing is
+    row-local, so this equals typing first and cutting after, without
+    typing the rows that are cut."""
+    parsed = raw.withColumn("__date", parse_iso_date(date))
+    top = parsed.orderBy(F.col("__date").desc_nulls_last(), F.col(key).desc()).limit(n)
+    return apply_profile(top.drop("__date"), profile)
+
+
 def season_totals_q(spark: SparkSession, sf: str) -> DataFrame:
     return season_totals(D.flow_box(spark, sf))
 
@@ -48,7 +62,7 @@ def leader_board_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def newest_games_q(spark: SparkSession, sf: str) -> DataFrame:
-    return newest_games(D.flow_team_box(spark, sf))
+    return newest_raw_games(D.team_box_raw(spark, sf), TEAM_BOX_PROFILE)
 
 
 _SUMS = ", ".join(f'CAST(sum("{c}") AS BIGINT) AS "{c}"' for c in TOTAL_STATS)

@@ -142,9 +142,9 @@ def land_payloads(
 
 # Where the profile page keeps its blocks (stats, info,
 # position) when stored as HTML.
-PAGE_STAT_BLOCKS = r'<div class="stat">(.*?)</div>'
-PAGE_INFO_BLOCKS = r'<div class="info">(.*?)</div>'
-PAGE_POSITION = r'<p class="position">(.*?)</p>'
+PAGE_STAT_BLOCKS = r'(?s)<div class="stat">(.*?)</div>'
+PAGE_INFO_BLOCKS = r'(?s)<div class="info">(.*?)</div>'
+PAGE_POSITION = r'(?s)<p class="position">(.*?)</p>'
 
 
 def land_pages(

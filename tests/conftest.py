@@ -1,0 +1,34 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = (
+        SparkSession.builder.master("local[*]")
+        .appName("statflow-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="statflow-test-ckpt-"))
+    yield s
+
+
+@pytest.fixture()
+def tmp_dir():
+    return tempfile.mkdtemp(prefix="statflow-test-")
+
+
+def one_col(spark, values, name="v"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")

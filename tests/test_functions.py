@@ -1,0 +1,125 @@
+"""Golden values (FIXTURES.md §2): the results the original job produced
+with non-ANSI casts and the LEGACY time parser."""
+
+import datetime as dt
+import math
+
+from pyspark.sql import functions as F
+
+from statflow.functions import (
+    every_other,
+    extract_number,
+    int_trunc,
+    json_field,
+    last_segment,
+    null_to_zero,
+    pad_array,
+    parse_iso_date,
+    parse_long_date,
+    second_line,
+    strip_unit,
+    to_float,
+    tokens,
+)
+from statflow.functions.strings import AGE_UNIT, KILOGRAMS, METRES_IN_BRACKETS, ROOKIE_WORD, YEARS_UNIT
+from statflow.operators.relate import map_lookup
+from statflow.plans.profiles import IOC_TO_COUNTRY
+from tests.conftest import one_col
+
+
+def _apply(spark, values, fn):
+    df = one_col(spark, values)
+    return [r[0] for r in df.select(fn(F.col("v")).alias("o")).collect()]
+
+
+def test_int_trunc_golden(spark):
+    cases = {
+        "12.5": 12, "-3.9": -3, "19805.0": 19805, " 7 ": 7, ".": 0,
+        "2147483647.9": 2147483647, "3e2": None, "NaN": None, "1.5f": None,
+        "--": None, "1,000": None, "99999999999": None, "": None, None: None,
+        "+5": 5, "-.5": 0, "\t12\n": 12, "2147483646.99999999999999999999": 2147483646,
+        "12.": 12, "-0": 0,
+    }
+    got = _apply(spark, list(cases), int_trunc)
+    assert got == list(cases.values())
+
+
+def test_to_float_golden(spark):
+    got = _apply(spark, ["0.5", "3e2", "1.5f", "NaN", "--", ".", ""], to_float)
+    assert got[:3] == [0.5, 300.0, 1.5]
+    assert math.isnan(got[3])
+    assert got[4:] == [None, None, None]
+
+
+def test_null_to_zero_keeps_type_and_nan(spark):
+    df = one_col(spark, ["NaN", None, "2.5"]).select(null_to_zero(to_float("v")).alias("o"))
+    assert dict(df.dtypes)["o"] == "float"
+    got = [r.o for r in df.collect()]
+    assert math.isnan(got[0]) and got[1:] == [0.0, 2.5]
+
+
+def test_height_weight_extraction(spark):
+    h = _apply(spark, ['6\'9" (2.06m)', '6\'0" (1m)', "--"],
+               lambda c: null_to_zero(to_float(extract_number(c, METRES_IN_BRACKETS))))
+    assert [round(x, 4) for x in h] == [2.06, 0.0, 0.0]
+    w = _apply(spark, ["250lb (113kg)", "200lb (90.7kg)", "--"],
+               lambda c: null_to_zero(to_float(extract_number(c, KILOGRAMS))))
+    assert w == [113.0, 7.0, 0.0]
+
+
+def test_experience_and_age(spark):
+    exp = _apply(spark, ["5 Years", "1 Year", "Rookie", "--"],
+                 lambda c: to_float(strip_unit(strip_unit(c, YEARS_UNIT), ROOKIE_WORD, "0")))
+    assert exp == [5.0, 1.0, 0.0, None]
+    assert _apply(spark, ["39 years"], lambda c: int_trunc(strip_unit(c, AGE_UNIT))) == [39]
+
+
+def test_long_dates(spark):
+    cases = {
+        "December 30, 1984": dt.date(1984, 12, 30), "January 5, 1999": dt.date(1999, 1, 5),
+        "Jan 5, 1999": dt.date(1999, 1, 5), "January 5, 1999 (x)": dt.date(1999, 1, 5),
+        "JANUARY 05, 1999": dt.date(1999, 1, 5), "January 32, 1999": None,
+        " January 5, 1999": None, "--": None, "Sept 1, 2000": None, None: None,
+    }
+    assert _apply(spark, list(cases), parse_long_date) == list(cases.values())
+
+
+def test_iso_dates(spark):
+    cases = {
+        "2023-10-24": dt.date(2023, 10, 24), "2023-13-45": None, "2023-1-4": dt.date(2023, 1, 4),
+        "2023-10-24T00:00:00": dt.date(2023, 10, 24), "20231024": None,
+        " 2023-10-24": dt.date(2023, 10, 24), "2023-02-30": None, "--": None,
+    }
+    assert _apply(spark, list(cases), parse_iso_date) == list(cases.values())
+
+
+def test_last_segment(spark):
+    got = _apply(spark, ["Lakers | #23 | Forward", "Center", "Lakers | #23 |", None], last_segment)
+    assert got == [" Forward", "Center", "", None]
+    assert _apply(spark, ["A | B"], lambda c: last_segment(c, trim=True)) == ["B"]
+
+
+def test_country_lookup(spark):
+    got = _apply(spark, ["USA", "FR", None], lambda c: map_lookup(c, IOC_TO_COUNTRY))
+    assert got == ["United States", "FR", None]
+
+
+def test_tokens_follow_jvm_split(spark):
+    cases = {"a b  ": ["a", "b"], " a": ["", "a"], "a  b": ["a", "", "b"], "": [""], " ": [],
+             "Hello World": ["Hello", "World"], "x\ny z": ["x\ny", "z"]}
+    assert _apply(spark, list(cases), tokens) == list(cases.values())
+
+
+def test_second_line_and_json_field(spark):
+    assert _apply(spark, ["PPG\n25.1", "PPG"], second_line) == ["25.1", None]
+    assert _apply(spark, ['{"k": 69}', '{"k": 6', "{}"], lambda c: json_field(c, "$.k")) == [
+        "69", None, None]
+
+
+def test_array_helpers(spark):
+    df = spark.createDataFrame([(["a", "b", "c", "d", "e"],), (["x"],)], "arr array<string>")
+    got = df.select(every_other("arr", 1).alias("odd"), every_other("arr", 0).alias("even"),
+                    pad_array(every_other("arr", 1), 4).alias("pad")).collect()
+    assert got[0].odd == ["b", "d"] and got[0].even == ["a", "c", "e"]
+    assert got[0].pad == ["b", "d", "--", "--"]
+    assert got[1].odd == [] and got[1].pad == ["--"] * 4

@@ -1,0 +1,114 @@
+"""Contract tests: the five tables' names, order, types and key semantics."""
+
+import datetime as dt
+import math
+
+import pytest
+
+from statflow.operators.profile import Profile, Rule, apply_profile
+from statflow.plans import stat_tables as T
+from statflow.plans.profiles import TEAM_LEADER_DROP
+from tests import fixtures as X
+
+
+@pytest.fixture()
+def raw(spark):
+    return {
+        "player_information": X.frame(spark, X.INFO_HEADER, X.INFO_ROWS),
+        "player_leader": X.frame(spark, X.LEADER_HEADER, X.LEADER_ROWS),
+        "player_box": X.frame(spark, X.BOX_HEADER, X.BOX_ROWS),
+        "team_leader": X.frame(spark, X.TEAM_LEADER_HEADER, X.TEAM_LEADER_ROWS),
+        "team_box": X.frame(spark, X.TEAM_BOX_HEADER, X.TEAM_BOX_ROWS),
+    }
+
+
+def test_player_information_contract(raw):
+    df = T.player_information(raw["player_information"], raw["player_leader"])
+    assert df.dtypes == [
+        ("PLAYER_ID", "string"), ("PPG", "float"), ("RPG", "float"), ("APG", "float"),
+        ("PIE", "float"), ("HEIGHT(m)", "float"), ("WEIGHT(kg)", "float"),
+        ("COUNTRY", "string"), ("LAST_ATTENDED", "string"), ("AGE", "int"),
+        ("BIRTHDATE", "date"), ("DRAFT", "string"), ("EXPERIENCE", "float"),
+        ("POSITION", "string"), ("PLAYER_NAME", "string"),
+    ]
+    rows = sorted(df.collect(), key=lambda r: (r.PLAYER_ID, r.PLAYER_NAME))
+    # 201 once, 202 twice (duplicate leader key fans out), 203/204 have no leader row.
+    assert [r.PLAYER_ID for r in rows] == ["201", "202", "202"]
+    lebron, wemby = rows[0], rows[1]
+    assert lebron.COUNTRY == "United States" and lebron.POSITION == " Forward"
+    assert round(lebron["HEIGHT(m)"], 4) == 2.06 and lebron["WEIGHT(kg)"] == 113.0
+    assert lebron.AGE == 39 and lebron.BIRTHDATE == dt.date(1984, 12, 30)
+    assert lebron.EXPERIENCE == 20.0 and lebron.PLAYER_NAME == "LeBron James"
+    assert wemby.PPG == 0.0 and wemby.RPG == 0.0 and math.isnan(wemby.PIE)
+    assert wemby["HEIGHT(m)"] == 0.0 and wemby["WEIGHT(kg)"] == 7.0
+    assert wemby.EXPERIENCE == 0.0 and wemby.COUNTRY == "FR" and wemby.POSITION == "Center"
+
+
+def test_player_box_scores_keep_only_surviving_players(raw):
+    info = T.player_information(raw["player_information"], raw["player_leader"])
+    df = T.player_box_scores(raw["player_box"], info)
+    names = [c for c, _ in df.dtypes]
+    assert "SEASON_ID" not in names and "PLAYER_NAME" not in names
+    assert names[:3] == ["PLAYER_ID", "GAME_ID", "GAME_DATE"]
+    types = dict(df.dtypes)
+    assert types["GAME_DATE"] == "date" and types["FANTASY_PTS"] == "int"
+    assert types["FG_PCT"] == "float" and types["GAME_ID"] == "string"
+    rows = sorted(df.collect(), key=lambda r: r.GAME_ID)
+    # 202 appears twice in the joined G1 but its game is not duplicated.
+    assert [(r.PLAYER_ID, r.GAME_ID) for r in rows] == [
+        ("201", "0022300001"), ("201", "0022300002"), ("202", "0022300003")]
+    assert rows[2].GAME_DATE == dt.date(2023, 1, 4)
+    assert rows[0].MIN == 35 and rows[0].FANTASY_PTS == 48 and rows[0].PLUS_MINUS == -7
+
+
+def test_player_box_scores_empty_key_set(raw, spark):
+    empty_info = X.frame(spark, ["PLAYER_ID"], [])
+    assert T.player_box_scores(raw["player_box"], empty_info).count() == 0
+
+
+def test_player_leader_contract(raw):
+    df = T.player_leader(raw["player_leader"])
+    types = dict(df.dtypes)
+    assert "PLAYER" not in types and "TEAM" not in types
+    assert types["GP"] == "string" and types["RANK"] == "int" and types["MIN"] == "int"
+    assert types["AST_TOV"] == "float" and types["TEAM_ID"] == "string"
+    assert df.filter("PLAYER_ID = '201'").first().MIN == 2504
+
+
+def test_team_leader_contract(raw):
+    df = T.team_leader(raw["team_leader"])
+    types = dict(df.dtypes)
+    assert not set(TEAM_LEADER_DROP) & set(types)
+    assert types["GP"] == "int" and types["W_PCT"] == "float" and types["TEAM_NAME"] == "string"
+    row = df.first()
+    assert row.MIN == 19805 and row.PLUS_MINUS == 939
+
+
+def test_team_box_contract(raw):
+    df = T.team_box_scores(raw["team_box"])
+    assert [c for c, _ in df.dtypes][:3] == ["TEAM_ID", "GAME_ID", "GAME_DATE"]
+    row = df.first()
+    assert row.GAME_DATE == dt.date(2023, 10, 24) and row.PLUS_MINUS == 24
+
+
+def test_profile_is_one_projection(raw):
+    df = T.team_leader(raw["team_leader"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") == 1
+
+
+def test_missing_required_column_raises(spark):
+    df = X.frame(spark, ["A"], [("1",)])
+    with pytest.raises(ValueError, match="missing required"):
+        apply_profile(df, Profile(rules={"B": Rule("int")}))
+
+
+def test_rename_in_place_and_missing_drop_ignored(spark):
+    df = X.frame(spark, ["A", "B", "C"], [("1", "2", "3")])
+    out = apply_profile(df, Profile(rules={"B": Rule("int")}, rename={"B": "b2"}, drop=("C", "Z")))
+    assert out.dtypes == [("A", "string"), ("b2", "int")]
+
+
+def test_fill_kind_check():
+    with pytest.raises(ValueError):
+        Rule("iso_date", fill=0)
