@@ -22,23 +22,55 @@ from statflow.functions._col import as_col
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def inner_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+_SALT = "__salt"
+
+
+def _salted(df: DataFrame, buckets: int) -> DataFrame:
+    """Tag each row with a bucket in ``[0, buckets)`` from a hash of the
+    whole row: deterministic, so a retried task sees the same buckets."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return df.withColumn(_SALT, F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
+
+
+def _replicated(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+
+
+def inner_join(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], salt: int = 1
+) -> DataFrame:
     """Using-column inner equi-join: key columns once and first, NULL keys
-    never match, duplicate keys fan out."""
-    return left.join(right, on=on, how="inner")
+    never match, duplicate keys fan out.
 
+    ``salt > 1`` splits every key of ``left`` over that many buckets and
+    copies ``right`` into each: a key holding a large share of ``left`` is
+    then joined by ``salt`` tasks instead of one. Without it, AQE's skew
+    handling splits oversized sort-merge partitions at runtime.
+    """
+    if salt <= 1:
+        return left.join(right, on=on, how="inner")
+    keys = [on] if isinstance(on, str) else list(on)
+    joined = _salted(left, salt).join(_replicated(right, salt), keys + [_SALT], "inner")
+    return joined.drop(_SALT)
 
-def semi_reduce(df: DataFrame, keys: DataFrame, key: str, keys_key: str | None = None) -> DataFrame:
+
+def semi_reduce(
+    df: DataFrame, keys: DataFrame, key: str, keys_key: str | None = None, salt: int = 1
+) -> DataFrame:
     """Rows of ``df`` whose ``key`` occurs in ``keys`` (left-semi join).
 
     Replaces collect-keys-then-``isin``: no driver round trip, no literal list
     that grows with the data. Keys are de-duplicated with a partial
-    (map-side) aggregate first, so a hot key costs one row per partition.
-    NULL keys drop on both sides; an empty key set gives no rows.
+    (map-side) aggregate first, so a hot key costs one row per partition,
+    and AQE broadcasts the distinct keys when they turn out small. NULL keys
+    drop on both sides; an empty key set gives no rows. ``salt`` spreads a
+    hot key of ``df`` as in :func:`inner_join`.
     """
     keys_key = keys_key or key
     k = keys.select(F.col(keys_key).alias(key)).distinct()
-    return df.join(k, on=key, how="left_semi")
+    if salt <= 1:
+        return df.join(k, on=key, how="left_semi")
+    return _salted(df, salt).join(_replicated(k, salt), [key, _SALT], "left_semi").drop(_SALT)
 
 
 def isin_filter(df: DataFrame, key: str, values: Sequence) -> DataFrame:

@@ -29,11 +29,17 @@ def _result_set(payload: str) -> Column:
     return F.coalesce(p["resultSet"], F.try_element_at(p["resultSets"], F.lit(1)))
 
 
+_HEADERS = "struct<headers: array<string>>"
+_HEADERS_SCHEMA = f"struct<resultSet: {_HEADERS}, resultSets: array<{_HEADERS}>>"
+
+
 def payload_headers(df: DataFrame, payload: str = "payload") -> list[str]:
-    """Header names found in the payloads, in header order. Only the distinct
-    names reach the driver (like a schema inference pass)."""
-    rs = df.select(_result_set(payload).alias("rs"))
-    pos = rs.select(F.posexplode("rs.headers").alias("i", "h"))
+    """Header names found in the payloads, in header order. Only the headers
+    are materialised (the row arrays are skipped by the parser) and only the
+    distinct names reach the driver, like a schema inference pass."""
+    p = F.from_json(F.col(payload), _HEADERS_SCHEMA)
+    rs = F.coalesce(p["resultSet"], F.try_element_at(p["resultSets"], F.lit(1)))
+    pos = df.select(F.posexplode(rs["headers"]).alias("i", "h"))
     rows = pos.groupBy("h").agg(F.min("i").alias("i")).orderBy("i", "h").collect()
     return [r["h"] for r in rows]
 

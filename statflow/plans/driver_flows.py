@@ -210,9 +210,11 @@ _TEAM_BOX_GENS = _team_box_gens()
 
 
 # --- raw landings ------------------------------------------------------------
+# Landings stand in for CSV drops, which split across tasks; the fact tables
+# they are made from are spread the same way (see sources.files.spread).
 
 def info_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_frame(load(spark, sf, "customer"), _INFO_GENS)
+    return raw_frame(load(spark, sf, "customer", spread_rows=True), _INFO_GENS)
 
 
 def leader_raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,11 +222,11 @@ def leader_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def box_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_frame(load(spark, sf, "orders"), _BOX_GENS)
+    return raw_frame(load(spark, sf, "orders", spread_rows=True), _BOX_GENS)
 
 
 def team_leader_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_frame(load(spark, sf, "part"), _TEAM_LEADER_GENS)
+    return raw_frame(load(spark, sf, "part", spread_rows=True), _TEAM_LEADER_GENS)
 
 
 def team_box_raw(spark: SparkSession, sf: str) -> DataFrame:

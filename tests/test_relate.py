@@ -74,3 +74,16 @@ def test_distinct_and_count(spark):
     assert sorted(r.k for r in distinct_keys(df, "k").collect()) == ["a", "b"]
     assert row_count(df).first().n == 3
     assert dict(row_count(df).dtypes)["n"] == "bigint"
+
+
+def test_salted_joins_equal_plain(spark):
+    hot = [("h", str(i)) for i in range(200)] + [("c", "x"), (None, "n")]
+    facts = _df(spark, hot)
+    right = spark.createDataFrame([("h", "H"), ("c", "C"), ("c", "C2")], "k string, w string")
+    plain = sorted(inner_join(facts, right, "k").collect())
+    salted = inner_join(facts, right, "k", salt=7)
+    assert salted.columns == ["k", "v", "w"]
+    assert sorted(salted.collect()) == plain and len(plain) == 202
+    keys = _df(spark, [("h", "1"), ("h", "2")])
+    assert sorted(semi_reduce(facts, keys, "k", salt=5).collect()) == sorted(
+        semi_reduce(facts, keys, "k").collect())
