@@ -106,6 +106,19 @@ _INFO_GENS = [
     ),
 ]
 
+# The older, unscheduled job: same landing, no NULL -> 0 fills, no country map.
+_UNFILLED = {
+    "RPG": f"CAST(CASE WHEN {_C} % 10 = 0 THEN NULL ELSE c_nationkey END AS FLOAT)",
+    "PIE": f"CASE WHEN {_C} % 6 = 0 THEN NULL "
+           f"ELSE CAST(concat('0.', lpad(CAST({_C} % 100 AS STRING), 2, '0')) AS FLOAT) END",
+    "HEIGHT": f"CASE WHEN {_C} % 17 = 0 OR {_C} % 9 = 0 THEN NULL "
+              f"ELSE CAST(concat('1.', lpad(CAST({_C} % 100 AS STRING), 2, '0')) AS FLOAT) END",
+    "COUNTRY": "CASE c_nationkey % 3 WHEN 0 THEN 'USA' WHEN 1 THEN 'FR' ELSE NULL END",
+}
+_INFO_UNFILLED_GENS = [
+    Gen(g.name, g.raw, _UNFILLED[g.name], g.out) if g.name in _UNFILLED else g for g in _INFO_GENS
+]
+
 # --- player leader board from supplier --------------------------------------
 
 _S = "s_suppkey"
@@ -239,6 +252,12 @@ def flow_information(spark: SparkSession, sf: str) -> DataFrame:
     return T.player_information(info_raw(spark, sf), leader_raw(spark, sf))
 
 
+def flow_information_unfilled(spark: SparkSession, sf: str) -> DataFrame:
+    return T.player_information(
+        info_raw(spark, sf), leader_raw(spark, sf), country_codes={}, fill_missing=False
+    )
+
+
 def flow_box(spark: SparkSession, sf: str) -> DataFrame:
     return T.player_box_scores(box_raw(spark, sf), flow_information(spark, sf))
 
@@ -263,6 +282,10 @@ ORACLE_INFORMATION = (
         "customer JOIN supplier ON c_custkey = s_suppkey",
     )
 )
+ORACLE_INFORMATION_UNFILLED = oracle_select(
+    [*_INFO_UNFILLED_GENS, Gen("PLAYER_NAME", "", "s_name")],
+    "customer JOIN supplier ON c_custkey = s_suppkey",
+)
 _SURVIVORS = "SELECT c_custkey FROM customer JOIN supplier ON c_custkey = s_suppkey"
 ORACLE_BOX = oracle_select(_BOX_GENS, "orders", f"o_custkey IN ({_SURVIVORS})")
 ORACLE_LEADER = oracle_select(_LEADER_GENS, "supplier")

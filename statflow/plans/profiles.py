@@ -75,18 +75,24 @@ LEADER_NAME_COLUMN, PLAYER_NAME_COLUMN = "PLAYER", "PLAYER_NAME"
 PLAYER_KEY = "PLAYER_ID"
 
 
-def player_information_profile(country_codes: dict[str, str] | None = None) -> Profile:
+def player_information_profile(
+    country_codes: dict[str, str] | None = None, fill_missing: bool = True
+) -> Profile:
+    """Profile of the player-information landing. The scheduled job fills
+    NULL stats with 0 and maps country codes; its older unscheduled variant
+    did neither (``fill_missing=False, country_codes={}``)."""
     codes = IOC_TO_COUNTRY if country_codes is None else country_codes
+    fill = 0 if fill_missing else None
     rules: dict[str, Rule] = {
         "BIRTHDATE": Rule("long_date"),
-        **floats(PLAYER_INFORMATION_FLOATS, fill=0),
+        **floats(PLAYER_INFORMATION_FLOATS, fill=fill),
         "EXPERIENCE": Rule(
             "float",
             pre=(lambda c: strip_unit(c, YEARS_UNIT), lambda c: strip_unit(c, ROOKIE_WORD, "0")),
         ),
         "AGE": Rule("int", pre=(lambda c: strip_unit(c, AGE_UNIT),)),
-        "HEIGHT": Rule("float", pre=(lambda c: extract_number(c, METRES_IN_BRACKETS),), fill=0),
-        "WEIGHT": Rule("float", pre=(lambda c: extract_number(c, KILOGRAMS),), fill=0),
+        "HEIGHT": Rule("float", pre=(lambda c: extract_number(c, METRES_IN_BRACKETS),), fill=fill),
+        "WEIGHT": Rule("float", pre=(lambda c: extract_number(c, KILOGRAMS),), fill=fill),
         "POSITION": Rule(pre=(last_segment,)),
         "COUNTRY": Rule(pre=(lambda c: map_lookup(c, codes),)),
     }

@@ -502,6 +502,7 @@ ORACLE_PAGE_ROW = _oracle_page_row()
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "flow_information": (D.flow_information, D.ORACLE_INFORMATION),
+    "flow_information_unfilled": (D.flow_information_unfilled, D.ORACLE_INFORMATION_UNFILLED),
     "flow_box": (D.flow_box, D.ORACLE_BOX),
     "flow_leader": (D.flow_leader, D.ORACLE_LEADER),
     "flow_team_leader": (D.flow_team_leader, D.ORACLE_TEAM_LEADER),

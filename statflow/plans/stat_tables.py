@@ -54,21 +54,26 @@ TABLES = {
 
 
 def player_information(
-    info_raw: DataFrame, leader_raw: DataFrame, country_codes: dict[str, str] | None = None
+    info_raw: DataFrame,
+    leader_raw: DataFrame,
+    country_codes: dict[str, str] | None = None,
+    fill_missing: bool = True,
+    salt: int = 1,
 ) -> DataFrame:
     """G1: typed player profiles joined (inner, by PLAYER_ID) with the
     leader board's player name, which becomes PLAYER_NAME. Players without
-    a leader row drop; duplicate leader keys fan out."""
-    typed = apply_profile(info_raw, player_information_profile(country_codes))
+    a leader row drop; duplicate leader keys fan out. ``salt`` spreads a
+    hot PLAYER_ID over that many join tasks."""
+    typed = apply_profile(info_raw, player_information_profile(country_codes, fill_missing))
     names = leader_raw.select(PLAYER_KEY, LEADER_NAME_COLUMN)
-    joined = inner_join(typed, names, PLAYER_KEY)
+    joined = inner_join(typed, names, PLAYER_KEY, salt=salt)
     return joined.withColumnRenamed(LEADER_NAME_COLUMN, PLAYER_NAME_COLUMN)
 
 
-def player_box_scores(box_raw: DataFrame, information: DataFrame) -> DataFrame:
+def player_box_scores(box_raw: DataFrame, information: DataFrame, salt: int = 1) -> DataFrame:
     """G2: box scores of players that survived G1 (left-semi join on the
     joined table's keys), typed."""
-    kept = semi_reduce(box_raw, information, PLAYER_KEY)
+    kept = semi_reduce(box_raw, information, PLAYER_KEY, salt=salt)
     return apply_profile(kept, PLAYER_BOX_PROFILE)
 
 

@@ -112,3 +112,25 @@ def test_rename_in_place_and_missing_drop_ignored(spark):
 def test_fill_kind_check():
     with pytest.raises(ValueError):
         Rule("iso_date", fill=0)
+
+
+def test_unscheduled_variant_has_no_fills_or_lookup(raw):
+    df = T.player_information(raw["player_information"], raw["player_leader"],
+                              country_codes={}, fill_missing=False)
+    wemby = df.filter("PLAYER_ID = '202'").first()
+    assert wemby.PPG is None and wemby.RPG is None and wemby["HEIGHT(m)"] is None
+    assert wemby["WEIGHT(kg)"] == 7.0
+    lebron = df.filter("PLAYER_ID = '201'").first()
+    assert lebron.COUNTRY == "USA"
+    assert dict(df.dtypes)["PPG"] == "float"
+
+
+def test_salted_flows_equal_plain(raw):
+    plain = T.player_information(raw["player_information"], raw["player_leader"])
+    salted = T.player_information(raw["player_information"], raw["player_leader"], salt=4)
+    key = lambda r: (r.PLAYER_ID, r.PLAYER_NAME)
+    assert [key(r) for r in sorted(plain.collect(), key=key)] == [
+        key(r) for r in sorted(salted.collect(), key=key)]
+    assert salted.columns == plain.columns
+    box = T.player_box_scores(raw["player_box"], plain, salt=3)
+    assert sorted(r.GAME_ID for r in box.collect()) == ["0022300001", "0022300002", "0022300003"]
