@@ -5,8 +5,10 @@ from statflow.operators.profile import (
     Rule,
     apply_profile,
     check_columns,
+    check_contract,
     floats,
     ints,
+    profile_contract,
     stringify,
 )
 from statflow.operators.relate import (
@@ -36,6 +38,7 @@ __all__ = [
     "Rule",
     "apply_profile",
     "check_columns",
+    "check_contract",
     "distinct_keys",
     "drop_short_rows",
     "extract_page_row",
@@ -50,6 +53,7 @@ __all__ = [
     "name_positional",
     "page_row_is_bad",
     "payload_headers",
+    "profile_contract",
     "row_count",
     "semi_reduce",
     "split_malformed",

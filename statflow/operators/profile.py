@@ -96,6 +96,30 @@ def check_columns(df: DataFrame, required: Iterable[str]) -> None:
         raise ValueError(f"input is missing required columns {missing}; has {df.columns}")
 
 
+_SPARK_TYPE = {"string": "string", "int": "int", "float": "float",
+               "iso_date": "date", "long_date": "date"}
+
+
+def profile_contract(profile: Profile) -> dict[str, str]:
+    """Output column -> Spark type for every column the profile types."""
+    return {
+        profile.rename.get(name, name): _SPARK_TYPE[rule.kind]
+        for name, rule in profile.rules.items()
+        if name not in profile.drop
+    }
+
+
+def check_contract(df: DataFrame, expected: Mapping[str, str],
+                   absent: Iterable[str] = ()) -> None:
+    """Assert output types (and absent columns) from the schema alone; no
+    job runs. Replaces eyeballing ``printSchema()``."""
+    types = dict(df.dtypes)
+    wrong = {c: (types.get(c), t) for c, t in expected.items() if types.get(c) != t}
+    present = [c for c in absent if c in types]
+    if wrong or present:
+        raise ValueError(f"schema contract broken: (found, wanted)={wrong}; unexpected={present}")
+
+
 def apply_profile(df: DataFrame, profile: Profile) -> DataFrame:
     """Apply ``profile`` in a single ``select``; column order is kept,
     renamed columns stay in place, absent drop columns are ignored, and

@@ -12,7 +12,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.operators.profile import apply_profile, check_columns
+from statflow.operators.profile import (
+    apply_profile,
+    check_columns,
+    check_contract,
+    profile_contract,
+)
 from statflow.operators.relate import inner_join, semi_reduce
 from statflow.operators.unpack import (
     extract_page_row,
@@ -92,6 +97,24 @@ def team_box_scores(raw: DataFrame) -> DataFrame:
     return apply_profile(raw, TEAM_BOX_PROFILE)
 
 
+# Typed output columns of each table (checked before every write).
+CONTRACTS = {
+    "player_information": {
+        **profile_contract(player_information_profile()), PLAYER_NAME_COLUMN: "string"},
+    "player_box": profile_contract(PLAYER_BOX_PROFILE),
+    "player_leader": {**profile_contract(PLAYER_LEADER_PROFILE), "GP": "string"},
+    "team_leader": profile_contract(TEAM_LEADER_PROFILE),
+    "team_box": profile_contract(TEAM_BOX_PROFILE),
+}
+DROPPED = {
+    "player_information": ("HEIGHT", "WEIGHT", "LAST ATTENDED", LEADER_NAME_COLUMN),
+    "player_box": PLAYER_BOX_PROFILE.drop,
+    "player_leader": PLAYER_LEADER_PROFILE.drop,
+    "team_leader": TEAM_LEADER_PROFILE.drop,
+    "team_box": TEAM_BOX_PROFILE.drop,
+}
+
+
 def read_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The five CSV landings under ``base`` (any Hadoop URI), as strings."""
     return {k: read_string_csv(spark, table_path(base, v)) for k, v in SOURCES.items()}
@@ -134,6 +157,7 @@ def run_daily(
         "team_box": team_box_scores(raw["team_box"]),
     }
     for key, df in tables.items():
+        check_contract(df, CONTRACTS[key], DROPPED[key])
         write(df, TABLES[key])
     return tables
 

@@ -1,7 +1,7 @@
 """Sources and sinks: CSV, JDBC, payload/page files, Parquet."""
 
 from statflow.sources.csv import read_string_csv, table_path, write_csv
-from statflow.sources.files import load, read_pages, read_payloads, write_parquet
+from statflow.sources.files import load, read_pages, read_payloads, save_table, write_parquet
 from statflow.sources.jdbc import read_table, write_table
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "read_payloads",
     "read_string_csv",
     "read_table",
+    "save_table",
     "table_path",
     "write_csv",
     "write_parquet",

@@ -45,6 +45,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
+               partition_by: list[str] | None = None) -> None:
+    """Catalog table twin of the JDBC sink (``saveAsTable``)."""
+    w = df.write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
     """A driver table ``{sf_dir}/{name}.parquet``. ``spread_rows`` is for
     queries with heavy per-row work (regex typing, JSON, text) on a large

@@ -72,3 +72,14 @@ def test_run_daily_to_jdbc_twice(spark, tmp_dir):
     team = read_table(spark, url, "nba_team_box_scores_rs", driver=DERBY_DRIVER,
                       partition_column="PTS", lower_bound=0, upper_bound=200, num_partitions=2)
     assert team.first().PTS == 128
+
+
+def test_save_table_twin(spark, tmp_dir):
+    from statflow.sources import save_table
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS statflow_test LOCATION '{tmp_dir}/db'")
+    df = T.team_box_scores(X.frame(spark, X.TEAM_BOX_HEADER, X.TEAM_BOX_ROWS))
+    save_table(df, "statflow_test.team_box", partition_by=["GAME_DATE"])
+    back = spark.table("statflow_test.team_box")
+    assert back.count() == 1 and dict(back.dtypes)["PTS"] == "int"
+    spark.sql("DROP DATABASE statflow_test CASCADE")

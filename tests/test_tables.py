@@ -134,3 +134,13 @@ def test_salted_flows_equal_plain(raw):
     assert salted.columns == plain.columns
     box = T.player_box_scores(raw["player_box"], plain, salt=3)
     assert sorted(r.GAME_ID for r in box.collect()) == ["0022300001", "0022300002", "0022300003"]
+
+
+def test_contracts_hold_for_all_tables(raw):
+    from statflow.operators import check_contract
+
+    tables = T.build_tables(raw)
+    for key, df in tables.items():
+        check_contract(df, T.CONTRACTS[key], T.DROPPED[key])
+    with pytest.raises(ValueError, match="contract"):
+        check_contract(tables["player_leader"], {"GP": "int"})
