@@ -24,6 +24,7 @@ from statflow.operators.relate import (
 from statflow.operators.unpack import (
     drop_short_rows,
     extract_page_row,
+    flag_malformed,
     html_text,
     name_positional,
     page_row_is_bad,
@@ -42,6 +43,7 @@ __all__ = [
     "distinct_keys",
     "drop_short_rows",
     "extract_page_row",
+    "flag_malformed",
     "floats",
     "html_text",
     "inner_join",

@@ -125,9 +125,16 @@ def drop_short_rows(df: DataFrame, values: str, min_len: int) -> DataFrame:
     return df.filter(F.size(values) >= min_len)
 
 
+def flag_malformed(df: DataFrame, bad: Column, name: str = "malformed") -> DataFrame:
+    """Tag records as malformed (``bad`` NULL counts as good) in one pass."""
+    return df.withColumn(name, F.coalesce(bad, F.lit(False)))
+
+
 def split_malformed(df: DataFrame, bad: Column) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): keep going past bad records instead of failing or
-    silently skipping them. ``bad`` NULL counts as good."""
+    silently skipping them. ``bad`` NULL counts as good. Each side is meant
+    for its own sink; to report on both in one pass use
+    :func:`flag_malformed`."""
     flag = F.coalesce(bad, F.lit(False))
     return df.filter(~flag), df.filter(flag)
 

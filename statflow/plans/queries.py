@@ -18,6 +18,7 @@ from statflow.functions import (
     parse_iso_date,
     parse_long_date,
     positional_columns,
+    second_line,
     strip_unit,
     to_float,
 )
@@ -34,9 +35,11 @@ from statflow.operators import (
     apply_profile,
     distinct_keys,
     extract_page_row,
+    flag_malformed,
     floats,
     inner_join,
     ints,
+    isin_filter,
     lookup_or_self,
     lookup_udf,
     map_lookup,
@@ -364,6 +367,26 @@ def row_count_q(spark: SparkSession, sf: str) -> DataFrame:
 ORACLE_ROW_COUNT = "SELECT count(*) AS n FROM lineitem"
 
 
+def isin_filter_q(spark: SparkSession, sf: str) -> DataFrame:
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return isin_filter(li, "l_returnflag", ["A", "R"])
+
+
+ORACLE_ISIN_FILTER = """
+SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag IN ('A', 'R')"""
+
+
+# --- X11: the line under a label, over whole texts ------------------------------
+
+def second_line_q(spark: SparkSession, sf: str) -> DataFrame:
+    d = load(spark, sf, "documents")
+    return d.select("doc_id", second_line("text").alias("line2"))
+
+
+ORACLE_SECOND_LINE = """
+SELECT doc_id, string_split(text, chr(10))[2] AS line2 FROM documents"""
+
+
 # --- A3 X10 U2: word count ------------------------------------------------------
 
 def word_count_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -394,11 +417,9 @@ def split_malformed_q(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id") % 7 == 0, F.expr("substring(props, 1, length(props) - 1)")
     ).otherwise(F.col("props"))
     captured = e.select("event_type", props.alias("props"))
-    good, bad = split_malformed(captured, F.try_parse_json("props").isNull())
-    tagged = good.select("event_type", F.lit("good").alias("status")).unionByName(
-        bad.select("event_type", F.lit("quarantine").alias("status"))
-    )
-    return tagged.groupBy("event_type", "status").agg(F.count(F.lit(1)).alias("n"))
+    tagged = flag_malformed(captured, F.try_parse_json("props").isNull())
+    status = F.when(F.col("malformed"), F.lit("quarantine")).otherwise(F.lit("good"))
+    return tagged.groupBy("event_type", status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
 ORACLE_SPLIT_MALFORMED = """
@@ -520,12 +541,14 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "select_rename_drop": (select_rename_drop, ORACLE_SELECT_RENAME_DROP),
     "inner_join_using": (inner_join_using, ORACLE_INNER_JOIN_USING),
     "semi_reduce": (semi_reduce_q, ORACLE_SEMI_REDUCE),
+    "isin_filter": (isin_filter_q, ORACLE_ISIN_FILTER),
     "lookup_or_self": (lookup_or_self_q, ORACLE_LOOKUP),
     "lookup_udf": (lookup_udf_q, ORACLE_LOOKUP),
     "lookup_table": (lookup_table_q, ORACLE_LOOKUP_TABLE),
     "distinct_keys": (distinct_keys_q, ORACLE_DISTINCT_KEYS),
     "row_count": (row_count_q, ORACLE_ROW_COUNT),
     "word_count": (word_count_q, ORACLE_WORD_COUNT),
+    "second_line": (second_line_q, ORACLE_SECOND_LINE),
     "json_field": (json_field_q, ORACLE_JSON_FIELD),
     "split_malformed": (split_malformed_q, ORACLE_SPLIT_MALFORMED),
     "unpack_rowset": (unpack_rowset_q, ORACLE_UNPACK_ROWSET),

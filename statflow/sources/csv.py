@@ -14,17 +14,23 @@ from statflow.operators.profile import check_columns
 
 
 def read_string_csv(
-    spark: SparkSession, path: str | list[str], required: Iterable[str] = ()
+    spark: SparkSession,
+    path: str | list[str],
+    required: Iterable[str] = (),
+    check_headers: bool = True,
 ) -> DataFrame:
     """Columns named by the header, all strings (ids keep leading zeros).
 
-    Without an explicit schema Spark binds columns by position under the
-    first file's header, so ``required`` names are checked up front.
+    Spark binds columns by position under the first file's header. With
+    ``check_headers`` every file's header is compared with it while the
+    file is read, so a landing with reordered columns fails instead of
+    silently swapping values. ``required`` names are checked up front.
     Plain (non-multiline) CSV stays splittable across tasks.
     """
     df = (
         spark.read.option("header", True)
         .option("inferSchema", False)
+        .option("enforceSchema", not check_headers)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

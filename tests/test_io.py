@@ -83,3 +83,16 @@ def test_save_table_twin(spark, tmp_dir):
     back = spark.table("statflow_test.team_box")
     assert back.count() == 1 and dict(back.dtypes)["PTS"] == "int"
     spark.sql("DROP DATABASE statflow_test CASCADE")
+
+
+def test_reordered_csv_landing_fails_instead_of_swapping(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "landing")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("A,B\n1,2\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write("B,A\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_string_csv(spark, d).collect()
+    loose = read_string_csv(spark, d, check_headers=False)
+    assert sorted(loose.collect()) == [("1", "2"), ("3", "4")]  # positional binding
