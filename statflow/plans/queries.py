@@ -475,7 +475,7 @@ SELECT CAST(l_orderkey AS VARCHAR) AS "L_ORDERKEY", CAST(l_linenumber AS VARCHAR
 FROM lineitem WHERE l_linenumber <> 3"""
 
 
-# --- S4 X12-X14 P7 F3: stored pages -> positional rows --------------------------
+# --- S4 X12-X14 P7: stored pages -> positional rows --------------------------
 
 _LI_BLOCK = r"<li>(.*?)</li>"
 _H1 = r"<h1>(.*?)</h1>"
