@@ -42,7 +42,10 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    # Hashing the row position spreads rows as evenly as round-robin without
+    # its local sort. Directly above a file scan positions are stable, so a
+    # re-run map task places every row in the same partition again.
+    return df.repartition(cores, F.monotonically_increasing_id())
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
