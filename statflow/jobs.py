@@ -73,6 +73,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     d.add_argument("--driver")
     d.add_argument("--jdbc-partitions", type=int, default=None)
     d.add_argument("--batchsize", type=int, default=None)
+    d.add_argument("--salt", default="1",
+                   help='buckets for hot PLAYER_IDs in the joins, or "auto"')
 
     w = sub.add_parser("wordcount", help="text files -> (word, n)")
     w.add_argument("--input", required=True)
@@ -94,7 +96,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
 
     args = p.parse_args(list(argv))
     if args.cmd == "daily":
-        T.run_daily(spark, args.source, table_writer(args))
+        salt = args.salt if args.salt == "auto" else int(args.salt)
+        T.run_daily(spark, args.source, table_writer(args), salt=salt)
     elif args.cmd == "wordcount":
         lines = spark.read.text(args.input).withColumnRenamed("value", "text")
         _write(word_count(lines, "text"), args.out, args.format)

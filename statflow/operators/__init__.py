@@ -13,6 +13,7 @@ from statflow.operators.profile import (
 )
 from statflow.operators.relate import (
     distinct_keys,
+    heavy_keys,
     inner_join,
     isin_filter,
     lookup_or_self,
@@ -20,6 +21,7 @@ from statflow.operators.relate import (
     map_lookup,
     row_count,
     semi_reduce,
+    skew_join,
 )
 from statflow.operators.unpack import (
     drop_short_rows,
@@ -45,6 +47,7 @@ __all__ = [
     "extract_page_row",
     "flag_malformed",
     "floats",
+    "heavy_keys",
     "html_text",
     "inner_join",
     "ints",
@@ -58,6 +61,7 @@ __all__ = [
     "profile_contract",
     "row_count",
     "semi_reduce",
+    "skew_join",
     "split_malformed",
     "stringify",
     "unpack_rowset",

@@ -37,16 +37,21 @@ def _replicated(df: DataFrame, buckets: int) -> DataFrame:
 
 
 def inner_join(
-    left: DataFrame, right: DataFrame, on: str | Sequence[str], salt: int = 1
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], salt: int | str = 1
 ) -> DataFrame:
     """Using-column inner equi-join: key columns once and first, NULL keys
     never match, duplicate keys fan out.
 
     ``salt > 1`` splits every key of ``left`` over that many buckets and
     copies ``right`` into each: a key holding a large share of ``left`` is
-    then joined by ``salt`` tasks instead of one. Without it, AQE's skew
-    handling splits oversized sort-merge partitions at runtime.
+    then joined by ``salt`` tasks instead of one. ``salt="auto"`` salts only
+    the heavy keys (:func:`skew_join`). Without salting, AQE's skew handling
+    splits oversized sort-merge partitions at runtime.
     """
+    if salt == "auto":
+        if not isinstance(on, str):
+            raise ValueError('salt="auto" needs a single join column')
+        return skew_join(left, right, on, "inner")
     if salt <= 1:
         return left.join(right, on=on, how="inner")
     keys = [on] if isinstance(on, str) else list(on)
@@ -55,7 +60,7 @@ def inner_join(
 
 
 def semi_reduce(
-    df: DataFrame, keys: DataFrame, key: str, keys_key: str | None = None, salt: int = 1
+    df: DataFrame, keys: DataFrame, key: str, keys_key: str | None = None, salt: int | str = 1
 ) -> DataFrame:
     """Rows of ``df`` whose ``key`` occurs in ``keys`` (left-semi join).
 
@@ -68,11 +73,68 @@ def semi_reduce(
     """
     keys_key = keys_key or key
     k = keys.select(F.col(keys_key).alias(key)).distinct()
+    if salt == "auto":
+        return skew_join(df, k, key, "left_semi")
     if salt <= 1:
         return df.join(k, on=key, how="left_semi")
     return _salted(df, salt).join(_replicated(k, salt), [key, _SALT], "left_semi").drop(_SALT)
 
 
+# A key is "heavy" when it holds at least this share of a table's rows.
+HEAVY_SHARE = 0.05
+
+
+def heavy_keys(df: DataFrame, key: str, min_share: float = HEAVY_SHARE) -> list:
+    """Keys holding at least ``min_share`` of the rows (NULL excluded).
+
+    At most ``1 / min_share`` keys can qualify, so the list brought to the
+    driver is bounded whatever the table size. Costs one count and one
+    partial+final aggregate over the key column.
+    """
+    if not 0 < min_share <= 1:
+        raise ValueError("min_share must be in (0, 1]")
+    total = df.count()
+    if total == 0:
+        return []
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    heavy = counts.where(F.col("n") >= F.lit(min_share * total)).select(key).collect()
+    return [r[0] for r in heavy]
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot: Sequence | None = None,
+    buckets: int | None = None,
+    min_share: float = HEAVY_SHARE,
+) -> DataFrame:
+    """Equi-join (``inner`` or ``left_semi``) on one column that splits only
+    the heavy keys of ``left`` into ``buckets`` salted sub-keys and copies
+    just those keys' ``right`` rows into every bucket; other keys join as
+    usual. ``hot`` defaults to :func:`heavy_keys` of ``left``. ``buckets``
+    defaults to four per core: salted sub-keys are hashed to shuffle
+    partitions, and a few buckets per partition keep collisions from
+    stacking several of them in one task. Results equal the plain join."""
+    if how not in ("inner", "left_semi"):
+        raise ValueError("skew_join supports inner and left_semi")
+    hot = list(heavy_keys(left, key, min_share) if hot is None else hot)
+    if how == "left_semi":
+        right = right.select(key).distinct()
+    if not hot:
+        return left.join(right, on=key, how=how)
+    buckets = buckets or 4 * left.sparkSession.sparkContext.defaultParallelism
+    is_hot_left = F.col(key).isin(hot)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    salted = left.withColumn(
+        _SALT, F.when(is_hot_left, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)).cast("int")
+    )
+    top = F.when(F.col(key).isin(hot), F.lit(buckets - 1)).otherwise(F.lit(0))
+    copied = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), top)))
+    return salted.join(copied, on=[key, _SALT], how=how).drop(_SALT)
+
+
 def isin_filter(df: DataFrame, key: str, values: Sequence) -> DataFrame:
     """Membership test against a short literal list (pushed to the scan)."""
     return df.filter(F.col(key).isin(list(values)))

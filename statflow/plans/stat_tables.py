@@ -63,7 +63,7 @@ def player_information(
     leader_raw: DataFrame,
     country_codes: dict[str, str] | None = None,
     fill_missing: bool = True,
-    salt: int = 1,
+    salt: int | str = 1,
 ) -> DataFrame:
     """G1: typed player profiles joined (inner, by PLAYER_ID) with the
     leader board's player name, which becomes PLAYER_NAME. Players without
@@ -75,7 +75,9 @@ def player_information(
     return joined.withColumnRenamed(LEADER_NAME_COLUMN, PLAYER_NAME_COLUMN)
 
 
-def player_box_scores(box_raw: DataFrame, information: DataFrame, salt: int = 1) -> DataFrame:
+def player_box_scores(
+    box_raw: DataFrame, information: DataFrame, salt: int | str = 1
+) -> DataFrame:
     """G2: box scores of players that survived G1 (left-semi join on the
     joined table's keys), typed."""
     kept = semi_reduce(box_raw, information, PLAYER_KEY, salt=salt)
@@ -135,6 +137,7 @@ def run_daily(
     spark: SparkSession,
     base: str,
     write: Callable[[DataFrame, str], None],
+    salt: int | str = 1,
 ) -> dict[str, DataFrame]:
     """Read the five landings, type them and hand each table to ``write``
     (e.g. a JDBC or Parquet overwrite).
@@ -142,16 +145,17 @@ def run_daily(
     G1 is checkpointed to the shared ``spark.checkpoint.dir`` first: the
     G1 write and G2's semi-join both read that copy, so the leader and
     information scans run once and a lost executor recomputes from the
-    checkpoint, not from the raw landings.
+    checkpoint, not from the raw landings. ``salt`` is passed to the G1
+    join and the G2 semi-join (``"auto"`` salts heavy PLAYER_IDs only).
     """
     ensure_checkpoint_dir(spark)
     raw = read_sources(spark, base)
-    info = player_information(raw["player_information"], raw["player_leader"]).checkpoint(
-        eager=True
-    )
+    info = player_information(
+        raw["player_information"], raw["player_leader"], salt=salt
+    ).checkpoint(eager=True)
     tables = {
         "player_information": info,
-        "player_box": player_box_scores(raw["player_box"], info),
+        "player_box": player_box_scores(raw["player_box"], info, salt=salt),
         "player_leader": player_leader(raw["player_leader"]),
         "team_leader": team_leader(raw["team_leader"]),
         "team_box": team_box_scores(raw["team_box"]),
