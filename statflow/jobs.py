@@ -6,6 +6,7 @@ an application name is set here.
   wordcount      text files -> (word, n)
   land-payloads  captured API responses -> one string table (CSV/Parquet)
   land-pages     stored profile pages -> profile rows + quarantine
+  land-stream    new CSV drops of one table -> typed Parquet, incrementally
 """
 
 from __future__ import annotations
@@ -18,9 +19,27 @@ from pyspark.sql import functions as F
 
 from statflow.operators.wordcount import word_count
 from statflow.plans import stat_tables as T
-from statflow.sources.csv import write_csv
+from statflow.plans.profiles import (
+    PLAYER_BOX_PROFILE,
+    PLAYER_LEADER_PROFILE,
+    TEAM_BOX_PROFILE,
+    TEAM_LEADER_PROFILE,
+    player_information_profile,
+)
+from statflow.sources.csv import read_string_csv, write_csv
 from statflow.sources.files import read_pages, write_parquet
 from statflow.sources.jdbc import write_table
+from statflow.streaming.landing import land_stream
+
+# Tables that can be landed incrementally (the G1 join and G2 semi-join need
+# whole tables and stay in the daily run).
+STREAM_PROFILES = {
+    "player_information": player_information_profile(),
+    "player_box": PLAYER_BOX_PROFILE,
+    "player_leader": PLAYER_LEADER_PROFILE,
+    "team_leader": TEAM_LEADER_PROFILE,
+    "team_box": TEAM_BOX_PROFILE,
+}
 
 
 def _password(args: argparse.Namespace) -> str | None:
@@ -94,6 +113,13 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     pg.add_argument("--key-pattern", default=r"(\d+)[^/]*$",
                     help="regex with one group taking the player id from the file path")
 
+    st = sub.add_parser("land-stream", help="new CSV drops of one table -> typed Parquet")
+    st.add_argument("--table", required=True, choices=sorted(STREAM_PROFILES))
+    st.add_argument("--source", required=True, help="folder receiving the CSV drops")
+    st.add_argument("--out", required=True)
+    st.add_argument("--continuous", action="store_true",
+                    help="keep running (1-minute trigger) instead of availableNow")
+
     args = p.parse_args(list(argv))
     if args.cmd == "daily":
         salt = args.salt if args.salt == "auto" else int(args.salt)
@@ -111,6 +137,11 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         good, bad = T.land_pages(pages)
         write_csv(good, args.out)
         write_parquet(bad, args.quarantine)
+    elif args.cmd == "land-stream":
+        header = read_string_csv(spark, args.source).columns
+        q = land_stream(spark, args.source, header, STREAM_PROFILES[args.table], args.out,
+                        f"land_{args.table}", available_now=not args.continuous)
+        q.awaitTermination()
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -10,6 +10,7 @@ it fits the same daily schedule.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -35,8 +36,12 @@ def land_stream(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the stream ``source_dir`` (CSV, ``header``) -> profile -> Parquet
-    ``sink_dir``. The checkpoint lives under ``spark.checkpoint.dir``."""
-    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
+    ``sink_dir``. The checkpoint lives under ``spark.checkpoint.dir``, keyed
+    by ``name`` and the sink."""
+    # One checkpoint per (query, sink): the same name writing elsewhere must
+    # not resume another sink's progress.
+    sink_tag = format(zlib.crc32(sink_dir.encode()), "08x")
+    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{sink_tag}"
     raw = (
         spark.readStream.schema(string_schema(header))
         .option("header", True)

@@ -62,3 +62,13 @@ def test_land_payloads_and_pages_jobs(spark, tmp_dir):
     got = spark.read.option("header", True).csv(rows).collect()
     assert [r.PLAYER_ID for r in got] == ["2544"]
     assert json.loads(json.dumps(got[0].asDict()))["POSITION"].endswith("Forward")
+
+
+def test_land_stream_job(spark, tmp_dir):
+    from statflow.sources import write_csv
+
+    src, out = os.path.join(tmp_dir, "drops"), os.path.join(tmp_dir, "typed")
+    write_csv(X.frame(spark, X.TEAM_BOX_HEADER, X.TEAM_BOX_ROWS).coalesce(1), f"{src}/day1")
+    run(spark, ["land-stream", "--table", "team_box", "--source", f"{src}/*", "--out", out])
+    got = spark.read.parquet(out)
+    assert got.count() == 1 and dict(got.dtypes)["GAME_DATE"] == "date"
