@@ -1,10 +1,11 @@
 """Relating tables: inner join, semi-join reduction, lookups with a default,
 distinct keys and counts.
 
-None of these collect to the driver. Join strategy is left to Catalyst/AQE
+Nothing unbounded reaches the driver (only counts and the at most
+``1 / min_share`` heavy keys). Join strategy is left to Catalyst/AQE
 (broadcast when a side is small at runtime, sort-merge otherwise, skew
-splitting for hot keys); the one explicit broadcast is behind a row-count
-check with a shuffle join beyond it.
+splitting for hot keys); the one explicit broadcast is behind a row- and
+byte-count check with a shuffle join beyond it.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql.types import StringType
 
 from statflow.functions._col import as_col
 
-# Dimension tables up to this many rows may be broadcast to every executor.
+# Dimension tables up to this many rows and bytes may be broadcast to every
+# executor.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 _SALT = "__salt"
@@ -170,18 +173,27 @@ def lookup_or_self(
     dim_value: str,
     out: str | None = None,
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Table-driven lookup with default: ``out`` = the dimension value for
     ``key``, or ``key`` itself when absent.
 
     The dimension is reduced to one value per key (the largest, so the
     result is deterministic) and broadcast only if it has at most
-    ``max_broadcast_rows`` keys (a bounded ``limit().count()`` check);
-    beyond that it is a regular shuffle join.
+    ``max_broadcast_rows`` keys holding at most ``max_broadcast_bytes`` of
+    key and value text. Both are measured by one job over at most
+    ``max_broadcast_rows + 1`` rows. Beyond either bound it is a regular
+    shuffle join.
     """
     out = out or key
     d = dim.groupBy(F.col(dim_key).alias("__k")).agg(F.max(dim_value).alias("__v"))
-    small = d.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    width = F.coalesce(F.octet_length(F.col("__k").cast("string")), F.lit(0)) + F.coalesce(
+        F.octet_length(F.col("__v").cast("string")), F.lit(0)
+    )
+    probe = d.limit(max_broadcast_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    small = probe["rows"] <= max_broadcast_rows and probe["bytes"] <= max_broadcast_bytes
     if small:
         d = F.broadcast(d)
     joined = df.join(d, F.col(key) == F.col("__k"), "left")

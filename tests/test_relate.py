@@ -67,6 +67,9 @@ def test_lookup_or_self_broadcast_only_when_small(spark):
     assert "broadcast" in small.toString().lower()
     large = lookup_or_self(facts, "k", dim, "code", "name", max_broadcast_rows=0)
     assert "broadcast" not in large._jdf.queryExecution().optimizedPlan().toString().lower()
+    wide = lookup_or_self(facts, "k", dim, "code", "name", max_broadcast_bytes=10)
+    assert "broadcast" not in wide._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.v: r.k for r in wide.collect()} == {"1": "United States"}
 
 
 def test_distinct_and_count(spark):
