@@ -56,7 +56,8 @@ def unpack_rowset(
     omitted they are discovered with :func:`payload_headers`. Every value is
     a string; JSON numbers are printed from their parsed value (``4.50`` ->
     ``'4.5'``), as a JSON -> CSV landing does; nested values keep their JSON
-    text. Unparseable payloads give no rows. ``keep`` carries columns of the payload row along (e.g. its path).
+    text. Unparseable payloads give no rows. ``keep`` carries columns of
+    the payload row along (e.g. its path).
     """
     if columns is None:
         columns = payload_headers(df, payload)

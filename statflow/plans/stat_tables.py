@@ -39,7 +39,7 @@ from statflow.plans.profiles import (
 )
 from statflow.session import ensure_checkpoint_dir
 from statflow.sources.csv import read_string_csv, table_path
-from statflow.sources.files import read_pages, read_payloads
+from statflow.sources.files import read_payloads
 
 # Landing file names and output table names.
 SOURCES = {

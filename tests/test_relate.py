@@ -1,6 +1,5 @@
 """Joins, semi-join reduction and lookups (V9, V10, keys rows of FIXTURES)."""
 
-from pyspark.sql import functions as F
 
 from statflow.operators import (
     distinct_keys,
