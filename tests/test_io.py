@@ -97,3 +97,38 @@ def test_reordered_csv_landing_fails_instead_of_swapping(spark, tmp_dir):
         read_string_csv(spark, d).collect()
     loose = read_string_csv(spark, d, check_headers=False)
     assert sorted(loose.collect()) == [("1", "2"), ("3", "4")]  # positional binding
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
+    from statflow.operators import semi_reduce
+    from statflow.sources import save_table
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS statflow_bkt LOCATION '{tmp_dir}/bkt'")
+    info = T.player_information(X.frame(spark, X.INFO_HEADER, X.INFO_ROWS),
+                                X.frame(spark, X.LEADER_HEADER, X.LEADER_ROWS))
+    box = X.frame(spark, X.BOX_HEADER, X.BOX_ROWS)
+    save_table(info, "statflow_bkt.info", bucket_by=(4, ["PLAYER_ID"]))
+    save_table(box, "statflow_bkt.box", bucket_by=(4, ["PLAYER_ID"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = semi_reduce(spark.table("statflow_bkt.box"), spark.table("statflow_bkt.info"),
+                             "PLAYER_ID")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert joined.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP DATABASE statflow_bkt CASCADE")
+
+
+def test_payload_lines(spark, tmp_dir):
+    from statflow.operators import unpack_rowset
+    from statflow.sources import read_payloads
+    from tests.test_unpack import FORM1, FORM2
+
+    path = os.path.join(tmp_dir, "captures.jsonl")
+    with open(path, "w") as f:
+        f.write(FORM1 + "\n" + FORM2 + "\n")
+    out = unpack_rowset(read_payloads(spark, path, one_per_line=True), columns=["ID"])
+    assert sorted(r.ID for r in out.collect()) == ["1", "2", "3", "4.5"]
