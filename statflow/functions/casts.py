@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from statflow.functions._col import as_col
 
-# A plain decimal number with optional sign and blanks around
-# it, and the blank characters trimmed by the lenient cast.
-_DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d*)\s*$"
-_BLANKS = " \t\n\r\f\u000b"
+# The lenient cast trims every character up to U+0020 (blanks
+# and ASCII control characters) around a plain decimal number with an
+# optional sign.
+_BLANKS = "".join(chr(i) for i in range(0x21))
+_DECIMAL = r"^[\x00-\x20]*[+-]?(\d+\.?\d*|\.\d*)[\x00-\x20]*$"
 
 
 def int_trunc(c: Column | str) -> Column:

@@ -14,25 +14,29 @@ from pyspark.sql import functions as F
 
 from statflow.functions._col import as_col
 
-# Fixed patterns for the two date layouts of the source tables.
-_ISO_HEAD = r"^\s*(\d{4}-\d{1,2}-\d{1,2})"
-_LONG_HEAD = r"^[A-Za-z]+ +\d{1,2}, *\d{4}"
+# Fixed patterns for the two date layouts of the source tables. The legacy
+# parser reads every numeric field as a run of digits of any length (a
+# 4-letter year still takes '99' as year 99), so whole digit runs are cut
+# out and parsed with single-letter (any-width) fields.
+_ISO_HEAD = r"^\s*(\d+-\d+-\d+)"
+_LONG_HEAD = r"^[A-Za-z]+ +\d+, *\d+"
 
 
 def parse_iso_date(c: Column | str) -> Column:
-    """``yyyy-MM-dd`` with LEGACY tolerance: one-digit month/day, leading
+    """``yyyy-MM-dd`` with LEGACY tolerance: digit runs of any width
+    (``'2023-1-4'``, ``'2023-010-24'``, ``'23-10-24'`` is year 23), leading
     blanks and trailing text (``'2023-10-24T00:00:00'``) accepted; invalid
     calendar dates and other layouts -> NULL."""
     head = F.regexp_extract(as_col(c), _ISO_HEAD, 1)
-    return F.try_to_date(head, "yyyy-M-d")
+    return F.try_to_date(head, "y-M-d")
 
 
 def parse_long_date(c: Column | str) -> Column:
     """``MMMM dd, yyyy`` with LEGACY tolerance: full or short month name in
-    any case, one- or two-digit day, trailing text accepted; a leading blank,
-    day 32 or ``'--'`` -> NULL."""
+    any case, day and year digit runs of any width, trailing text accepted;
+    a leading blank, day 32 or ``'--'`` -> NULL."""
     head = F.regexp_replace(F.regexp_extract(as_col(c), _LONG_HEAD, 0), " +", " ")
     return F.coalesce(
-        F.try_to_date(head, "MMMM d, yyyy"),
-        F.try_to_date(head, "MMM d, yyyy"),
+        F.try_to_date(head, "MMMM d, y"),
+        F.try_to_date(head, "MMM d, y"),
     )

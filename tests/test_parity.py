@@ -14,16 +14,24 @@ NUMBERS = [
     "12.5", "-3.9", "19805.0", " 7 ", ".", "2147483647.9", "3e2", "NaN", "1.5f", "--",
     "1,000", "99999999999", "", None, "+5", "-.5", "\t12\n", "12.", "-0", "0.0",
     "2147483646.99999999999999999999", "-2147483648", "-2147483649", "Infinity", "1e-3",
-    "0x1A", " -12.75 ", "+.", "00012", "1 2",
+    "0x1A", " -12.75 ", "+.", "00012", "1 2", "1.5d", "1e39", "-Infinity", "+NaN", "12 .5",
+    "1_000", "\uff11\uff12", "\u0661\u0662", "+0", "-0.0", "00012.50", ".e1", "1e", "\x0012",
+    "12\x00", "\x1f7\x01", "9" * 40, "0." + "9" * 40, "-2147483648.9", "2147483648", "  ",
 ]
 LONG_DATES = [
     "December 30, 1984", "January 5, 1999", "Jan 5, 1999", "January 5, 1999 (x)",
     "january 05, 1999", "JANUARY 5, 1999", "January 32, 1999", " January 5, 1999", "--",
-    "Feb 29, 2001", "Feb 29, 2000", None,
+    "Feb 29, 2001", "Feb 29, 2000", None, "January 5, 99", "January 5, 0099",
+    "January 5, 12345", "January 5, 1999x", "January 5,1999", "January  5, 1999",
+    "Jan. 5, 1999", "JANUARY 5 , 1999", "January 05, 1999 ", "Sep 5, 1999",
+    "September 5, 1999", "Janu 5, 1999", "January 0, 1999", "January 005, 1999",
+    "January 5, 199",
 ]
 ISO_DATES = [
     "2023-10-24", "2023-13-45", "2023-1-4", "2023-10-24T00:00:00", "20231024",
-    "2023-02-30", "--", "2024-02-29", "2023-10-24 12:00", None,
+    "2023-02-30", "--", "2024-02-29", "2023-10-24 12:00", None, "23-10-24", "0023-10-24",
+    "12023-10-24", "2023-010-24", "2023-10-024", "2023/10/24", "2023-10-24x", "2023-1-4 ",
+    "2023-10-", "+2023-10-24", "2023-10-24.5",
 ]
 
 
@@ -63,13 +71,17 @@ def test_float_cast_parity(spark):
     _compare(spark, NUMBERS, lambda c: c.cast("float"), to_float)
 
 
+# Dates are compared as day numbers: years past 9999 occur and do not fit a
+# Python date.
 def test_long_date_parity(spark):
-    plain = lambda c: F.to_date(F.unix_timestamp(c, "MMMM dd, yyyy").cast("timestamp"))
-    _compare(spark, LONG_DATES, plain, parse_long_date)
+    plain = lambda c: F.unix_date(
+        F.to_date(F.unix_timestamp(c, "MMMM dd, yyyy").cast("timestamp")))
+    _compare(spark, LONG_DATES, plain, lambda c: F.unix_date(parse_long_date(c)))
 
 
 def test_iso_date_parity(spark):
-    _compare(spark, ISO_DATES, lambda c: F.to_date(c, "yyyy-MM-dd"), parse_iso_date)
+    _compare(spark, ISO_DATES, lambda c: F.unix_date(F.to_date(c, "yyyy-MM-dd")),
+             lambda c: F.unix_date(parse_iso_date(c)))
 
 
 def test_fill_parity(spark):
