@@ -17,9 +17,10 @@ from statflow.functions._col import as_col
 # Fixed patterns for the two date layouts of the source tables. The legacy
 # parser reads every numeric field as a run of digits of any length (a
 # 4-letter year still takes '99' as year 99), so whole digit runs are cut
-# out and parsed with single-letter (any-width) fields.
-_ISO_HEAD = r"^\s*(\d+-\d+-\d+)"
-_LONG_HEAD = r"^[A-Za-z]+ +\d+, *\d+"
+# out and parsed with single-letter (any-width) fields; a year of zero is
+# rejected as the legacy parser does.
+_ISO_HEAD = r"^\s*(0*[1-9]\d*-\d+-\d+)"
+_LONG_HEAD = r"^[A-Za-z]+ +\d+, *0*[1-9]\d*"
 
 
 def parse_iso_date(c: Column | str) -> Column:

@@ -25,13 +25,13 @@ LONG_DATES = [
     "January 5, 12345", "January 5, 1999x", "January 5,1999", "January  5, 1999",
     "Jan. 5, 1999", "JANUARY 5 , 1999", "January 05, 1999 ", "Sep 5, 1999",
     "September 5, 1999", "Janu 5, 1999", "January 0, 1999", "January 005, 1999",
-    "January 5, 199",
+    "January 5, 199", "January 1, 0", "January 1, 0000", "January 1, 00001",
 ]
 ISO_DATES = [
     "2023-10-24", "2023-13-45", "2023-1-4", "2023-10-24T00:00:00", "20231024",
     "2023-02-30", "--", "2024-02-29", "2023-10-24 12:00", None, "23-10-24", "0023-10-24",
     "12023-10-24", "2023-010-24", "2023-10-024", "2023/10/24", "2023-10-24x", "2023-1-4 ",
-    "2023-10-", "+2023-10-24", "2023-10-24.5",
+    "2023-10-", "+2023-10-24", "2023-10-24.5", "0-01-01", "0000-01-01", "00001-01-01",
 ]
 
 
