@@ -66,3 +66,17 @@ def test_long_date_property(spark, values):
 def test_iso_date_property(spark, values):
     _check(spark, values, lambda c: F.unix_date(F.to_date(c, "yyyy-MM-dd")),
            lambda c: F.unix_date(parse_iso_date(c)))
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="ab \t\n", max_size=8), min_size=60, max_size=60))
+def test_tokens_match_jvm_split(spark, values):
+    from statflow.functions import tokens
+
+    # py4j returns java.lang.String as a Python str, so split through a
+    # java.util.regex.Pattern to get the JVM's own rule.
+    space = spark.sparkContext._jvm.java.util.regex.Pattern.compile(" ")
+    expected = [list(space.split(v)) for v in values]
+    got = [r[0] for r in one_col(spark, values).select(tokens("v")).collect()]
+    bad = [(v, e, g) for v, e, g in zip(values, expected, got) if e != g]
+    assert not bad, bad[:5]
