@@ -94,6 +94,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     d.add_argument("--batchsize", type=int, default=None)
     d.add_argument("--salt", default="1",
                    help='buckets for hot PLAYER_IDs in the joins, or "auto"')
+    d.add_argument("--concurrent-writes", type=int, default=1,
+                   help="write the four tables after G1 with this many concurrent jobs")
 
     w = sub.add_parser("wordcount", help="text files -> (word, n)")
     w.add_argument("--input", required=True)
@@ -123,7 +125,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     args = p.parse_args(list(argv))
     if args.cmd == "daily":
         salt = args.salt if args.salt == "auto" else int(args.salt)
-        T.run_daily(spark, args.source, table_writer(args), salt=salt)
+        T.run_daily(spark, args.source, table_writer(args), salt=salt,
+                    concurrent_writes=args.concurrent_writes)
     elif args.cmd == "wordcount":
         lines = spark.read.text(args.input).withColumnRenamed("value", "text")
         _write(word_count(lines, "text"), args.out, args.format)

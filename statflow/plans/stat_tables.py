@@ -8,6 +8,7 @@ and the landing writers trigger jobs.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +139,7 @@ def run_daily(
     base: str,
     write: Callable[[DataFrame, str], None],
     salt: int | str = 1,
+    concurrent_writes: int = 1,
 ) -> dict[str, DataFrame]:
     """Read the five landings, type them and hand each table to ``write``
     (e.g. a JDBC or Parquet overwrite).
@@ -147,6 +149,9 @@ def run_daily(
     information scans run once and a lost executor recomputes from the
     checkpoint, not from the raw landings. ``salt`` is passed to the G1
     join and the G2 semi-join (``"auto"`` salts heavy PLAYER_IDs only).
+    With ``concurrent_writes > 1`` the four tables after G1 are written by
+    that many concurrent Spark jobs, so small tables do not wait for the
+    large box scores while the cluster has free cores.
     """
     ensure_checkpoint_dir(spark)
     raw = read_sources(spark, base)
@@ -162,7 +167,16 @@ def run_daily(
     }
     for key, df in tables.items():
         check_contract(df, CONTRACTS[key], DROPPED[key])
-        write(df, TABLES[key])
+    write(info, TABLES["player_information"])
+    rest = [k for k in tables if k != "player_information"]
+    if concurrent_writes <= 1:
+        for key in rest:
+            write(tables[key], TABLES[key])
+    else:
+        with ThreadPoolExecutor(max_workers=concurrent_writes) as pool:
+            done = [pool.submit(write, tables[k], TABLES[k]) for k in rest]
+            for f in done:
+                f.result()  # re-raise the first failure
     return tables
 
 

@@ -46,7 +46,7 @@ def test_run_daily_to_parquet(spark, tmp_dir):
     base, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "tables")
     _write_sources(spark, base)
     tables = T.run_daily(spark, base, lambda df, name: write_parquet(df, f"{out}/{name}"),
-                         salt="auto")
+                         salt="auto", concurrent_writes=4)
     assert set(tables) == set(T.TABLES)
     info = spark.read.parquet(f"{out}/nba_player_information")
     assert info.count() == 3 and "PLAYER_NAME" in info.columns
