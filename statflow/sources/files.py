@@ -45,10 +45,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    # Hashing the row position spreads rows as evenly as round-robin without
-    # its local sort. Directly above a file scan positions are stable, so a
-    # re-run map task places every row in the same partition again.
-    return df.repartition(cores, F.monotonically_increasing_id())
+    # Round-robin keeps both column pruning and predicate pushdown into the
+    # scan, and Spark sorts each input before dealing rows out, so a re-run
+    # map task reproduces the same placement. (Hashing a row-position id is
+    # nondeterministic for the optimizer and stops pushdown; hashing the row
+    # values widens the scan to every column.)
+    return df.repartition(cores)
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
