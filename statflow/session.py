@@ -30,10 +30,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``; a
-    scratch folder is set only when the session has none (local tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    A scratch folder is set only for a local-mode session without one
+    (tests); a cluster session without a shared folder is an error, since
+    a machine-local folder would not survive the loss of that machine.
+    """
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         d = tempfile.mkdtemp(prefix="statflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d
