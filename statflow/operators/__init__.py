@@ -27,6 +27,7 @@ from statflow.operators.unpack import (
     drop_short_rows,
     extract_page_row,
     flag_malformed,
+    html_lines,
     html_text,
     name_positional,
     page_row_is_bad,
@@ -48,6 +49,7 @@ __all__ = [
     "flag_malformed",
     "floats",
     "heavy_keys",
+    "html_lines",
     "html_text",
     "inner_join",
     "ints",

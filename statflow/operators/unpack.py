@@ -12,7 +12,7 @@ a quarantine DataFrame with :func:`split_malformed`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,8 +82,24 @@ def html_text(c: Column) -> Column:
     return t
 
 
-def _blocks(html: Column, pattern: str, value_line: int | None) -> Column:
-    texts = F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), html_text)
+# Tags whose boundaries start a new line of rendered text.
+_LINE_BREAK_TAGS = r"(?i)<br\s*/?>|</?(p|div|li|h[1-6]|tr|ul|ol|table|section|article)(\s[^>]*)?>"
+
+
+def html_lines(c: Column) -> Column:
+    """Text of an HTML fragment as a browser lays it out in lines: source
+    whitespace (newlines included) collapses to one space, ``<br>`` and
+    block-element boundaries start a new line, empty lines vanish
+    (``<p>PPG</p><p>25.1</p>`` -> ``'PPG\n25.1'``)."""
+    t = F.regexp_replace(c, "\\s+", " ")  # source whitespace renders as one space
+    t = html_text(F.regexp_replace(t, _LINE_BREAK_TAGS, "\n"))
+    t = F.regexp_replace(t, " ?\n[ \n]*", "\n")
+    return F.regexp_replace(t, "^[ \n]+|[ \n]+$", "")
+
+
+def _blocks(html: Column, pattern: str, value_line: int | None,
+            text: Callable[[Column], Column] = html_text) -> Column:
+    texts = F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), text)
     if value_line is None:
         return texts
     return F.transform(
@@ -100,6 +116,7 @@ def extract_page_row(
     position_pattern: str,
     value_line: int | None = 1,
     min_stats: int = 4,
+    text: Callable[[Column], Column] = html_text,
 ) -> DataFrame:
     """One positional row per page: ``[key] + stats + info + [position]``.
 
@@ -108,11 +125,13 @@ def extract_page_row(
     text is ``''`` when absent. ``value_line`` picks the line under each
     block's label (``None`` keeps the whole block text); a block without
     that line yields NULL, which :func:`split_malformed` can quarantine.
+    ``text`` renders a block (:func:`html_text`, or :func:`html_lines` for
+    pages whose label and value sit in separate elements).
     """
     h = F.col(html)
-    stats = pad_array(every_other(_blocks(h, stat_pattern, value_line), 1), min_stats)
-    info = every_other(_blocks(h, info_pattern, value_line), 0)
-    position = html_text(F.regexp_extract(h, position_pattern, 1))
+    stats = pad_array(every_other(_blocks(h, stat_pattern, value_line, text), 1), min_stats)
+    info = every_other(_blocks(h, info_pattern, value_line, text), 0)
+    position = text(F.regexp_extract(h, position_pattern, 1))
     values = F.concat(F.array(F.col(key).cast("string")), stats, info, F.array(position))
     return df.select(F.col(key), values.alias("values"))
 

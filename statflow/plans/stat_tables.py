@@ -22,6 +22,7 @@ from statflow.operators.profile import (
 from statflow.operators.relate import inner_join, semi_reduce
 from statflow.operators.unpack import (
     extract_page_row,
+    html_lines,
     name_positional,
     page_row_is_bad,
     split_malformed,
@@ -205,11 +206,14 @@ def land_pages(
 ) -> tuple[DataFrame, DataFrame]:
     """G8: stored profile pages -> (rows named by ``header``, quarantine).
 
-    Blocks are ``label<br>value`` texts rendered as two lines; a page whose
-    blocks lack the value line or which has more values than the header goes
-    to quarantine instead of being silently skipped."""
+    A block's text is taken as rendered lines (label on the first line, the
+    value on the second, whether split by ``<br>`` or by nested elements);
+    a page whose blocks lack the value line or which has more values than
+    the header goes to quarantine instead of being silently skipped. The
+    block patterns match the page template; a block with a nested element
+    of its own closing tag needs a pattern that spans it."""
     check_columns(pages, [key, html])
-    normalised = pages.withColumn(html, F.regexp_replace(F.col(html), "(?i)<br\\s*/?>", "\n"))
-    rows = extract_page_row(normalised, html, key, stat_pattern, info_pattern, position_pattern)
+    rows = extract_page_row(pages, html, key, stat_pattern, info_pattern, position_pattern,
+                            text=html_lines)
     good, bad = split_malformed(rows, page_row_is_bad("values", len(header)))
     return name_positional(good, "values", header), bad

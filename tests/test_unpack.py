@@ -111,3 +111,23 @@ def test_read_stored_pages(spark, tmp_dir):
         "PLAYER_ID", F.regexp_extract("source", r"(\d+)\.html$", 1))
     good, bad = T.land_pages(pages)
     assert good.first().PLAYER_ID == "2544" and bad.count() == 0
+
+
+NESTED_PAGE = """<div class="stat"><p>PPG</p> <p> 25.1 </p></div>
+<div class="stat"><span>RPG</span><br/><b>7.3</b></div>
+<div class="info"><h4>HEIGHT</h4>\n<p>6'9&quot; (2.06m)</p></div>
+<p class="position">Lakers | #23 |
+ Forward</p>"""
+
+
+def test_page_blocks_rendered_as_lines(spark):
+    from statflow.operators import html_lines
+
+    pages = spark.createDataFrame([("1", NESTED_PAGE)], "PLAYER_ID string, html string")
+    good, bad = T.land_pages(pages)
+    row = good.first()
+    assert bad.count() == 0
+    assert (row.PPG, row.RPG, row.HEIGHT) == ("7.3", "--", "6'9\" (2.06m)")
+    assert row.WEIGHT == "Lakers | #23 | Forward"  # position follows the values
+    texts = spark.createDataFrame([("<p>a</p><p>b  c</p>",), ("x<br>y",), ("",)], "h string")
+    assert [r[0] for r in texts.select(html_lines(F.col("h"))).collect()] == ["a\nb c", "x\ny", ""]
