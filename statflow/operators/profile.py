@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from statflow.functions import (
     int_trunc,
-    null_to_zero,
     parse_iso_date,
     parse_long_date,
     to_float,
@@ -59,10 +58,8 @@ class Rule:
             c = step(c)
         c = _CONVERTERS[self.kind](c)
         if self.fill is not None:
-            if self.fill == 0:
-                c = null_to_zero(c, _FILL_TYPE[self.kind])
-            else:
-                c = F.coalesce(c, F.lit(self.fill).cast(_FILL_TYPE[self.kind]))
+            # typed coalesce: keeps FLOAT (no widening) and keeps NaN
+            c = F.coalesce(c, F.lit(self.fill).cast(_FILL_TYPE[self.kind]))
         return c
 
 
