@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from statflow.operators.htmlblocks import extract_page_row_parsed, parsed_blocks
 from statflow.operators.profile import (
     Profile,
     Rule,
@@ -46,6 +47,7 @@ __all__ = [
     "distinct_keys",
     "drop_short_rows",
     "extract_page_row",
+    "extract_page_row_parsed",
     "flag_malformed",
     "floats",
     "heavy_keys",
@@ -59,6 +61,7 @@ __all__ = [
     "map_lookup",
     "name_positional",
     "page_row_is_bad",
+    "parsed_blocks",
     "payload_headers",
     "profile_contract",
     "row_count",

@@ -160,7 +160,7 @@ def split_malformed(df: DataFrame, bad: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def page_row_is_bad(values: str, width: int) -> Column:
-    """A page row is malformed when it is longer than the header or a block
-    lacked its value line."""
+    """A page row is malformed when the page was missing, the row is longer
+    than the header, or a block lacked its value line."""
     arr = F.col(values)
-    return (F.size(arr) > width) | F.exists(arr, lambda x: x.isNull())
+    return arr.isNull() | (F.size(arr) > width) | F.exists(arr, lambda x: x.isNull())

@@ -76,7 +76,8 @@ BROKEN_PAGE = '<div class="stat">PPG<br>1</div><div class="stat">RPG</div>'
 
 def test_page_rows(spark):
     pages = spark.createDataFrame(
-        [("2544", PAGE), ("1", SHORT_PAGE), ("2", BROKEN_PAGE)], "PLAYER_ID string, html string")
+        [("2544", PAGE), ("1", SHORT_PAGE), ("2", BROKEN_PAGE), ("3", None)],
+        "PLAYER_ID string, html string")
     good, bad = T.land_pages(pages)
     rows = {r.PLAYER_ID: r for r in good.collect()}
     lebron = rows["2544"]
@@ -87,7 +88,7 @@ def test_page_rows(spark):
     # the short page: one stat, padded, no info, empty position.
     short = rows["1"]
     assert (short.PPG, short.RPG, short.APG, short.PIE, short.HEIGHT) == ("1.0", "--", "--", "--", "")
-    assert [r.PLAYER_ID for r in bad.collect()] == ["2"]
+    assert sorted(r.PLAYER_ID for r in bad.collect()) == ["2", "3"]  # broken and missing
 
 
 def test_page_row_positions_and_short_filter(spark):
@@ -131,3 +132,34 @@ def test_page_blocks_rendered_as_lines(spark):
     assert row.WEIGHT == "Lakers | #23 | Forward"  # position follows the values
     texts = spark.createDataFrame([("<p>a</p><p>b  c</p>",), ("x<br>y",), ("",)], "h string")
     assert [r[0] for r in texts.select(html_lines(F.col("h"))).collect()] == ["a\nb c", "x\ny", ""]
+
+
+DEEP_PAGE = """<div class="stat"><div class="label">PPG</div><div>25.1</div></div>
+<div class="stat"><div>RPG</div><div>7.3</div></div>
+<div class="stat"><div>APG</div><div>8.1</div></div>
+<div class="info"><div>HEIGHT</div><div>6'9&quot; (2.06m)</div></div>
+<section><p class="position">Lakers | #23 | Forward</p></section>"""
+
+
+def test_parsed_blocks_handle_nested_elements(spark):
+    from statflow.operators.htmlblocks import blocks_by_class, extract_page_row_parsed
+
+    found = blocks_by_class(DEEP_PAGE, {"s": "stat", "i": "info", "p": "position"})
+    assert found["s"] == ["PPG\n25.1", "RPG\n7.3", "APG\n8.1"]
+    assert found["i"] == ["HEIGHT\n6'9\" (2.06m)"] and found["p"] == ["Lakers | #23 | Forward"]
+    pages = spark.createDataFrame([("9", DEEP_PAGE), ("10", None)], "id string, html string")
+    rows = {r.id: r["values"] for r in extract_page_row_parsed(
+        pages, "html", "id", "stat", "info", "position").collect()}
+    assert rows["9"] == ["9", "7.3", "--", "--", "--", "6'9\" (2.06m)", "Lakers | #23 | Forward"]
+    assert rows["10"] is None  # no page stored: like the regex route, no row values
+
+
+def test_parsed_and_regex_routes_agree_on_flat_pages(spark):
+    from statflow.operators.htmlblocks import extract_page_row_parsed
+
+    pages = spark.createDataFrame([("2544", PAGE), ("1", SHORT_PAGE)], "id string, html string")
+    parsed = {r.id: r["values"] for r in extract_page_row_parsed(
+        pages, "html", "id", "stat", "info", "position").collect()}
+    good, _ = T.land_pages(pages.withColumnRenamed("id", "PLAYER_ID"))
+    regex = {r.PLAYER_ID: [v for v in r if v is not None] for r in good.collect()}
+    assert parsed == regex
