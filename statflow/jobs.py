@@ -114,6 +114,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     pg.add_argument("--quarantine", required=True)
     pg.add_argument("--key-pattern", default=r"(\d+)[^/]*$",
                     help="regex with one group taking the player id from the file path")
+    pg.add_argument("--parser", action="store_true",
+                    help="find blocks with an HTML parser (nested templates) instead of regex")
 
     st = sub.add_parser("land-stream", help="new CSV drops of one table -> typed Parquet")
     st.add_argument("--table", required=True, choices=sorted(STREAM_PROFILES))
@@ -137,7 +139,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         pages = read_pages(spark, args.input).withColumn(
             "PLAYER_ID", F.regexp_extract("source", args.key_pattern, 1)
         )
-        good, bad = T.land_pages(pages)
+        good, bad = T.land_pages_parsed(pages) if args.parser else T.land_pages(pages)
         write_csv(good, args.out)
         write_parquet(bad, args.quarantine)
     elif args.cmd == "land-stream":

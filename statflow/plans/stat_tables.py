@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statflow.operators.htmlblocks import extract_page_row_parsed
 from statflow.operators.profile import (
     apply_profile,
     check_columns,
@@ -215,5 +216,29 @@ def land_pages(
     check_columns(pages, [key, html])
     rows = extract_page_row(pages, html, key, stat_pattern, info_pattern, position_pattern,
                             text=html_lines)
+    return _name_or_quarantine(rows, header)
+
+
+# The CSS classes of the profile page's blocks.
+PAGE_STAT_CLASS, PAGE_INFO_CLASS, PAGE_POSITION_CLASS = "stat", "info", "position"
+
+
+def land_pages_parsed(
+    pages: DataFrame,
+    key: str = "PLAYER_ID",
+    html: str = "html",
+    stat_class: str = PAGE_STAT_CLASS,
+    info_class: str = PAGE_INFO_CLASS,
+    position_class: str = PAGE_POSITION_CLASS,
+    header: Sequence[str] = PLAYER_INFORMATION_HEADER,
+) -> tuple[DataFrame, DataFrame]:
+    """G8 through the HTML-parser route (blocks by CSS class, nesting-safe);
+    same rows and quarantine rules as :func:`land_pages`."""
+    check_columns(pages, [key, html])
+    rows = extract_page_row_parsed(pages, html, key, stat_class, info_class, position_class)
+    return _name_or_quarantine(rows, header)
+
+
+def _name_or_quarantine(rows: DataFrame, header: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     good, bad = split_malformed(rows, page_row_is_bad("values", len(header)))
     return name_positional(good, "values", header), bad

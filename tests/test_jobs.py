@@ -62,6 +62,11 @@ def test_land_payloads_and_pages_jobs(spark, tmp_dir):
     got = spark.read.option("header", True).csv(rows).collect()
     assert [r.PLAYER_ID for r in got] == ["2544"]
     assert json.loads(json.dumps(got[0].asDict()))["POSITION"].endswith("Forward")
+    rows2, bad2 = os.path.join(tmp_dir, "rows2"), os.path.join(tmp_dir, "bad2")
+    run(spark, ["land-pages", "--input", pgdir, "--out", rows2, "--quarantine", bad2,
+                "--parser"])
+    got2 = spark.read.option("header", True).csv(rows2).collect()
+    assert [r.asDict() for r in got2] == [r.asDict() for r in got]
 
 
 def test_land_stream_job(spark, tmp_dir):
