@@ -4,8 +4,10 @@ Spark queries over the typed tables.
 
 Totals are a partial+final hash aggregate. The leader board and game log
 are top-k reports: ``orderBy().limit(k)`` plans as TakeOrderedAndProject,
-so each task keeps only its own k best rows before one small merge; the
-rank window then runs over those k rows only.
+so each task keeps only its own k best rows before one merge of k rows per
+partition; the rank window then runs over those k rows only. The game log
+(k = 1000, over a raw landing of any size) bounds that merge with a cutoff
+day first; the leader board ranks aggregated totals (k = 10).
 """
 
 from __future__ import annotations
@@ -42,13 +44,41 @@ def newest_games(games: DataFrame, n: int = GAME_LOG_ROWS, date: str = "GAME_DAT
     return games.orderBy(F.col(date).desc_nulls_last(), F.col(key).desc()).limit(n)
 
 
+# Most rows the final merge of a top-k may receive (k per input partition).
+MAX_TOPK_MERGE_ROWS = 1_000_000
+
+
+def newest_day_cutoff(dated: DataFrame, date: str, n: int):
+    """The newest day D such that at least ``n`` rows are dated D or later
+    (None when fewer than ``n`` rows carry a date). Computed from a per-day
+    row histogram: partial aggregation, one row per calendar day reaches the
+    driver, so it is bounded by the calendar, not by the data."""
+    days = dated.where(F.col(date).isNotNull()).groupBy(date).agg(F.count(F.lit(1)).alias("n"))
+    seen = 0
+    for row in days.orderBy(F.col(date).desc()).toLocalIterator():
+        seen += row["n"]
+        if seen >= n:
+            return row[date]
+    return None
+
+
 def newest_raw_games(raw: DataFrame, profile: Profile, n: int = GAME_LOG_ROWS,
-                     date: str = "GAME_DATE", key: str = "GAME_ID") -> DataFrame:
+                     date: str = "GAME_DATE", key: str = "GAME_ID",
+                     max_merge_rows: int = MAX_TOPK_MERGE_ROWS) -> DataFrame:
     """Newest-n game log straight from a raw landing: rows are ranked by the
     parsed date alone, n are kept, and only those n are typed. Typing is
     row-local, so this equals typing first and cutting after, without
-    typing the rows that are cut."""
+    typing the rows that are cut.
+
+    A top-k merges k rows from every input partition in one task. When that
+    would exceed ``max_merge_rows``, only rows dated on or after the cutoff
+    day (:func:`newest_day_cutoff`) enter the top-k; the result is the same.
+    """
     parsed = raw.withColumn("__date", parse_iso_date(date))
+    if parsed.rdd.getNumPartitions() * n > max_merge_rows:
+        cutoff = newest_day_cutoff(parsed, "__date", n)
+        if cutoff is not None:
+            parsed = parsed.where(F.col("__date") >= F.lit(cutoff))
     top = parsed.orderBy(F.col("__date").desc_nulls_last(), F.col(key).desc()).limit(n)
     return apply_profile(top.drop("__date"), profile)
 

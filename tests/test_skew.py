@@ -70,3 +70,19 @@ def test_auto_salt_through_flows(spark, skewed, no_broadcast):
     assert sorted(inner_join(facts, dim, "k", salt="auto").collect()) == sorted(
         inner_join(facts, dim, "k").collect())
     assert semi_reduce(facts, dim, "k", salt="auto").count() == facts.count()
+
+
+def test_newest_games_cutoff_path_equals_direct(spark):
+    from statflow.plans import driver_flows as D
+    from statflow.plans.profiles import TEAM_BOX_PROFILE
+    from statflow.plans.reports import newest_day_cutoff, newest_raw_games
+
+    raw = D.team_box_raw(spark, "/root/testdata/sf0.001")
+    direct = newest_raw_games(raw, TEAM_BOX_PROFILE, n=50)
+    bounded = newest_raw_games(raw, TEAM_BOX_PROFILE, n=50, max_merge_rows=1)
+    assert sorted(direct.collect()) == sorted(bounded.collect())
+    assert len(direct.collect()) == 50
+    dated = spark.createDataFrame([("2024-01-0%d" % (i % 3 + 1),) for i in range(9)], "d string")
+    dated = dated.selectExpr("CAST(d AS DATE) AS d")
+    assert str(newest_day_cutoff(dated, "d", 4)) == "2024-01-02"
+    assert newest_day_cutoff(dated, "d", 100) is None
