@@ -181,16 +181,16 @@ def lookup_or_self(
     The dimension is reduced to one value per key (the largest, so the
     result is deterministic) and broadcast only if it has at most
     ``max_broadcast_rows`` keys holding at most ``max_broadcast_bytes`` of
-    key and value text. Both are measured by one job over at most
-    ``max_broadcast_rows + 1`` rows. Beyond either bound it is a regular
-    shuffle join.
+    key and value text, both measured by one distributed aggregate (partial
+    per task, one result row). Beyond either bound it is a regular shuffle
+    join.
     """
     out = out or key
     d = dim.groupBy(F.col(dim_key).alias("__k")).agg(F.max(dim_value).alias("__v"))
     width = F.coalesce(F.octet_length(F.col("__k").cast("string")), F.lit(0)) + F.coalesce(
         F.octet_length(F.col("__v").cast("string")), F.lit(0)
     )
-    probe = d.limit(max_broadcast_rows + 1).agg(
+    probe = d.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
     small = probe["rows"] <= max_broadcast_rows and probe["bytes"] <= max_broadcast_bytes
