@@ -76,5 +76,5 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False)
     """A driver table ``{sf_dir}/{name}.parquet``. ``spread_rows`` is for
     queries with heavy per-row work (regex typing, JSON, text) on a large
     table (see :func:`spread`)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
     return spread(df) if spread_rows else df
