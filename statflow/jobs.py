@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from statflow.operators.wordcount import word_count
 from statflow.plans import stat_tables as T
+from statflow.session import apply_recommended
 from statflow.plans.profiles import (
     PLAYER_BOX_PROFILE,
     PLAYER_LEADER_PROFILE,
@@ -153,6 +154,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     import sys
 
     spark = SparkSession.builder.appName("statflow").getOrCreate()
+    apply_recommended(spark)
     run(spark, sys.argv[1:] if argv is None else argv)
 
 
