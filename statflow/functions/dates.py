@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from statflow.functions._col import as_col
 
-# Fixed patterns for the two date layouts of the source tables. The legacy
+# The two date layouts of the source tables. The legacy
 # parser reads every numeric field as a run of digits of any length (a
 # 4-letter year still takes '99' as year 99), so whole digit runs are cut
 # out and parsed with single-letter (any-width) fields; a year of zero is
