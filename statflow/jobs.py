@@ -108,6 +108,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     lp.add_argument("--out", required=True)
     lp.add_argument("--columns", default=None, help="comma-separated header names")
     lp.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    lp.add_argument("--quarantine", default=None,
+                    help="Parquet folder for rows longer than their headers")
 
     pg = sub.add_parser("land-pages", help="stored pages -> profile rows")
     pg.add_argument("--input", required=True)
@@ -135,7 +137,12 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         _write(word_count(lines, "text"), args.out, args.format)
     elif args.cmd == "land-payloads":
         cols = args.columns.split(",") if args.columns else None
-        _write(T.land_payloads(spark, args.input, cols), args.out, args.format)
+        if args.quarantine:
+            good, bad = T.land_payloads_checked(spark, args.input, cols)
+            _write(good.drop("source"), args.out, args.format)
+            write_parquet(bad, args.quarantine)
+        else:
+            _write(T.land_payloads(spark, args.input, cols), args.out, args.format)
     elif args.cmd == "land-pages":
         pages = read_pages(spark, args.input).withColumn(
             "PLAYER_ID", F.regexp_extract("source", args.key_pattern, 1)

@@ -35,6 +35,7 @@ from statflow.operators.unpack import (
     payload_headers,
     split_malformed,
     unpack_rowset,
+    unpack_rowset_checked,
 )
 from statflow.operators.wordcount import word_count
 
@@ -70,5 +71,6 @@ __all__ = [
     "split_malformed",
     "stringify",
     "unpack_rowset",
+    "unpack_rowset_checked",
     "word_count",
 ]

@@ -59,6 +59,24 @@ def unpack_rowset(
     text. Unparseable payloads give no rows. ``keep`` carries columns of
     the payload row along (e.g. its path).
     """
+    good, _ = _unpack(df, payload, columns, keep, checked=False)
+    return good
+
+
+def unpack_rowset_checked(
+    df: DataFrame,
+    payload: str = "payload",
+    columns: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`unpack_rowset` plus a quarantine of rows holding more values
+    than their payload has headers (a landing that built its frame from
+    such a row would fail; here the rest of the payload still lands). The
+    quarantine keeps the raw values as ``values`` with their ``headers``."""
+    return _unpack(df, payload, columns, keep, checked=True)
+
+
+def _unpack(df, payload, columns, keep, checked):
     if columns is None:
         columns = payload_headers(df, payload)
     rs = df.select(*keep, _result_set(payload).alias("rs"))
@@ -67,7 +85,12 @@ def unpack_rowset(
     for name in columns:
         pos = F.array_position(F.col("h"), F.lit(name)).cast("int")
         out.append(F.when(pos > 0, F.try_element_at(F.col("r"), pos)).alias(name))
-    return rows.select(*keep, *out)
+    if not checked:
+        return rows.select(*keep, *out), None
+    too_long = F.size("r") > F.size("h")
+    good = rows.where(~too_long).select(*keep, *out)
+    bad = rows.where(too_long).select(*keep, F.col("h").alias("headers"), F.col("r").alias("values"))
+    return good, bad
 
 
 # HTML entities decoded when taking an element's text.

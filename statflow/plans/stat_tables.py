@@ -28,6 +28,7 @@ from statflow.operators.unpack import (
     page_row_is_bad,
     split_malformed,
     unpack_rowset,
+    unpack_rowset_checked,
 )
 from statflow.plans.profiles import (
     LEADER_NAME_COLUMN,
@@ -189,6 +190,14 @@ def land_payloads(
     return unpack_rowset(read_payloads(spark, path), "payload", columns)
 
 
+def land_payloads_checked(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """G7 with a quarantine for rows longer than their headers; the
+    quarantine keeps the source file of each row."""
+    return unpack_rowset_checked(read_payloads(spark, path), "payload", columns, keep=["source"])
+
+
 # Where the profile page keeps its blocks (stats, info,
 # position) when stored as HTML.
 PAGE_STAT_BLOCKS = r'(?s)<div class="stat">(.*?)</div>'

@@ -53,8 +53,13 @@ def test_land_payloads_and_pages_jobs(spark, tmp_dir):
             f.write(text)
     with open(os.path.join(pgdir, "2544.html"), "w") as f:
         f.write(PAGE)
-    out = os.path.join(tmp_dir, "landed")
-    run(spark, ["land-payloads", "--input", pdir, "--out", out, "--columns", "ID,NM"])
+    with open(os.path.join(pdir, "overlong.json"), "w") as f:
+        f.write(json.dumps({"resultSet": {"headers": ["ID"], "rowSet": [[9, "extra"]]}}))
+    out, quarantine = os.path.join(tmp_dir, "landed"), os.path.join(tmp_dir, "q")
+    run(spark, ["land-payloads", "--input", pdir, "--out", out, "--columns", "ID,NM",
+                "--quarantine", quarantine])
+    (bad,) = spark.read.parquet(quarantine).collect()
+    assert bad.source.endswith("overlong.json") and bad["values"] == ["9", "extra"]
     landed = spark.read.option("header", True).csv(out)
     assert sorted(r.ID for r in landed.collect()) == ["1", "2", "3", "4.5"]
     rows, bad = os.path.join(tmp_dir, "rows"), os.path.join(tmp_dir, "bad")

@@ -163,3 +163,14 @@ def test_parsed_and_regex_routes_agree_on_flat_pages(spark):
     good, _ = T.land_pages(pages.withColumnRenamed("id", "PLAYER_ID"))
     regex = {r.PLAYER_ID: [v for v in r if v is not None] for r in good.collect()}
     assert parsed == regex
+
+
+def test_unpack_checked_quarantines_overlong_rows(spark):
+    from statflow.operators import unpack_rowset_checked
+
+    text = json.dumps({"resultSet": {"headers": ["ID", "NM"],
+                                     "rowSet": [[1, "x"], [2], [3, "y", "extra"]]}})
+    good, bad = unpack_rowset_checked(_payloads(spark, [text]), columns=["ID", "NM"])
+    assert sorted(good.collect()) == [("1", "x"), ("2", None)]  # short rows pad with NULL
+    (row,) = bad.collect()
+    assert row.headers == ["ID", "NM"] and row["values"] == ["3", "y", "extra"]
