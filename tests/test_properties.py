@@ -80,3 +80,25 @@ def test_tokens_match_jvm_split(spark, values):
     got = [r[0] for r in one_col(spark, values).select(tokens("v")).collect()]
     bad = [(v, e, g) for v, e, g in zip(values, expected, got) if e != g]
     assert not bad, bad[:5]
+
+
+keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "hot"]))
+left_rows = st.lists(st.tuples(keys, st.integers(0, 5)), min_size=0, max_size=40)
+right_rows = st.lists(st.tuples(keys, st.integers(0, 5)), min_size=0, max_size=8)
+
+
+@SETTINGS
+@given(left_rows, right_rows)
+def test_joins_match_brute_force(spark, left, right):
+    from statflow.operators import inner_join, semi_reduce, skew_join
+
+    left = left + [("hot", i) for i in range(12)]  # one key holds most rows
+    lf = spark.createDataFrame(left, "k string, v int")
+    rf = spark.createDataFrame(right, "k string, w int")
+    inner = sorted((k, v, w) for k, v in left for k2, w in right if k is not None and k == k2)
+    semi = sorted((k, v) for k, v in left if k is not None and any(k == k2 for k2, _ in right))
+    assert sorted(map(tuple, inner_join(lf, rf, "k").collect())) == inner
+    assert sorted(map(tuple, inner_join(lf, rf, "k", salt=3).collect())) == inner
+    assert sorted(map(tuple, skew_join(lf, rf, "k", buckets=4).collect())) == inner
+    assert sorted(map(tuple, semi_reduce(lf, rf, "k").collect())) == semi
+    assert sorted(map(tuple, semi_reduce(lf, rf, "k", salt="auto").collect())) == semi
