@@ -1,6 +1,7 @@
 """Command-line jobs (``spark-submit statflow/jobs.py ...`` or
-``python -m statflow ...``). The session comes from ``spark-submit``; only
-an application name is set here.
+``python -m statflow ...``). The session comes from ``spark-submit``; the
+jobs add only an application name and the settings of
+``session.RECOMMENDED_CONF`` that the submitter left unset.
 
   daily          five CSV landings -> five typed tables (JDBC or Parquet)
   wordcount      text files -> (word, n)
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 
 from statflow.operators.wordcount import word_count
 from statflow.plans import stat_tables as T
-from statflow.session import apply_recommended
 from statflow.plans.profiles import (
     PLAYER_BOX_PROFILE,
     PLAYER_LEADER_PROFILE,
@@ -30,6 +30,7 @@ from statflow.plans.profiles import (
 from statflow.sources.csv import read_string_csv, write_csv
 from statflow.sources.files import read_pages, write_parquet
 from statflow.sources.jdbc import write_table
+from statflow.session import apply_recommended
 from statflow.streaming.landing import land_stream
 
 # Tables that can be landed incrementally (the G1 join and G2 semi-join need
