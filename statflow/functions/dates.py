@@ -37,7 +37,10 @@ def parse_long_date(c: Column | str) -> Column:
     any case, day and year digit runs of any width, trailing text accepted;
     a leading blank, day 32 or ``'--'`` -> NULL."""
     head = F.regexp_replace(F.regexp_extract(as_col(c), _LONG_HEAD, 0), " +", " ")
-    return F.coalesce(
-        F.try_to_date(head, "MMMM d, y"),
-        F.try_to_date(head, "MMM d, y"),
+    # English short month names have three letters; full names have three
+    # or more ("May" is both). Choosing the pattern by the word's length
+    # parses each value once instead of failing a first attempt.
+    short = F.length(F.substring_index(head, " ", 1)) <= 3
+    return F.when(short, F.try_to_date(head, "MMM d, y")).otherwise(
+        F.try_to_date(head, "MMMM d, y")
     )
