@@ -29,7 +29,8 @@ def parse_iso_date(c: Column | str) -> Column:
     blanks and trailing text (``'2023-10-24T00:00:00'``) accepted; invalid
     calendar dates and other layouts -> NULL."""
     head = F.regexp_extract(as_col(c), _ISO_HEAD, 1)
-    return F.try_to_date(head, "y-M-d")
+    # no date-shaped text ('--', '') -> NULL without a failing parse
+    return F.when(head != "", F.try_to_date(head, "y-M-d"))
 
 
 def parse_long_date(c: Column | str) -> Column:
@@ -40,7 +41,7 @@ def parse_long_date(c: Column | str) -> Column:
     # English short month names have three letters; full names have three
     # or more ("May" is both). Choosing the pattern by the word's length
     # parses each value once instead of failing a first attempt.
-    short = F.length(F.substring_index(head, " ", 1)) <= 3
-    return F.when(short, F.try_to_date(head, "MMM d, y")).otherwise(
-        F.try_to_date(head, "MMMM d, y")
-    )
+    word = F.length(F.substring_index(head, " ", 1))
+    return F.when(head == "", F.lit(None).cast("date")).when(
+        word <= 3, F.try_to_date(head, "MMM d, y")
+    ).otherwise(F.try_to_date(head, "MMMM d, y"))
