@@ -144,3 +144,13 @@ def test_contracts_hold_for_all_tables(raw):
         check_contract(df, T.CONTRACTS[key], T.DROPPED[key])
     with pytest.raises(ValueError, match="contract"):
         check_contract(tables["player_leader"], {"GP": "int"})
+
+
+def test_stringify_and_unknown_kind(spark):
+    from statflow.operators import stringify
+
+    df = spark.createDataFrame([(1, 12345678.5, 0.1)], "id bigint, money double, x double")
+    out = stringify(df, money=["money"]).first()
+    assert out.asDict() == {"id": "1", "money": "12345678.50", "x": "0.1"}
+    with pytest.raises(ValueError, match="unknown column kind"):
+        Rule("decimal")

@@ -174,3 +174,9 @@ def test_unpack_checked_quarantines_overlong_rows(spark):
     assert sorted(good.collect()) == [("1", "x"), ("2", None)]  # short rows pad with NULL
     (row,) = bad.collect()
     assert row.headers == ["ID", "NM"] and row["values"] == ["3", "y", "extra"]
+
+
+def test_payload_headers_keep_header_order_across_payloads(spark):
+    a = json.dumps({"resultSet": {"headers": ["B", "A"], "rowSet": []}})
+    b = json.dumps({"resultSets": [{"headers": ["C", "B", "D"], "rowSet": [[1, 2, 3]]}]})
+    assert payload_headers(_payloads(spark, [a, b, "junk"])) == ["B", "C", "A", "D"]
