@@ -287,14 +287,19 @@ SELECT s_suppkey, s_name AS supplier_name, s_nationkey FROM supplier"""
 
 # --- J1 J2 J3 U1 A1 A2 ------------------------------------------------------
 
-def inner_join_using(spark: SparkSession, sf: str) -> DataFrame:
+def inner_join_using(spark: SparkSession, sf: str, salt: int = 1) -> DataFrame:
     o = load(spark, sf, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("custkey"), "o_totalprice"
     )
     c = load(spark, sf, "customer").select(
         F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment"
     )
-    return inner_join(o, c, "custkey")
+    return inner_join(o, c, "custkey", salt=salt)
+
+
+def inner_join_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 with every key split over 4 salted buckets: same rows."""
+    return inner_join_using(spark, sf, salt=4)
 
 
 ORACLE_INNER_JOIN_USING = """
@@ -302,10 +307,15 @@ SELECT o_custkey AS custkey, o_orderkey, o_totalprice, c_name, c_mktsegment
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
-def semi_reduce_q(spark: SparkSession, sf: str) -> DataFrame:
+def semi_reduce_q(spark: SparkSession, sf: str, salt: int = 1) -> DataFrame:
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     urgent = load(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    return semi_reduce(li, urgent, "l_orderkey", "o_orderkey")
+    return semi_reduce(li, urgent, "l_orderkey", "o_orderkey", salt=salt)
+
+
+def semi_reduce_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 with every key split over 4 salted buckets: same rows."""
+    return semi_reduce_q(spark, sf, salt=4)
 
 
 ORACLE_SEMI_REDUCE = """
@@ -540,7 +550,9 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "parse_iso_date": (parse_iso_date_q, ORACLE_PARSE_ISO_DATE),
     "select_rename_drop": (select_rename_drop, ORACLE_SELECT_RENAME_DROP),
     "inner_join_using": (inner_join_using, ORACLE_INNER_JOIN_USING),
+    "inner_join_salted": (inner_join_salted, ORACLE_INNER_JOIN_USING),
     "semi_reduce": (semi_reduce_q, ORACLE_SEMI_REDUCE),
+    "semi_reduce_salted": (semi_reduce_salted, ORACLE_SEMI_REDUCE),
     "isin_filter": (isin_filter_q, ORACLE_ISIN_FILTER),
     "lookup_or_self": (lookup_or_self_q, ORACLE_LOOKUP),
     "lookup_udf": (lookup_udf_q, ORACLE_LOOKUP),
