@@ -11,6 +11,7 @@ that build the row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
 
@@ -29,11 +30,19 @@ _BLOCK = frozenset({"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr",
                     "table", "section", "article", "br"})
 
 
+# Marks a rendered line break between blocks (source newlines are whitespace).
+_BREAK = "\x00"
+
+# HTML's whitespace characters (space, tab, LF, FF, CR); a no-break space
+# is text, not whitespace.
+_HTML_SPACE = re.compile("[ \t\n\f\r]+")
+
+
 def _render(parts: list[str]) -> str:
     """Browser-like text: whitespace runs -> one space, block marks -> lines."""
     lines = []
-    for chunk in "".join(parts).split("\n"):
-        line = " ".join(chunk.split())
+    for chunk in "".join(parts).split(_BREAK):
+        line = _HTML_SPACE.sub(" ", chunk).strip(" ")
         if line:
             lines.append(line)
     return "\n".join(lines)
@@ -48,24 +57,24 @@ class _ClassBlocks(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag in _BLOCK:
-            self._emit("\n")
+            self._emit(_BREAK)
         if tag in _VOID:
             return
         # an open block counts nested elements of its own tag name, so only
         # its matching end tag closes it
         self.open = [(n, t, d + (t == tag), p) for n, t, d, p in self.open]
         css = (dict(attrs).get("class") or "").split()
-        for name, wanted in self.classes.items():
-            if wanted in css:
+        for name, selector in self.classes.items():
+            if selector.startswith(".") and selector[1:] in css or selector == tag:
                 self.open.append((name, tag, 1, []))
 
     def handle_startendtag(self, tag, attrs):
         if tag in _BLOCK:
-            self._emit("\n")
+            self._emit(_BREAK)
 
     def handle_endtag(self, tag):
         if tag in _BLOCK:
-            self._emit("\n")
+            self._emit(_BREAK)
         still = []
         for name, t, depth, parts in self.open:
             if t == tag:
@@ -91,7 +100,8 @@ class _ClassBlocks(HTMLParser):
 
 
 def blocks_by_class(html: str | None, classes: Mapping[str, str]) -> dict[str, list[str]] | None:
-    """Rendered text of every element carrying each class, in page order."""
+    """Rendered text of every element matching each selector, in page order.
+    A selector is ``.name`` (a CSS class) or a tag name (``li``)."""
     if html is None:
         return None
     parser = _ClassBlocks(classes)
@@ -101,7 +111,8 @@ def blocks_by_class(html: str | None, classes: Mapping[str, str]) -> dict[str, l
 
 def parsed_blocks(df: DataFrame, html: str, classes: Mapping[str, str]) -> DataFrame:
     """Add one ``array<string>`` column per ``classes`` entry (output name ->
-    CSS class) holding the rendered texts of the matching elements."""
+    selector: ``.class`` or tag name) holding the rendered texts of the
+    matching elements."""
     schema = StructType(
         df.schema.fields + [StructField(n, ArrayType(StringType()), True) for n in classes]
     )
@@ -128,10 +139,16 @@ def extract_page_row_parsed(
     min_stats: int = 4,
 ) -> DataFrame:
     """Same row as :func:`statflow.operators.unpack.extract_page_row`
-    (``[key] + stats + info + [position]``), blocks found by class."""
+    (``[key] + stats + info + [position]``), blocks found by selector: a
+    bare name is a CSS class (``stat``), ``<li>`` selects a tag."""
+
+    def selector(s: str) -> str:
+        return s[1:-1] if s.startswith("<") and s.endswith(">") else f".{s}"
+
     parsed = parsed_blocks(
         df.select(key, html), html,
-        {"__stat": stat_class, "__info": info_class, "__pos": position_class},
+        {"__stat": selector(stat_class), "__info": selector(info_class),
+         "__pos": selector(position_class)},
     )
 
     def value(arr: str):

@@ -114,7 +114,7 @@ def html_lines(c: Column) -> Column:
     whitespace (newlines included) collapses to one space, ``<br>`` and
     block-element boundaries start a new line, empty lines vanish
     (``<p>PPG</p><p>25.1</p>`` -> ``'PPG\n25.1'``)."""
-    t = F.regexp_replace(c, "\\s+", " ")  # source whitespace renders as one space
+    t = F.regexp_replace(c, "[ \\t\\n\\f\\r]+", " ")  # HTML whitespace renders as one space
     t = html_text(F.regexp_replace(t, _LINE_BREAK_TAGS, "\n"))
     t = F.regexp_replace(t, " ?\n[ \n]*", "\n")
     return F.regexp_replace(t, "^[ \n]+|[ \n]+$", "")

@@ -31,6 +31,7 @@ from statflow.functions.strings import (
 )
 from statflow.operators import (
     Profile,
+    extract_page_row_parsed,
     Rule,
     apply_profile,
     distinct_keys,
@@ -501,22 +502,38 @@ def page_row_q(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def page_row_parsed_q(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 through the HTML-parser route (``mapInPandas``): same rows."""
+    pages = load(spark, sf, "pages")
+    rows = extract_page_row_parsed(pages, "html", "page_id", "<li>", "<li>", "<h1>",
+                                   value_line=None)
+    good, _ = split_malformed(rows, page_row_is_bad("values", len(PLAYER_INFORMATION_HEADER)))
+    return good.select(
+        *positional_columns("values", PLAYER_INFORMATION_HEADER),
+        F.size("values").alias("n_values"),
+    )
+
+
 _TEXT = (
     "replace(replace(replace(replace(replace(regexp_replace({x}, '<[^>]*>', '', 'g'), "
     "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
 )
 
 
-def _oracle_page_row() -> str:
+# Rendered text (the parser route): HTML whitespace collapsed, then trimmed.
+_RENDERED = "trim(regexp_replace(" + _TEXT.format(x="{x}") + ", '[ \\t\\n\\f\\r]+', ' ', 'g'))"
+
+
+def _oracle_page_row(text: str = _TEXT) -> str:
     blocks = (
         "list_transform(regexp_extract_all(html, '<li>(.*?)</li>', 1), lambda x: "
-        + _TEXT.format(x="x")
+        + text.format(x="x")
         + ")"
     )
     stats = "list_filter(b, lambda x, i: i % 2 = 0)"
     padded = f"list_concat({stats}, list_transform(range(greatest(4 - len({stats}), 0)), lambda x: '--'))"
     info = "list_filter(b, lambda x, i: i % 2 = 1)"
-    pos = _TEXT.format(x="regexp_extract(html, '<h1>(.*?)</h1>', 1)")
+    pos = text.format(x="regexp_extract(html, '<h1>(.*?)</h1>', 1)")
     vals = f"list_concat([CAST(page_id AS VARCHAR)], {padded}, {info}, [{pos}])"
     cols = ", ".join(f'v[{i + 1}] AS "{n}"' for i, n in enumerate(PLAYER_INFORMATION_HEADER))
     return (
@@ -527,6 +544,7 @@ def _oracle_page_row() -> str:
 
 
 ORACLE_PAGE_ROW = _oracle_page_row()
+ORACLE_PAGE_ROW_PARSED = _oracle_page_row(_RENDERED)
 
 
 # --- registry ---------------------------------------------------------------
@@ -565,5 +583,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "split_malformed": (split_malformed_q, ORACLE_SPLIT_MALFORMED),
     "unpack_rowset": (unpack_rowset_q, ORACLE_UNPACK_ROWSET),
     "page_row": (page_row_q, ORACLE_PAGE_ROW),
+    "page_row_parsed": (page_row_parsed_q, ORACLE_PAGE_ROW_PARSED),
     **R.REPORTS,
 }

@@ -30,12 +30,12 @@ def test_no_cartesian_or_nested_loop_joins(plans):
         assert "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_python_only_in_the_udf_surface_query(plans):
+def test_python_only_in_the_two_python_surface_queries(plans):
+    python = {"lookup_udf": "ArrowEvalPython", "page_row_parsed": "MapInPandas"}
     for name, plan in plans.items():
         assert "BatchEvalPython" not in plan, name  # never a row-at-a-time UDF
-        if name != "lookup_udf":
-            assert "ArrowEvalPython" not in plan, name
-    assert "ArrowEvalPython" in plans["lookup_udf"]
+        for node in ("ArrowEvalPython", "MapInPandas"):
+            assert (node in plan) == (python.get(name) == node), (name, node)
 
 
 def test_scans_read_only_needed_columns(plans):

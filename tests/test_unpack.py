@@ -144,7 +144,7 @@ DEEP_PAGE = """<div class="stat"><div class="label">PPG</div><div>25.1</div></di
 def test_parsed_blocks_handle_nested_elements(spark):
     from statflow.operators.htmlblocks import blocks_by_class, extract_page_row_parsed
 
-    found = blocks_by_class(DEEP_PAGE, {"s": "stat", "i": "info", "p": "position"})
+    found = blocks_by_class(DEEP_PAGE, {"s": ".stat", "i": ".info", "p": ".position"})
     assert found["s"] == ["PPG\n25.1", "RPG\n7.3", "APG\n8.1"]
     assert found["i"] == ["HEIGHT\n6'9\" (2.06m)"] and found["p"] == ["Lakers | #23 | Forward"]
     pages = spark.createDataFrame([("9", DEEP_PAGE), ("10", None)], "id string, html string")
