@@ -22,12 +22,13 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from statflow.functions import every_other, pad_array
 
-# HTML elements without an end tag, and elements whose
-# boundaries start a new rendered line.
+# HTML elements without an end tag, elements whose boundaries
+# start a new rendered line, and elements whose text is never rendered.
 _VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
                    "meta", "source", "track", "wbr"})
 _BLOCK = frozenset({"p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "ul", "ol",
                     "table", "section", "article", "br"})
+_HIDDEN = frozenset({"script", "style"})
 
 
 # Marks a rendered line break between blocks (source newlines are whitespace).
@@ -54,8 +55,11 @@ class _ClassBlocks(HTMLParser):
         self.classes = classes
         self.found: dict[str, list[str]] = {name: [] for name in classes}
         self.open: list[tuple[str, str, int, list[str]]] = []  # (name, tag, depth, parts)
+        self.hidden = 0  # inside <script>/<style>: not rendered
 
     def handle_starttag(self, tag, attrs):
+        if tag in _HIDDEN:
+            self.hidden += 1
         if tag in _BLOCK:
             self._emit(_BREAK)
         if tag in _VOID:
@@ -73,6 +77,8 @@ class _ClassBlocks(HTMLParser):
             self._emit(_BREAK)
 
     def handle_endtag(self, tag):
+        if tag in _HIDDEN:
+            self.hidden = max(self.hidden - 1, 0)
         if tag in _BLOCK:
             self._emit(_BREAK)
         still = []
@@ -86,7 +92,8 @@ class _ClassBlocks(HTMLParser):
         self.open = still
 
     def handle_data(self, data):
-        self._emit(data)
+        if not self.hidden:
+            self._emit(data)
 
     def _emit(self, text: str) -> None:
         for _, _, _, parts in self.open:

@@ -180,3 +180,10 @@ def test_payload_headers_keep_header_order_across_payloads(spark):
     a = json.dumps({"resultSet": {"headers": ["B", "A"], "rowSet": []}})
     b = json.dumps({"resultSets": [{"headers": ["C", "B", "D"], "rowSet": [[1, 2, 3]]}]})
     assert payload_headers(_payloads(spark, [a, b, "junk"])) == ["B", "C", "A", "D"]
+
+
+def test_parsed_blocks_skip_script_text():
+    from statflow.operators.htmlblocks import blocks_by_class
+
+    page = '<div class="stat">PPG<script>var x = "<div>";</script><br>25.1</div>'
+    assert blocks_by_class(page, {"s": ".stat"})["s"] == ["PPG\n25.1"]
