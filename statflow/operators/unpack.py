@@ -33,14 +33,24 @@ _HEADERS = "struct<headers: array<string>>"
 _HEADERS_SCHEMA = f"struct<resultSet: {_HEADERS}, resultSets: array<{_HEADERS}>>"
 
 
-def payload_headers(df: DataFrame, payload: str = "payload") -> list[str]:
+# Most distinct header names discovery brings to the driver.
+MAX_HEADERS = 10_000
+
+
+def payload_headers(df: DataFrame, payload: str = "payload",
+                    max_headers: int = MAX_HEADERS) -> list[str]:
     """Header names found in the payloads, in header order. Only the headers
     are materialised (the row arrays are skipped by the parser) and only the
-    distinct names reach the driver, like a schema inference pass."""
+    distinct names reach the driver, like a schema inference pass. More than
+    ``max_headers`` names means a corrupt landing: that is an error (pass
+    ``columns`` explicitly), never a silent cut."""
     p = F.from_json(F.col(payload), _HEADERS_SCHEMA)
     rs = F.coalesce(p["resultSet"], F.try_element_at(p["resultSets"], F.lit(1)))
     pos = df.select(F.posexplode(rs["headers"]).alias("i", "h"))
-    rows = pos.groupBy("h").agg(F.min("i").alias("i")).orderBy("i", "h").collect()
+    names = pos.groupBy("h").agg(F.min("i").alias("i"))
+    rows = names.orderBy("i", "h").limit(max_headers + 1).collect()
+    if len(rows) > max_headers:
+        raise ValueError(f"more than {max_headers} distinct headers; pass columns explicitly")
     return [r["h"] for r in rows]
 
 

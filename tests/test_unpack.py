@@ -187,3 +187,11 @@ def test_parsed_blocks_skip_script_text():
 
     page = '<div class="stat">PPG<script>var x = "<div>";</script><br>25.1</div>'
     assert blocks_by_class(page, {"s": ".stat"})["s"] == ["PPG\n25.1"]
+
+
+def test_header_discovery_refuses_runaway_headers(spark):
+    import pytest
+
+    texts = [json.dumps({"resultSet": {"headers": [f"H{i}"], "rowSet": []}}) for i in range(5)]
+    with pytest.raises(ValueError, match="distinct headers"):
+        payload_headers(_payloads(spark, texts), max_headers=3)
