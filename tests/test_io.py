@@ -132,3 +132,13 @@ def test_payload_lines(spark, tmp_dir):
         f.write(FORM1 + "\n" + FORM2 + "\n")
     out = unpack_rowset(read_payloads(spark, path, one_per_line=True), columns=["ID"])
     assert sorted(r.ID for r in out.collect()) == ["1", "2", "3", "4.5"]
+
+
+def test_jdbc_overwrite_with_truncate_keeps_the_table(spark):
+    url = "jdbc:derby:memory:statflow_trunc;create=true"
+    first = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    write_table(first, url, "t", driver=DERBY_DRIVER)
+    second = spark.createDataFrame([("c", 3)], "k string, v int")
+    write_table(second, url, "t", driver=DERBY_DRIVER, truncate=True)
+    back = read_table(spark, url, "t", driver=DERBY_DRIVER)
+    assert [tuple(r) for r in back.collect()] == [("c", 3)]
