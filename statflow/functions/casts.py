@@ -18,7 +18,7 @@ from statflow.functions._col import as_col
 # and ASCII control characters) around a plain decimal number with an
 # optional sign.
 _BLANKS = "".join(chr(i) for i in range(0x21))
-_DECIMAL = r"^[\x00-\x20]*[+-]?(\d+\.?\d*|\.\d*)[\x00-\x20]*$"
+_DECIMAL = r"^[\x00-\x20]*[+-]?(\d+\.?\d*|\.\d*)[\x00-\x20]*\z"  # \z: true end of text
 
 
 def int_trunc(c: Column | str) -> Column:

@@ -50,6 +50,7 @@ def tokens(c: Column | str) -> Column:
     empty tokens are dropped, leading and inner ones kept; a text of blanks
     only gives no token, the empty text gives one empty token."""
     t = as_col(c)
-    return F.when(t.rlike("^ +$"), F.array().cast("array<string>")).otherwise(
+    only_spaces = (F.length(t) > 0) & (F.length(F.rtrim(t)) == 0)
+    return F.when(only_spaces, F.array().cast("array<string>")).otherwise(
         F.split(F.rtrim(t), " ")
     )

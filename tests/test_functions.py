@@ -106,7 +106,8 @@ def test_country_lookup(spark):
 
 def test_tokens_follow_jvm_split(spark):
     cases = {"a b  ": ["a", "b"], " a": ["", "a"], "a  b": ["a", "", "b"], "": [""], " ": [],
-             "Hello World": ["Hello", "World"], "x\ny z": ["x\ny", "z"]}
+             "Hello World": ["Hello", "World"], "x\ny z": ["x\ny", "z"],
+             " \n": ["", "\n"], "  \n ": ["", "", "\n"]}
     assert _apply(spark, list(cases), tokens) == list(cases.values())
 
 

@@ -17,6 +17,7 @@ NUMBERS = [
     "0x1A", " -12.75 ", "+.", "00012", "1 2", "1.5d", "1e39", "-Infinity", "+NaN", "12 .5",
     "1_000", "\uff11\uff12", "\u0661\u0662", "+0", "-0.0", "00012.50", ".e1", "1e", "\x0012",
     "12\x00", "\x1f7\x01", "9" * 40, "0." + "9" * 40, "-2147483648.9", "2147483648", "  ",
+    "12.5\u2028", "12\u0085", "7\n", "7\r\n", "7\u2029",
 ]
 LONG_DATES = [
     "December 30, 1984", "January 5, 1999", "Jan 5, 1999", "January 5, 1999 (x)",
