@@ -14,7 +14,7 @@ from tests.test_parity import _same, legacy_mode
 SETTINGS = settings(max_examples=4, deadline=None, derandomize=True,
                     suppress_health_check=list(HealthCheck))
 
-number_text = st.text(alphabet="0123456789+-. eEfdNaIity\t\x00", max_size=10)
+number_text = st.text(alphabet="0123456789+-. eEfdNaIity\t\x00\n\r\u0085\u2028", max_size=10)
 number_like = st.one_of(
     number_text,
     st.builds(lambda s, i, f, t: f"{s}{i}.{f}{t}",
