@@ -23,13 +23,13 @@ number_like = st.one_of(
 )
 month = st.sampled_from(["January", "Jan", "JANUARY", "february", "Sept", "Sep", "May", "Foo"])
 long_date = st.builds(lambda lead, m, sp, d, comma, y, tail: f"{lead}{m}{sp}{d}{comma}{y}{tail}",
-                      st.sampled_from(["", " "]), month, st.sampled_from([" ", "  ", ""]),
+                      st.sampled_from(["", " "]), month, st.sampled_from([" ", "  ", "", "\t", " \n"]),
                       st.integers(0, 40), st.sampled_from([", ", ",", " , ", ",  "]),
-                      st.integers(0, 30000), st.sampled_from(["", " (x)", "x", " 12"]))
+                      st.integers(0, 30000), st.sampled_from(["", " (x)", "x", " 12", "\n", "\t"]))
 iso_date = st.builds(lambda lead, y, m, d, sep, tail: f"{lead}{y}{sep}{m}{sep}{d}{tail}",
                      st.sampled_from(["", " "]), st.integers(0, 20000), st.integers(0, 14),
                      st.integers(0, 33), st.sampled_from(["-", "/", ""]),
-                     st.sampled_from(["", "T00:00:00", " 12:00", "x", ".5"]))
+                     st.sampled_from(["", "T00:00:00", " 12:00", "x", ".5", "\n", "\r\n"]))
 
 
 def _check(spark, values, plain, recipe):
