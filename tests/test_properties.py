@@ -69,7 +69,7 @@ def test_iso_date_property(spark, values):
 
 
 @SETTINGS
-@given(st.lists(st.text(alphabet="ab \t\n", max_size=8), min_size=60, max_size=60))
+@given(st.lists(st.text(alphabet="ab \t\n\r\u2028\u00a0", max_size=8), min_size=60, max_size=60))
 def test_tokens_match_jvm_split(spark, values):
     from statflow.functions import tokens
 
