@@ -53,12 +53,32 @@ def newest_day_cutoff(dated: DataFrame, date: str, n: int):
     (None when fewer than ``n`` rows carry a date). Computed from a per-day
     row histogram: partial aggregation, one row per calendar day reaches the
     driver, so it is bounded by the calendar, not by the data."""
+    found = _day_cutoff(dated, date, n)
+    return None if found is None else found[0]
+
+
+def _day_cutoff(dated: DataFrame, date: str, n: int):
+    """(D, rows dated after D) for :func:`newest_day_cutoff`."""
     days = dated.where(F.col(date).isNotNull()).groupBy(date).agg(F.count(F.lit(1)).alias("n"))
     seen = 0
     for row in days.orderBy(F.col(date).desc()).toLocalIterator():
+        if seen + row["n"] >= n:
+            return row[date], seen
         seen += row["n"]
-        if seen >= n:
-            return row[date]
+    return None
+
+
+def _key_cutoff(rows: DataFrame, key: str, r: int):
+    """The r-th largest non-NULL ``key`` among ``rows``: a distributed sort of
+    the one key column, read back one partition at a time and stopped after
+    r keys (None when there are fewer)."""
+    seen = 0
+    for row in rows.where(F.col(key).isNotNull()).select(key).orderBy(
+        F.col(key).desc()
+    ).toLocalIterator():
+        seen += 1
+        if seen == r:
+            return row[key]
     return None
 
 
@@ -71,14 +91,24 @@ def newest_raw_games(raw: DataFrame, profile: Profile, n: int = GAME_LOG_ROWS,
     typing the rows that are cut.
 
     A top-k merges k rows from every input partition in one task. When that
-    would exceed ``max_merge_rows``, only rows dated on or after the cutoff
-    day (:func:`newest_day_cutoff`) enter the top-k; the result is the same.
+    would exceed ``max_merge_rows``, the input is cut to the rows that can
+    be in the result first: rows newer than the cutoff day
+    (:func:`newest_day_cutoff`, fewer than n) and, of the cutoff day's rows,
+    those whose key reaches the day's r-th largest key (r = n minus the
+    newer rows). The top-k then merges at most n rows plus exact ties; the
+    result is the same.
     """
     parsed = raw.withColumn("__date", parse_iso_date(date))
     if parsed.rdd.getNumPartitions() * n > max_merge_rows:
-        cutoff = newest_day_cutoff(parsed, "__date", n)
-        if cutoff is not None:
-            parsed = parsed.where(F.col("__date") >= F.lit(cutoff))
+        found = _day_cutoff(parsed, "__date", n)
+        if found is not None:
+            day, newer = found
+            d = F.col("__date")
+            keep = d >= F.lit(day)
+            k2 = _key_cutoff(parsed.where(d == F.lit(day)), key, n - newer)
+            if k2 is not None:
+                keep = (d > F.lit(day)) | ((d == F.lit(day)) & (F.col(key) >= F.lit(k2)))
+            parsed = parsed.where(keep)
     top = parsed.orderBy(F.col("__date").desc_nulls_last(), F.col(key).desc()).limit(n)
     return apply_profile(top.drop("__date"), profile)
 

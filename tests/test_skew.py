@@ -89,3 +89,25 @@ def test_newest_games_cutoff_path_equals_direct(spark):
     dated = dated.selectExpr("CAST(d AS DATE) AS d")
     assert str(newest_day_cutoff(dated, "d", 4)) == "2024-01-02"
     assert newest_day_cutoff(dated, "d", 100) is None
+
+
+def test_newest_games_cut_with_a_crowded_cutoff_day(spark):
+    """Most rows on the newest day: the key cutoff keeps the merge to n rows."""
+    from statflow.plans.profiles import TEAM_BOX_PROFILE
+    from statflow.plans.reports import newest_raw_games
+    from tests import fixtures as X
+
+    row = list(X.TEAM_BOX_ROWS[0])
+    rows = []
+    for i in range(300):
+        r = list(row)
+        r[3] = f"G{i:04d}"  # GAME_ID
+        r[4] = "2023-10-24" if i % 10 else f"2023-10-{10 + i % 9:02d}"  # most on one day
+        rows.append(tuple(r))
+    raw = X.frame(spark, X.TEAM_BOX_HEADER, rows).repartition(6)
+    direct = newest_raw_games(raw, TEAM_BOX_PROFILE, n=40)
+    cut = newest_raw_games(raw, TEAM_BOX_PROFILE, n=40, max_merge_rows=1)
+    assert sorted(cut.collect()) == sorted(direct.collect())
+    assert len(direct.collect()) == 40
+    newest_day = sorted((f"G{i:04d}" for i in range(300) if i % 10), reverse=True)
+    assert sorted(r.GAME_ID for r in direct.collect()) == sorted(newest_day[:40])
