@@ -111,3 +111,23 @@ def test_newest_games_cut_with_a_crowded_cutoff_day(spark):
     assert len(direct.collect()) == 40
     newest_day = sorted((f"G{i:04d}" for i in range(300) if i % 10), reverse=True)
     assert sorted(r.GAME_ID for r in direct.collect()) == sorted(newest_day[:40])
+
+
+def test_newest_games_cut_when_cutoff_day_keys_are_null(spark):
+    from statflow.plans.profiles import TEAM_BOX_PROFILE
+    from statflow.plans.reports import newest_raw_games
+    from tests import fixtures as X
+
+    row = list(X.TEAM_BOX_ROWS[0])
+    rows = []
+    for i in range(30):
+        r = list(row)
+        r[3] = None if i % 2 else f"G{i:02d}"  # half of the keys are missing
+        r[4] = "2023-10-24" if i < 20 else "2023-10-01"
+        rows.append(tuple(r))
+    raw = X.frame(spark, X.TEAM_BOX_HEADER, rows).repartition(4)
+    direct = newest_raw_games(raw, TEAM_BOX_PROFILE, n=15)
+    cut = newest_raw_games(raw, TEAM_BOX_PROFILE, n=15, max_merge_rows=1)
+    assert len(cut.collect()) == 15
+    key = lambda r: (str(r.GAME_DATE), r.GAME_ID or "")
+    assert sorted(map(key, cut.collect())) == sorted(map(key, direct.collect()))
