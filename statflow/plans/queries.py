@@ -520,8 +520,16 @@ _TEXT = (
 )
 
 
-# Rendered text (the parser route): HTML whitespace collapsed, then trimmed.
-_RENDERED = "trim(regexp_replace(" + _TEXT.format(x="{x}") + ", '[ \\t\\n\\f\\r]+', ' ', 'g'))"
+# Rendered text (the parser route): tags removed; the basic entities decoded
+# as HTML5 does, where these legacy names need no semicolon (``&amp`` at the
+# end of a cut heading is ``&``), ``&amp`` last so ``&amp;lt;`` decodes once;
+# HTML whitespace collapsed, then trimmed.
+_DECODE_RENDERED = (
+    "regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace("
+    "regexp_replace({x}, '<[^>]*>', '', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), "
+    "'&quot;?', '\"', 'g'), '&#39;?', '''', 'g'), '&amp;?', '&', 'g')"
+)
+_RENDERED = "trim(regexp_replace(" + _DECODE_RENDERED + ", '[ \\t\\n\\f\\r]+', ' ', 'g'))"
 
 
 def _oracle_page_row(text: str = _TEXT) -> str:
