@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings this library is tuned for. The typed profiles are wide projections
@@ -51,15 +49,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A scratch folder is set only for a local-mode session without one
-    (tests); a cluster session without a shared folder is an error, since
-    a machine-local folder would not survive the loss of that machine.
+    Where a local-mode session names none (tests, the bench), a folder under
+    its warehouse serves; a cluster session without a shared folder is an
+    error, since a machine-local folder would not survive the loss of that
+    machine.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
-        d = tempfile.mkdtemp(prefix="statflow-ckpt-")
-    sc.setCheckpointDir(d)
+        d = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d

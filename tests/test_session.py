@@ -43,4 +43,4 @@ def test_cluster_session_needs_a_shared_checkpoint_folder():
     with pytest.raises(RuntimeError, match="shared folder"):
         ensure_checkpoint_dir(_Session("yarn"))
     local = _Session("local[4]")
-    assert ensure_checkpoint_dir(local) == local.sparkContext.dir
+    assert ensure_checkpoint_dir(local) == local.sparkContext.dir == "spark-warehouse/_checkpoints"
