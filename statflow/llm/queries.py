@@ -3,10 +3,14 @@ whole table, and DuckDB SQL where SQL can express it."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import mixing
+from statflow.llm import mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +22,93 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs)
     return (mixed.select("doc_id", "size", "source_size", "target", "taken",
                          F.get("takes", F.lit(0)).getField("position").alias("position"))
-            .orderBy(F.col("position").asc_nulls_last()))
+            .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
+
+
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER).withColumn(
+        "length", F.col("length").cast("long"))
+
+
+#: Block and allow rules (verdict, host, path); hosts whose pages are listed.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+LISTED_HOSTS = "(adult-x|casino-win|cheap-pills|free-bets|spam-farm)"
+
+
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """The list that op5 filters by: all URLs seen on the listed hosts."""
+    host, _ = urlfilter.url_parts(F.col("url"))
+    return pages.select("url").filter(host.rlike(r"(^|\.)" + LISTED_HOSTS + r"\."))
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge_urls(pages, listed_urls(pages), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+OP5_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), canon AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www\.', '')
+                 || regexp_replace(path, '/+$', '') END AS canonical
+  FROM parts
+), listed AS (
+  SELECT DISTINCT canonical FROM canon
+  WHERE regexp_matches(host, '(^|\.)(adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM canon
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block'
+            WHEN rule IS NOT NULL THEN 'allow'
+            WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.classify(docs, labels, keep=["doc_id", "lang"]).select(
+        "doc_id", "held_out", "score", "predicted", "threshold", "toxic")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.history(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                      "n_repeat_words", "base_failed", "kept", "mean_word_length",
+                                      "symbols_per_word", "stop_word_ratio", "dup_line_ratio")
+
+
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_lm.score_held_out(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_mix": (op1_mix, None),
+    "op3_pack": (op3_pack, None),
+    "op5_urls": (op5_urls, OP5_SQL),
+    "op7_toxicity": (op7_toxicity, None),
+    "op8_warc": (op8_warc, None),
+    "op9_quality": (op9_quality, None),
+    "op10_lm": (op10_lm, None),
 }
