@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
+from statflow.llm import jaccard, mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
 
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,11 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "length", F.col("length").cast("long"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 #: Block and allow rules (verdict, host, path); hosts whose pages are listed.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -106,6 +111,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": (op1_mix, None),
     "op3_pack": (op3_pack, None),
+    "op4_jaccard": (op4_jaccard, None),
     "op5_urls": (op5_urls, OP5_SQL),
     "op7_toxicity": (op7_toxicity, None),
     "op8_warc": (op8_warc, None),
