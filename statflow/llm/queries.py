@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import jaccard, mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
+from statflow.llm import jaccard, line_dedup, mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
 
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,39 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, with_text=False).select(
+        "doc_id", "n_lines", "n_repeats", "n_nears", F.array_join("dropped", ",").alias("dropped"))
+
+
+OP2_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, u.place - 1 AS place, trim(u.line, E' \t\n\x0b\f\r') AS line
+  FROM (SELECT doc_id, string_split(text, E'\n') AS ls FROM documents WHERE text IS NOT NULL) d,
+       LATERAL (SELECT unnest(d.ls) AS line, generate_subscripts(d.ls, 1) AS place) u
+), compared AS (
+  SELECT * FROM lines WHERE length(line) >= 24
+), firsts AS (
+  SELECT line, min((doc_id, place)) AS first, length(line) AS n FROM compared GROUP BY line
+), near AS (
+  SELECT DISTINCT b.line FROM firsts a JOIN firsts b
+  ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.first < b.first AND levenshtein(a.line, b.line) <= 2
+), judged AS (
+  SELECT c.doc_id, c.place, (c.doc_id, c.place) <> f.first AS repeated,
+         c.line IN (SELECT line FROM near) AS near
+  FROM compared c JOIN firsts f USING (line)
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, E'\n')) END AS n_lines,
+       coalesce(j.n_repeats, 0) AS n_repeats, coalesce(j.n_nears, 0) AS n_nears,
+       coalesce(j.dropped, '') AS dropped
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (repeated) AS n_repeats, count(*) FILTER (NOT repeated AND near) AS n_nears,
+         string_agg(place, ',' ORDER BY place) FILTER (repeated OR near) AS dropped
+  FROM judged GROUP BY doc_id) j USING (doc_id)
+"""
+
+
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER).withColumn(
         "length", F.col("length").cast("long"))
@@ -110,6 +143,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix": (op1_mix, None),
+    "op2_line_dedup": (op2_line_dedup, OP2_SQL),
     "op3_pack": (op3_pack, None),
     "op4_jaccard": (op4_jaccard, None),
     "op5_urls": (op5_urls, OP5_SQL),
