@@ -345,7 +345,8 @@ def _find_bits(needed: DataFrame) -> np.ndarray:
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, mark, n_shingles, component_id (smallest
-    id of the documents reachable by links), n_members."""
+    id of the documents reachable by links), n_members and group (the same for
+    all members of a component; NULL without shingles)."""
     join = Join(docs, key, text)
     spark = join.spark
     levels = spark.sparkContext.broadcast(sketch(docs, text))
@@ -386,13 +387,27 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     heads = facts.join(comps, "class").groupBy("component").agg(
         F.min("_id").alias("_first"), F.sum("_k").alias("_all"))
     named = (facts.join(comps, "class", "left").join(heads, "component", "left")
-             .filter(F.col("_first").isNotNull() | (F.col("_k") > 1))
-             .select("class", F.coalesce("_first", "_id").alias("_name"),
+             .filter(F.col("component").isNotNull() | (F.col("_k") > 1))
+             .select("class", "component", F.coalesce("_first", "_id").alias("_name"),
                      F.coalesce("_all", "_k").alias("_members")))
+    group = F.when(F.col("n") > 0, F.coalesce("component", "class"))
     return (member.join(named, "class", "left")
             .select("doc_id", "mark", F.col("n").alias("n_shingles"),
                     F.coalesce("_name", "doc_id").alias("component_id"),
-                    F.coalesce("_members", F.lit(1)).alias("n_members")))
+                    F.coalesce("_members", F.lit(1)).alias("n_members"), group.alias("group")))
+
+
+def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id,
+    and all documents without shingles."""
+    found = jaccard_components(docs, key, text).select("doc_id", "mark", "group")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
+    kept = found.filter("group IS NOT NULL").groupBy("group").agg(first.alias("_f")).select("_f.mark")
+    bare = found.filter("group IS NULL").select("mark").distinct()
+    marked = docs.withColumn("_mark", _mark(key, text))
+    own = marked.join(kept, marked["_mark"] == kept["mark"], "left_semi").dropDuplicates(["_mark"])
+    rest = marked.join(bare, marked["_mark"] == bare["mark"], "left_semi")
+    return own.unionByName(rest).drop("_mark")
 
 
 def _with_company(index: DataFrame) -> DataFrame:

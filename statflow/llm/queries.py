@@ -3,14 +3,14 @@ whole table, and DuckDB SQL where SQL can express it."""
 
 from __future__ import annotations
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import jaccard, line_dedup, mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
+from statflow.llm import ann, jaccard, line_dedup, mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
 
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = corpus_pipeline.TOKENIZER
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +119,10 @@ FROM ruled
 """
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return toxicity.classify(docs, labels, keep=["doc_id", "lang"]).select(
@@ -147,8 +151,10 @@ QUERIES = {
     "op3_pack": (op3_pack, None),
     "op4_jaccard": (op4_jaccard, None),
     "op5_urls": (op5_urls, OP5_SQL),
+    "op6_ann": (op6_ann, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_warc": (op8_warc, None),
     "op9_quality": (op9_quality, None),
     "op10_lm": (op10_lm, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
