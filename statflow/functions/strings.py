@@ -54,3 +54,37 @@ def tokens(c: Column | str) -> Column:
     return F.when(only_spaces, F.array().cast("array<string>")).otherwise(
         F.split(F.rtrim(t), " ")
     )
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once per row however often
+    the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# How the JVM writes doubles from 1e7 on and below 1e-3; the
+# exponents for which the landing's CSV writer uses plain digits instead.
+_JVM_EXPONENT = r"^-?[0-9]\.[0-9]+E-?[0-9]+$"
+_PLAIN_FROM, _PLAIN_TO = -4, 15
+
+
+def plain_number(text: Column) -> Column:
+    """A number's text as the CSV landing writes it: plain digits from 1e-4 up
+    to (not including) 1e16, else an exponent of two digits or more
+    (``1.0E10`` -> ``10000000000.0``, ``1.0E-5`` -> ``1e-05``). Other text
+    stays as it is."""
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    lead = F.regexp_extract(text, r"^-?([0-9])\.", 1)
+    tail = F.regexp_replace(F.regexp_extract(text, r"\.([0-9]+)E", 1), "0+$", "")
+    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).cast("int")
+    digits = F.concat(lead, tail)
+    whole = F.rpad(F.substr(digits, F.lit(1), exponent + 1), exponent + 1, "0")
+    fraction = F.substr(digits, exponent + 2)
+    large = F.concat(sign, whole, F.lit("."), F.when(fraction == "", "0").otherwise(fraction))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    size = F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), "0")
+    other = F.concat(sign, lead, F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)),
+                     F.when(exponent < 0, "e-").otherwise("e+"), size)
+    plain = (F.when((exponent >= 0) & (exponent <= _PLAIN_TO), large)
+             .when((exponent < 0) & (exponent >= _PLAIN_FROM), small).otherwise(other))
+    return F.when((F.instr(text, "E") > 0) & text.rlike(_JVM_EXPONENT), plain).otherwise(text)

@@ -1,4 +1,4 @@
-"""Page blocks found by CSS class with a real HTML parser (``mapInPandas``).
+"""Page blocks found by CSS class with a real HTML parser (``mapInArrow``).
 
 The regex route (:func:`statflow.operators.unpack.extract_page_row`) suits
 fixed templates. When a block nests elements with its own closing tag
@@ -12,15 +12,16 @@ that build the row.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+import sys
+from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from statflow.functions import every_other, pad_array
+from statflow.operators.unpack import positional_values
 
 # HTML elements without an end tag, elements whose boundaries
 # start a new rendered line, and elements whose text is never rendered.
@@ -116,23 +117,29 @@ def blocks_by_class(html: str | None, classes: Mapping[str, str]) -> dict[str, l
     return parser.result()
 
 
-def parsed_blocks(df: DataFrame, html: str, classes: Mapping[str, str]) -> DataFrame:
-    """Add one ``array<string>`` column per ``classes`` entry (output name ->
-    selector: ``.class`` or tag name) holding the rendered texts of the
-    matching elements."""
+def parsed_blocks(df: DataFrame, html: str, classes: Mapping[str, str],
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """The columns ``keep`` and one ``array<string>`` column per ``classes``
+    entry (output name -> selector: ``.class`` or tag name) holding the
+    rendered texts of the matching elements. The pages themselves stay in the
+    Python worker."""
+    rows = df.select(*keep, F.col(html).cast("string").alias("__html"))
     schema = StructType(
-        df.schema.fields + [StructField(n, ArrayType(StringType()), True) for n in classes]
+        rows.schema.fields[:-1] + [StructField(n, ArrayType(StringType()), True) for n in classes]
     )
-    names = list(classes)
+    names, chosen = list(classes), dict(classes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [blocks_by_class(h, classes) for h in pdf[html]]
-            for n in names:
-                pdf[n] = [None if f is None else f[n] for f in found]
-            yield pdf
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    return df.mapInPandas(run, schema)
+        for batch in batches:
+            found = [blocks_by_class(h, chosen) for h in batch.column("__html").to_pylist()]
+            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            columns += [pa.array([None if f is None else f[n] for f in found], pa.list_(pa.string()))
+                        for n in names]
+            yield pa.record_batch(columns, names=[*batch.schema.names[:-1], *names])
+
+    return rows.mapInArrow(run, schema)
 
 
 def extract_page_row_parsed(
@@ -140,23 +147,23 @@ def extract_page_row_parsed(
     html: str,
     key: str,
     stat_class: str,
-    info_class: str,
+    info_class: str | Sequence[str],
     position_class: str,
     value_line: int | None = 1,
     min_stats: int = 4,
 ) -> DataFrame:
     """Same row as :func:`statflow.operators.unpack.extract_page_row`
     (``[key] + stats + info + [position]``), blocks found by selector: a
-    bare name is a CSS class (``stat``), ``<li>`` selects a tag."""
+    bare name is a CSS class (``stat``), ``<li>`` selects a tag. Several info
+    selectors are several info groups."""
 
     def selector(s: str) -> str:
         return s[1:-1] if s.startswith("<") and s.endswith(">") else f".{s}"
 
-    parsed = parsed_blocks(
-        df.select(key, html), html,
-        {"__stat": selector(stat_class), "__info": selector(info_class),
-         "__pos": selector(position_class)},
-    )
+    infos = [info_class] if isinstance(info_class, str) else list(info_class)
+    chosen = {"__stat": selector(stat_class), "__pos": selector(position_class)}
+    chosen |= {f"__info{i}": selector(c) for i, c in enumerate(infos)}
+    parsed = parsed_blocks(df, html, chosen, [key])
 
     def value(arr: str):
         if value_line is None:
@@ -164,11 +171,14 @@ def extract_page_row_parsed(
         return F.transform(F.col(arr), lambda t: F.try_element_at(F.split(t, "\n"),
                                                                   F.lit(value_line + 1)))
 
-    stats = pad_array(every_other(value("__stat"), 1), min_stats)
-    info = every_other(value("__info"), 0)
     position = F.coalesce(F.try_element_at(F.col("__pos"), F.lit(1)), F.lit(""))
-    values = F.concat(F.array(F.col(key).cast("string")), stats, info, F.array(position))
+    values = positional_values(F.col(key), value("__stat"),
+                               [value(f"__info{i}") for i in range(len(infos))], position, min_stats)
     return parsed.select(F.col(key), values.alias("values"))
 
 
+# The parser goes to the Python workers with the job: executors need no copy
+# of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["blocks_by_class", "extract_page_row_parsed", "parsed_blocks"]

@@ -53,21 +53,23 @@ def test_land_payload_files(spark, tmp_dir):
     for i, text in enumerate([FORM1, FORM2, "{broken"]):
         with open(os.path.join(tmp_dir, f"p{i}.json"), "w") as f:
             f.write(text)
-    out = T.land_payloads(spark, tmp_dir, ["ID", "NM"])
+    out, bad = T.land_payloads(spark, tmp_dir, ["ID", "NM"])
     assert out.count() == 4
+    (row,) = bad.collect()
+    assert row.status == "unreadable" and row.payload == "{broken" and row.source.endswith("p2.json")
 
 
 PAGE = """<html><body>
 <div class="stat">PPG<br>25.1</div><div class="stat">RPG<br>7.3</div>
 <div class="stat">APG<br>8.1</div><div class="stat">PIE<br>0.19</div>
-<div class="info">HEIGHT<br>6'9" (2.06m)</div><div class="info">x</div>
-<div class="info">WEIGHT<br>250lb (113kg)</div><div class="info">x</div>
-<div class="info">COUNTRY<br>USA</div><div class="info">x</div>
-<div class="info">LAST ATTENDED<br>St. Vincent &amp; Mary</div><div class="info">x</div>
-<div class="info">AGE<br>39 years</div><div class="info">x</div>
-<div class="info">BIRTHDATE<br>December 30, 1984</div><div class="info">x</div>
-<div class="info">DRAFT<br>2003 R1 Pick 1</div><div class="info">x</div>
-<div class="info">EXPERIENCE<br>20 Years</div>
+<div class="info top">HEIGHT<br>6'9" (2.06m)</div><div class="info top">x</div>
+<div class="info top">WEIGHT<br>250lb (113kg)</div><div class="info top">x</div>
+<div class="info top">COUNTRY<br>USA</div><div class="info top">x</div>
+<div class="info top">LAST ATTENDED<br>St. Vincent &amp; Mary</div>
+<div class="info bottom">AGE<br>39 years</div><div class="info bottom">x</div>
+<div class="info bottom">BIRTHDATE<br>December 30, 1984</div><div class="info bottom">x</div>
+<div class="info bottom">DRAFT<br>2003 R1 Pick 1</div><div class="info bottom">x</div>
+<div class="info bottom">EXPERIENCE<br>20 Years</div>
 <p class="position">Los Angeles Lakers | #23 | Forward</p>
 </body></html>"""
 SHORT_PAGE = '<div class="stat">PPG<br>2.0</div><div class="stat">RPG<br>1.0</div>'
@@ -116,7 +118,7 @@ def test_read_stored_pages(spark, tmp_dir):
 
 NESTED_PAGE = """<div class="stat"><p>PPG</p> <p> 25.1 </p></div>
 <div class="stat"><span>RPG</span><br/><b>7.3</b></div>
-<div class="info"><h4>HEIGHT</h4>\n<p>6'9&quot; (2.06m)</p></div>
+<div class="info top"><h4>HEIGHT</h4>\n<p>6'9&quot; (2.06m)</p></div>
 <p class="position">Lakers | #23 |
  Forward</p>"""
 
@@ -137,19 +139,19 @@ def test_page_blocks_rendered_as_lines(spark):
 DEEP_PAGE = """<div class="stat"><div class="label">PPG</div><div>25.1</div></div>
 <div class="stat"><div>RPG</div><div>7.3</div></div>
 <div class="stat"><div>APG</div><div>8.1</div></div>
-<div class="info"><div>HEIGHT</div><div>6'9&quot; (2.06m)</div></div>
+<div class="info top"><div>HEIGHT</div><div>6'9&quot; (2.06m)</div></div>
 <section><p class="position">Lakers | #23 | Forward</p></section>"""
 
 
 def test_parsed_blocks_handle_nested_elements(spark):
     from statflow.operators.htmlblocks import blocks_by_class, extract_page_row_parsed
 
-    found = blocks_by_class(DEEP_PAGE, {"s": ".stat", "i": ".info", "p": ".position"})
+    found = blocks_by_class(DEEP_PAGE, {"s": ".stat", "i": ".top", "p": ".position"})
     assert found["s"] == ["PPG\n25.1", "RPG\n7.3", "APG\n8.1"]
     assert found["i"] == ["HEIGHT\n6'9\" (2.06m)"] and found["p"] == ["Lakers | #23 | Forward"]
     pages = spark.createDataFrame([("9", DEEP_PAGE), ("10", None)], "id string, html string")
     rows = {r.id: r["values"] for r in extract_page_row_parsed(
-        pages, "html", "id", "stat", "info", "position").collect()}
+        pages, "html", "id", "stat", "top", "position").collect()}
     assert rows["9"] == ["9", "7.3", "--", "--", "--", "6'9\" (2.06m)", "Lakers | #23 | Forward"]
     assert rows["10"] is None  # no page stored: like the regex route, no row values
 
@@ -159,7 +161,7 @@ def test_parsed_and_regex_routes_agree_on_flat_pages(spark):
 
     pages = spark.createDataFrame([("2544", PAGE), ("1", SHORT_PAGE)], "id string, html string")
     parsed = {r.id: r["values"] for r in extract_page_row_parsed(
-        pages, "html", "id", "stat", "info", "position").collect()}
+        pages, "html", "id", "stat", ["top", "bottom"], "position").collect()}
     good, _ = T.land_pages(pages.withColumnRenamed("id", "PLAYER_ID"))
     regex = {r.PLAYER_ID: [v for v in r if v is not None] for r in good.collect()}
     assert parsed == regex
@@ -195,3 +197,92 @@ def test_header_discovery_refuses_runaway_headers(spark):
     texts = [json.dumps({"resultSet": {"headers": [f"H{i}"], "rowSet": []}}) for i in range(5)]
     with pytest.raises(ValueError, match="distinct headers"):
         payload_headers(_payloads(spark, texts), max_headers=3)
+
+
+def _probe_page():
+    def group(name, pairs):
+        blocks = [f'<div class="info {name}">{k}<br>{v}</div>' for k, v in pairs]
+        return f'<div class="info {name}">|</div>'.join(blocks)
+
+    top = [("HEIGHT", "h"), ("WEIGHT", "w"), ("COUNTRY", "c"), ("LAST ATTENDED", "l")]
+    bottom = [("AGE", "a"), ("BIRTHDATE", "b"), ("DRAFT", "d"), ("EXPERIENCE", "e")]
+    stats = "".join(f'<div class="stat">|</div><div class="stat">{s}<br>{i}</div>'
+                    for i, s in enumerate(["PPG", "RPG", "APG", "PIE"]))
+    return stats + group("top", top) + group("bottom", bottom) + '<p class="position">P</p>'
+
+
+def test_two_info_groups_of_seven_blocks(spark):
+    """4 values + 3 separators in each group: the second starts its own count."""
+    pages = spark.createDataFrame([("7", _probe_page())], "PLAYER_ID string, html string")
+    want = ["7", "0", "1", "2", "3", "h", "w", "c", "l", "a", "b", "d", "e", "P"]
+    for land in (T.land_pages, T.land_pages_parsed):
+        good, bad = land(pages)
+        assert [list(r) for r in good.collect()] == [want]
+        assert bad.count() == 0
+
+
+PROBES = {
+    "ok": FORM1,
+    "truncated": '{"resultSet": {"headers": ["ID", "NM"], "rowSet": [[1, "x"]',
+    "garbage": "<html>busy</html>",
+    "two": FORM1 + "\n" + FORM1,
+    "no_rows": '{"resultSet": {"headers": ["ID"]}}',
+    "empty": "",
+    "long": '{"resultSet": {"headers": ["ID"], "rowSet": [[1, 2], [3], null]}}',
+}
+
+
+def test_unreadable_payloads_are_reported(spark):
+    from statflow.operators import unpack_rowset_flagged
+
+    df = spark.createDataFrame([*PROBES.items(), ("null", None)], "name string, payload string")
+    rows = unpack_rowset_flagged(df, columns=["ID", "NM"], keep=["name"]).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.name, []).append((r.status, r.ID))
+    bad = [("unreadable", None)]
+    assert got == {"ok": [("ok", "1"), ("ok", "2")], "truncated": bad, "garbage": bad, "two": bad,
+                   "no_rows": bad, "empty": bad, "null": bad,
+                   "long": [("over_long", None), ("ok", "3"), ("over_long", None)]}
+    kept = {r.name: r.payload for r in rows if r.status == "unreadable"}
+    assert kept["two"] == PROBES["two"] and kept["null"] is None
+
+
+def test_json_lines_captures(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "c.jsonl"), "w") as f:
+        f.write(FORM1 + "\n" + FORM2 + "\n{broken\n")
+    good, bad = T.land_payloads(spark, tmp_dir, ["ID", "NM"], one_per_line=True)
+    assert good.count() == 4 and [r.payload for r in bad.collect()] == ["{broken"]
+    good, bad = T.land_payloads(spark, tmp_dir, ["ID", "NM"])  # as one response: quarantined whole
+    assert good.count() == 0 and bad.count() == 1
+
+
+def test_numbers_are_written_as_the_csv_landing_does(spark):
+    from statflow.functions import int_trunc
+    from statflow.functions.strings import plain_number
+
+    numbers = {"1e10": "10000000000.0", "100000000.5": "100000000.5", "12345678.5": "12345678.5",
+               "0.0001": "0.0001", "0.00012": "0.00012", "1e-5": "1e-05", "1.5e-7": "1.5e-07",
+               "1e16": "1e+16", "9007199254740993.0": "9007199254740992.0", "-1e7": "-10000000.0",
+               "-2.5e-4": "-0.00025", "1e300": "1e+300", "4.50": "4.5", "0.0": "0.0", "12": "12",
+               "123456789": "123456789"}
+    text = '{"resultSet":{"headers":["V"],"rowSet":[%s]}}' % ",".join(f"[{n}]" for n in numbers)
+    out = unpack_rowset(_payloads(spark, [text]), columns=["V"])
+    assert [r.V for r in out.collect()] == list(numbers.values())
+    for n, want in numbers.items():
+        assert want == (n if n.lstrip("-").isdigit() else repr(float(n)))
+    typed = spark.createDataFrame([("1.23456785E7",)], "v string")
+    assert typed.select(int_trunc(plain_number(F.col("v")))).first()[0] == 12345678
+
+
+def test_parsed_blocks_return_no_pages(spark):
+    from pyspark import cloudpickle
+
+    from statflow.operators import htmlblocks
+
+    pages = spark.createDataFrame([("1", DEEP_PAGE)], "id string, html string")
+    out = htmlblocks.parsed_blocks(pages, "html", {"s": ".stat"}, ["id"])
+    assert out.columns == ["id", "s"]
+    # executors need no copy of the package: the parser travels with the job
+    assert b"statflow.operators.htmlblocks" in cloudpickle.dumps(htmlblocks.blocks_by_class)
+    assert htmlblocks.__name__ in cloudpickle.cloudpickle.list_registry_pickle_by_value()
