@@ -1,11 +1,10 @@
 """Relating tables: inner join, semi-join reduction, lookups with a default,
 distinct keys and counts.
 
-Nothing unbounded reaches the driver (only counts and the at most
-``1 / min_share`` heavy keys). Join strategy is left to Catalyst/AQE
-(broadcast when a side is small at runtime, sort-merge otherwise, skew
-splitting for hot keys); the one explicit broadcast is behind a row- and
-byte-count check with a shuffle join beyond it.
+Nothing reaches the driver. Join strategy is left to Catalyst/AQE (broadcast
+when a side is small at runtime, sort-merge otherwise, skew splitting for hot
+keys); the one explicit broadcast is the list of heavy keys, of which there
+are at most as many as shuffle partitions.
 """
 
 from __future__ import annotations
@@ -19,47 +18,24 @@ from pyspark.sql.types import StringType
 
 from statflow.functions._col import as_col
 
-# Dimension tables up to this many rows and bytes may be broadcast to every
-# executor.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 << 20
-
-
 _SALT = "__salt"
 
 
-def _salted(df: DataFrame, buckets: int) -> DataFrame:
-    """Tag each row with a bucket in ``[0, buckets)`` from a hash of the
-    whole row: deterministic, so a retried task sees the same buckets."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    return df.withColumn(_SALT, F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
-
-
-def _replicated(df: DataFrame, buckets: int) -> DataFrame:
-    return df.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-
-
 def inner_join(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], salt: int | str = 1
 ) -> DataFrame:
     """Using-column inner equi-join: key columns once and first, NULL keys
     never match, duplicate keys fan out.
 
-    ``salt > 1`` splits every key of ``left`` over that many buckets and
-    copies ``right`` into each: a key holding a large share of ``left`` is
-    then joined by ``salt`` tasks instead of one. ``salt="auto"`` salts only
-    the heavy keys (:func:`skew_join`). Without salting, AQE's skew handling
-    splits oversized sort-merge partitions at runtime.
+    ``salt="auto"``, or a number of buckets above 1, splits the heavy keys of
+    either side (:func:`skew_join`). Without it, AQE's skew handling splits
+    oversized sort-merge partitions at runtime.
     """
-    if salt == "auto":
-        if not isinstance(on, str):
-            raise ValueError('salt="auto" needs a single join column')
-        return skew_join(left, right, on, "inner")
-    if salt <= 1:
+    if salt == 1:
         return left.join(right, on=on, how="inner")
-    keys = [on] if isinstance(on, str) else list(on)
-    joined = _salted(left, salt).join(_replicated(right, salt), keys + [_SALT], "inner")
-    return joined.drop(_SALT)
+    if not isinstance(on, str):
+        raise ValueError("a salted join needs a single join column")
+    return skew_join(left, right, on, "inner", buckets=None if salt == "auto" else int(salt))
 
 
 def semi_reduce(
@@ -71,37 +47,46 @@ def semi_reduce(
     that grows with the data. Keys are de-duplicated with a partial
     (map-side) aggregate first, so a hot key costs one row per partition,
     and AQE broadcasts the distinct keys when they turn out small. NULL keys
-    drop on both sides; an empty key set gives no rows. ``salt`` spreads a
-    hot key of ``df`` as in :func:`inner_join`.
+    drop on both sides; an empty key set gives no rows. ``salt`` splits the
+    heavy keys of ``df`` as in :func:`inner_join`.
     """
     keys_key = keys_key or key
     k = keys.select(F.col(keys_key).alias(key)).distinct()
-    if salt == "auto":
-        return skew_join(df, k, key, "left_semi")
-    if salt <= 1:
+    if salt == 1:
         return df.join(k, on=key, how="left_semi")
-    return _salted(df, salt).join(_replicated(k, salt), [key, _SALT], "left_semi").drop(_SALT)
+    return skew_join(df, k, key, "left_semi", buckets=None if salt == "auto" else int(salt))
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-# A key is "heavy" when it holds at least this share of a table's rows.
-HEAVY_SHARE = 0.05
+def _key_counts(df: DataFrame, key: str) -> DataFrame:
+    keyed = df.filter(F.col(key).isNotNull())
+    return keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def heavy_keys(df: DataFrame, key: str, min_share: float = HEAVY_SHARE) -> list:
-    """Keys holding at least ``min_share`` of the rows (NULL excluded).
+def _keyed_rows(df: DataFrame, key: str) -> Column:
+    """The number of rows with a key, as a scalar subquery."""
+    return df.agg(F.count(F.col(key)).alias("__rows")).scalar()
 
-    At most ``1 / min_share`` keys can qualify, so the list brought to the
-    driver is bounded whatever the table size. Costs one count and one
-    partial+final aggregate over the key column.
+
+def heavy_keys(df: DataFrame, key: str, min_share: float | None = None) -> DataFrame:
+    """One row (``key``) per key holding at least ``min_share`` of the rows
+    with a key, by default the share of one shuffle partition: a key above it
+    makes its partition larger than a fair one. At most ``1 / min_share``
+    keys qualify, whatever the table size. Lazy: one partial+final aggregate
+    over the key column.
     """
-    if not 0 < min_share <= 1:
+    least = _keyed_rows(df, key) * _share(df, min_share)
+    return _key_counts(df, key).filter(F.col("__n") >= least).select(key)
+
+
+def _share(df: DataFrame, min_share: float | None) -> float:
+    share = 1 / _partitions(df) if min_share is None else min_share
+    if not 0 < share <= 1:
         raise ValueError("min_share must be in (0, 1]")
-    total = df.count()
-    if total == 0:
-        return []
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    heavy = counts.where(F.col("n") >= F.lit(min_share * total)).select(key).collect()
-    return [r[0] for r in heavy]
+    return share
 
 
 def skew_join(
@@ -109,33 +94,40 @@ def skew_join(
     right: DataFrame,
     key: str,
     how: str = "inner",
-    hot: Sequence | None = None,
     buckets: int | None = None,
-    min_share: float = HEAVY_SHARE,
+    min_share: float | None = None,
 ) -> DataFrame:
     """Equi-join (``inner`` or ``left_semi``) on one column that splits only
-    the heavy keys of ``left`` into ``buckets`` salted sub-keys and copies
-    just those keys' ``right`` rows into every bucket; other keys join as
-    usual. ``hot`` defaults to :func:`heavy_keys` of ``left``. ``buckets``
-    defaults to four per core: salted sub-keys are hashed to shuffle
-    partitions, and a few buckets per partition keep collisions from
-    stacking several of them in one task. Results equal the plain join."""
+    the heavy keys into ``buckets`` salted sub-keys. A key is heavy that holds
+    ``min_share`` of the larger table's rows (by default a shuffle partition's
+    share, see :func:`heavy_keys`) on either side. The side that holds more of
+    it has its rows dealt out, the other's are copied to every bucket; other
+    keys join as usual. ``buckets`` defaults to the shuffle partitions. Nothing
+    runs before the result is asked for. Results equal the plain join."""
     if how not in ("inner", "left_semi"):
         raise ValueError("skew_join supports inner and left_semi")
-    hot = list(heavy_keys(left, key, min_share) if hot is None else hot)
     if how == "left_semi":
         right = right.select(key).distinct()
-    if not hot:
-        return left.join(right, on=key, how=how)
-    buckets = buckets or 4 * left.sparkSession.sparkContext.defaultParallelism
-    is_hot_left = F.col(key).isin(hot)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    salted = left.withColumn(
-        _SALT, F.when(is_hot_left, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)).cast("int")
-    )
-    top = F.when(F.col(key).isin(hot), F.lit(buckets - 1)).otherwise(F.lit(0))
-    copied = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), top)))
-    return salted.join(copied, on=[key, _SALT], how=how).drop(_SALT)
+    buckets = buckets or _partitions(left)
+    share = _share(left, min_share)
+    if how == "left_semi":
+        heavy = _key_counts(left, key).filter(F.col("__n") >= _keyed_rows(left, key) * share)
+        hot = heavy.select(key, F.lit("l").alias("__side"))
+    else:
+        least = F.greatest(_keyed_rows(left, key), _keyed_rows(right, key)) * share
+        sides = [_key_counts(df, key).filter(F.col("__n") >= least).withColumn("__side", F.lit(side))
+                 for df, side in ((left, "l"), (right, "r"))]
+        hot = sides[0].unionByName(sides[1]).groupBy(key).agg(F.max_by("__side", "__n").alias("__side"))
+
+    def salted(df: DataFrame, own: str) -> DataFrame:
+        row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets)).cast("int")
+        every = F.sequence(F.lit(0), F.lit(buckets - 1))
+        places = (F.when(F.col("__side") == own, F.array(row))
+                  .when(F.col("__side").isNotNull(), every).otherwise(F.array(F.lit(0))))
+        marked = df.join(F.broadcast(hot), key, "left")  # at most 2 / min_share rows
+        return marked.select(*[marked[c] for c in df.columns], F.explode(places).alias(_SALT))
+
+    return salted(left, "l").join(salted(right, "r"), on=[key, _SALT], how=how).drop(_SALT)
 
 
 def isin_filter(df: DataFrame, key: str, values: Sequence) -> DataFrame:
@@ -172,30 +164,13 @@ def lookup_or_self(
     dim_key: str,
     dim_value: str,
     out: str | None = None,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-    max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Table-driven lookup with default: ``out`` = the dimension value for
-    ``key``, or ``key`` itself when absent.
-
-    The dimension is reduced to one value per key (the largest, so the
-    result is deterministic) and broadcast only if it has at most
-    ``max_broadcast_rows`` keys holding at most ``max_broadcast_bytes`` of
-    key and value text, both measured by one distributed aggregate (partial
-    per task, one result row). Beyond either bound it is a regular shuffle
-    join.
-    """
+    ``key``, or ``key`` itself when absent. The dimension is reduced to one
+    value per key (the largest, so the result is deterministic); Spark
+    chooses the join by its measured size."""
     out = out or key
     d = dim.groupBy(F.col(dim_key).alias("__k")).agg(F.max(dim_value).alias("__v"))
-    width = F.coalesce(F.octet_length(F.col("__k").cast("string")), F.lit(0)) + F.coalesce(
-        F.octet_length(F.col("__v").cast("string")), F.lit(0)
-    )
-    probe = d.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    ).first()
-    small = probe["rows"] <= max_broadcast_rows and probe["bytes"] <= max_broadcast_bytes
-    if small:
-        d = F.broadcast(d)
     joined = df.join(d, F.col(key) == F.col("__k"), "left")
     cols = [c for c in df.columns if c != out] if out != key else df.columns
     result = [

@@ -48,27 +48,21 @@ def test_map_lookup_and_udf_agree(spark):
     assert {r.v: r.c for r in a.collect()} == {"1": "United States", "2": "FR", "3": None}
 
 
-def test_lookup_or_self_table_both_paths(spark):
+def test_lookup_or_self_table(spark):
     facts = _df(spark, [("USA", "1"), ("FR", "2"), (None, "3")])
     dim = spark.createDataFrame([("USA", "United States"), ("USA", "America")], "code string, name string")
-    for limit in (1000, 0):  # broadcast path, then shuffle-join path
-        out = lookup_or_self(facts, "k", dim, "code", "name", max_broadcast_rows=limit)
-        assert out.columns == ["k", "v"]
-        assert {r.v: r.k for r in out.collect()} == {"1": "United States", "2": "FR", "3": None}
+    out = lookup_or_self(facts, "k", dim, "code", "name")
+    assert out.columns == ["k", "v"]
+    assert {r.v: r.k for r in out.collect()} == {"1": "United States", "2": "FR", "3": None}
     out = lookup_or_self(facts, "k", dim, "code", "name", out="country")
     assert out.columns == ["k", "v", "country"]
 
 
-def test_lookup_or_self_broadcast_only_when_small(spark):
+def test_lookup_or_self_leaves_the_join_to_spark(spark):
     facts = _df(spark, [("USA", "1")])
     dim = spark.createDataFrame([("USA", "United States")], "code string, name string")
-    small = lookup_or_self(facts, "k", dim, "code", "name")._jdf.queryExecution().optimizedPlan()
-    assert "broadcast" in small.toString().lower()
-    large = lookup_or_self(facts, "k", dim, "code", "name", max_broadcast_rows=0)
-    assert "broadcast" not in large._jdf.queryExecution().optimizedPlan().toString().lower()
-    wide = lookup_or_self(facts, "k", dim, "code", "name", max_broadcast_bytes=10)
-    assert "broadcast" not in wide._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert {r.v: r.k for r in wide.collect()} == {"1": "United States"}
+    plan = lookup_or_self(facts, "k", dim, "code", "name")._jdf.queryExecution().optimizedPlan()
+    assert "broadcast" not in plan.toString().lower()
 
 
 def test_distinct_and_count(spark):
