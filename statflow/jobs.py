@@ -21,11 +21,9 @@ from pyspark.sql import functions as F
 from statflow.operators.wordcount import word_count
 from statflow.plans import stat_tables as T
 from statflow.plans.profiles import (
-    PLAYER_BOX_PROFILE,
     PLAYER_LEADER_PROFILE,
     TEAM_BOX_PROFILE,
     TEAM_LEADER_PROFILE,
-    player_information_profile,
 )
 from statflow.sources.csv import read_string_csv, write_csv
 from statflow.sources.files import read_pages, write_parquet
@@ -34,10 +32,8 @@ from statflow.session import apply_recommended
 from statflow.streaming.landing import land_stream
 
 # Tables that can be landed incrementally (the G1 join and G2 semi-join need
-# whole tables and stay in the daily run).
+# whole tables: those two tables come from the daily run alone).
 STREAM_PROFILES = {
-    "player_information": player_information_profile(),
-    "player_box": PLAYER_BOX_PROFILE,
     "player_leader": PLAYER_LEADER_PROFILE,
     "team_leader": TEAM_LEADER_PROFILE,
     "team_box": TEAM_BOX_PROFILE,
@@ -94,8 +90,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     d.add_argument("--driver")
     d.add_argument("--jdbc-partitions", type=int, default=None)
     d.add_argument("--batchsize", type=int, default=None)
-    d.add_argument("--salt", default="1",
-                   help='buckets for hot PLAYER_IDs in the joins, or "auto"')
+    d.add_argument("--salt", default="auto",
+                   help='buckets for heavy PLAYER_IDs in the joins; "auto": as many as '
+                        "shuffle partitions; 1: none")
     d.add_argument("--concurrent-writes", type=int, default=1,
                    help="write the four tables after G1 with this many concurrent jobs")
 
@@ -109,8 +106,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     lp.add_argument("--out", required=True)
     lp.add_argument("--columns", default=None, help="comma-separated header names")
     lp.add_argument("--format", choices=["csv", "parquet"], default="csv")
-    lp.add_argument("--quarantine", default=None,
-                    help="Parquet folder for rows longer than their headers")
+    lp.add_argument("--quarantine", required=True,
+                    help="Parquet folder for unreadable payloads and over-long rows")
+    lp.add_argument("--json-lines", action="store_true", help="captures hold one response per line")
 
     pg = sub.add_parser("land-pages", help="stored pages -> profile rows")
     pg.add_argument("--input", required=True)
@@ -125,6 +123,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     st.add_argument("--table", required=True, choices=sorted(STREAM_PROFILES))
     st.add_argument("--source", required=True, help="folder receiving the CSV drops")
     st.add_argument("--out", required=True)
+    st.add_argument("--checkpoint", required=True,
+                    help="shared folder for this stream's progress; keep it between runs")
     st.add_argument("--continuous", action="store_true",
                     help="keep running (1-minute trigger) instead of availableNow")
 
@@ -138,12 +138,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         _write(word_count(lines, "text"), args.out, args.format)
     elif args.cmd == "land-payloads":
         cols = args.columns.split(",") if args.columns else None
-        if args.quarantine:
-            good, bad = T.land_payloads_checked(spark, args.input, cols)
-            _write(good.drop("source"), args.out, args.format)
-            write_parquet(bad, args.quarantine)
-        else:
-            _write(T.land_payloads(spark, args.input, cols), args.out, args.format)
+        good, bad = T.land_payloads(spark, args.input, cols, args.json_lines)
+        _write(good, args.out, args.format)
+        write_parquet(bad, args.quarantine)
     elif args.cmd == "land-pages":
         pages = read_pages(spark, args.input).withColumn(
             "PLAYER_ID", F.regexp_extract("source", args.key_pattern, 1)
@@ -154,7 +151,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     elif args.cmd == "land-stream":
         header = read_string_csv(spark, args.source).columns
         q = land_stream(spark, args.source, header, STREAM_PROFILES[args.table], args.out,
-                        f"land_{args.table}", available_now=not args.continuous)
+                        args.checkpoint, f"land_{args.table}", available_now=not args.continuous)
         q.awaitTermination()
 
 

@@ -2,15 +2,15 @@
 are typed with the same profile and appended to a Parquet table.
 
 The source job re-reads and overwrites everything daily. With a file stream
-each drop is read once; the checkpoint (in the shared checkpoint folder)
-records which files were processed, so a restarted or failed job resumes
-without duplicates. ``availableNow`` processes what is there and stops, so
-it fits the same daily schedule.
+each drop is read once; the checkpoint folder, which the caller names and
+keeps (in storage that all machines share), records which files were
+processed, so a restarted or failed job resumes without duplicates.
+``availableNow`` processes what is there and stops, so it fits the same daily
+schedule. Only tables that need no other table can be landed so.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from statflow.operators.profile import Profile, apply_profile
-from statflow.session import ensure_checkpoint_dir
 
 
 def string_schema(header: Sequence[str]) -> StructType:
@@ -32,19 +31,18 @@ def land_stream(
     header: Sequence[str],
     profile: Profile,
     sink_dir: str,
+    checkpoint_dir: str,
     name: str,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the stream ``source_dir`` (CSV, ``header``) -> profile -> Parquet
-    ``sink_dir``. The checkpoint lives under ``spark.checkpoint.dir``, keyed
-    by ``name`` and the sink."""
-    # One checkpoint per (query, sink): the same name writing elsewhere must
-    # not resume another sink's progress.
-    sink_tag = format(zlib.crc32(sink_dir.encode()), "08x")
-    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{sink_tag}"
+    ``sink_dir``. ``checkpoint_dir`` belongs to this source and sink alone. A
+    drop whose header line is not ``header``, in that order, fails the stream
+    instead of being read by position."""
     raw = (
         spark.readStream.schema(string_schema(header))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", 64)
         .csv(source_dir)
     )
@@ -52,7 +50,7 @@ def land_stream(
     writer = (
         typed.writeStream.format("parquet")
         .option("path", sink_dir)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
         .queryName(name)
     )

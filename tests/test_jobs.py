@@ -79,6 +79,7 @@ def test_land_stream_job(spark, tmp_dir):
 
     src, out = os.path.join(tmp_dir, "drops"), os.path.join(tmp_dir, "typed")
     write_csv(X.frame(spark, X.TEAM_BOX_HEADER, X.TEAM_BOX_ROWS).coalesce(1), f"{src}/day1")
-    run(spark, ["land-stream", "--table", "team_box", "--source", f"{src}/*", "--out", out])
+    run(spark, ["land-stream", "--table", "team_box", "--source", f"{src}/*", "--out", out,
+                "--checkpoint", os.path.join(tmp_dir, "progress")])
     got = spark.read.parquet(out)
     assert got.count() == 1 and dict(got.dtypes)["GAME_DATE"] == "date"
