@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from statflow.operators.htmlblocks import extract_page_row_parsed, parsed_blocks
+from statflow.operators.ordered import running_totals
 from statflow.operators.profile import (
     Profile,
     Rule,
@@ -33,9 +34,11 @@ from statflow.operators.unpack import (
     name_positional,
     page_row_is_bad,
     payload_headers,
+    split_flagged,
     split_malformed,
     unpack_rowset,
     unpack_rowset_checked,
+    unpack_rowset_flagged,
 )
 from statflow.operators.wordcount import word_count
 

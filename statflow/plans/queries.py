@@ -35,6 +35,7 @@ from statflow.operators import (
     Rule,
     apply_profile,
     distinct_keys,
+    drop_short_rows,
     extract_page_row,
     flag_malformed,
     floats,
@@ -49,7 +50,7 @@ from statflow.operators import (
     semi_reduce,
     split_malformed,
     stringify,
-    unpack_rowset,
+    unpack_rowset_flagged,
     word_count,
 )
 from statflow.plans import driver_flows as D
@@ -74,7 +75,7 @@ _LINEITEM_PROFILE = Profile(
 
 
 def type_profile_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    raw = stringify(load(spark, sf, "lineitem", spread_rows=True), money=["l_extendedprice"])
+    raw = stringify(load(spark, sf, "lineitem"), money=["l_extendedprice"])
     return apply_profile(raw, _LINEITEM_PROFILE)
 
 
@@ -288,7 +289,7 @@ SELECT s_suppkey, s_name AS supplier_name, s_nationkey FROM supplier"""
 
 # --- J1 J2 J3 U1 A1 A2 ------------------------------------------------------
 
-def inner_join_using(spark: SparkSession, sf: str, salt: int = 1) -> DataFrame:
+def inner_join_using(spark: SparkSession, sf: str, salt: int | str = 1) -> DataFrame:
     o = load(spark, sf, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("custkey"), "o_totalprice"
     )
@@ -298,9 +299,9 @@ def inner_join_using(spark: SparkSession, sf: str, salt: int = 1) -> DataFrame:
     return inner_join(o, c, "custkey", salt=salt)
 
 
-def inner_join_salted(spark: SparkSession, sf: str) -> DataFrame:
-    """J1 with every key split over 4 salted buckets: same rows."""
-    return inner_join_using(spark, sf, salt=4)
+def inner_join_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 with the heavy keys split over salted buckets: same rows."""
+    return inner_join_using(spark, sf, salt="auto")
 
 
 ORACLE_INNER_JOIN_USING = """
@@ -308,15 +309,15 @@ SELECT o_custkey AS custkey, o_orderkey, o_totalprice, c_name, c_mktsegment
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
-def semi_reduce_q(spark: SparkSession, sf: str, salt: int = 1) -> DataFrame:
+def semi_reduce_q(spark: SparkSession, sf: str, salt: int | str = 1) -> DataFrame:
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     urgent = load(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
     return semi_reduce(li, urgent, "l_orderkey", "o_orderkey", salt=salt)
 
 
-def semi_reduce_salted(spark: SparkSession, sf: str) -> DataFrame:
-    """J2 with every key split over 4 salted buckets: same rows."""
-    return semi_reduce_q(spark, sf, salt=4)
+def semi_reduce_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 with the heavy keys split over salted buckets: same rows."""
+    return semi_reduce_q(spark, sf, salt="auto")
 
 
 ORACLE_SEMI_REDUCE = """
@@ -401,7 +402,7 @@ SELECT doc_id, string_split(text, chr(10))[2] AS line2 FROM documents"""
 # --- A3 X10 U2: word count ------------------------------------------------------
 
 def word_count_q(spark: SparkSession, sf: str) -> DataFrame:
-    return word_count(load(spark, sf, "documents", spread_rows=True), "text")
+    return word_count(load(spark, sf, "documents"), "text")
 
 
 ORACLE_WORD_COUNT = """
@@ -422,96 +423,133 @@ def json_field_q(spark: SparkSession, sf: str) -> DataFrame:
 ORACLE_JSON_FIELD = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
 
 
-def split_malformed_q(spark: SparkSession, sf: str) -> DataFrame:
+def _captured_events(spark: SparkSession, sf: str) -> DataFrame:
     e = load(spark, sf, "events")
     props = F.when(
         F.col("event_id") % 7 == 0, F.expr("substring(props, 1, length(props) - 1)")
     ).otherwise(F.col("props"))
-    captured = e.select("event_type", props.alias("props"))
-    tagged = flag_malformed(captured, F.try_parse_json("props").isNull())
+    return e.select("event_id", "event_type", props.alias("props"))
+
+
+def flag_malformed_q(spark: SparkSession, sf: str) -> DataFrame:
+    tagged = flag_malformed(_captured_events(spark, sf), F.try_parse_json("props").isNull())
     status = F.when(F.col("malformed"), F.lit("quarantine")).otherwise(F.lit("good"))
     return tagged.groupBy("event_type", status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
-ORACLE_SPLIT_MALFORMED = """
+ORACLE_FLAG_MALFORMED = """
 SELECT event_type, CASE WHEN event_id % 7 = 0 THEN 'quarantine' ELSE 'good' END AS status,
        count(*) AS n
 FROM events GROUP BY ALL"""
 
 
+def split_malformed_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides of the split, each with its own sink's name."""
+    good, bad = split_malformed(_captured_events(spark, sf), F.try_parse_json("props").isNull())
+    return good.withColumn("sink", F.lit("good")).unionByName(bad.withColumn("sink", F.lit("quarantine")))
+
+
+ORACLE_SPLIT_MALFORMED = """
+SELECT event_id, event_type,
+       CASE WHEN event_id % 7 = 0 THEN substring(props, 1, length(props) - 1) ELSE props END AS props,
+       CASE WHEN event_id % 7 = 0 THEN 'quarantine' ELSE 'good' END AS sink
+FROM events"""
+
+
+# --- F3: rows with too few values ----------------------------------------------
+
+def drop_short_rows_q(spark: SparkSession, sf: str) -> DataFrame:
+    rows = load(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("values"))
+    return drop_short_rows(rows, "values", 2).select("doc_id", F.size("values").alias("n_values"))
+
+
+ORACLE_DROP_SHORT_ROWS = """
+SELECT doc_id, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_values FROM documents
+WHERE len(string_split(text, chr(10))) >= 2"""
+
+
 # --- S3 G7: API payloads -> string rows ----------------------------------------
 
-_PAYLOAD_COLUMNS = ["L_ORDERKEY", "L_LINENUMBER", "RETURNFLAG", "PRICE", "QTY"]
-_PAYLOAD_SQL = """
-CASE WHEN l_linenumber = 3
-       THEN concat('{"resultSet":{"headers":', h1, ',"rowSet":[', r1)
-     WHEN l_linenumber % 2 = 0
-       THEN concat('{"resultSet":{"headers":', h1, ',"rowSet":[', r1, ']}}')
-     ELSE concat('{"resultSets":[{"headers":', h2, ',"rowSet":[', r2, ']}]}') END"""
+_PAYLOAD_COLUMNS = ["L_ORDERKEY", "L_LINENUMBER", "RETURNFLAG", "PRICE", "QTY", "BIG"]
 
 
 def captured_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """One captured response per line item, in both envelope forms (the
-    second with reversed headers), mixed JSON numbers/strings/nulls, and
-    truncated responses for every third line."""
-    li = load(spark, sf, "lineitem", spread_rows=True)
-    parts = li.selectExpr(
-        "CAST(l_orderkey AS STRING) AS ok",
-        "CAST(l_linenumber AS STRING) AS ln",
-        "l_returnflag AS rf",
-        "format_string('%.2f', l_extendedprice) AS price",
+    """One captured response per order, with a row per line item: both
+    envelope forms (the second with reversed headers), mixed JSON numbers,
+    strings and nulls, numbers above 10 million, a surplus value in the rows
+    of line 5, and truncated responses for every seventh order."""
+    li = load(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS o", "l_linenumber AS ln", "l_suppkey AS s",
+        "CAST(l_orderkey AS STRING) AS ok", "CAST(l_linenumber AS STRING) AS lt",
+        "l_returnflag AS rf", "format_string('%.2f', l_extendedprice) AS price",
         "CASE WHEN l_linenumber = 4 THEN 'null' "
         "ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END AS qty",
-        "l_linenumber",
-    )
-    rows = parts.selectExpr(
-        "l_linenumber",
-        """'["L_ORDERKEY","L_LINENUMBER","RETURNFLAG","PRICE","QTY"]' AS h1""",
-        """'["QTY","PRICE","RETURNFLAG","L_LINENUMBER","L_ORDERKEY"]' AS h2""",
-        """concat('[', ok, ',', ln, ',"', rf, '","', price, '",', qty, ']') AS r1""",
-        """concat('[', qty, ',"', price, '","', rf, '",', ln, ',', ok, ']') AS r2""",
-    )
-    return rows.selectExpr(f"{_PAYLOAD_SQL} AS payload")
+        "format_string('%.1f', l_extendedprice * 1000 + 10000000.5) AS big",
+        "CASE WHEN l_linenumber = 5 THEN ',0' ELSE '' END AS more")
+    rows = li.selectExpr(
+        "o", "ln",
+        """concat('[', ok, ',', lt, ',"', rf, '","', price, '",', qty, ',', big, more, ']') AS r1""",
+        """concat('[', big, ',', qty, ',"', price, '","', rf, '",', lt, ',', ok, more, ']') AS r2""")
+    orders = rows.groupBy("o").agg(F.sort_array(F.collect_list(F.struct("ln", "r1", "r2"))).alias("r"))
+    return orders.selectExpr(
+        "o AS order_key",
+        """CASE WHEN o % 2 = 0
+             THEN concat('{"resultSet":{"headers":["L_ORDERKEY","L_LINENUMBER","RETURNFLAG","PRICE","QTY","BIG"],',
+                         '"rowSet":[', array_join(r.r1, ','), IF(o % 7 = 3, '', ']}}'))
+             ELSE concat('{"resultSets":[{"headers":["BIG","QTY","PRICE","RETURNFLAG","L_LINENUMBER","L_ORDERKEY"],',
+                         '"rowSet":[', array_join(r.r2, ','), IF(o % 7 = 3, '', ']}]}')) END AS payload""")
 
 
 def unpack_rowset_q(spark: SparkSession, sf: str) -> DataFrame:
-    return unpack_rowset(captured_payloads(spark, sf), "payload", _PAYLOAD_COLUMNS)
+    """Rows and quarantine of one parse: what a bad row was is told by its
+    status, its payload's order and its number of values."""
+    flagged = unpack_rowset_flagged(captured_payloads(spark, sf), "payload", _PAYLOAD_COLUMNS,
+                                    keep=["order_key"])
+    return flagged.select("order_key", "status", *_PAYLOAD_COLUMNS,
+                          F.size("values").alias("n_values"),
+                          F.startswith("payload", F.lit("{")).alias("kept_payload"))
 
 
 ORACLE_UNPACK_ROWSET = """
-SELECT CAST(l_orderkey AS VARCHAR) AS "L_ORDERKEY", CAST(l_linenumber AS VARCHAR) AS "L_LINENUMBER",
-       l_returnflag AS "RETURNFLAG", printf('%.2f', l_extendedprice) AS "PRICE",
-       CASE WHEN l_linenumber = 4 THEN NULL
-            ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS "QTY"
-FROM lineitem WHERE l_linenumber <> 3"""
+SELECT l_orderkey AS order_key, CASE WHEN l_linenumber = 5 THEN 'over_long' ELSE 'ok' END AS status,
+       CASE WHEN l_linenumber <> 5 THEN CAST(l_orderkey AS VARCHAR) END AS "L_ORDERKEY",
+       CASE WHEN l_linenumber <> 5 THEN CAST(l_linenumber AS VARCHAR) END AS "L_LINENUMBER",
+       CASE WHEN l_linenumber <> 5 THEN l_returnflag END AS "RETURNFLAG",
+       CASE WHEN l_linenumber <> 5 THEN printf('%.2f', l_extendedprice) END AS "PRICE",
+       CASE WHEN l_linenumber NOT IN (4, 5) THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS "QTY",
+       CASE WHEN l_linenumber <> 5 THEN printf('%.1f', l_extendedprice * 1000 + 10000000.5) END AS "BIG",
+       CASE WHEN l_linenumber = 5 THEN 7 END AS n_values, CAST(NULL AS BOOLEAN) AS kept_payload
+FROM lineitem WHERE l_orderkey % 7 <> 3
+UNION ALL
+SELECT DISTINCT l_orderkey, 'unreadable', NULL, NULL, NULL, NULL, NULL, NULL, NULL, true
+FROM lineitem WHERE l_orderkey % 7 = 3"""
 
 
 # --- S4 X12-X14 P7: stored pages -> positional rows --------------------------
 
-_LI_BLOCK = r"<li>(.*?)</li>"
-_H1 = r"<h1>(.*?)</h1>"
+# The driver's pages give two info groups: the title (one block, an odd group)
+# and the menu; the menu's blocks are the stats too.
+_TITLE, _LI_BLOCK, _H1 = r"<title>(.*?)</title>", r"<li>(.*?)</li>", r"<h1>(.*?)</h1>"
+
+
+def _named_page_rows(rows: DataFrame) -> DataFrame:
+    """Every page's row, with the flag of those that go to quarantine."""
+    flagged = flag_malformed(rows, page_row_is_bad("values", len(PLAYER_INFORMATION_HEADER)))
+    return flagged.select(*positional_columns("values", PLAYER_INFORMATION_HEADER),
+                          F.size("values").alias("n_values"), "malformed")
 
 
 def page_row_q(spark: SparkSession, sf: str) -> DataFrame:
     pages = load(spark, sf, "pages")
-    rows = extract_page_row(pages, "html", "page_id", _LI_BLOCK, _LI_BLOCK, _H1, value_line=None)
-    good, _ = split_malformed(rows, page_row_is_bad("values", len(PLAYER_INFORMATION_HEADER)))
-    return good.select(
-        *positional_columns("values", PLAYER_INFORMATION_HEADER),
-        F.size("values").alias("n_values"),
-    )
+    return _named_page_rows(extract_page_row(
+        pages, "html", "page_id", _LI_BLOCK, [_TITLE, _LI_BLOCK], _H1, value_line=None))
 
 
 def page_row_parsed_q(spark: SparkSession, sf: str) -> DataFrame:
-    """S4 through the HTML-parser route (``mapInPandas``): same rows."""
+    """S4 through the HTML-parser route (``mapInArrow``): same rows."""
     pages = load(spark, sf, "pages")
-    rows = extract_page_row_parsed(pages, "html", "page_id", "<li>", "<li>", "<h1>",
-                                   value_line=None)
-    good, _ = split_malformed(rows, page_row_is_bad("values", len(PLAYER_INFORMATION_HEADER)))
-    return good.select(
-        *positional_columns("values", PLAYER_INFORMATION_HEADER),
-        F.size("values").alias("n_values"),
-    )
+    return _named_page_rows(extract_page_row_parsed(
+        pages, "html", "page_id", "<li>", ["<title>", "<li>"], "<h1>", value_line=None))
 
 
 _TEXT = (
@@ -533,21 +571,24 @@ _RENDERED = "trim(regexp_replace(" + _DECODE_RENDERED + ", '[ \\t\\n\\f\\r]+', '
 
 
 def _oracle_page_row(text: str = _TEXT) -> str:
-    blocks = (
-        "list_transform(regexp_extract_all(html, '<li>(.*?)</li>', 1), lambda x: "
-        + text.format(x="x")
-        + ")"
-    )
-    stats = "list_filter(b, lambda x, i: i % 2 = 0)"
+    def blocks(tag: str) -> str:
+        return (f"list_transform(regexp_extract_all(html, '<{tag}>(.*?)</{tag}>', 1), lambda x: "
+                + text.format(x="x") + ")")
+
+    def every_other(group: str, first: int) -> str:
+        return f"list_filter({group}, lambda x, i: i % 2 = {first})"
+
+    stats = every_other("li", 0)
     padded = f"list_concat({stats}, list_transform(range(greatest(4 - len({stats}), 0)), lambda x: '--'))"
-    info = "list_filter(b, lambda x, i: i % 2 = 1)"
+    info = f"list_concat({every_other('title', 1)}, {every_other('li', 1)})"
     pos = text.format(x="regexp_extract(html, '<h1>(.*?)</h1>', 1)")
     vals = f"list_concat([CAST(page_id AS VARCHAR)], {padded}, {info}, [{pos}])"
     cols = ", ".join(f'v[{i + 1}] AS "{n}"' for i, n in enumerate(PLAYER_INFORMATION_HEADER))
     return (
-        f"SELECT {cols}, CAST(len(v) AS INTEGER) AS n_values\n"
-        f"FROM (SELECT {vals} AS v FROM (SELECT page_id, html, {blocks} AS b FROM pages))\n"
-        f"WHERE len(v) <= {len(PLAYER_INFORMATION_HEADER)}"
+        f"SELECT {cols}, CAST(len(v) AS INTEGER) AS n_values, "
+        f"len(v) > {len(PLAYER_INFORMATION_HEADER)} AS malformed\n"
+        f"FROM (SELECT {vals} AS v FROM (SELECT page_id, html, {blocks('li')} AS li, "
+        f"{blocks('title')} AS title FROM pages))"
     )
 
 
@@ -576,9 +617,9 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "parse_iso_date": (parse_iso_date_q, ORACLE_PARSE_ISO_DATE),
     "select_rename_drop": (select_rename_drop, ORACLE_SELECT_RENAME_DROP),
     "inner_join_using": (inner_join_using, ORACLE_INNER_JOIN_USING),
-    "inner_join_salted": (inner_join_salted, ORACLE_INNER_JOIN_USING),
+    "inner_join_skewed": (inner_join_skewed, ORACLE_INNER_JOIN_USING),
     "semi_reduce": (semi_reduce_q, ORACLE_SEMI_REDUCE),
-    "semi_reduce_salted": (semi_reduce_salted, ORACLE_SEMI_REDUCE),
+    "semi_reduce_skewed": (semi_reduce_skewed, ORACLE_SEMI_REDUCE),
     "isin_filter": (isin_filter_q, ORACLE_ISIN_FILTER),
     "lookup_or_self": (lookup_or_self_q, ORACLE_LOOKUP),
     "lookup_udf": (lookup_udf_q, ORACLE_LOOKUP),
@@ -588,6 +629,8 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "word_count": (word_count_q, ORACLE_WORD_COUNT),
     "second_line": (second_line_q, ORACLE_SECOND_LINE),
     "json_field": (json_field_q, ORACLE_JSON_FIELD),
+    "flag_malformed": (flag_malformed_q, ORACLE_FLAG_MALFORMED),
+    "drop_short_rows": (drop_short_rows_q, ORACLE_DROP_SHORT_ROWS),
     "split_malformed": (split_malformed_q, ORACLE_SPLIT_MALFORMED),
     "unpack_rowset": (unpack_rowset_q, ORACLE_UNPACK_ROWSET),
     "page_row": (page_row_q, ORACLE_PAGE_ROW),

@@ -2,29 +2,43 @@
 player, the points leader board, the newest-N game log), re-expressed as
 Spark queries over the typed tables.
 
-Totals are a partial+final hash aggregate. The leader board and game log
-are top-k reports: ``orderBy().limit(k)`` plans as TakeOrderedAndProject,
-so each task keeps only its own k best rows before one merge of k rows per
-partition; the rank window then runs over those k rows only. The game log
-(k = 1000, over a raw landing of any size) bounds that merge with a cutoff
-day first; the leader board ranks aggregated totals (k = 10).
+Totals are a partial+final hash aggregate. The leader board ranks every
+player: ranks are running totals over the different point values, so tied
+players, however many, share one row of that computation. The game log keeps
+n rows in each of a fixed number of groups before it orders what is left.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statflow.functions import parse_iso_date
+from statflow.operators.ordered import running_totals
 from statflow.operators.profile import Profile, apply_profile
 from statflow.plans import driver_flows as D
 from statflow.plans.profiles import TEAM_BOX_PROFILE
+from statflow.sources.files import load
 
 # The API asks for totals, points ranking and 1000 newest games.
 TOTAL_STATS = ("MIN", "PTS", "REB", "AST")
 LEADER_STAT = "PTS"
 GAME_LOG_ROWS = 1000
-LEADER_ROWS = 10
+
+# The digit that stands for a season type before the year in a
+# SEASON_ID.
+SEASON_TYPES = {"Pre Season": "1", "Regular Season": "2", "All Star": "3", "Playoffs": "4"}
+
+
+def season_games(games: DataFrame, season: str, season_type: str = "Regular Season",
+                 column: str = "SEASON_ID") -> DataFrame:
+    """Games of one season (``2023-24``) and season type, as the API's Season
+    and SeasonType parameters select them."""
+    if season_type not in SEASON_TYPES:
+        raise ValueError(f"unknown season type {season_type!r}")
+    return games.filter(F.col(column) == SEASON_TYPES[season_type] + season[:4])
 
 
 def season_totals(box: DataFrame, key: str = "PLAYER_ID") -> DataFrame:
@@ -32,85 +46,51 @@ def season_totals(box: DataFrame, key: str = "PLAYER_ID") -> DataFrame:
     return box.groupBy(key).agg(F.count(F.lit(1)).alias("GP"), *aggs)
 
 
-def leader_board(totals: DataFrame, key: str = "PLAYER_ID", stat: str = LEADER_STAT,
-                 k: int = LEADER_ROWS) -> DataFrame:
-    top = totals.orderBy(F.col(stat).desc_nulls_last(), F.col(key).asc()).limit(k)
-    w = Window.orderBy(F.col(stat).desc_nulls_last())
-    return top.withColumn("RANK", F.rank().over(w))
+def leader_board(totals: DataFrame, stat: str = LEADER_STAT) -> DataFrame:
+    """All rows with their RANK by ``stat`` (ties share a rank, NULLs come
+    last). Rows are counted per value first; a value's rank is one more than
+    the rows with larger values, a running total over range partitions."""
+    counts = totals.groupBy(F.col(stat).alias("__stat")).agg(F.count(F.lit(1)).alias("__n"))
+    order = [F.col("__stat").desc_nulls_last()]
+    ranks = running_totals(counts, order, {"__before": F.col("__n")})
+    ranked = totals.join(ranks, totals[stat].eqNullSafe(ranks["__stat"]))
+    return ranked.select(*totals.columns, (F.col("__before") + 1).cast("int").alias("RANK"))
 
 
 def newest_games(games: DataFrame, n: int = GAME_LOG_ROWS, date: str = "GAME_DATE",
-                 key: str = "GAME_ID") -> DataFrame:
-    return games.orderBy(F.col(date).desc_nulls_last(), F.col(key).desc()).limit(n)
-
-
-# Most rows the final merge of a top-k may receive (k per input partition).
-MAX_TOPK_MERGE_ROWS = 1_000_000
-
+                 key: Sequence[str] = ("GAME_ID", "TEAM_ID")) -> DataFrame:
+    """The ``n`` newest rows; rows of a day by ``key``, largest first."""
+    return games.orderBy(*_newest_first(F.col(date), key, games.columns)).limit(n)
 
-def newest_day_cutoff(dated: DataFrame, date: str, n: int):
-    """The newest day D such that at least ``n`` rows are dated D or later
-    (None when fewer than ``n`` rows carry a date). Computed from a per-day
-    row histogram: partial aggregation, one row per calendar day reaches the
-    driver, so it is bounded by the calendar, not by the data."""
-    found = _day_cutoff(dated, date, n)
-    return None if found is None else found[0]
 
+# Groups of which each keeps n rows before the final order.
+NEWEST_GROUPS = 64
 
-def _day_cutoff(dated: DataFrame, date: str, n: int):
-    """(D, rows dated after D) for :func:`newest_day_cutoff`."""
-    days = dated.where(F.col(date).isNotNull()).groupBy(date).agg(F.count(F.lit(1)).alias("n"))
-    seen = 0
-    for row in days.orderBy(F.col(date).desc()).toLocalIterator():
-        if seen + row["n"] >= n:
-            return row[date], seen
-        seen += row["n"]
-    return None
 
-
-def _key_cutoff(rows: DataFrame, key: str, r: int):
-    """The r-th largest non-NULL ``key`` among ``rows``: a distributed sort of
-    the one key column, read back one partition at a time and stopped after
-    r keys (None when there are fewer)."""
-    seen = 0
-    for row in rows.where(F.col(key).isNotNull()).select(key).orderBy(
-        F.col(key).desc()
-    ).toLocalIterator():
-        seen += 1
-        if seen == r:
-            return row[key]
-    return None
+def _newest_first(date: Column, key: Sequence[str], columns: Sequence[str]) -> list[Column]:
+    """A total order: the last sort key tells apart all rows but equal ones."""
+    rest = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    return [date.desc_nulls_last(), *[F.col(k).desc_nulls_last() for k in key], rest.desc()]
 
 
 def newest_raw_games(raw: DataFrame, profile: Profile, n: int = GAME_LOG_ROWS,
-                     date: str = "GAME_DATE", key: str = "GAME_ID",
-                     max_merge_rows: int = MAX_TOPK_MERGE_ROWS) -> DataFrame:
-    """Newest-n game log straight from a raw landing: rows are ranked by the
-    parsed date alone, n are kept, and only those n are typed. Typing is
-    row-local, so this equals typing first and cutting after, without
-    typing the rows that are cut.
-
-    A top-k merges k rows from every input partition in one task. When that
-    would exceed ``max_merge_rows``, the input is cut to the rows that can
-    be in the result first: rows newer than the cutoff day
-    (:func:`newest_day_cutoff`, fewer than n) and, of the cutoff day's rows,
-    those whose key reaches the day's r-th largest key (r = n minus the
-    newer rows). The top-k then merges at most n rows plus exact ties; the
-    result is the same.
+                     date: str = "GAME_DATE",
+                     key: Sequence[str] = ("GAME_ID", "TEAM_ID")) -> DataFrame:
+    """Newest-n game log straight from a raw landing, in one scan: rows are
+    ranked by the parsed date alone, n are kept, and only those n are typed.
+    Typing is row-local, so this equals typing first and cutting after.
+
+    Rows fall into ``NEWEST_GROUPS`` groups by a hash of their key; of each
+    group the n newest are kept, first by every task of the scan, then by the
+    group's. The final order merges at most ``NEWEST_GROUPS`` x n rows.
     """
-    parsed = raw.withColumn("__date", parse_iso_date(date))
-    if parsed.rdd.getNumPartitions() * n > max_merge_rows:
-        found = _day_cutoff(parsed, "__date", n)
-        if found is not None:
-            day, newer = found
-            d = F.col("__date")
-            keep = d >= F.lit(day)
-            k2 = _key_cutoff(parsed.where(d == F.lit(day)), key, n - newer)
-            if k2 is not None:
-                keep = (d > F.lit(day)) | ((d == F.lit(day)) & (F.col(key) >= F.lit(k2)))
-            parsed = parsed.where(keep)
-    top = parsed.orderBy(F.col("__date").desc_nulls_last(), F.col(key).desc()).limit(n)
-    return apply_profile(top.drop("__date"), profile)
+    order = _newest_first(F.col("__date"), key, raw.columns)
+    parsed = (raw.withColumn("__date", parse_iso_date(date))
+              .withColumn("__group", F.pmod(F.xxhash64(*key), F.lit(NEWEST_GROUPS))))
+    newest = Window.partitionBy("__group").orderBy(*order)
+    kept = parsed.withColumn("__place", F.row_number().over(newest)).filter(F.col("__place") <= n)
+    top = kept.orderBy(*order).limit(n)
+    return apply_profile(top.drop("__date", "__group", "__place"), profile)
 
 
 def season_totals_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,6 +105,18 @@ def newest_games_q(spark: SparkSession, sf: str) -> DataFrame:
     return newest_raw_games(D.team_box_raw(spark, sf), TEAM_BOX_PROFILE)
 
 
+# The season that the season query asks for.
+SEASON = "1995-96"
+
+
+def season_games_q(spark: SparkSession, sf: str) -> DataFrame:
+    kind = (1 + F.col("l_linenumber") % 4).cast("string")
+    games = load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.concat(kind, F.year("l_shipdate").cast("string")).alias("SEASON_ID"))
+    return season_games(games, SEASON)
+
+
 _SUMS = ", ".join(f'CAST(sum("{c}") AS BIGINT) AS "{c}"' for c in TOTAL_STATS)
 ORACLE_SEASON_TOTALS = (
     f'SELECT "PLAYER_ID", count(*) AS "GP", {_SUMS}\n'
@@ -132,16 +124,20 @@ ORACLE_SEASON_TOTALS = (
 )
 ORACLE_LEADER_BOARD = (
     f'SELECT *, CAST(rank() OVER (ORDER BY "{LEADER_STAT}" DESC NULLS LAST) AS INTEGER) AS "RANK"\n'
-    f"FROM ({ORACLE_SEASON_TOTALS}) t\n"
-    f'ORDER BY "{LEADER_STAT}" DESC NULLS LAST, "PLAYER_ID" ASC LIMIT {LEADER_ROWS}'
+    f"FROM ({ORACLE_SEASON_TOTALS}) t"
 )
 ORACLE_NEWEST_GAMES = (
     f"SELECT * FROM ({D.ORACLE_TEAM_BOX}) g\n"
-    f'ORDER BY "GAME_DATE" DESC NULLS LAST, "GAME_ID" DESC LIMIT {GAME_LOG_ROWS}'
+    f'ORDER BY "GAME_DATE" DESC NULLS LAST, "GAME_ID" DESC, "TEAM_ID" DESC LIMIT {GAME_LOG_ROWS}'
 )
 
+ORACLE_SEASON_GAMES = """
+SELECT l_orderkey, l_linenumber, '21995' AS "SEASON_ID" FROM lineitem
+WHERE l_linenumber % 4 = 1 AND year(l_shipdate) = 1995"""
+
 REPORTS = {
     "season_totals": (season_totals_q, ORACLE_SEASON_TOTALS),
     "leader_board": (leader_board_q, ORACLE_LEADER_BOARD),
+    "season_games": (season_games_q, ORACLE_SEASON_GAMES),
     "newest_games": (newest_games_q, ORACLE_NEWEST_GAMES),
 }

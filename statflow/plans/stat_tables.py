@@ -1,8 +1,8 @@
 """The five statistics tables (G1-G5), payload/page landings (G7, G8) and
 the daily load that writes all five.
 
-Every function is lazy ``DataFrame -> DataFrame``; only :func:`run_daily`
-and the landing writers trigger jobs.
+The table functions are lazy; :func:`run_daily` and the landings, which split
+one parse into rows and quarantine, run jobs.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ from statflow.operators.unpack import (
     html_lines,
     name_positional,
     page_row_is_bad,
+    split_flagged,
     split_malformed,
-    unpack_rowset,
-    unpack_rowset_checked,
+    unpack_rowset_flagged,
 )
 from statflow.plans.profiles import (
     LEADER_NAME_COLUMN,
@@ -71,8 +71,8 @@ def player_information(
 ) -> DataFrame:
     """G1: typed player profiles joined (inner, by PLAYER_ID) with the
     leader board's player name, which becomes PLAYER_NAME. Players without
-    a leader row drop; duplicate leader keys fan out. ``salt`` spreads a
-    hot PLAYER_ID over that many join tasks."""
+    a leader row drop; duplicate leader keys fan out. ``salt`` splits heavy
+    PLAYER_IDs (see :func:`statflow.operators.relate.inner_join`)."""
     typed = apply_profile(info_raw, player_information_profile(country_codes, fill_missing))
     names = leader_raw.select(PLAYER_KEY, LEADER_NAME_COLUMN)
     joined = inner_join(typed, names, PLAYER_KEY, salt=salt)
@@ -141,7 +141,7 @@ def run_daily(
     spark: SparkSession,
     base: str,
     write: Callable[[DataFrame, str], None],
-    salt: int | str = 1,
+    salt: int | str = "auto",
     concurrent_writes: int = 1,
 ) -> dict[str, DataFrame]:
     """Read the five landings, type them and hand each table to ``write``
@@ -151,7 +151,7 @@ def run_daily(
     G1 write and G2's semi-join both read that copy, so the leader and
     information scans run once and a lost executor recomputes from the
     checkpoint, not from the raw landings. ``salt`` is passed to the G1
-    join and the G2 semi-join (``"auto"`` salts heavy PLAYER_IDs only).
+    join and the G2 semi-join (``"auto"`` splits heavy PLAYER_IDs only).
     With ``concurrent_writes > 1`` the four tables after G1 are written by
     that many concurrent Spark jobs, so small tables do not wait for the
     large box scores while the cluster has free cores.
@@ -183,25 +183,30 @@ def run_daily(
     return tables
 
 
-def land_payloads(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+def land_payloads_flagged(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, one_per_line: bool = False
 ) -> DataFrame:
-    """G7: captured API responses -> one string table."""
-    return unpack_rowset(read_payloads(spark, path), "payload", columns)
+    """G7: captured API responses -> string rows and what could not be landed,
+    with ``status`` and ``source`` file. ``one_per_line`` reads JSON Lines."""
+    return unpack_rowset_flagged(read_payloads(spark, path, one_per_line), "payload", columns,
+                                 keep=["source"])
 
 
-def land_payloads_checked(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+def land_payloads(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, one_per_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """G7 with a quarantine for rows longer than their headers; the
-    quarantine keeps the source file of each row."""
-    return unpack_rowset_checked(read_payloads(spark, path), "payload", columns, keep=["source"])
+    """G7 as (string table, quarantine) from one parse: the flagged rows are
+    checkpointed in the shared folder, and both tables read that copy."""
+    ensure_checkpoint_dir(spark)
+    flagged = land_payloads_flagged(spark, path, columns, one_per_line).checkpoint()
+    good, bad = split_flagged(flagged, ["source"])
+    return good.drop("source"), bad
 
 
-# Where the profile page keeps its blocks (stats, info,
-# position) when stored as HTML.
+# Where the profile page keeps its blocks (stats, the two info
+# groups, position) when stored as HTML.
 PAGE_STAT_BLOCKS = r'(?s)<div class="stat">(.*?)</div>'
-PAGE_INFO_BLOCKS = r'(?s)<div class="info">(.*?)</div>'
+PAGE_INFO_BLOCKS = (r'(?s)<div class="info top">(.*?)</div>', r'(?s)<div class="info bottom">(.*?)</div>')
 PAGE_POSITION = r'(?s)<p class="position">(.*?)</p>'
 
 
@@ -210,7 +215,7 @@ def land_pages(
     key: str = "PLAYER_ID",
     html: str = "html",
     stat_pattern: str = PAGE_STAT_BLOCKS,
-    info_pattern: str = PAGE_INFO_BLOCKS,
+    info_pattern: str | Sequence[str] = PAGE_INFO_BLOCKS,
     position_pattern: str = PAGE_POSITION,
     header: Sequence[str] = PLAYER_INFORMATION_HEADER,
 ) -> tuple[DataFrame, DataFrame]:
@@ -229,7 +234,8 @@ def land_pages(
 
 
 # The CSS classes of the profile page's blocks.
-PAGE_STAT_CLASS, PAGE_INFO_CLASS, PAGE_POSITION_CLASS = "stat", "info", "position"
+PAGE_STAT_CLASS, PAGE_POSITION_CLASS = "stat", "position"
+PAGE_INFO_CLASSES = ("top", "bottom")
 
 
 def land_pages_parsed(
@@ -237,7 +243,7 @@ def land_pages_parsed(
     key: str = "PLAYER_ID",
     html: str = "html",
     stat_class: str = PAGE_STAT_CLASS,
-    info_class: str = PAGE_INFO_CLASS,
+    info_class: str | Sequence[str] = PAGE_INFO_CLASSES,
     position_class: str = PAGE_POSITION_CLASS,
     header: Sequence[str] = PLAYER_INFORMATION_HEADER,
 ) -> tuple[DataFrame, DataFrame]:
@@ -249,5 +255,7 @@ def land_pages_parsed(
 
 
 def _name_or_quarantine(rows: DataFrame, header: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    good, bad = split_malformed(rows, page_row_is_bad("values", len(header)))
+    """(rows named by ``header``, quarantine), both from one checkpoint."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    good, bad = split_malformed(rows.checkpoint(), page_row_is_bad("values", len(header)))
     return name_positional(good, "values", header), bad

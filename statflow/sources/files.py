@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,28 +36,6 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def spread(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Spread the rows over the session's cores when the scan yields
-    fewer partitions than cores (a file with a single large row group is
-    read by one task). A scan that already splits wider, as any large
-    dataset does, is returned unchanged, so this never adds a shuffle at
-    scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    if by:
-        # Hashing a unique key: as even as round-robin (a unique key has no
-        # hot value), deterministic without round-robin's local sort, and
-        # filters still move below it into the scan.
-        return df.repartition(cores, *by)
-    # Round-robin keeps both column pruning and predicate pushdown into the
-    # scan, and Spark sorts each input before dealing rows out, so a re-run
-    # map task reproduces the same placement. (Hashing a row-position id is
-    # nondeterministic for the optimizer and stops pushdown; hashing the row
-    # values widens the scan to every column.)
-    return df.repartition(cores)
-
-
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
                partition_by: list[str] | None = None,
                bucket_by: tuple[int, list[str]] | None = None) -> None:
@@ -79,19 +55,6 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "pa
     w.saveAsTable(name)
 
 
-# Unique keys used to spread driver tables whose spread queries read the key
-# anyway (others use round-robin, which adds no column to the scan).
-TABLE_KEYS = {
-    "lineitem": ("l_orderkey", "l_linenumber"),
-    "orders": ("o_orderkey",),
-    "customer": ("c_custkey",),
-    "part": ("p_partkey",),
-}
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table ``{sf_dir}/{name}.parquet``. ``spread_rows`` is for
-    queries with heavy per-row work (regex typing, JSON, text) on a large
-    table (see :func:`spread`; spread by the table's unique key)."""
-    df = spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
-    return spread(df, TABLE_KEYS.get(name, ())) if spread_rows else df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table ``{sf_dir}/{name}.parquet``."""
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")

@@ -8,11 +8,16 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from statflow.session import RECOMMENDED_CONF  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
+    builder = SparkSession.builder
+    for k, v in RECOMMENDED_CONF.items():
+        builder = builder.config(k, v)
     s = (
-        SparkSession.builder.master("local[*]")
+        builder.master("local[*]")
         .appName("statflow-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
@@ -20,7 +25,7 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
+    if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="statflow-test-ckpt-"))
     yield s
 

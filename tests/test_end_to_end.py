@@ -19,14 +19,14 @@ PAGE_TEMPLATE = """<html><body>
 <div class="stat">-</div><div class="stat">RPG<br>{rpg}</div>
 <div class="stat">-</div><div class="stat">APG<br>{apg}</div>
 <div class="stat">-</div><div class="stat">PIE<br>{pie}</div>
-<div class="info">HEIGHT<br>{height}</div><div class="info">|</div>
-<div class="info">WEIGHT<br>{weight}</div><div class="info">|</div>
-<div class="info">COUNTRY<br>{country}</div><div class="info">|</div>
-<div class="info">LAST ATTENDED<br>{school}</div><div class="info">|</div>
-<div class="info">AGE<br>{age}</div><div class="info">|</div>
-<div class="info">BIRTHDATE<br>{born}</div><div class="info">|</div>
-<div class="info">DRAFT<br>{draft}</div><div class="info">|</div>
-<div class="info">EXPERIENCE<br>{exp}</div>
+<div class="info top">HEIGHT<br>{height}</div><div class="info top">|</div>
+<div class="info top">WEIGHT<br>{weight}</div><div class="info top">|</div>
+<div class="info top">COUNTRY<br>{country}</div><div class="info top">|</div>
+<div class="info top">LAST ATTENDED<br>{school}</div>
+<div class="info bottom">AGE<br>{age}</div><div class="info bottom">|</div>
+<div class="info bottom">BIRTHDATE<br>{born}</div><div class="info bottom">|</div>
+<div class="info bottom">DRAFT<br>{draft}</div><div class="info bottom">|</div>
+<div class="info bottom">EXPERIENCE<br>{exp}</div>
 <p class="position">{position}</p></body></html>"""
 
 
@@ -47,7 +47,7 @@ def test_captures_to_five_tables(spark, tmp_dir):
         os.makedirs(f"{raw}/{key}")
         with open(f"{raw}/{key}/response.json", "w") as f:
             f.write(_envelope(header, rows, form))
-        landed = T.land_payloads(spark, f"{raw}/{key}", list(header))
+        landed, _ = T.land_payloads(spark, f"{raw}/{key}", list(header))
         write_csv(landed, f"{landing}/{T.SOURCES[key]}.csv")
     os.makedirs(f"{raw}/pages")
     players = {"201": dict(ppg="25.1", rpg="7.3", apg="8.1", pie="0.19",

@@ -4,17 +4,14 @@ import pytest
 
 from statflow.session import RECOMMENDED_CONF, apply_recommended, ensure_checkpoint_dir
 
-KEY = "spark.sql.codegen.hugeMethodLimit"
-
-
-def test_apply_recommended_sets_unset_values(spark):
-    old = spark.conf.get(KEY)
-    try:
-        spark.conf.set(KEY, "65535")
-        apply_recommended(spark)  # not in the submitted SparkConf -> applied
-        assert spark.conf.get(KEY) == RECOMMENDED_CONF[KEY]
-    finally:
-        spark.conf.set(KEY, old)
+def test_apply_recommended_sets_what_was_not_submitted(spark, monkeypatch):
+    from statflow import session
+
+    submitted = next(iter(RECOMMENDED_CONF))
+    monkeypatch.setattr(session, "RECOMMENDED_CONF", {submitted: "1", "spark.sql.statflow.test": "2"})
+    apply_recommended(spark)
+    assert spark.conf.get("spark.sql.statflow.test") == "2"
+    assert spark.conf.get(submitted) == RECOMMENDED_CONF[submitted]
 
 
 class _Ctx:

@@ -1,7 +1,5 @@
 """Hot keys: a third of the rows on one key (the case every join must survive)."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,8 +23,8 @@ def skewed(spark):
 
 def test_heavy_keys_bounded(skewed):
     facts, _ = skewed
-    assert heavy_keys(facts, "k") == ["hot"]
-    assert heavy_keys(facts, "k", min_share=0.5) == []
+    assert [r.k for r in heavy_keys(facts, "k").collect()] == ["hot"]
+    assert heavy_keys(facts, "k", min_share=0.5).count() == 0
 
 
 def _sizes(df):
@@ -74,60 +72,87 @@ def test_auto_salt_through_flows(spark, skewed, no_broadcast):
     assert semi_reduce(facts, dim, "k", salt="auto").count() == facts.count()
 
 
-@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not present")
-def test_newest_games_cutoff_path_equals_direct(spark):
-    from statflow.plans import driver_flows as D
-    from statflow.plans.profiles import TEAM_BOX_PROFILE
-    from statflow.plans.reports import newest_day_cutoff, newest_raw_games
+def test_one_percent_key_is_split_with_many_partitions(spark, no_broadcast):
+    """With 400 partitions a key of 1 % is four fair partitions: it is split,
+    whichever side holds it, and small keys are not."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        many = spark.range(40_000).select(
+            F.when(F.col("id") % 100 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
+        few = spark.createDataFrame([(-1, "hot"), (1, "one"), (2, "two")], "k long, w string")
+        assert [r.k for r in heavy_keys(many, "k").collect()] == [-1]
+        for left, right in ((many, few), (few, many)):
+            plain, split = inner_join(left, right, "k"), inner_join(left, right, "k", salt="auto")
+            assert sorted(split.collect()) == sorted(plain.collect())
+            assert max(_sizes(plain)) >= 400 and max(_sizes(split)) < 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_skew_join_runs_nothing_while_it_is_planned(spark, skewed):
+    facts, dim = skewed
+    seen = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    skew_join(facts, dim, "k")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == seen
+
+
+def _games(spark, days):
+    """Two rows (teams) per game, ``days``: game -> date."""
+    from tests import fixtures as X
 
-    raw = D.team_box_raw(spark, "/root/testdata/sf0.001")
-    direct = newest_raw_games(raw, TEAM_BOX_PROFILE, n=50)
-    bounded = newest_raw_games(raw, TEAM_BOX_PROFILE, n=50, max_merge_rows=1)
-    assert sorted(direct.collect()) == sorted(bounded.collect())
-    assert len(direct.collect()) == 50
-    dated = spark.createDataFrame([("2024-01-0%d" % (i % 3 + 1),) for i in range(9)], "d string")
-    dated = dated.selectExpr("CAST(d AS DATE) AS d")
-    assert str(newest_day_cutoff(dated, "d", 4)) == "2024-01-02"
-    assert newest_day_cutoff(dated, "d", 100) is None
+    header = list(X.TEAM_BOX_HEADER)
+    rows = []
+    for game, day in days.items():
+        for team in ("1610", "1611"):
+            r = list(X.TEAM_BOX_ROWS[0])
+            r[header.index("GAME_ID")], r[header.index("GAME_DATE")] = game, day
+            r[header.index("TEAM_ID")] = team
+            rows.append(tuple(r))
+    return X.frame(spark, header, rows)
 
 
-def test_newest_games_cut_with_a_crowded_cutoff_day(spark):
-    """Most rows on the newest day: the key cutoff keeps the merge to n rows."""
+@pytest.mark.parametrize("n", [1, 7, 40, 10_000])
+def test_newest_games_are_one_answer_whatever_the_partitions(spark, n):
     from statflow.plans.profiles import TEAM_BOX_PROFILE
     from statflow.plans.reports import newest_raw_games
-    from tests import fixtures as X
 
-    row = list(X.TEAM_BOX_ROWS[0])
-    rows = []
-    for i in range(300):
-        r = list(row)
-        r[3] = f"G{i:04d}"  # GAME_ID
-        r[4] = "2023-10-24" if i % 10 else f"2023-10-{10 + i % 9:02d}"  # most on one day
-        rows.append(tuple(r))
-    raw = X.frame(spark, X.TEAM_BOX_HEADER, rows).repartition(6)
-    direct = newest_raw_games(raw, TEAM_BOX_PROFILE, n=40)
-    cut = newest_raw_games(raw, TEAM_BOX_PROFILE, n=40, max_merge_rows=1)
-    assert sorted(cut.collect()) == sorted(direct.collect())
-    assert len(direct.collect()) == 40
-    newest_day = sorted((f"G{i:04d}" for i in range(300) if i % 10), reverse=True)
-    assert sorted(r.GAME_ID for r in direct.collect()) == sorted(newest_day[:40])
-
-
-def test_newest_games_cut_when_cutoff_day_keys_are_null(spark):
+    days = {f"G{i:04d}": "2023-10-24" if i % 10 else f"2023-10-{10 + i % 9:02d}" for i in range(150)}
+    days |= {"X1": None, "X2": "--"}
+    raw = _games(spark, days)
+    order = sorted(((d if d and d[0] == "2" else "", g, t) for g, d in days.items()
+                    for t in ("1610", "1611")), reverse=True)[:n]
+    for parts in (raw, raw.repartition(7), raw.orderBy("GAME_ID").coalesce(1)):
+        got = newest_raw_games(parts, TEAM_BOX_PROFILE, n=n)
+        assert sorted(((str(r.GAME_DATE or ""), r.GAME_ID, r.TEAM_ID) for r in got.collect()),
+                      reverse=True) == order
+
+
+def test_newest_games_with_null_keys(spark):
     from statflow.plans.profiles import TEAM_BOX_PROFILE
     from statflow.plans.reports import newest_raw_games
-    from tests import fixtures as X
 
-    row = list(X.TEAM_BOX_ROWS[0])
-    rows = []
-    for i in range(30):
-        r = list(row)
-        r[3] = None if i % 2 else f"G{i:02d}"  # half of the keys are missing
-        r[4] = "2023-10-24" if i < 20 else "2023-10-01"
-        rows.append(tuple(r))
-    raw = X.frame(spark, X.TEAM_BOX_HEADER, rows).repartition(4)
-    direct = newest_raw_games(raw, TEAM_BOX_PROFILE, n=15)
-    cut = newest_raw_games(raw, TEAM_BOX_PROFILE, n=15, max_merge_rows=1)
-    assert len(cut.collect()) == 15
-    key = lambda r: (str(r.GAME_DATE), r.GAME_ID or "")
-    assert sorted(map(key, cut.collect())) == sorted(map(key, direct.collect()))
+    raw = _games(spark, {f"G{i:02d}": "2023-10-24" for i in range(10)})
+    raw = raw.withColumn("GAME_ID", F.when(F.col("GAME_ID") > "G04", F.col("GAME_ID")))
+    got = newest_raw_games(raw, TEAM_BOX_PROFILE, n=14).collect()
+    assert len(got) == 14 and sum(r.GAME_ID is None for r in got) == 4
+
+
+def test_leader_board_ranks_everyone(spark):
+    """9 players on 50 points, 5 on 40, one without points: nobody is cut."""
+    from statflow.plans.reports import leader_board
+
+    rows = [(i, 50) for i in range(9)] + [(i, 40) for i in range(9, 14)] + [(14, None)]
+    totals = spark.createDataFrame(rows, "PLAYER_ID int, PTS long")
+    got = {r.PLAYER_ID: r.RANK for r in leader_board(totals).collect()}
+    assert got == {**{i: 1 for i in range(9)}, **{i: 10 for i in range(9, 14)}, 14: 15}
+
+
+def test_season_filter(spark):
+    from statflow.plans.reports import season_games
+
+    df = spark.createDataFrame([("22023",), ("42023",), ("22022",), (None,)], "SEASON_ID string")
+    assert [r[0] for r in season_games(df, "2023-24").collect()] == ["22023"]
+    assert [r[0] for r in season_games(df, "2023-24", "Playoffs").collect()] == ["42023"]
+    with pytest.raises(ValueError):
+        season_games(df, "2023-24", "Summer")
