@@ -131,7 +131,22 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.history(_table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP8_SQL = """
+WITH facts AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM facts WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM facts LEFT JOIN firsts USING (payload_digest)
+"""
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +156,43 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "symbols_per_word", "stop_word_ratio", "dup_line_ratio")
 
 
+_STOPS = ", ".join(f"'{w}'" for w in sorted({x for v in quality.STOP_WORDS.values() for x in v.split()}))
+OP9_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM cut)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE c >= 2) GROUP BY doc_id
+), base AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(list_sum(list_transform(ws, lambda x: length(x))) AS BIGINT) AS chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines,
+         len(list_filter(ws, lambda x: lower(x) IN (""" + _STOPS + r"""))) AS n_stops
+  FROM cut
+), measured AS (
+  SELECT b.doc_id, n_words, coalesce(chars, 0) AS word_chars, n_symbols, n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+         n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed,
+         CASE WHEN n_words > 0 THEN coalesce(chars, 0) / n_words ELSE 0 END AS mean_word_length,
+         CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbols_per_word,
+         CASE WHEN n_words > 0 THEN n_stops / n_words ELSE 0 END AS stop_word_ratio,
+         CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_ratio
+  FROM base b LEFT JOIN repeated r USING (doc_id)
+)
+SELECT *, NOT base_failed AND n_words <= 100000 AND mean_word_length BETWEEN 2 AND 14
+          AND symbols_per_word <= 0.1 AND stop_word_ratio >= 0.02 AND dup_line_ratio <= 0.5 AS kept
+FROM measured
+"""
+
+
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_held_out(_table(spark, sf_dir, "documents"))
 
@@ -153,8 +205,8 @@ QUERIES = {
     "op5_urls": (op5_urls, OP5_SQL),
     "op6_ann": (op6_ann, None),
     "op7_toxicity": (op7_toxicity, None),
-    "op8_warc": (op8_warc, None),
-    "op9_quality": (op9_quality, None),
+    "op8_warc": (op8_warc, OP8_SQL),
+    "op9_quality": (op9_quality, OP9_SQL),
     "op10_lm": (op10_lm, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
