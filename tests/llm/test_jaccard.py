@@ -33,10 +33,13 @@ def brute(texts):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("long_level", [1, 7])
-def test_components_equal_brute_force(spark, monkeypatch, long_level):
-    """With level 1 shared tokens take the path of long lists."""
+@pytest.mark.parametrize("long_level, block", [(1, 5), (1, 512), (7, 512)])
+def test_components_equal_brute_force(spark, monkeypatch, long_level, block):
+    """With level 1 shared tokens take the path of long lists; small blocks cut
+    their groups."""
     monkeypatch.setattr(jaccard, "LONG_LEVEL", long_level)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "LIKELIEST", 1)
     texts = D.near_copies()
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()}
