@@ -10,11 +10,11 @@ right, this one keeps lists short.
   position in its set. Blocks whose sizes or positions leave too small an
   overlap are skipped as a whole. Pairs must then share enough prefix tokens,
   counted over all lists, before their sets are compared.
-* Answer skipping: the members of a long list are first compared with a few
-  pivots only. Sets similar to the same pivot have the same component; their
-  pairs are already answered and are skipped, so that a large group of near
-  copies costs about as many comparisons as it has members. The remaining
-  members of the list are compared with all others, those of other components.
+* Answer skipping: classes in long lists are cut into blocks and counted
+  against each other block by block. Each is first compared with the few
+  partners that share most of its prefix; sets in one component after that
+  have their pairs answered, and only pairs across components are left, so
+  that a large group of near copies costs a few comparisons per member.
 
 Sets that take part in a comparison are made again from their texts, found by
 a bit array of fixed size (whose false hits an exact join removes), so whole
@@ -29,6 +29,7 @@ not name it; an empty table gives no rows; other columns are not carried.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,10 @@ SKETCH = 1 << 21
 CHUNK = 1 << 16
 #: Tokens so much more frequent than the sketch's noise have long lists.
 LONG_LEVEL = 7
-PIVOTS = 8
+#: Classes of long lists per block; partners a class is first compared with, per
+#: pair of blocks.
+BLOCK = 512
+LIKELIEST = 3
 #: Bits of the array that finds texts whose sets are needed, at most.
 FIND_BITS = 1 << 24
 
@@ -69,12 +73,13 @@ def _chunk(chunk: int, values: np.ndarray):
 
     small = values.max(initial=0) < 1 << 16
     part = TaskContext.get().partitionId() % 64
-    data = values.astype(np.uint16 if small else np.int64).tobytes()
+    data = zlib.compress(values.astype(np.uint16 if small else np.int64).tobytes(), 1)
     return pa.record_batch([pa.array([chunk], pa.int32()), pa.array([part], pa.int32()),
                             pa.array([data], pa.binary())], names=["chunk", "part", "data"])
 
 
 def _counters(data: bytes) -> np.ndarray:
+    data = zlib.decompress(data)
     return np.frombuffer(data, np.uint16 if len(data) == 2 * CHUNK else np.int64)
 
 
@@ -192,7 +197,7 @@ def _fits(na: Column, pa_: Column, nb: Column, pb: Column) -> Column:
 def list_pairs(index: DataFrame) -> DataFrame:
     """A row (a < b, their sizes) for every token two classes share, from lists
     cut into blocks of similar size and position. ``comp`` answers pairs."""
-    size = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(4 / 3)))).cast("int")
+    size = _size_block(F.col("n"))
     place = F.floor(F.col("pos") * 16 / F.col("n")).cast("int")
     member = F.struct("id", "n", "pos", "comp")
     cut = (index.withColumn("_size", size).withColumn("_place", place)
@@ -226,39 +231,119 @@ def _ordered(x: str, y: str) -> list[Column]:
             F.when(first, F.col(f"{y}.n")).otherwise(F.col(f"{x}.n")).alias("nb")]
 
 
-def rest_pairs(index: DataFrame) -> DataFrame:
-    """As :func:`list_pairs`, for long lists whose members mostly share one
-    component: only members outside their list's largest component are paired,
-    with all members of other components."""
-    parts = index.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("_k"))
-    main = parts.groupBy("token").agg(F.max(F.struct("_k", "comp")).alias("_m"),
-                                      F.count(F.lit(1)).alias("_parts"))
-    main = main.filter("_parts > 1").select("token", F.col("_m.comp").alias("_main"))
-    open_lists = index.join(main, "token")
-    out = open_lists.filter("comp <> _main").select("token", F.struct("id", "n", "pos", "comp").alias("x"))
-    every = open_lists.select("token", F.struct("id", "n", "pos", "comp").alias("y"), "_main")
-    once = (F.col("y.comp") == F.col("_main")) | (F.col("x.id") < F.col("y.id"))
-    return (out.join(every, "token")
-            .filter(once & (F.col("x.comp") != F.col("y.comp"))
-                    & _fits(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
-            .select(*_ordered("x", "y")))
-
-
-def enough_shared(pairs: DataFrame) -> DataFrame:
+def enough_shared(pairs: DataFrame, listed: DataFrame) -> DataFrame:
     """Pairs that share enough prefix tokens: what lies behind the prefix of
-    the set whose prefix ends first can add no more than its size."""
+    the set whose prefix ends first can add no more than its size. ``pairs``
+    has a row per token shared in short lists; in long lists two sets may
+    share as many tokens as both have there."""
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("na").alias("na"),
                                           F.first("nb").alias("nb"))
+    extra = listed.filter("long").groupBy("id").agg(F.count(F.lit(1)).alias("_k"))
+    for end in ("a", "b"):
+        counted = counted.join(extra.select(F.col("id").alias(end), F.col("_k").alias(f"_k{end}")), end, "left")
 
     def behind(n: Column) -> Column:
         return F.ceil(n * PERCENT / 100) - 1
 
-    most = F.col("shared") + F.greatest(behind(F.col("na")), behind(F.col("nb")))
+    most = (F.col("shared") + F.least(F.coalesce("_ka", F.lit(0)), F.coalesce("_kb", F.lit(0)))
+            + F.greatest(behind(F.col("na")), behind(F.col("nb"))))
     return counted.filter(most >= overlap_needed(F.col("na"), F.col("nb"))).select("a", "b")
 
 
+def _size_block(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(4 / 3)))).cast("int")
+
+
+def long_blocks(listed: DataFrame) -> DataFrame:
+    """The classes in long lists, one row each (id, n, tokens: those in long
+    lists, other: the number of those in short ones, g: a group of classes
+    that long lists connect), cut into blocks of a group by size, so that two
+    classes of different groups, or of distant blocks, cannot be similar by
+    their long lists."""
+    member = listed.groupBy("id").agg(
+        F.first("n").alias("n"), F.collect_list(F.when(F.col("long"), F.col("token"))).alias("tokens"),
+        F.sum(F.when(F.col("long"), 0).otherwise(1)).alias("other")).filter(F.size("tokens") > 0)
+    long_lists = listed.filter("long").select("token", "id")
+    heads = long_lists.groupBy("token").agg(F.min("id").alias("b"))
+    group = components(long_lists.join(heads, "token").select(F.col("id").alias("a"), "b"))
+    named = (member.join(group.withColumnRenamed("node", "id"), "id", "left")
+             .withColumn("g", F.coalesce("component", "id")).drop("component")
+             .withColumn("size", _size_block(F.col("n"))))
+    cuts = named.groupBy("g", "size").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_cuts"))
+    return (named.join(cuts, ["g", "size"])
+            .withColumn("cut", F.pmod(F.xxhash64("id", F.lit(2)), F.col("_cuts"))).drop("_cuts"))
+
+
+def block_pairs(member: DataFrame, top: int | None = None) -> DataFrame:
+    """Pairs (a, b) of classes of different ``comp`` that share enough of their
+    prefixes; with ``top``, of each class and pair of blocks only the ``top``
+    that share most. Two blocks are compared in one task by the product of
+    their incidence matrices; blocks that one component answers are skipped."""
+    block = ["g", "size", "cut"]
+    blocks = member.groupBy(*block).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    left, right = (blocks.select("g", *[F.col(c).alias(s + c) for c in ("size", "cut", "c0", "c1")])
+                   for s in ("l", "r"))
+    order = ((F.col("lsize") < F.col("rsize"))
+             | ((F.col("lsize") == F.col("rsize")) & (F.col("lcut") <= F.col("rcut"))))
+    answered = (F.col("lc0") == F.col("lc1")) & (F.col("rc0") == F.col("rc1")) & (F.col("lc0") == F.col("rc0"))
+    met = left.join(right, "g").filter(order & (F.col("rsize") - F.col("lsize") <= 1) & ~answered)
+    ends = met.select("g", F.struct("lsize", "lcut", "rsize", "rcut").alias("meet"), F.explode(F.array(
+        F.struct(F.col("lsize").alias("size"), F.col("lcut").alias("cut"), F.lit(0).alias("side")),
+        F.struct(F.col("rsize").alias("size"), F.col("rcut").alias("cut"), F.lit(1).alias("side")))).alias("e"))
+    asks = ends.select("g", "meet", "e.*")
+
+    def find(rows):
+        import pandas as pd
+
+        sides = [rows[rows["side"] == k].sort_values("id") for k in (0, 1)]
+        if not len(sides[0]) or not len(sides[1]):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        parts = [(x["id"].to_numpy(), x["n"].to_numpy(), x["other"].to_numpy(), x["comp"].to_numpy(),
+                  [np.asarray(t, np.int64) for t in x["tokens"]]) for x in sides]
+        shared = _shared(parts[0][4], parts[1][4])
+        (ia, na, oa, ca, _), (ib, nb, ob, cb, _) = parts
+        need = np.ceil((na[:, None] + nb[None, :]) * PERCENT / (100 + PERCENT) - 1e-9)
+        behind = np.maximum((-(-PERCENT * na // 100) - 1)[:, None], (-(-PERCENT * nb // 100) - 1)[None, :])
+        most = shared + np.minimum(oa[:, None], ob[None, :]) + behind
+        fits = ((shared > 0) & (most >= need) & (ca[:, None] != cb[None, :])
+                & (np.minimum(na[:, None], nb[None, :]) * 100 >= np.maximum(na[:, None], nb[None, :]) * PERCENT))
+        if np.array_equal(ia, ib):
+            fits &= ia[:, None] < ib[None, :]
+        if top is not None:
+            likely = np.where(fits, shared / need, -1.0)
+            best = np.zeros_like(fits)
+            for axis in (0, 1):
+                order = np.argsort(-likely, axis=axis, kind="stable")
+                np.put_along_axis(best, order[:top] if axis == 0 else order[:, :top], True, axis)
+            fits &= best
+        x, y = np.nonzero(fits)
+        return pd.DataFrame({"a": np.minimum(ia[x], ib[y]), "b": np.maximum(ia[x], ib[y])})
+
+    rows = member.join(asks, block).select("g", "meet", "side", "id", "n", "other", "comp", "tokens")
+    return rows.groupBy("g", "meet").applyInPandas(find, "a long, b long").distinct()
+
+
+def _shared(left: list, right: list) -> np.ndarray:
+    """Numbers of tokens that each of ``left`` shares with each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    flat = [np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right)]
+    both = np.intersect1d(*flat)
+    who = [np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (left, right)]
+    for lo in range(0, len(both), 2048):
+        own = both[lo:lo + 2048]
+        made = []
+        for tokens, of, x in zip(flat, who, (left, right)):
+            at = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
+            hit = own[at] == tokens
+            one = np.zeros((len(x), len(own)), np.float32)
+            one[of[hit], at[hit]] = 1
+            made.append(one)
+        out += made[0] @ made[1].T
+    return out
+
+
 class Join:
-    """One self-join: its documents, classes and where it keeps tables."""
+    """One self-join: its documents and where it keeps tables."""
 
     def __init__(self, docs: DataFrame, key: str, text: str):
         self.docs, self.key, self.text = docs, key, text
@@ -357,28 +442,22 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         _with_company(entries(classes, levels)).withColumn("comp", F.col("id")), "entries")
     marks = member.filter("n > 0").groupBy("class").agg(F.min("mark").alias("mark"))
 
-    # long lists: pivots first, then only what they leave open
-    long_lists = listed.filter("long")
-    answered = None
-    if not long_lists.isEmpty():
-        salt = F.pmod(F.xxhash64("id"), F.lit(PIVOTS))
-        pivots = (long_lists.groupBy("token", salt.alias("_salt"))
-                  .agg(F.min(F.struct(F.xxhash64("id", F.lit(1)), "id")).alias("_p"))
-                  .select("token", F.col("_p.id").alias("b")).distinct())
-        stars = (long_lists.select("token", F.col("id").alias("a")).join(pivots, "token")
-                 .filter("a <> b").select("a", "b").distinct())
-        star_links = join.kept(join.links(stars, marks, "stars"), "links-stars")
-        answered = components(star_links).checkpoint()
-        listed = (listed.join(answered.withColumnRenamed("node", "id"), "id", "left")
-                  .withColumn("comp", F.coalesce("component", "comp")).drop("component"))
+    # long lists: their likeliest pairs first, then what these leave open
+    links = None
+    if not listed.filter("long").isEmpty():
+        crowd = join.kept(long_blocks(listed).withColumn("comp", F.col("id")), "crowd")
+        for k, top in enumerate((LIKELIEST, LIKELIEST, None)):
+            found = join.kept(join.links(block_pairs(crowd, top), marks, f"long-{k}"), f"links-long-{k}")
+            links = found if links is None else links.unionByName(found)
+            if top is None:
+                break
+            answered = components(links).checkpoint()
+            crowd = join.kept(_answered(crowd.drop("comp"), answered), f"crowd-{k}")
+            listed = _answered(listed.drop("comp"), answered)
         listed = join.kept(listed, "answered")
-    # all lists of a pair count for what it shares
-    pairs = list_pairs(listed.filter("NOT long"))
-    if answered is not None:
-        pairs = pairs.unionByName(rest_pairs(listed.filter("long")))
-    links = join.links(enough_shared(pairs), marks, "pairs")
-    if answered is not None:
-        links = links.unionByName(star_links)
+    pairs = enough_shared(list_pairs(listed.filter("NOT long")), listed)
+    short_links = join.links(pairs, marks, "short")
+    links = short_links if links is None else links.unionByName(short_links)
     comps = components(links).select(F.col("node").alias("class"), "component").checkpoint()
 
     # linked or repeated classes get their component's smallest id; others keep their own
@@ -410,6 +489,12 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return own.unionByName(rest).drop("_mark")
 
 
+def _answered(rows: DataFrame, answered: DataFrame) -> DataFrame:
+    """``rows`` (by id) with the component found for the id so far."""
+    return (rows.join(answered.withColumnRenamed("node", "id"), "id", "left")
+            .withColumn("comp", F.coalesce("component", "id")).drop("component"))
+
+
 def _with_company(index: DataFrame) -> DataFrame:
     """Entries of tokens with more than one class. Long lists (by the sketch)
     are not counted, so that no token's rows need to meet in one task."""
