@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from statflow.session import ensure_checkpoint_dir
 
+EDGES_PER_FILE = 50_000
+
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -17,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = _both(edges)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
     return (both.join(least, "a").filter(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+            .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -29,18 +31,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(own).filter("a <> b").distinct()
 
 
+def _stored(edges: DataFrame, parts: int | None = None) -> DataFrame:
+    """``edges`` in the shared folder, in at most ``parts`` files."""
+    return (edges if parts is None else edges.coalesce(parts)).checkpoint()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): for every node of ``edges`` (a, b: long) the smallest
     node it is connected to. A round halves the distances, about; each is
     checkpointed. No edges: no rows; NULL ends are ignored."""
     ensure_checkpoint_dir(edges.sparkSession)
-    now = edges.select("a", "b").filter("a <> b").distinct().checkpoint()
-    mark = None
+    now, mark = _stored(edges.select("a", "b").filter("a <> b").distinct()), None
     while True:
-        new = (now.count(), now.agg(F.sum(F.xxhash64("a", "b") % (1 << 40))).first()[0])
+        new = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first())
         if new[0] == 0 or new == mark:
             break
         mark = new
-        now = _small_star(_large_star(now)).checkpoint()
+        # what a round leaves is at most its edges: few edges go to few files
+        parts = 1 + new[0] // EDGES_PER_FILE
+        now = _stored(_small_star(_large_star(now)), parts)
     leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -51,7 +51,7 @@ LONG_LEVEL = 7
 #: Classes of long lists per block; partners a class is first compared with, per
 #: pair of blocks.
 BLOCK = 512
-LIKELIEST = 3
+LIKELIEST = 4
 #: Bits of the array that finds texts whose sets are needed, at most.
 FIND_BITS = 1 << 24
 
@@ -446,7 +446,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     links = None
     if not listed.filter("long").isEmpty():
         crowd = join.kept(long_blocks(listed).withColumn("comp", F.col("id")), "crowd")
-        for k, top in enumerate((LIKELIEST, LIKELIEST, None)):
+        for k, top in enumerate((LIKELIEST, None)):
             found = join.kept(join.links(block_pairs(crowd, top), marks, f"long-{k}"), f"links-long-{k}")
             links = found if links is None else links.unionByName(found)
             if top is None:
