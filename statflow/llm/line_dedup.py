@@ -9,8 +9,9 @@ close, one segment of the shorter stands unchanged in the longer, within a
 small shift that depends on the lengths and the segment (multi-match-aware
 windows). So each line is indexed by its segments and probes the indexes of
 lines up to EDITS characters shorter with its substrings. Candidates must also
-have close letter parities: an edit changes the parity of at most two letters'
-counts. What is left is verified by banded edit distance on bit vectors: the
+have close numbers of some frequent letters: an edit takes one away and adds one
+at the most. What is left is verified, without the words
+that both have at the start and the end, by banded edit distance on bit vectors: the
 vertical differences of a band of a column are the bits of two numbers, and a
 character moves the band down by one in a few operations. All of it is built-in
 functions.
@@ -37,6 +38,8 @@ from statflow.session import ensure_checkpoint_dir
 
 EDITS = 2
 MIN_CHARS = 24
+#: Fixed value: frequent letters whose numbers are compared first.
+LETTERS = "eanrit"
 
 
 def _mark(key: str, text: str) -> Column:
@@ -60,13 +63,22 @@ def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             .withColumn("_line_hash", F.xxhash64("_line")))
 
 
-def parity(line: Column) -> Column:
-    """32 bits: parities of the numbers of characters, by their code mod 32."""
-    def flip(acc: Column, c: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1), F.ascii(c).bitwiseAND(F.lit(31)))
-        return acc.bitwiseXOR(bit)
+def letter_counts(line: Column) -> Column:
+    """The numbers of ``LETTERS``, mod 1,024, side by side in 64 bits."""
+    out = F.lit(0).cast("long")
+    for k, c in enumerate(LETTERS):
+        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(1023)), 10 * k))
+    return out
+
 
-    return F.aggregate(F.split(line, ""), F.lit(0), flip)
+def letters_apart(a: Column, b: Column) -> Column:
+    """At least so many letters does one line have more than the other."""
+    out = F.lit(0).cast("long")
+    for k in range(len(LETTERS)):
+        d = (F.shiftright(a, 10 * k) - F.shiftright(b, 10 * k)).bitwiseAND(F.lit(1023))
+        out = out + F.least(d, 1024 - d)
+    return out
 
 
 def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -158,6 +170,41 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
     return _let(whole, run) <= edits
 
 
+def _between(a: Column, b: Column, edits: int) -> Column:
+    """``a`` and ``b`` (fields s and t) without the words they share at the
+    start and at the end, which do not count for their distance. Every word
+    keeps the space behind it; a common lead-in makes both long enough."""
+    def ends(x: Column) -> Column:
+        def same(v: Column, w: Column) -> Column:
+            first = F.array_position(F.zip_with(v, w, lambda y, z: y.eqNullSafe(z)), False)
+            return F.when(first > 0, first - 1).otherwise(F.least(F.size(v), F.size(w))).cast("int")
+
+        def rest(v: Column, skip: Column) -> Column:
+            return F.slice(v, skip + 1, F.size(v))
+
+        def cut(head: Column) -> Column:
+            left = F.struct(F.reverse(rest(x["v"], head)).alias("v"), F.reverse(rest(x["w"], head)).alias("w"))
+            return _let(left, lambda y: _let(same(y["v"], y["w"]), lambda tail: F.struct(
+                spelled(rest(y["v"], tail)).alias("s"), spelled(rest(y["w"], tail)).alias("t"))))
+
+        return _let(same(x["v"], x["w"]), cut)
+
+    def spelled(backwards: Column) -> Column:
+        words = F.transform(F.reverse(backwards), lambda y: F.concat(y, F.lit(" ")))
+        return F.concat(F.lit("." * (2 * edits + 2)), F.array_join(words, ""))
+
+    return _let(F.struct(F.split(a, " ").alias("v"), F.split(b, " ").alias("w")), ends)
+
+
+def similar(a: Column, b: Column, edits: int = EDITS) -> Column:
+    """Whether lines are at most ``edits`` edits apart."""
+    def check(x: Column) -> Column:
+        apart = F.abs(F.char_length(x["s"]) - F.char_length(x["t"]))
+        return F.when(apart > edits, False).otherwise(within(x["s"], x["t"], edits))
+
+    return _let(_between(a, b, edits), check)
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of ``value``, which is computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -165,16 +212,16 @@ def _let(value: Column, body) -> Column:
 
 def candidates(different: DataFrame, edits: int = EDITS) -> DataFrame:
     """Pairs (a, b) of different lines that share a segment and have close
-    parities. Segments shared by very many lines are skewed keys of this join,
+    letter counts. Segments shared by very many lines are skewed keys of this join,
     which Spark splits; only pairs that pass come out of it."""
     length = F.char_length("_line")
-    index = different.select(F.col("_line_hash").alias("a"), F.col("_parity").alias("_pa"),
+    index = different.select(F.col("_line_hash").alias("a"), F.col("_letters").alias("_ca"),
                              F.explode(index_keys(F.col("_line"), length, edits)).alias("_key"))
-    probe = different.select(F.col("_line_hash").alias("b"), F.col("_parity").alias("_pb"),
+    probe = different.select(F.col("_line_hash").alias("b"), F.col("_letters").alias("_cb"),
                              F.explode(probe_keys(F.col("_line"), length, edits)).alias("_key"))
-    near = F.bit_count(F.col("_pa").bitwiseXOR(F.col("_pb"))) <= 2 * edits
+    near = letters_apart(F.col("_ca"), F.col("_cb")) <= 2 * edits
     return (index.join(probe, (index["_key"] == probe["_key"]) & (F.col("a") != F.col("b")) & near)
-            .select("a", "b").distinct())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
@@ -187,18 +234,19 @@ def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int
         F.min("_line_at").alias("_first"), F.count(F.lit(1)).alias("_k"), F.first("_line").alias("_line"))
     table = "lines_" + uuid.uuid4().hex
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (different.withColumn("_parity", parity(F.col("_line"))).write.bucketBy(buckets, "_line_hash")
-     .option("compression", "zstd").saveAsTable(table))
+    (different.withColumn("_letters", letter_counts(F.col("_line"))).write.bucketBy(buckets, "_line_hash")
+     .saveAsTable(table))
     kept = spark.table(table)
 
-    # candidates meet their lines where these are
+    # candidates meet their lines where these are: the few are hashed, the
+    # lines stream by
     texts = kept.select("_line_hash", "_line", "_first")
-    pairs = candidates(kept, edits)
+    pairs = candidates(kept, edits).hint("shuffle_hash")
     one = pairs.join(texts.select(F.col("_line_hash").alias("a"), F.col("_line").alias("_la"),
-                                  F.col("_first").alias("_fa")), "a")
+                                  F.col("_first").alias("_fa")), "a").hint("shuffle_hash")
     both = one.join(texts.select(F.col("_line_hash").alias("b"), F.col("_line").alias("_lb"),
                                  F.col("_first").alias("_fb")), "b")
-    links = both.filter(within(F.col("_la"), F.col("_lb"), edits))
+    links = both.filter(similar(F.col("_la"), F.col("_lb"), edits))
     later = links.select(F.when(F.col("_fa") < F.col("_fb"), F.col("b")).otherwise(F.col("a"))
                          .alias("_line_hash")).distinct().withColumn("_near", F.lit(True))
     # of the lines only those that are dropped somewhere go on

