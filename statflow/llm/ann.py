@@ -4,9 +4,11 @@ Vectors of length 1 are rotated by one random rotation, which spreads their
 differences evenly over the dimensions, and put into the lists of the nearest
 of a number of centroids (k-means over a bounded sample: ``SAMPLE`` vectors by
 hash). A query probes the lists whose centroids are nearest, and scans their
-vectors in blocks of dimensions (and knows the best of the sample): a candidate whose distance so far, scaled to
+vectors in blocks of dimensions: a candidate whose distance so far, scaled to
 all dimensions, exceeds the best known k-th distance by more than chance allows
-is given up. That bound starts from the sample and tightens within a list.
+is given up. That bound starts from the sampled vectors in the probed lists and
+tightens within a list; the nearest lists that hold enough candidates are scanned
+without it, so a query never finds fewer. The sample gives no rows.
 Scores of what is left are cosines of the original vectors, in double precision.
 
 Every vector is in a list. Long lists are cut into chunks and their queries
@@ -144,9 +146,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
     turn = rotation(sample.shape[1])
     sample = sample @ turn
     centroids = kmeans(sample, max(1, min(MAX_LISTS, int(np.sqrt(n)))))
-    known_x = _matrix([r["x"] for r in picked[:BOUND_SAMPLE]])
-    shared = spark.sparkContext.broadcast((turn, centroids, picked_ids[:BOUND_SAMPLE],
-                                           sample[:BOUND_SAMPLE], known_x))
+    known = sample[:BOUND_SAMPLE]
+    shared = spark.sparkContext.broadcast((turn, centroids, picked_ids[:BOUND_SAMPLE], known,
+                                           nearest(known, centroids)))
 
     def assign(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -173,7 +175,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
     def probe(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        r, c, ids, known, _ = shared.value
+        r, c, ids, known, lists = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -181,16 +183,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
             q = unit(_matrix(data)) @ r
             far = 2 - 2 * (q @ known.T)
             far[qids[:, None] == ids[None, :]] = 4.0
-            found = min(k, far.shape[1])
-            kth = np.partition(far, found - 1, axis=1)[:, found - 1] if far.shape[1] >= k else np.full(len(q), 4.0)
             order = np.argsort(0.5 * (c * c).sum(axis=1) - q @ c.T, axis=1, kind="stable")
             out = ([], [], [], [], [])
             for i in range(len(q)):
                 reach = np.cumsum(sizes[order[i]])
-                most = max(probed, int(np.searchsorted(reach, k + 1)) + 1)  # enough candidates
-                for own in order[i][:most]:
+                enough = int(np.searchsorted(reach, k + 1)) + 1
+                most = max(probed, enough)
+                near = np.sort(far[i][np.isin(lists, order[i][:most])])
+                kth = float(max(0.0, near[k - 1])) if len(near) >= k else 4.0
+                for place, own in enumerate(order[i][:most]):
+                    bound = float("inf") if place < enough else kth
                     for chunk in range(chunks[own]):
-                        for column, value in zip(out, (own, chunk, qids[i], data[i], float(max(0.0, kth[i])))):
+                        for column, value in zip(out, (own, chunk, qids[i], data[i], bound)):
                             column.append(value)
             for lo in range(0, len(out[0]), 20_000):
                 own = [column[lo:lo + 20_000] for column in out]
@@ -198,27 +202,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
                                        pa.array(own[2], pa.int64()), pa.array(own[3], pa.binary()),
                                        pa.array(own[4])], names=["list", "chunk", "query_id", "q", "bound"])
 
-    def best_known(batches: Iterator) -> Iterator:
-        """The best of the bound's sample: what a query finds at the least."""
-        import pyarrow as pa
-
-        r, _, ids, known, x = shared.value
-        norm = np.sqrt((x * x).sum(axis=1))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            q, qids = _matrix(batch.column(1).to_pylist()), batch.column(0).to_numpy()
-            near = (unit(q) @ r) @ known.T
-            out = ([], [], [])
-            for i in range(len(q)):
-                at = np.argsort(-near[i], kind="stable")[:4 * k]
-                at = at[ids[at] != qids[i]]
-                score = (x[at] * q[i]).sum(axis=1) / (norm[at] * np.sqrt((q[i] * q[i]).sum()))
-                for column, value in zip(out, (np.full(len(at), qids[i]), ids[at], score)):
-                    column.append(value)
-            yield pa.record_batch([pa.array(np.concatenate(o)) for o in out],
-                                  names=["query_id", "vec_id", "score"])
-
     block_of = F.pmod(F.xxhash64("query_id", F.lit(5)), F.lit(query_blocks)).cast("int")
     asks = (stored.filter(is_query).select("id", "x")
             .mapInArrow(probe, "list int, chunk int, query_id long, q binary, bound double")
@@ -251,8 +234,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
 
     keys = ["list", "chunk", "block"]
     matches = held.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(find, _MATCH)
-    known = stored.filter(is_query).select("id", "x").mapInArrow(best_known, _MATCH)
-    matches = matches.unionByName(known).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    matches = matches.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (matches.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
