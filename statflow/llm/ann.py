@@ -50,13 +50,13 @@ _MATCH = "query_id long, vec_id long, score double"
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, v): ids and vectors that take part."""
+    """(id, v): ids and vectors that take part, each pair once."""
     v = F.col(vector).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).filter(
         F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
     sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.filter(F.size("v") == (sizes[0]["d"] if sizes else 0))
+    return rows.filter(F.size("v") == (sizes[0]["d"] if sizes else 0)).distinct()
 
 
 def rotation(d: int, seed: int = 11) -> np.ndarray:
@@ -106,10 +106,12 @@ def _bytes(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, x binary")
 
 
-def scan(queries: np.ndarray, bounds: np.ndarray, block: np.ndarray, k: int
-         ) -> Iterator[tuple[int, np.ndarray]]:
-    """For every query the rows of ``block`` that survive. Rows and queries are
-    rotated unit vectors; ``bounds`` are squared distances."""
+def scan(queries: np.ndarray, bounds: np.ndarray, block: np.ndarray, k: int,
+         ids: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """For every query the rows of ``block`` that survive, of ``k`` different
+    ids at the least. Rows and queries are rotated unit vectors; ``bounds`` are
+    squared distances."""
+    ids = np.arange(len(block)) if ids is None else ids
     d = block.shape[1]
     columns = [np.ascontiguousarray(block[:, lo:lo + BLOCK]) for lo in range(0, d, BLOCK)]
     for i, q in enumerate(queries):
@@ -125,8 +127,11 @@ def scan(queries: np.ndarray, bounds: np.ndarray, block: np.ndarray, k: int
             if not len(alive):
                 break
         if len(alive) > k:
-            kth = np.partition(so_far, k - 1)[k - 1]
-            alive = alive[so_far <= kth + 1e-9]
+            different, back = np.unique(ids[alive], return_inverse=True)
+            if len(different) > k:
+                own = np.full(len(different), np.inf)
+                np.minimum.at(own, back, so_far)
+                alive = alive[so_far <= np.partition(own, k - 1)[k - 1] + 1e-9]
         yield i, alive
 
 
@@ -168,6 +173,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
                                           F.sum(is_query.cast("int")).alias("q")).collect():
         sizes[row["list"]] = row["n"]
         asked += row["q"]
+    different = np.zeros(len(centroids), np.int64)  # every id counts in one list
+    for row in stored.groupBy("id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
+        different[row["list"]] = row["count"]
     chunks = np.maximum(1, -(-sizes // CHUNK))
     probed = max(1, int(np.ceil(probes * len(centroids))))
     query_blocks = int(max(1, -(-asked * probed // len(centroids) // CHUNK)))
@@ -186,10 +194,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
             order = np.argsort(0.5 * (c * c).sum(axis=1) - q @ c.T, axis=1, kind="stable")
             out = ([], [], [], [], [])
             for i in range(len(q)):
-                reach = np.cumsum(sizes[order[i]])
+                reach = np.cumsum(different[order[i]])
                 enough = int(np.searchsorted(reach, k + 1)) + 1
                 most = max(probed, enough)
-                near = np.sort(far[i][np.isin(lists, order[i][:most])])
+                there = np.isin(lists, order[i][:most])
+                _, one = np.unique(ids[there], return_inverse=True)
+                near = np.full(len(one), np.inf)  # by id
+                np.minimum.at(near, one, far[i][there])
+                near = np.sort(near[near < np.inf])
                 kth = float(max(0.0, near[k - 1])) if len(near) >= k else 4.0
                 for place, own in enumerate(order[i][:most]):
                     bound = float("inf") if place < enough else kth
@@ -222,10 +234,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
         rows_q, rows_v, scores = [], [], []
         norm = np.sqrt((x * x).sum(axis=1))
         turned_q = unit(q) @ r
-        for i, alive in scan(turned_q, right["bound"].to_numpy(), unit(x) @ r, k + 1):
+        for i, alive in scan(turned_q, right["bound"].to_numpy(), unit(x) @ r, k + 1, ids):
             alive = alive[ids[alive] != qids[i]]
             score = (x[alive] * q[i]).sum(axis=1) / (norm[alive] * np.sqrt((q[i] * q[i]).sum()))
-            best = np.lexsort((ids[alive], -score))[:k]
+            best = np.lexsort((ids[alive], -score))
+            best = best[np.sort(np.unique(ids[alive][best], return_index=True)[1])[:k]]
             rows_q.append(np.full(len(best), qids[i]))
             rows_v.append(ids[alive][best])
             scores.append(score[best])

@@ -93,3 +93,16 @@ def test_rows_come_from_the_scan(spark, monkeypatch):
     want = brute(rows, lambda v: v % 30 == 0)
     assert {len(v) for v in got.values()} == {5} and set(got) == set(want)
     assert sum(len(got[q] & {v for v, _ in near}) for q, near in want.items()) < 0.8 * 5 * len(want)
+
+
+def test_repeated_rows_push_no_neighbour_out(spark):
+    """An id stands 12 times alike, another with 12 vectors."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(rng.normal(size=(60, 8)).astype(np.float32))]
+    rows += [(200, [v * 1.01 for v in rows[0][1]], 0)] * 12
+    rows += [(201, [v + 0.001 * j for v in rows[0][1]], 0) for j in range(1, 13)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = [r.vec_id for r in ann.search(df, F.col("id") == 0, probes=1.0).orderBy("rank").collect()]
+    near = brute(rows, lambda v: v == 0, k=60)[0]
+    assert len(got) == len(set(got)) == 5
+    assert got == list(dict.fromkeys(v for v, _ in near))[:5]
