@@ -1,6 +1,6 @@
 """The corpus pipeline: documents to packed training sequences.
 
-Toxic documents go, repeated lines go, one document of each group of near
+Toxic documents go, repeated lines go (short ones too), one document of each group of near
 copies stays, sources are mixed to target weights in training order, and the
 mix is packed into sequences. Every stage is written as Parquet in the shared
 folder and read again by the next, so a lost executor costs at most a stage's
@@ -32,7 +32,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.deduped_documents(docs)
+    return line_dedup.deduped_documents(docs, short_repeats=True)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

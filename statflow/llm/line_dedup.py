@@ -3,6 +3,8 @@
 Lines of at least ``MIN_CHARS`` characters (without white space at the ends) are
 compared; of equal lines, and of lines up to ``EDITS`` edits apart, the later
 ones are dropped. "Later" is by document id, then by place in the document.
+With ``short_repeats`` shorter lines that are not blank are compared too, for
+equality alone; without it (the rule of ``op2_line_dedup`` and its SQL) they stay.
 
 Different lines are split into EDITS + 1 even segments. If two lines are that
 close, one segment of the shorter stands unchanged in the longer, within a
@@ -20,8 +22,8 @@ Repeated lines are pre-aggregated to one before they are joined. The different
 lines are kept in a table bucketed by the line's hash, so that verification
 moves the candidates, not the lines.
 
-Defined results: NULL and empty texts have no lines; lines shorter than
-MIN_CHARS always stay; repeated rows are documents whose lines repeat, in any
+Defined results: NULL and empty texts have no lines; blank lines always stay,
+and without ``short_repeats`` all lines shorter than MIN_CHARS; repeated rows are documents whose lines repeat, in any
 order; NULL ids come first; an empty table gives no rows. Names starting with
 ``_line`` are reserved.
 """
@@ -51,15 +53,15 @@ def _line_array(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line that is compared: _line_at (doc id, mark, place), its hash and
+def lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_CHARS) -> DataFrame:
+    """Every line of ``least`` characters: _line_at (doc id, mark, place), its hash and
     text without white space at the ends."""
     rows = docs.select(F.col(key).cast("long").alias("_id"), _mark(key, text).alias("_m"),
                        F.posexplode(_line_array(F.col(text))).alias("_p", "_raw"))
     line = F.btrim("_raw", F.lit(WHITE_SPACE))
     return (rows.select(F.struct(F.col("_id").alias("id"), F.col("_m").alias("mark"),
                                  F.col("_p").alias("place")).alias("_line_at"), line.alias("_line"))
-            .filter(F.char_length("_line") >= MIN_CHARS)
+            .filter(F.char_length("_line") >= least)
             .withColumn("_line_hash", F.xxhash64("_line")))
 
 
@@ -224,12 +226,13 @@ def candidates(different: DataFrame, edits: int = EDITS) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
+def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS,
+           short_repeats: bool = False) -> DataFrame:
     """One row per document that loses lines: mark, repeats and nears (arrays
     of the places of lines equal, or only close, to an earlier line)."""
     spark = docs.sparkSession
     folder = ensure_checkpoint_dir(spark).rstrip("/") + "/lines-" + uuid.uuid4().hex
-    every = lines(docs, key, text)
+    every = lines(docs, key, text, 1 if short_repeats else MIN_CHARS)
     different = every.groupBy("_line_hash").agg(
         F.min("_line_at").alias("_first"), F.count(F.lit(1)).alias("_k"), F.first("_line").alias("_line"))
     table = "lines_" + uuid.uuid4().hex
@@ -241,7 +244,7 @@ def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int
     # candidates meet their lines where these are: the few are hashed, the
     # lines stream by
     texts = kept.select("_line_hash", "_line", "_first")
-    pairs = candidates(kept, edits).hint("shuffle_hash")
+    pairs = candidates(kept.filter(F.char_length("_line") >= MIN_CHARS), edits).hint("shuffle_hash")
     one = pairs.join(texts.select(F.col("_line_hash").alias("a"), F.col("_line").alias("_la"),
                                   F.col("_first").alias("_fa")), "a").hint("shuffle_hash")
     both = one.join(texts.select(F.col("_line_hash").alias("b"), F.col("_line").alias("_lb"),
@@ -267,7 +270,7 @@ def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS,
-                with_text: bool = True) -> DataFrame:
+                with_text: bool = True, short_repeats: bool = False) -> DataFrame:
     """``docs`` plus n_lines, n_repeats, n_nears and dropped (places, from 0);
     its text without the dropped lines, if ``with_text``. Of rows equal in id
     and text, all lose the same lines."""
@@ -276,7 +279,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
             .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(_line_array(F.col(text))))))
     if not with_text:
         made = made.drop(text)
-    out = (made.join(decide(docs, key, text, edits), "_m", "left").drop("_m")
+    out = (made.join(decide(docs, key, text, edits, short_repeats), "_m", "left").drop("_m")
            .withColumn("n_repeats", F.coalesce(F.size("repeats"), F.lit(0)))
            .withColumn("n_nears", F.coalesce(F.size("nears"), F.lit(0)))
            .withColumn("dropped", F.coalesce(F.sort_array(F.concat("repeats", "nears")), none))
@@ -288,9 +291,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     return out
 
 
-def deduped_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def deduped_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                      short_repeats: bool = False) -> DataFrame:
     """``docs`` without the dropped lines; documents that lost lines and have
     no word left go. Columns as in ``docs``."""
-    out = dedup_lines(docs, key, text)
+    out = dedup_lines(docs, key, text, short_repeats=short_repeats)
     empty = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(WHITE_SPACE)) == ""
     return out.filter((F.size("dropped") == 0) | ~empty).select(*docs.columns)

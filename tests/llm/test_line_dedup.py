@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from statflow.llm import line_dedup
 from tests.llm import data as D
 
@@ -103,3 +104,15 @@ def test_odd_documents(spark):
     assert line_dedup.deduped_documents(docs).columns == docs.columns
     assert line_dedup.deduped_documents(docs).count() == len(D.ODD)
     assert line_dedup.deduped_documents(D.empty_documents(spark)).count() == 0
+
+
+def test_pipeline_drops_short_repeats(spark):
+    """Equal lines of any length go, but blank ones; short lines that are only
+    close stay."""
+    long = "a line that is long enough to be compared"
+    texts = {1: "All rights reserved.\n\nx\nfirst text", 2: " All rights reserved.\t\n\nAll rights reserved!\ny",
+             3: f"x\n{long}", 4: f"z\n\n{long}s\n.", 5: "x\n \nAll rights reserved."}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    out = corpus_pipeline.without_repeated_lines(spark, docs, "").collect()
+    assert {r.doc_id: r.text for r in out} == {
+        1: texts[1], 2: "\nAll rights reserved!\ny", 3: long, 4: "z\n\n."}
