@@ -14,8 +14,8 @@ Sources with very many rows are split into hash ranges (``places``), so no
 task holds a source.
 
 Defined results: NULL source is a source of its own, last in order; NULL and
-blank texts have size 0, take 0 words and get a position like any other; rows
-that are equal share their source's place in any order; an empty table gives
+blank texts have size 0, take 0 words and get a position like any other, once
+(at the end, where their source's target is reached before them); rows that are equal share their source's place in any order; an empty table gives
 no rows; other columns pass through, but names starting with ``_mix`` or
 ``_place`` are reserved.
 """
@@ -113,7 +113,7 @@ def mix(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES, share
         source: str = "source", key: str = "doc_id") -> DataFrame:
     """``docs`` plus size, source_size, target, taken (words the mix takes, all
     epochs together) and takes: one (epoch, words, position) per epoch in which
-    words are taken, by position."""
+    words are taken, by position; of documents without words the first epoch's."""
     size = word_count(F.col(text)) if size is None else size
     sized = docs.withColumn("size", size).withColumn(_SKEY, source_key(F.col(source)))
     marked, ranges = place_ranges(sized, [_SKEY], F.xxhash64(F.col(key), F.col(text)), F.col("size"))
@@ -137,13 +137,14 @@ def mix(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES, share
     for epoch in range(max_epochs):
         first = F.col("_mix_at") + epoch * F.col("source_size")
         words = F.greatest(F.least(whole_target - first, F.col("size")), F.lit(0))
-        area = (F.when(F.col("target") > 0, first / F.col("target")).otherwise(0.0)
+        area = (F.when(F.col("target") > 0, F.least(first / F.col("target"), F.lit(1.0))).otherwise(0.0)
                 * F.col("weight"))
         takes.append(F.struct(F.lit(epoch).alias("epoch"), words.cast("long").alias("words"),
                               invert(F.col("_mix_pieces"), area).alias("position")))
     taken = F.aggregate(F.array(*takes), F.lit(0).cast("long"), lambda a, t: a + t["words"])
+    wordless = F.col("size") == 0
     return (placed.withColumn("taken", taken)
-            .withColumn("takes", F.filter(F.array(*takes), lambda t: t["words"] > 0))
+            .withColumn("takes", F.filter(F.array(*takes), lambda t: (t["words"] > 0) | (wordless & (t["epoch"] == 0))))
             .drop(_SKEY, "_mix_at", "_mix_pieces"))
 
 

@@ -91,3 +91,17 @@ def test_mix_is_written_in_training_order(spark):
     assert kept.columns == docs.columns
     n = kept.select(F.sum(F.size(F.split("text", " ")))).first()[0]
     assert abs(n - sum(brute_targets({str(s): 200 for s in range(4)}).values())) <= 2
+
+
+def test_documents_without_words_stay_in_the_mix(spark):
+    """Once each, at a position of the run; also of a source without any word."""
+    blank = {2: None, 3: "", 4: " \t\n "}
+    docs = spark.createDataFrame(
+        [(i, blank.get(i, "a b c"), "s" if i < 20 else "t") for i in range(40)] + [(50, "", "none")],
+        "doc_id long, text string, source string")
+    rows = mixing.by_position(mixing.mix(docs)).collect()
+    found = [(r.doc_id, r.words) for r in rows if r["size"] == 0]
+    assert sorted(found) == [(2, 0), (3, 0), (4, 0), (50, 0)]
+    assert all(0 <= r.position <= 1 for r in rows)
+    kept = {r.doc_id: r.text for r in mixing.mixed_documents(docs).collect()}
+    assert {i: kept[i] for i in (*blank, 50)} == {**blank, 50: ""}
