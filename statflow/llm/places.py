@@ -12,14 +12,15 @@ RANGES_PER_PARTITION = 4
 _H, _R = "_place_hash", "_place_range"
 
 
-def place_ranges(df: DataFrame, key: list[str], order_hash: Column, value: Column
-                 ) -> tuple[DataFrame, DataFrame]:
+def place_ranges(df: DataFrame, key: list[str], order_hash: Column, value: Column,
+                 totals: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """Split every key into equal ranges of a 64-bit hash.
 
     Returns ``df`` with the hash and its range, and a checkpointed table with
     one row per key and range: ``_range_total`` (sum of ``value``) and
     ``_range_before`` (sum over the key's earlier ranges). Sums are made
     before the shuffle, and the window over a key reads one row per range.
+    Without ``totals`` only the first is made.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -28,9 +29,11 @@ def place_ranges(df: DataFrame, key: list[str], order_hash: Column, value: Colum
     # the hash as a fraction of its domain; ranges follow the hash's order
     at = F.floor((F.col(_H).cast("double") + F.lit(2.0 ** 63)) / F.lit(float(step))).cast("int")
     marked = df.withColumn(_H, order_hash).withColumn(_R, at)
-    totals = marked.groupBy(*key, _R).agg(F.sum(value).alias("_range_total"))
+    if not totals:
+        return marked, None
+    sums = marked.groupBy(*key, _R).agg(F.sum(value).alias("_range_total"))
     before = Window.partitionBy(*key).orderBy(_R).rowsBetween(Window.unboundedPreceding, -1)
-    return marked, totals.withColumn(
+    return marked, sums.withColumn(
         "_range_before", F.coalesce(F.sum("_range_total").over(before), F.lit(0))).checkpoint()
 
 

@@ -4,11 +4,12 @@ whole table, and DuckDB SQL where SQL can express it."""
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statflow.llm import ann, jaccard, line_dedup, mixing, packing, quality, suffix_lm, toxicity, urlfilter, warc
-
+from statflow.llm import (aligned, ann, jaccard, line_dedup, mixing, packing, quality, ranked, suffix_lm, tiers,
+                          toxicity, urlfilter, warc)
 
 TOKENIZER = corpus_pipeline.TOKENIZER
 
@@ -197,6 +198,52 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_held_out(_table(spark, sf_dir, "documents"))
 
 
+def op11_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiers.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS r, doc_id, list_transform(
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ts
+  FROM documents
+), asked AS (
+  SELECT DISTINCT item_id, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+        FROM benchmark)
+), facts AS (
+  SELECT CAST(count(*) FILTER (len(ts) > 0) AS BIGINT) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_all FROM found
+), postings AS (
+  SELECT r, doc_id, term, CAST(count(*) AS BIGINT) AS tf, any_value(n) AS n
+  FROM (SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM found)
+  GROUP BY r, doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, facts GROUP BY term
+), scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf)
+           // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_all)))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), facts GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned.align(_table(spark, sf_dir, "documents"), TOKENIZER,
+                         public_tokenizers.path("piece_bpe_32k.model"), digest=True).withColumnRenamed(
+                             "groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_mix": (op1_mix, None),
     "op2_line_dedup": (op2_line_dedup, OP2_SQL),
@@ -208,5 +255,8 @@ QUERIES = {
     "op8_warc": (op8_warc, OP8_SQL),
     "op9_quality": (op9_quality, OP9_SQL),
     "op10_lm": (op10_lm, None),
+    "op11_tiers": (op11_tiers, None),
+    "op12_ranked": (op12_ranked, OP12_SQL),
+    "op13_align": (op13_align, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

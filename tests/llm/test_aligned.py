@@ -1,0 +1,135 @@
+"""Token groups and links against a plain alignment."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from statflow.llm import aligned
+from statflow.llm.tokens import byte_symbols
+from tests.llm import data as D
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+TOKENIZER = Tokenizer.from_file(A)
+TOKENIZER.encode_special_tokens = True
+NAMES = {i: t for t, i in TOKENIZER.get_vocab().items()}
+PIECES = sentencepiece.SentencePieceProcessor(model_file=B)
+ALIGNER = aligned.Aligner(A, B)
+BYTE = byte_symbols()
+
+
+def spans(tokens):
+    out, end = [], 0
+    for t in tokens:
+        out.append((end, end + len(t)))
+        end += len(t)
+    return out
+
+
+def plain(text):
+    """(A ids, B ids, groups, links) of a text, token by token."""
+    if not text:
+        return [], [], "", []
+    a, b = TOKENIZER.encode(" " + text, add_special_tokens=False).ids, PIECES.encode(text)
+    bytes_a = [bytes(BYTE[c] for c in NAMES[i]) for i in a]
+    bytes_b = [bytes([int(PIECES.id_to_piece(i)[3:5], 16)]) if PIECES.is_byte(i)
+               else PIECES.id_to_piece(i).replace("▁", " ").encode() for i in b]
+    if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+        return [], [], "", []
+    span_a, span_b = spans(bytes_a), spans(bytes_b)
+    groups = []
+    begin = 0
+    for end in sorted({e for _, e in span_a} & {e for _, e in span_b}):
+        own = [",".join(str(i) for i, (s, e) in zip(ids, where) if begin <= s and e <= end)
+               for ids, where in ((a, span_a), (b, span_b))]
+        groups.append("|".join(own))
+        begin = end
+    links = [(x, y) for x, (s, e) in zip(a, span_a) for y, (t, f) in zip(b, span_b) if s < f and t < e]
+    return a, b, ";".join(groups), links
+
+
+def pairs_of(raw):
+    return Counter((int(x) >> 16, int(x) & 0xFFFF) for x in np.frombuffer(raw, "<u4"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab Zé\n\t 0,.'漢😀\x1f\x0b\xa0s▁<|e>"), max_size=40), max_size=8))
+def test_groups_and_links(texts):
+    for text, (groups, raw, n_a, n_b) in zip(texts, ALIGNER.texts(texts)):
+        a, b, want, links = plain(text)
+        assert (groups[:-1].decode(), n_a, n_b) == (want, len(a), len(b))
+        assert pairs_of(raw) == Counter(links)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    text = text.encode("utf-8", "ignore").decode()
+    (groups, raw, _, _), = ALIGNER.texts([text])
+    _, _, want, links = plain(text)
+    assert groups[:-1].decode() == want and pairs_of(raw) == Counter(links)
+
+
+def test_long_chains_converge():
+    """Tokens that overlap in one long chain are one group."""
+    n = 1000
+    end_a, end_b = np.arange(2, 2 * n + 1, 2), np.append(np.arange(1, 2 * n, 2), 2 * n)
+    start = [np.concatenate([[0], e[:-1]]) for e in (end_a, end_b)]
+    a, b = aligned.groups_of(end_a, end_b, *start)
+    assert set(a) == set(b) == {0}
+    a, b = aligned.groups_of(end_a, end_a, start[0], start[0])
+    assert a.tolist() == b.tolist() == list(range(n))
+
+
+def brute(docs):
+    found = [(i, *plain(t)) for i, t in docs]
+    count = Counter(p for _, _, _, _, links in found for p in set(links))
+    most = defaultdict(int)
+    for (a, _), n in count.items():
+        most[a] = max(most[a], n)
+    return Counter((i, len(a), len(b), groups.count(";") + bool(groups), len(links),
+                    sum(count[p] == most[p[0]] for p in links), sum(count[p] for p in links),
+                    hashlib.sha256(groups.encode()).hexdigest() if groups else "")
+                   for i, a, b, groups, links in found)
+
+
+def rows(df):
+    return Counter((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups)
+                   for r in df.collect())
+
+
+@pytest.mark.parametrize("frequent", [aligned.FREQUENT, 20, 0])
+def test_counts(spark, monkeypatch, frequent):
+    monkeypatch.setattr(aligned, "PAIRS_HELD", 200)
+    rnd = random.Random(1)
+    syllables = ["tion", "the", "ing", "é", "ß", "漢字", "\n", "xy", "and", "."]
+    docs = [(i, " ".join("".join(rnd.choices(syllables, k=rnd.randrange(1, 5))) for _ in range(rnd.randrange(40))))
+            for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert rows(aligned.align(df, A, B, digest=True, frequent=frequent)) == brute(docs)
+
+
+def test_odd_documents(spark):
+    docs = [(i, t) for i, t, *_ in D.ODD if t is None or len(t) < 1000]  # the plain way is slow
+    df = D.odd_documents(spark).filter("text IS NULL OR length(text) < 1000")
+    df = df.withColumn("row", df["doc_id"]).withColumn("pairs", df["doc_id"])
+    assert rows(aligned.align(df, A, B, digest=True)) == brute(docs)
+    assert aligned.align(D.empty_documents(spark), A, B).collect() == []
+    long = aligned.align(D.odd_documents(spark).filter("length(text) > 1000"), A, B).first()
+    assert long.n_a == len(TOKENIZER.encode(" " + "x " * 30_000, add_special_tokens=False).ids)
+
+
+def test_remembered_alignments_are_bounded(monkeypatch):
+    monkeypatch.setattr(aligned, "BYTES_KEPT", 1 << 14)
+    own = aligned.Aligner(A, B)
+    for k in range(40):
+        texts = [f"word{k} other{j} the" for j in range(5)]
+        assert [x[0] for x in own.texts(texts)] == [x[0] for x in ALIGNER.texts(texts)]
+        assert len(own.young) + len(own.old) < 80

@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from statflow.llm.queries import QUERIES
-from tests.llm import test_jaccard, test_packing
+from tests.llm import test_aligned, test_jaccard, test_packing, test_tiers
 from tools.check_oracles import TABLES, duck_rows, spark_rows
 
 SF = os.environ.get("STATFLOW_TEST_SF", "/root/testdata/sf0.001")
@@ -41,6 +41,24 @@ def test_pack_query(spark):
     assert test_packing.check_sequences(rows, 2048) <= bound + 3
 
 
+def test_tiers_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op11_tiers"][0](spark, SF).collect()
+    assert test_tiers.check(rows, texts, test_tiers.tiers.TIERS, test_tiers.tiers.STEP_TOKENS) < 2048
+
+
+def test_align_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) < 1500")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: r for r in QUERIES["op13_align"][0](spark, SF).collect()}
+    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    for doc_id, text in texts:  # counts are held against brute force in test_aligned
+        a, b, groups, links = test_aligned.plain(text)
+        r = got[doc_id]
+        assert (r.n_a, r.n_b, r.n_groups, r.n_links) == (len(a), len(b), groups.count(";") + 1, len(links))
+        assert r.groups_sha256 == test_aligned.hashlib.sha256(groups.encode()).hexdigest()
+
+
 def test_pipeline_stages(spark, tmp_dir):
     """Every stage works on what its predecessor kept, and its decisions hold."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
