@@ -118,6 +118,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
                     help="regex with one group taking the player id from the file path")
     pg.add_argument("--parser", action="store_true",
                     help="find blocks with an HTML parser (nested templates) instead of regex")
+    pg.add_argument("--paths", action="store_true",
+                    help="find blocks by their places in the element tree (pages as the source serves them)")
 
     st = sub.add_parser("land-stream", help="new CSV drops of one table -> typed Parquet")
     st.add_argument("--table", required=True, choices=sorted(STREAM_PROFILES))
@@ -145,7 +147,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         pages = read_pages(spark, args.input).withColumn(
             "PLAYER_ID", F.regexp_extract("source", args.key_pattern, 1)
         )
-        good, bad = T.land_pages_parsed(pages) if args.parser else T.land_pages(pages)
+        land = T.land_pages_by_path if args.paths else T.land_pages_parsed if args.parser else T.land_pages
+        good, bad = land(pages)
         write_csv(good, args.out)
         write_parquet(bad, args.quarantine)
     elif args.cmd == "land-stream":

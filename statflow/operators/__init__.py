@@ -1,6 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from statflow.operators.htmlblocks import extract_page_row_parsed, parsed_blocks
+from statflow.operators.htmlpaths import extract_page_row_paths, path_blocks
 from statflow.operators.ordered import running_totals
 from statflow.operators.profile import (
     Profile,
@@ -52,6 +53,7 @@ __all__ = [
     "drop_short_rows",
     "extract_page_row",
     "extract_page_row_parsed",
+    "extract_page_row_paths",
     "flag_malformed",
     "floats",
     "heavy_keys",
@@ -66,6 +68,7 @@ __all__ = [
     "name_positional",
     "page_row_is_bad",
     "parsed_blocks",
+    "path_blocks",
     "payload_headers",
     "profile_contract",
     "row_count",

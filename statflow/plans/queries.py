@@ -55,6 +55,7 @@ from statflow.operators import (
 )
 from statflow.plans import driver_flows as D
 from statflow.plans import reports as R
+from statflow.plans.landing_queries import LANDING_QUERIES
 from statflow.plans.profiles import PLAYER_INFORMATION_HEADER
 from statflow.sources.files import load
 
@@ -636,4 +637,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "page_row": (page_row_q, ORACLE_PAGE_ROW),
     "page_row_parsed": (page_row_parsed_q, ORACLE_PAGE_ROW_PARSED),
     **R.REPORTS,
+    **LANDING_QUERIES,
 }

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statflow.operators.htmlblocks import extract_page_row_parsed
+from statflow.operators.htmlpaths import extract_page_row_paths
 from statflow.operators.profile import (
     apply_profile,
     check_columns,
@@ -220,6 +221,8 @@ def land_pages(
     header: Sequence[str] = PLAYER_INFORMATION_HEADER,
 ) -> tuple[DataFrame, DataFrame]:
     """G8: stored profile pages -> (rows named by ``header``, quarantine).
+    A pattern that starts with ``/`` is a path in the element tree; then all
+    are (:func:`land_pages_by_path`).
 
     A block's text is taken as rendered lines (label on the first line, the
     value on the second, whether split by ``<br>`` or by nested elements);
@@ -227,12 +230,41 @@ def land_pages(
     the header goes to quarantine instead of being silently skipped. The
     block patterns match the page template; a block with a nested element
     of its own closing tag needs a pattern that spans it."""
+    if stat_pattern.startswith("/"):
+        return land_pages_by_path(pages, key, html, stat_pattern, info_pattern, position_pattern, header)
     check_columns(pages, [key, html])
     rows = extract_page_row(pages, html, key, stat_pattern, info_pattern, position_pattern,
                             text=html_lines)
     return _name_or_quarantine(rows, header)
 
 
+# Where the source's profile page keeps its blocks (stats, the
+# two info groups, position).
+PAGE_STAT_PATH = "/html/body/div[1]/div[2]/div[2]/section/div[1]/section[2]/div/div[1]/div"
+PAGE_INFO_PATHS = (
+    "/html/body/div[1]/div[2]/div[2]/section/div[1]/section[2]/div/div[2]/div[2]/div",
+    "/html/body/div[1]/div[2]/div[2]/section/div[1]/section[2]/div/div[2]/div[4]/div",
+)
+PAGE_POSITION_PATH = "/html/body/div[1]/div[2]/div[2]/section/div[1]/section[1]/div[2]/div/div[2]/div[1]/p[1]"
+
+
+def land_pages_by_path(
+    pages: DataFrame,
+    key: str = "PLAYER_ID",
+    html: str = "html",
+    stat_path: str = PAGE_STAT_PATH,
+    info_path: str | Sequence[str] = PAGE_INFO_PATHS,
+    position_path: str = PAGE_POSITION_PATH,
+    header: Sequence[str] = PLAYER_INFORMATION_HEADER,
+) -> tuple[DataFrame, DataFrame]:
+    """G8 for pages stored as the source serves them: blocks addressed by
+    their places in the element tree, no class names needed; same rows and
+    quarantine rules as :func:`land_pages`."""
+    check_columns(pages, [key, html])
+    rows = extract_page_row_paths(pages, html, key, stat_path, info_path, position_path)
+    return _name_or_quarantine(rows, header)
+
+
 # The CSS classes of the profile page's blocks.
 PAGE_STAT_CLASS, PAGE_POSITION_CLASS = "stat", "position"
 PAGE_INFO_CLASSES = ("top", "bottom")

@@ -30,8 +30,8 @@ def test_no_cartesian_or_nested_loop_joins(plans):
         assert "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_python_only_in_the_two_python_surface_queries(plans):
-    python = {"lookup_udf": "ArrowEvalPython", "page_row_parsed": "MapInArrow"}
+def test_python_only_in_the_python_surface_queries(plans):
+    python = {"lookup_udf": "ArrowEvalPython", "page_row_parsed": "MapInArrow", "page_row_paths": "MapInArrow"}
     for name, plan in plans.items():
         assert "BatchEvalPython" not in plan, name  # never a row-at-a-time UDF
         for node in ("ArrowEvalPython", "MapInArrow"):
