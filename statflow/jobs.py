@@ -109,6 +109,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     lp.add_argument("--quarantine", required=True,
                     help="Parquet folder for unreadable payloads and over-long rows")
     lp.add_argument("--json-lines", action="store_true", help="captures hold one response per line")
+    lp.add_argument("--ranges", action="store_true",
+                    help="captures may be larger than a task: read their rows by byte ranges")
 
     pg = sub.add_parser("land-pages", help="stored pages -> profile rows")
     pg.add_argument("--input", required=True)
@@ -140,7 +142,10 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         _write(word_count(lines, "text"), args.out, args.format)
     elif args.cmd == "land-payloads":
         cols = args.columns.split(",") if args.columns else None
-        good, bad = T.land_payloads(spark, args.input, cols, args.json_lines)
+        if args.ranges:
+            good, bad = T.land_captures(spark, args.input, cols)
+        else:
+            good, bad = T.land_payloads(spark, args.input, cols, args.json_lines)
         _write(good, args.out, args.format)
         write_parquet(bad, args.quarantine)
     elif args.cmd == "land-pages":

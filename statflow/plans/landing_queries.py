@@ -4,6 +4,8 @@ oracle states the values straight from those tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from statflow.operators.htmlpaths import extract_page_row_paths
 from statflow.operators.unpack import flag_malformed, page_row_is_bad
 from statflow.plans.profiles import PLAYER_INFORMATION_HEADER
 from statflow.plans.stat_tables import PAGE_INFO_PATHS, PAGE_POSITION_PATH, PAGE_STAT_PATH
+from statflow.session import ensure_checkpoint_dir
+from statflow.sources.captures import read_capture_rows
 from statflow.sources.files import load
 
 # --- S4 G8: profile pages addressed by element paths --------------------------
@@ -83,6 +87,60 @@ def _oracle_page_row_paths() -> str:
 ORACLE_PAGE_ROW_PATHS = _oracle_page_row_paths()
 
 
+# --- S3 G7: captures read by byte ranges ---------------------------------------
+
+#: Orders per capture, and bytes of a range: a capture is many ranges here.
+_CAPTURE_ORDERS, _CAPTURE_RANGE = 20_000, 1 << 18
+_CAPTURE_COLUMNS = ["L_ORDERKEY", "L_LINENUMBER", "NOTE", "PRICE"]
+
+
+def captures(spark: SparkSession, sf: str) -> str:
+    """A folder with one captured response per ``_CAPTURE_ORDERS`` orders, a
+    row per line item (and one before them), with brackets, quotes and
+    backslashes inside strings; every fifth capture breaks off."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/query-captures-{uuid.uuid4().hex}"
+    note = r"""concat('], [\\"', l_returnflag, '\\\\', l_linestatus, '{')"""
+    rows = load(spark, sf, "lineitem").selectExpr(
+        f"l_orderkey div {_CAPTURE_ORDERS} AS capture", "l_orderkey AS o", "l_linenumber AS n",
+        f"""concat(',[', l_orderkey, ',', l_linenumber, ',"', {note}, '",',
+            format_string('%.2f', l_extendedprice), IF(l_linenumber = 6, ',0', ''), ']') AS value""")
+    names = ",".join(f'"{n}"' for n in _CAPTURE_COLUMNS)
+    ids = rows.select("capture").distinct()
+    head = ids.selectExpr("capture", "-1L AS o", "0 AS n",
+                          f"""'{{"resultSet":{{"name":"x]","headers":[{names}],"rowSet":[[-1,0,null,1.50]' AS value""")
+    tail = ids.selectExpr("capture", f"{(1 << 62)} AS o", "0 AS n", "IF(capture % 5 = 4, '', ']}}') AS value")
+    (head.unionByName(rows).unionByName(tail).repartition("capture")
+     .sortWithinPartitions("capture", "o", "n").select("capture", "value")
+     .write.partitionBy("capture").text(folder))
+    return folder
+
+
+def capture_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 by byte ranges: rows and quarantine of captures of many ranges."""
+    found = read_capture_rows(spark, captures(spark, sf), _CAPTURE_COLUMNS, _CAPTURE_RANGE)
+    return found.select(F.regexp_extract("source", "capture=([0-9]+)", 1).cast("long").alias("capture"),
+                        "status", *_CAPTURE_COLUMNS, F.size("values").alias("n_values"))
+
+
+ORACLE_CAPTURE_ROWS = f"""
+WITH rows AS (
+  SELECT l_orderkey // {_CAPTURE_ORDERS} AS capture, CAST(l_orderkey AS VARCHAR) AS o, CAST(l_linenumber AS VARCHAR) AS n,
+         '], ["' || l_returnflag || chr(92) || l_linestatus || '{{' AS note,
+         CAST(CAST(printf('%.2f', l_extendedprice) AS DOUBLE) AS VARCHAR) AS price, l_linenumber = 6 AS long
+  FROM lineitem
+  UNION ALL
+  SELECT DISTINCT l_orderkey // {_CAPTURE_ORDERS}, '-1', '0', NULL, '1.5', false FROM lineitem
+)
+SELECT capture, CASE WHEN long THEN 'over_long' ELSE 'ok' END AS status,
+       CASE WHEN NOT long THEN o END AS "L_ORDERKEY", CASE WHEN NOT long THEN n END AS "L_LINENUMBER",
+       CASE WHEN NOT long THEN note END AS "NOTE", CASE WHEN NOT long THEN price END AS "PRICE",
+       CASE WHEN long THEN 5 END AS n_values
+FROM rows WHERE capture % 5 <> 4
+UNION ALL
+SELECT DISTINCT capture, 'unreadable', NULL, NULL, NULL, NULL, CAST(NULL AS INTEGER) FROM rows WHERE capture % 5 = 4"""
+
+
 LANDING_QUERIES = {
+    "capture_rows": (capture_rows, ORACLE_CAPTURE_ROWS),
     "page_row_paths": (page_row_paths, ORACLE_PAGE_ROW_PATHS),
 }

@@ -43,6 +43,7 @@ from statflow.plans.profiles import (
     player_information_profile,
 )
 from statflow.session import ensure_checkpoint_dir
+from statflow.sources.captures import RANGE_BYTES, read_capture_rows
 from statflow.sources.csv import read_string_csv, table_path
 from statflow.sources.files import read_payloads
 
@@ -204,6 +205,18 @@ def land_payloads(
     return good.drop("source"), bad
 
 
+def land_captures(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                  range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """G7 for captures of any size: the rows of a file are read by as many
+    tasks as it has byte ranges. Same (string table, quarantine) as
+    :func:`land_payloads`, but that an unreadable capture is kept by its path
+    alone."""
+    flagged = read_capture_rows(spark, path, columns, range_bytes).withColumn(
+        "payload", F.lit(None).cast("string")).checkpoint()
+    good, bad = split_flagged(flagged, ["source"])
+    return good.drop("source"), bad
+
+
 # Where the profile page keeps its blocks (stats, the two info
 # groups, position) when stored as HTML.
 PAGE_STAT_BLOCKS = r'(?s)<div class="stat">(.*?)</div>'

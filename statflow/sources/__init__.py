@@ -1,11 +1,13 @@
 """Sources and sinks: CSV, JDBC, payload/page files, Parquet."""
 
+from statflow.sources.captures import read_capture_rows
 from statflow.sources.csv import read_string_csv, table_path, write_csv
 from statflow.sources.files import load, read_pages, read_payloads, save_table, write_parquet
 from statflow.sources.jdbc import read_table, write_table
 
 __all__ = [
     "load",
+    "read_capture_rows",
     "read_pages",
     "read_payloads",
     "read_string_csv",

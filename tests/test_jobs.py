@@ -62,6 +62,12 @@ def test_land_payloads_and_pages_jobs(spark, tmp_dir):
     assert bad.source.endswith("overlong.json") and bad["values"] == ["9", "extra"]
     landed = spark.read.option("header", True).csv(out)
     assert sorted(r.ID for r in landed.collect()) == ["1", "2", "3", "4.5"]
+    run(spark, ["land-payloads", "--input", pdir, "--out", out + "2", "--columns", "ID,NM",
+                "--quarantine", quarantine + "2", "--ranges"])
+    ranged = spark.read.option("header", True).csv(out + "2")
+    assert sorted(map(str, ranged.collect())) == sorted(map(str, landed.collect()))
+    (bad,) = spark.read.parquet(quarantine + "2").collect()
+    assert bad.source.endswith("overlong.json") and bad["values"] == ["9", "extra"]
     rows, bad = os.path.join(tmp_dir, "rows"), os.path.join(tmp_dir, "bad")
     run(spark, ["land-pages", "--input", pgdir, "--out", rows, "--quarantine", bad])
     got = spark.read.option("header", True).csv(rows).collect()
@@ -74,6 +80,19 @@ def test_land_payloads_and_pages_jobs(spark, tmp_dir):
     assert [r.asDict() for r in got2] == [r.asDict() for r in got]
 
 
+def test_land_pages_by_paths_job(spark, tmp_dir):
+    from tests.test_htmlpaths import page
+
+    pages = os.path.join(tmp_dir, "pages")
+    os.makedirs(pages)
+    with open(os.path.join(pages, "77.html"), "w") as f:
+        f.write(page("abcd", "efgh", "ijkl", "<p>Guard</p>"))
+    rows, bad = os.path.join(tmp_dir, "rows"), os.path.join(tmp_dir, "bad")
+    run(spark, ["land-pages", "--input", pages, "--out", rows, "--quarantine", bad, "--paths"])
+    (got,) = spark.read.option("header", True).csv(rows).collect()
+    assert list(got) == ["77", *"abcdefghijkl", "Guard"]
+
+
 def test_land_stream_job(spark, tmp_dir):
     from statflow.sources import write_csv
 

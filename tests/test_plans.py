@@ -31,6 +31,7 @@ def test_no_cartesian_or_nested_loop_joins(plans):
 
 
 def test_python_only_in_the_python_surface_queries(plans):
+    # captures are read by a Python data source and written before the plan shown here
     python = {"lookup_udf": "ArrowEvalPython", "page_row_parsed": "MapInArrow", "page_row_paths": "MapInArrow"}
     for name, plan in plans.items():
         assert "BatchEvalPython" not in plan, name  # never a row-at-a-time UDF
