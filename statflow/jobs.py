@@ -28,6 +28,7 @@ from statflow.plans.profiles import (
 from statflow.sources.csv import read_string_csv, write_csv
 from statflow.sources.files import read_pages, write_parquet
 from statflow.sources.jdbc import write_table
+from statflow.sources.jdbc_once import write_table_once
 from statflow.session import apply_recommended
 from statflow.streaming.landing import land_stream
 
@@ -55,6 +56,10 @@ def table_writer(args: argparse.Namespace) -> Callable[[DataFrame, str], None]:
 
         def to_jdbc(df: DataFrame, name: str) -> None:
             table = f"{args.schema}.{name}" if args.schema else name
+            if args.once:
+                write_table_once(df, args.jdbc_url, table, args.user, password, args.driver,
+                                 num_partitions=args.jdbc_partitions, batchsize=args.batchsize)
+                return
             write_table(df, args.jdbc_url, table, user=args.user, password=password,
                         driver=args.driver, num_partitions=args.jdbc_partitions,
                         batchsize=args.batchsize)
@@ -96,6 +101,11 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     d.add_argument("--concurrent-writes", type=int, default=1,
                    help="write the four tables after G1 with this many concurrent jobs")
 
+    d.add_argument("--versioned", action="store_true",
+                   help="Parquet tables under --out are shown together, by one manifest at the end")
+    d.add_argument("--once", action="store_true",
+                   help="JDBC tables through staging and ledger: each row once, also when tasks run twice")
+
     w = sub.add_parser("wordcount", help="text files -> (word, n)")
     w.add_argument("--input", required=True)
     w.add_argument("--out", required=True)
@@ -135,8 +145,11 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     args = p.parse_args(list(argv))
     if args.cmd == "daily":
         salt = args.salt if args.salt == "auto" else int(args.salt)
-        T.run_daily(spark, args.source, table_writer(args), salt=salt,
-                    concurrent_writes=args.concurrent_writes)
+        if args.versioned:
+            T.run_daily_published(spark, args.source, args.out, salt, args.concurrent_writes)
+        else:
+            T.run_daily(spark, args.source, table_writer(args), salt=salt,
+                        concurrent_writes=args.concurrent_writes)
     elif args.cmd == "wordcount":
         lines = spark.read.text(args.input).withColumnRenamed("value", "text")
         _write(word_count(lines, "text"), args.out, args.format)

@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from statflow.operators.changes import apply_changes, changed_keys, snapshot_changes
 from statflow.operators.htmlblocks import extract_page_row_parsed, parsed_blocks
 from statflow.operators.htmlpaths import extract_page_row_paths, path_blocks
 from statflow.operators.ordered import running_totals
@@ -46,7 +47,9 @@ from statflow.operators.wordcount import word_count
 __all__ = [
     "Profile",
     "Rule",
+    "apply_changes",
     "apply_profile",
+    "changed_keys",
     "check_columns",
     "check_contract",
     "distinct_keys",

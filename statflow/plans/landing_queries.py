@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statflow.functions import positional_columns
+from statflow.operators.changes import apply_changes, snapshot_changes
 from statflow.operators.htmlpaths import extract_page_row_paths
 from statflow.operators.unpack import flag_malformed, page_row_is_bad
 from statflow.plans.profiles import PLAYER_INFORMATION_HEADER
@@ -140,7 +141,62 @@ UNION ALL
 SELECT DISTINCT capture, 'unreadable', NULL, NULL, NULL, NULL, CAST(NULL AS INTEGER) FROM rows WHERE capture % 5 = 4"""
 
 
+# --- G1-G5: changed rows only ---------------------------------------------------
+
+def order_snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of the orders, keyed by customer and day: the second lacks
+    some orders, has others that the first lacks, other prices, other statuses
+    (also NULL) and columns in another order."""
+    orders = load(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    old = orders.filter("o_orderkey % 11 <> 0").select(
+        "o_custkey", "day", "o_orderkey", "o_orderstatus", "o_totalprice")
+    new = orders.filter("o_orderkey % 13 <> 0").select(
+        F.expr("o_totalprice + IF(o_orderkey % 17 = 0, 1, 0)").alias("o_totalprice"),
+        F.expr("IF(o_orderkey % 19 = 0, NULL, o_orderstatus)").alias("o_orderstatus"),
+        "o_orderkey", "day", "o_custkey")
+    return old, new
+
+
+_SNAPSHOT_KEY = ["o_custkey", "day"]
+
+
+def snapshot_changes_q(spark: SparkSession, sf: str) -> DataFrame:
+    old, new = order_snapshots(spark, sf)
+    return snapshot_changes(old, new, _SNAPSHOT_KEY)
+
+
+def apply_changes_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The old snapshot after the changes: the new one."""
+    old, new = order_snapshots(spark, sf)
+    return apply_changes(old, snapshot_changes(old, new, _SNAPSHOT_KEY), _SNAPSHOT_KEY)
+
+
+_SNAPSHOTS = """
+WITH old AS (
+  SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey, o_orderstatus, o_totalprice
+  FROM orders WHERE o_orderkey % 11 <> 0
+), new AS (
+  SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey,
+         CASE WHEN o_orderkey % 19 <> 0 THEN o_orderstatus END AS o_orderstatus,
+         o_totalprice + CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END AS o_totalprice
+  FROM orders WHERE o_orderkey % 13 <> 0
+)"""
+ORACLE_SNAPSHOT_CHANGES = _SNAPSHOTS + """, differing AS (
+  SELECT DISTINCT o_custkey, day FROM (
+    (SELECT * FROM old EXCEPT ALL SELECT * FROM new) UNION ALL (SELECT * FROM new EXCEPT ALL SELECT * FROM old))
+)
+SELECT n.*, CASE WHEN (o_custkey, day) IN (SELECT (o_custkey, day) FROM old) THEN 'update' ELSE 'insert' END AS change
+FROM new n JOIN differing USING (o_custkey, day)
+UNION ALL
+SELECT o_custkey, day, NULL, NULL, NULL, 'delete' FROM differing
+WHERE (o_custkey, day) NOT IN (SELECT (o_custkey, day) FROM new)"""
+ORACLE_APPLY_CHANGES = _SNAPSHOTS + """
+SELECT * FROM new"""
+
+
 LANDING_QUERIES = {
+    "snapshot_changes": (snapshot_changes_q, ORACLE_SNAPSHOT_CHANGES),
+    "apply_changes": (apply_changes_q, ORACLE_APPLY_CHANGES),
     "capture_rows": (capture_rows, ORACLE_CAPTURE_ROWS),
     "page_row_paths": (page_row_paths, ORACLE_PAGE_ROW_PATHS),
 }

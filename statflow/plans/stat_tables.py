@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statflow.operators.changes import snapshot_changes
 from statflow.operators.htmlblocks import extract_page_row_parsed
 from statflow.operators.htmlpaths import extract_page_row_paths
 from statflow.operators.profile import (
@@ -46,6 +47,7 @@ from statflow.session import ensure_checkpoint_dir
 from statflow.sources.captures import RANGE_BYTES, read_capture_rows
 from statflow.sources.csv import read_string_csv, table_path
 from statflow.sources.files import read_payloads
+from statflow.sources.versions import Publication, manifest, read_tables
 
 # Landing file names and output table names.
 SOURCES = {
@@ -185,6 +187,41 @@ def run_daily(
     return tables
 
 
+#: What tells rows of a table apart (rows of equal keys are compared as a bag).
+KEYS = {
+    "player_information": ["PLAYER_ID"],
+    "player_box": ["PLAYER_ID", "GAME_ID"],
+    "player_leader": ["PLAYER_ID"],
+    "team_leader": ["TEAM_ID"],
+    "team_box": ["TEAM_ID", "GAME_ID"],
+}
+
+
+def run_daily_published(spark: SparkSession, base: str, out: str, salt: int | str = "auto",
+                        concurrent_writes: int = 1) -> int:
+    """The daily load with all five tables shown at once: they are written to
+    new folders below ``out``, and one manifest swaps them in at the end
+    (:mod:`statflow.sources.versions`). A failure before leaves all five old
+    tables. Returns the manifest's number."""
+    publication = Publication(spark, out)
+    run_daily(spark, base, publication.write, salt, concurrent_writes)
+    return publication.commit()
+
+
+def daily_changes(spark: SparkSession, out: str, before: int | None = None, after: int | None = None
+                  ) -> dict[str, DataFrame]:
+    """For each of the five tables the rows that changed from publication
+    ``before`` (default: the one before the newest) to ``after`` (the newest),
+    for a sink that takes upserts: ``write_table_once(..., mode="changes",
+    key=KEYS[table])``."""
+    newest = manifest(spark, out, after)
+    if newest is None:
+        raise FileNotFoundError(f"nothing published in {out}")
+    new = read_tables(spark, out, newest["number"])
+    old = read_tables(spark, out, newest["number"] - 1 if before is None else before)
+    return {key: snapshot_changes(old[TABLES[key]], new[TABLES[key]], KEYS[key]) for key in TABLES}
+
+
 def land_payloads_flagged(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, one_per_line: bool = False
 ) -> DataFrame:

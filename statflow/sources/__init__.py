@@ -4,17 +4,23 @@ from statflow.sources.captures import read_capture_rows
 from statflow.sources.csv import read_string_csv, table_path, write_csv
 from statflow.sources.files import load, read_pages, read_payloads, save_table, write_parquet
 from statflow.sources.jdbc import read_table, write_table
+from statflow.sources.jdbc_once import write_table_once
+from statflow.sources.versions import publish_together, read_tables, vacuum
 
 __all__ = [
     "load",
+    "publish_together",
     "read_capture_rows",
     "read_pages",
     "read_payloads",
     "read_string_csv",
     "read_table",
+    "read_tables",
     "save_table",
     "table_path",
     "write_csv",
     "write_parquet",
+    "vacuum",
     "write_table",
+    "write_table_once",
 ]

@@ -34,13 +34,16 @@ def write_table(
     num_partitions: int | None = None,
     batchsize: int | None = None,
     truncate: bool | None = None,
+    column_types: str | None = None,
 ) -> None:
     """Overwrite (default) a JDBC table with ``df``.
 
     ``num_partitions`` caps concurrent connections (Spark coalesces to it),
-    ``truncate`` keeps the table definition on overwrite.
+    ``truncate`` keeps the table definition on overwrite, ``column_types``
+    (``"ID VARCHAR(64)"``) names database types for a table that is made.
     """
     extra = {"numPartitions": num_partitions, "batchsize": batchsize,
+             "createTableColumnTypes": column_types,
              "truncate": None if truncate is None else str(truncate).lower()}
     df.write.format("jdbc").options(**_options(url, table, user, password, driver, extra)).mode(
         mode
