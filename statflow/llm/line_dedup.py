@@ -1,31 +1,39 @@
 """Line dedup: a segment-partition edit join over the lines of all documents.
 
-Lines of at least ``MIN_CHARS`` characters (without white space at the ends) are
-compared; of equal lines, and of lines up to ``EDITS`` edits apart, the later
-ones are dropped. "Later" is by document id, then by place in the document.
-With ``short_repeats`` shorter lines that are not blank are compared too, for
-equality alone; without it (the rule of ``op2_line_dedup`` and its SQL) they stay.
-
-Different lines are split into EDITS + 1 even segments. If two lines are that
-close, one segment of the shorter stands unchanged in the longer, within a
-small shift that depends on the lengths and the segment (multi-match-aware
-windows). So each line is indexed by its segments and probes the indexes of
-lines up to EDITS characters shorter with its substrings. Candidates must also
-have close numbers of some frequent letters: an edit takes one away and adds one
-at the most. What is left is verified, without the words
-that both have at the start and the end, by banded edit distance on bit vectors: the
-vertical differences of a band of a column are the bits of two numbers, and a
-character moves the band down by one in a few operations. All of it is built-in
-functions.
-
-Repeated lines are pre-aggregated to one before they are joined. The different
-lines are kept in a table bucketed by the line's hash, so that verification
-moves the candidates, not the lines.
-
-Defined results: NULL and empty texts have no lines; blank lines always stay,
-and without ``short_repeats`` all lines shorter than MIN_CHARS; repeated rows are documents whose lines repeat, in any
-order; NULL ids come first; an empty table gives no rows. Names starting with
-``_line`` are reserved.
+All lines that are not blank are compared, without white space at their ends.
+Of equal lines, and of lines a few edits apart, the later ones are dropped;
+"later" is by document id, then by place in the document. A pair may differ by
+one edit for every ``CHARS_PER_EDIT`` characters of its shorter line, ``EDITS``
+at the most: short lines must be equal.
+
+Different lines are split into one segment more than they have edits. If two
+lines are that close, one segment of the shorter stands unchanged in the longer,
+within a small shift that depends on the lengths and the segment
+(multi-match-aware windows). So each line is indexed by its segments and probes
+the indexes of the lines that may be shorter with its substrings. This is done
+in two rounds, since one earlier witness is enough for a line to go:
+
+1. Each probe meets one line of an index list, the first by document id. In a
+   group of near copies that is the one that the others are copies of, so a
+   group costs as many pairs as it has lines.
+2. What no witness was found for probes the rest of the lists that have more
+   than one line, for earlier lines with close numbers of some frequent letters
+   (an edit takes one away and adds one at the most). Answered lines stay in
+   the lists as witnesses. No list is cut.
+
+Pairs are verified, without the words that both have at the start and the end,
+by banded edit distance on bit vectors: the vertical differences of a band of a
+column are the bits of two numbers, and a character moves the band down by one
+in a few operations. All of it is built-in functions.
+
+Repeated lines are pre-aggregated to one, told apart by 128 bits, before they
+are joined. The different lines are kept in a table bucketed by a 64-bit hash,
+so that verification, by text, moves the candidates, not the lines.
+
+Defined results: NULL and empty texts have no lines; blank lines always stay;
+repeated rows are documents whose lines repeat, in any order; NULL ids come
+first; an empty table gives no rows; other columns keep their values, but those
+named as the result's. Names starting with ``_line`` are reserved.
 """
 
 from __future__ import annotations
@@ -39,30 +47,31 @@ from statflow.llm.words import WHITE_SPACE
 from statflow.session import ensure_checkpoint_dir
 
 EDITS = 2
-MIN_CHARS = 24
-#: Fixed value: frequent letters whose numbers are compared first.
+#: A line of so many characters may have one edit, of twice as many two.
+CHARS_PER_EDIT = 12
+#: Fixed value: frequent letters whose numbers are compared in the second round.
 LETTERS = "eanrit"
 
 
 def _mark(key: str, text: str) -> Column:
     """Tells a document's row from all others but its repetitions."""
-    return F.xxhash64(F.col(key), F.col(text))
+    return F.unhex(F.md5(F.concat_ws(":", F.col(key), F.col(text).isNull(), F.col(text))))
 
 
 def _line_array(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_CHARS) -> DataFrame:
-    """Every line of ``least`` characters: _line_at (doc id, mark, place), its hash and
-    text without white space at the ends."""
+def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every line that is not blank: _line_at (doc id, mark, place), its hash
+    and text without white space at the ends."""
     rows = docs.select(F.col(key).cast("long").alias("_id"), _mark(key, text).alias("_m"),
                        F.posexplode(_line_array(F.col(text))).alias("_p", "_raw"))
     line = F.btrim("_raw", F.lit(WHITE_SPACE))
     return (rows.select(F.struct(F.col("_id").alias("id"), F.col("_m").alias("mark"),
                                  F.col("_p").alias("place")).alias("_line_at"), line.alias("_line"))
-            .filter(F.char_length("_line") >= least)
-            .withColumn("_line_hash", F.xxhash64("_line")))
+            .filter(F.col("_line") != "")
+            .withColumn("_line_hash", F.unhex(F.md5("_line"))))
 
 
 def letter_counts(line: Column) -> Column:
@@ -98,21 +107,36 @@ def _piece(line: Column, i: int, length: Column, start: Column, size: Column) ->
     return F.xxhash64(F.lit(i), length, F.substr(line, start, size))
 
 
+def edits_of(length: Column, edits: int = EDITS) -> Column:
+    """Edits that a pair may have whose shorter line has so many characters."""
+    return F.least(F.lit(edits), F.floor(length / CHARS_PER_EDIT)).cast("int")
+
+
 def index_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
-    return F.array(*[_piece(line, i, length, start, size)
-                     for i, (start, size) in enumerate(_segments(length, edits))])
+    """The keys of a line's segments, by the edits it may have."""
+    out = F.array().cast("array<long>")
+    for k in range(edits, 0, -1):
+        own = F.array(*[_piece(line, i, length, start, size)
+                        for i, (start, size) in enumerate(_segments(length, k))])
+        out = F.when(edits_of(length, edits) == k, own).otherwise(out)
+    return out
 
 
 def probe_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
-    """Substrings that may be a segment of a line 0 to ``edits`` shorter."""
-    keys = []
+    """The keys of substrings that may be a segment of a line that is shorter
+    by at most the edits which that line may have."""
+    lists = []
     for less in range(edits + 1):
         short = length - less
-        for i, (start, size) in enumerate(_segments(short, edits)):
-            first = max(-i, less - (edits - i))
-            last = min(i, less + (edits - i))
-            keys += [_piece(line, i, short, start + shift, size) for shift in range(first, last + 1)]
-    return F.array(*keys)
+        for k in range(max(less, 1), edits + 1):
+            keys = []
+            for i, (start, size) in enumerate(_segments(short, k)):
+                first = max(-i, less - (k - i))
+                last = min(i, less + (k - i))
+                keys += [_piece(line, i, short, start + shift, size) for shift in range(first, last + 1)]
+            lists.append(F.when(edits_of(short, edits) == k, F.array(*keys))
+                         .otherwise(F.array().cast("array<long>")))
+    return F.concat(*lists)
 
 
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -199,12 +223,19 @@ def _between(a: Column, b: Column, edits: int) -> Column:
 
 
 def similar(a: Column, b: Column, edits: int = EDITS) -> Column:
-    """Whether lines are at most ``edits`` edits apart."""
-    def check(x: Column) -> Column:
-        apart = F.abs(F.char_length(x["s"]) - F.char_length(x["t"]))
-        return F.when(apart > edits, False).otherwise(within(x["s"], x["t"], edits))
-
-    return _let(_between(a, b, edits), check)
+    """Whether lines are at most as many edits apart as the shorter may have."""
+    def check(k: int):
+        def run(x: Column) -> Column:
+            apart = F.abs(F.char_length(x["s"]) - F.char_length(x["t"]))
+            return F.when(apart > k, False).otherwise(within(x["s"], x["t"], k))
+
+        return run
+
+    may = edits_of(F.least(F.char_length(a), F.char_length(b)), edits)
+    out = F.lit(False)
+    for k in range(1, edits + 1):
+        out = F.when(may == k, _let(_between(a, b, k), check(k))).otherwise(out)
+    return out
 
 
 def _let(value: Column, body) -> Column:
@@ -212,89 +243,127 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def candidates(different: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs (a, b) of different lines that share a segment and have close
-    letter counts. Segments shared by very many lines are skewed keys of this join,
-    which Spark splits; only pairs that pass come out of it."""
+def _verified(pairs: DataFrame, kept: DataFrame, edits: int) -> DataFrame:
+    """The later line (its 64-bit handle and its hash) of every pair of handles
+    (a, b) that is close enough. Candidates meet their lines where these are:
+    the few are hashed, the lines stream by."""
+    def side(name: str) -> DataFrame:
+        return kept.select(F.col("_handle").alias(name), F.col("_line").alias(f"_l{name}"),
+                           F.col("_line_hash").alias(f"_h{name}"), F.col("_first").alias(f"_f{name}"))
+
+    both = (pairs.hint("shuffle_hash").join(side("a"), "a").hint("shuffle_hash").join(side("b"), "b"))
+    near = both.filter(similar(F.col("_la"), F.col("_lb"), edits))
+    later = F.col("_fa") < F.col("_fb")
+    return near.select(F.when(later, F.col("b")).otherwise(F.col("a")).alias("_handle"),
+                       F.when(later, F.col("_hb")).otherwise(F.col("_ha")).alias("_line_hash")).distinct()
+
+
+def near_lines(kept: DataFrame, folder: str, edits: int = EDITS) -> DataFrame:
+    """The hashes of the different lines ``kept`` (_handle, _line_hash, _line,
+    _first) that are close to an earlier one."""
+    spark = kept.sparkSession
     length = F.char_length("_line")
-    index = different.select(F.col("_line_hash").alias("a"), F.col("_letters").alias("_ca"),
-                             F.explode(index_keys(F.col("_line"), length, edits)).alias("_key"))
-    probe = different.select(F.col("_line_hash").alias("b"), F.col("_letters").alias("_cb"),
-                             F.explode(probe_keys(F.col("_line"), length, edits)).alias("_key"))
+    own = kept.filter(length >= CHARS_PER_EDIT).select(
+        F.col("_handle"), F.coalesce(F.col("_first.id"), F.lit(-(1 << 63))).alias("_id"), F.col("_line"))
+    index = own.select("_handle", "_id", F.explode(index_keys(F.col("_line"), length, edits)).alias("_key"))
+    heads = index.groupBy("_key").agg(F.min_by("_handle", "_id").alias("a"), F.count(F.lit(1)).alias("_n"))
+    probe = own.select(F.col("_handle").alias("b"), F.col("_id").alias("_idb"),
+                       F.explode(probe_keys(F.col("_line"), length, edits)).alias("_key"))
+    (probe.join(heads, "_key").filter((F.col("a") != F.col("b")) | (F.col("_n") > 1))
+     .write.parquet(f"{folder}/met"))
+    met = spark.read.parquet(f"{folder}/met")
+
+    ordered = met.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    _verified(ordered, kept, edits).write.parquet(f"{folder}/first")
+    first = spark.read.parquet(f"{folder}/first")
+
+    open_probes = met.filter("_n > 1").join(first.select(F.col("_handle").alias("b")), "b", "left_anti")
+    letters = kept.select(F.col("_handle"), letter_counts(F.col("_line")).alias("_c"))
+    # only lists that an open probe asks for, and only lines in them
+    asked = index.join(open_probes.select("_key").distinct(), "_key", "left_semi")
+    listed = asked.join(letters, "_handle").select(F.col("_handle").alias("a2"), F.col("_id").alias("_ida"),
+                                                   F.col("_c").alias("_ca"), "_key")
+    asking = open_probes.join(letters.withColumnRenamed("_handle", "b").withColumnRenamed("_c", "_cb"), "b")
     near = letters_apart(F.col("_ca"), F.col("_cb")) <= 2 * edits
-    return (index.join(probe, (index["_key"] == probe["_key"]) & (F.col("a") != F.col("b")) & near)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    rest = (asking.join(listed, "_key")
+            .filter((F.col("a2") != F.col("b")) & (F.col("a2") != F.col("a")) & (F.col("_ida") <= F.col("_idb")) & near)
+            .select(F.least("a2", "b").alias("a"), F.greatest("a2", "b").alias("b")).distinct())
+    second = _verified(rest.join(ordered, ["a", "b"], "left_anti"), kept, edits)
+    return first.select("_line_hash").union(second.select("_line_hash")).distinct()
 
 
-def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS,
-           short_repeats: bool = False) -> DataFrame:
-    """One row per document that loses lines: mark, repeats and nears (arrays
-    of the places of lines equal, or only close, to an earlier line)."""
+def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
+    """One row per document that loses lines: _line_m (mark), _line_repeats and
+    _line_nears (arrays of the places of lines equal, or only close, to an
+    earlier line)."""
     spark = docs.sparkSession
     folder = ensure_checkpoint_dir(spark).rstrip("/") + "/lines-" + uuid.uuid4().hex
-    every = lines(docs, key, text, 1 if short_repeats else MIN_CHARS)
+    every = lines(docs, key, text)
     different = every.groupBy("_line_hash").agg(
         F.min("_line_at").alias("_first"), F.count(F.lit(1)).alias("_k"), F.first("_line").alias("_line"))
     table = "lines_" + uuid.uuid4().hex
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (different.withColumn("_letters", letter_counts(F.col("_line"))).write.bucketBy(buckets, "_line_hash")
-     .saveAsTable(table))
-    kept = spark.table(table)
-
-    # candidates meet their lines where these are: the few are hashed, the
-    # lines stream by
-    texts = kept.select("_line_hash", "_line", "_first")
-    pairs = candidates(kept.filter(F.char_length("_line") >= MIN_CHARS), edits).hint("shuffle_hash")
-    one = pairs.join(texts.select(F.col("_line_hash").alias("a"), F.col("_line").alias("_la"),
-                                  F.col("_first").alias("_fa")), "a").hint("shuffle_hash")
-    both = one.join(texts.select(F.col("_line_hash").alias("b"), F.col("_line").alias("_lb"),
-                                 F.col("_first").alias("_fb")), "b")
-    links = both.filter(similar(F.col("_la"), F.col("_lb"), edits))
-    later = links.select(F.when(F.col("_fa") < F.col("_fb"), F.col("b")).otherwise(F.col("a"))
-                         .alias("_line_hash")).distinct().withColumn("_near", F.lit(True))
-    # of the lines only those that are dropped somewhere go on
-    verdicts = (kept.select("_line_hash", "_first", "_k").join(later, "_line_hash", "left")
-                .filter((F.col("_k") > 1) | F.col("_near"))
-                .select("_line_hash", "_first", F.coalesce("_near", F.lit(False)).alias("_near")))
-    verdicts.write.parquet(folder)
-    spark.sql(f"DROP TABLE {table}")
-    verdicts = spark.read.parquet(folder)
+    # its files are in the shared folder; only its name is in the catalog
+    (different.withColumn("_handle", F.xxhash64("_line")).write.bucketBy(buckets, "_handle")
+     .option("path", f"{folder}/different").saveAsTable(table))
+    try:
+        kept = spark.table(table)
+        near_lines(kept, folder, edits).write.parquet(f"{folder}/near")
+        later = spark.read.parquet(f"{folder}/near").withColumn("_near", F.lit(True))
+        # of the lines only those that are dropped somewhere go on
+        verdicts = (kept.select("_line_hash", "_first", "_k").join(later, "_line_hash", "left")
+                    .filter((F.col("_k") > 1) | F.col("_near"))
+                    .select("_line_hash", "_first", F.coalesce("_near", F.lit(False)).alias("_near")))
+        verdicts.write.parquet(f"{folder}/verdicts")
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    verdicts = spark.read.parquet(f"{folder}/verdicts")
 
     found = every.select("_line_hash", "_line_at").join(verdicts, "_line_hash")
     first = F.col("_line_at") == F.col("_first")
     dropped = found.filter(~first | F.col("_near"))
     place = F.col("_line_at.place")
-    return dropped.groupBy(F.col("_line_at.mark").alias("_m")).agg(
-        F.sort_array(F.collect_set(F.when(~first, place))).alias("repeats"),
-        F.sort_array(F.collect_set(F.when(first, place))).alias("nears"))
+    return dropped.groupBy(F.col("_line_at.mark").alias("_line_m")).agg(
+        F.sort_array(F.collect_set(F.when(~first, place))).alias("_line_repeats"),
+        F.sort_array(F.collect_set(F.when(first, place))).alias("_line_nears"))
+
+
+#: Columns of the result; columns of the documents with these names give way.
+RESULT = ("n_lines", "n_repeats", "n_nears", "dropped")
+
+
+def _judged(docs: DataFrame, key: str, text: str, edits: int) -> DataFrame:
+    """``docs``, all columns as they are, plus _line_m, _line_repeats,
+    _line_nears and _line_dropped."""
+    none = F.array().cast("array<int>")
+    made = docs.withColumn("_line_m", _mark(key, text))
+    dropped = F.coalesce(F.sort_array(F.concat("_line_repeats", "_line_nears")), none)
+    return made.join(decide(docs, key, text, edits), "_line_m", "left").withColumn("_line_dropped", dropped)
+
+
+def _text_left(text: str) -> Column:
+    left = F.filter(_line_array(F.col(text)), lambda x, i: ~F.array_contains(F.col("_line_dropped"), i))
+    return F.when(F.size("_line_dropped") > 0, F.array_join(left, "\n")).otherwise(F.col(text))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS,
-                with_text: bool = True, short_repeats: bool = False) -> DataFrame:
+                with_text: bool = True) -> DataFrame:
     """``docs`` plus n_lines, n_repeats, n_nears and dropped (places, from 0);
     its text without the dropped lines, if ``with_text``. Of rows equal in id
     and text, all lose the same lines."""
-    none = F.array().cast("array<int>")
-    made = (docs.withColumn("_m", _mark(key, text))
-            .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(_line_array(F.col(text))))))
-    if not with_text:
-        made = made.drop(text)
-    out = (made.join(decide(docs, key, text, edits, short_repeats), "_m", "left").drop("_m")
-           .withColumn("n_repeats", F.coalesce(F.size("repeats"), F.lit(0)))
-           .withColumn("n_nears", F.coalesce(F.size("nears"), F.lit(0)))
-           .withColumn("dropped", F.coalesce(F.sort_array(F.concat("repeats", "nears")), none))
-           .drop("repeats", "nears"))
-    if with_text:
-        left = F.filter(_line_array(F.col(text)), lambda x, i: ~F.array_contains(F.col("dropped"), i))
-        out = out.withColumn(text, F.when(F.size("dropped") > 0, F.array_join(left, "\n"))
-                             .otherwise(F.col(text)))
-    return out
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_line_array(F.col(text))))
+    none = F.lit(0)
+    own = [_text_left(text).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns
+           if c not in RESULT and (with_text or c != text)]
+    return _judged(docs, key, text, edits).select(
+        *own, n_lines.alias("n_lines"), F.coalesce(F.size("_line_repeats"), none).alias("n_repeats"),
+        F.coalesce(F.size("_line_nears"), none).alias("n_nears"), F.col("_line_dropped").alias("dropped"))
 
 
-def deduped_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                      short_repeats: bool = False) -> DataFrame:
+def deduped_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the dropped lines; documents that lost lines and have
     no word left go. Columns as in ``docs``."""
-    out = dedup_lines(docs, key, text, short_repeats=short_repeats)
-    empty = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(WHITE_SPACE)) == ""
-    return out.filter((F.size("dropped") == 0) | ~empty).select(*docs.columns)
+    left = _judged(docs, key, text, EDITS).withColumn("_line_left", _text_left(text))
+    empty = F.btrim(F.coalesce(F.col("_line_left"), F.lit("")), F.lit(WHITE_SPACE)) == ""
+    return left.filter((F.size("_line_dropped") == 0) | ~empty).select(
+        *[F.col("_line_left").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -38,12 +38,13 @@ WITH lines AS (
   FROM (SELECT doc_id, string_split(text, E'\n') AS ls FROM documents WHERE text IS NOT NULL) d,
        LATERAL (SELECT unnest(d.ls) AS line, generate_subscripts(d.ls, 1) AS place) u
 ), compared AS (
-  SELECT * FROM lines WHERE length(line) >= 24
+  SELECT * FROM lines WHERE line <> ''
 ), firsts AS (
   SELECT line, min((doc_id, place)) AS first, length(line) AS n FROM compared GROUP BY line
 ), near AS (
   SELECT DISTINCT b.line FROM firsts a JOIN firsts b
-  ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.first < b.first AND levenshtein(a.line, b.line) <= 2
+  ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.first < b.first AND least(a.n, b.n) >= 12
+    AND levenshtein(a.line, b.line) <= least(2, least(a.n, b.n) // 12)
 ), judged AS (
   SELECT c.doc_id, c.place, (c.doc_id, c.place) <> f.first AS repeated,
          c.line IN (SELECT line FROM near) AS near
