@@ -103,6 +103,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
 
     d.add_argument("--versioned", action="store_true",
                    help="Parquet tables under --out are shown together, by one manifest at the end")
+    d.add_argument("--by-name", action="store_true",
+                   help="bind the columns of every landing file by name (reordered, more or fewer columns)")
     d.add_argument("--once", action="store_true",
                    help="JDBC tables through staging and ledger: each row once, also when tasks run twice")
 
@@ -146,10 +148,10 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     if args.cmd == "daily":
         salt = args.salt if args.salt == "auto" else int(args.salt)
         if args.versioned:
-            T.run_daily_published(spark, args.source, args.out, salt, args.concurrent_writes)
+            T.run_daily_published(spark, args.source, args.out, salt, args.concurrent_writes, args.by_name)
         else:
             T.run_daily(spark, args.source, table_writer(args), salt=salt,
-                        concurrent_writes=args.concurrent_writes)
+                        concurrent_writes=args.concurrent_writes, by_name=args.by_name)
     elif args.cmd == "wordcount":
         lines = spark.read.text(args.input).withColumnRenamed("value", "text")
         _write(word_count(lines, "text"), args.out, args.format)

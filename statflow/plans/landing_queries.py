@@ -18,6 +18,8 @@ from statflow.plans.stat_tables import PAGE_INFO_PATHS, PAGE_POSITION_PATH, PAGE
 from statflow.session import ensure_checkpoint_dir
 from statflow.sources.captures import read_capture_rows
 from statflow.sources.files import load
+from statflow.sources.headers import read_any_csv
+from statflow.sources.manifest import land_new, read_landed
 
 # --- S4 G8: profile pages addressed by element paths --------------------------
 
@@ -194,7 +196,74 @@ ORACLE_APPLY_CHANGES = _SNAPSHOTS + """
 SELECT * FROM new"""
 
 
+# --- S1 S2: files bound by name, objects landed once ------------------------------
+
+#: The columns of each priority's files, in their order.
+_CSV_COLUMNS = {
+    "1-URGENT": ["o_orderkey", "o_custkey", "o_orderstatus", "day"],
+    "2-HIGH": ["day", "o_orderstatus", "o_custkey", "o_orderkey"],
+    "3-MEDIUM": ["o_custkey", "o_orderkey"],
+    "4-NOT SPECIFIED": ["o_orderkey", "o_custkey", "o_orderstatus", "day"],
+    "5-LOW": ["o_orderstatus", "o_orderkey", "o_totalprice", "o_custkey", "day"],
+}
+
+
+def _query_folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/query-{name}-{uuid.uuid4().hex}"
+
+
+def _write_orders(spark: SparkSession, sf: str, folder: str, priorities: list[str]) -> None:
+    """The orders of some priorities as CSV files below ``folder``."""
+    orders = load(spark, sf, "orders").withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    for p in priorities:
+        (orders.filter(F.col("o_orderpriority") == p).select(*_CSV_COLUMNS[p]).repartition(4, "o_orderkey")
+         .write.mode("append").option("header", True).csv(f"{folder}/{p[0]}"))
+
+
+def csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """S1: files of four headers, one table."""
+    folder = _query_folder(spark, "csv")
+    _write_orders(spark, sf, folder, list(_CSV_COLUMNS))
+    return read_any_csv(spark, [f"{folder}/{p[0]}" for p in _CSV_COLUMNS],
+                        header=["o_orderkey", "o_custkey", "o_orderstatus", "day"])
+
+
+ORACLE_CSV_BY_NAME = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderpriority <> '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day
+FROM orders"""
+
+
+def landed_once(spark: SparkSession, sf: str) -> DataFrame:
+    """S2: three landings of a growing folder; every object is landed by one.
+    ``pass`` tells which."""
+    folder = _query_folder(spark, "objects")
+    source, manifest, out = (f"{folder}/{n}" for n in ("in", "manifest", "out"))
+    passes = []
+    for priorities in (["1-URGENT", "2-HIGH"], ["3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], []):
+        _write_orders(spark, sf, source, priorities)
+        done = []
+
+        def land(paths: list[str], run: str, done: list = done) -> None:
+            read_any_csv(spark, paths, header=["o_orderkey"]).write.parquet(f"{out}/run={run}")
+            done.append(run)
+
+        land_new(spark, source, manifest, land, pattern="*.csv")
+        passes += [(run, len(passes) + 1) for run in done]
+    runs = spark.createDataFrame(passes, "run string, pass int")
+    return read_landed(spark, manifest, out).join(runs, "run").select("o_orderkey", "pass")
+
+
+ORACLE_LANDED_ONCE = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 2 END AS INTEGER) AS pass
+FROM orders"""
+
+
 LANDING_QUERIES = {
+    "csv_by_name": (csv_by_name, ORACLE_CSV_BY_NAME),
+    "landed_once": (landed_once, ORACLE_LANDED_ONCE),
     "snapshot_changes": (snapshot_changes_q, ORACLE_SNAPSHOT_CHANGES),
     "apply_changes": (apply_changes_q, ORACLE_APPLY_CHANGES),
     "capture_rows": (capture_rows, ORACLE_CAPTURE_ROWS),

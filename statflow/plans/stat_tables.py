@@ -47,6 +47,7 @@ from statflow.session import ensure_checkpoint_dir
 from statflow.sources.captures import RANGE_BYTES, read_capture_rows
 from statflow.sources.csv import read_string_csv, table_path
 from statflow.sources.files import read_payloads
+from statflow.sources.headers import read_any_csv
 from statflow.sources.versions import Publication, manifest, read_tables
 
 # Landing file names and output table names.
@@ -125,9 +126,12 @@ DROPPED = {
 }
 
 
-def read_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """The five CSV landings under ``base`` (any Hadoop URI), as strings."""
-    return {k: read_string_csv(spark, table_path(base, v)) for k, v in SOURCES.items()}
+def read_sources(spark: SparkSession, base: str, by_name: bool = False) -> dict[str, DataFrame]:
+    """The five CSV landings under ``base`` (any Hadoop URI), as strings.
+    ``by_name``: a landing's files may have their columns in different orders,
+    or more or fewer of them (:mod:`statflow.sources.headers`)."""
+    read = read_any_csv if by_name else read_string_csv
+    return {k: read(spark, table_path(base, v)) for k, v in SOURCES.items()}
 
 
 def build_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -147,6 +151,7 @@ def run_daily(
     write: Callable[[DataFrame, str], None],
     salt: int | str = "auto",
     concurrent_writes: int = 1,
+    by_name: bool = False,
 ) -> dict[str, DataFrame]:
     """Read the five landings, type them and hand each table to ``write``
     (e.g. a JDBC or Parquet overwrite).
@@ -156,12 +161,13 @@ def run_daily(
     information scans run once and a lost executor recomputes from the
     checkpoint, not from the raw landings. ``salt`` is passed to the G1
     join and the G2 semi-join (``"auto"`` splits heavy PLAYER_IDs only).
+    ``by_name`` binds the columns of every landing file by name.
     With ``concurrent_writes > 1`` the four tables after G1 are written by
     that many concurrent Spark jobs, so small tables do not wait for the
     large box scores while the cluster has free cores.
     """
     ensure_checkpoint_dir(spark)
-    raw = read_sources(spark, base)
+    raw = read_sources(spark, base, by_name)
     info = player_information(
         raw["player_information"], raw["player_leader"], salt=salt
     ).checkpoint(eager=True)
@@ -198,13 +204,13 @@ KEYS = {
 
 
 def run_daily_published(spark: SparkSession, base: str, out: str, salt: int | str = "auto",
-                        concurrent_writes: int = 1) -> int:
+                        concurrent_writes: int = 1, by_name: bool = False) -> int:
     """The daily load with all five tables shown at once: they are written to
     new folders below ``out``, and one manifest swaps them in at the end
     (:mod:`statflow.sources.versions`). A failure before leaves all five old
     tables. Returns the manifest's number."""
     publication = Publication(spark, out)
-    run_daily(spark, base, publication.write, salt, concurrent_writes)
+    run_daily(spark, base, publication.write, salt, concurrent_writes, by_name)
     return publication.commit()
 
 

@@ -1,0 +1,71 @@
+"""Balanced range reads on embedded in-memory Derby."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from statflow.sources import jdbc_ranges as R
+from statflow.sources import write_table
+
+DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+
+def parts(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    """90 % of the keys in 1 % of the range, as numbers and as strings."""
+    rnd = random.Random(1)
+    keys = [rnd.randrange(500_000, 510_000) if rnd.random() < 0.9 else rnd.randrange(1_000_000) for _ in range(20_000)]
+    rows = [(k, f"{'id' if k % 2 else 'ID'}-{k}'x", dt.date(2000, 1, 1) + dt.timedelta(k % 3000)) for k in keys]
+    u = "jdbc:derby:memory:ranges;create=true"
+    df = spark.createDataFrame([*rows, (None, "none", None)], "N long, S string, D date")
+    write_table(df, u, "T", driver=DRIVER, num_partitions=4, column_types="S VARCHAR(40)")
+    return u, df
+
+
+@pytest.mark.parametrize("column", ["N", "S", "D"])
+def test_no_part_is_above_twice_the_mean(spark, table, column, monkeypatch):
+    monkeypatch.setattr(R, "KEYS_PER_STATEMENT", 150)
+    u, df = table
+    got = R.read_table_balanced(spark, u, "T", column, 16, driver=DRIVER)
+    assert got.rdd.getNumPartitions() == 16
+    sizes = parts(got)
+    assert sum(sizes) == 20_001 and max(sizes) <= 2 * 20_001 / 16
+    assert got.exceptAll(df).count() == df.exceptAll(got).count() == 0  # each row once, NULL keys too
+
+
+def test_a_hot_key_and_small_tables(spark):
+    u = "jdbc:derby:memory:ranges_hot;create=true"
+    rows = [(7,)] * 500 + [(k,) for k in range(500)]
+    write_table(spark.createDataFrame(rows, "N long"), u, "T", driver=DRIVER, num_partitions=2)
+    got = R.read_table_balanced(spark, u, "T", "N", 8, driver=DRIVER)
+    assert sorted(r.N for r in got.collect()) == sorted(k for k, in rows)
+    assert sorted(parts(got))[-2] <= 2 * 1000 / 8
+    for n, values in (("E", []), ("O", [(3,)]), ("NULLS", [(None,)] * 3)):
+        write_table(spark.createDataFrame(values, "N long"), u, n, driver=DRIVER, num_partitions=1)
+        assert [tuple(r) for r in R.read_table_balanced(spark, u, n, "N", 4, driver=DRIVER).collect()] == values
+
+
+def test_literals_and_predicates():
+    assert R.literal("a'b") == "'a''b'" and R.literal(5) == "5" and R.literal(dt.date(2001, 2, 3)) == "{d '2001-02-03'}"
+    for bad in (None, True, b"x"):
+        with pytest.raises(TypeError):
+            R.literal(bad)
+    assert R.range_predicates("K", []) == ["1 = 1"]
+    assert R.range_predicates("K", [3, 9]) == ['("K" < 3 OR "K" IS NULL)', '("K" >= 3 AND "K" < 9)', '"K" >= 9']
+
+
+def test_merged_orders(monkeypatch):
+    """Lists longer than a statement come out in the database's order."""
+    monkeypatch.setattr(R, "KEYS_PER_STATEMENT", 6)
+    rnd = random.Random(2)
+    for _ in range(200):
+        own = [str(x) for x in rnd.sample(range(100), rnd.randrange(40))]
+        cut = rnd.randrange(len(own) + 1)
+        order = lambda own: sorted(own, key=lambda t: t[::-1])  # noqa: E731 - an order unlike Python's
+        assert R._merge(order(own[:cut]), order(own[cut:]), order) == order(own)

@@ -1,0 +1,131 @@
+"""Objects landed once, through a Hadoop file system that is not file://, and
+CSV files bound by name."""
+
+import os
+
+import pytest
+
+from statflow.sources import headers as H
+from statflow.sources import manifest as M
+from statflow.sources import read_string_csv, write_csv
+
+
+@pytest.fixture()
+def mounted(spark, tmp_dir):
+    """``viewfs://bucket/in`` and ``/out`` over local folders."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in ("in", "out"):
+        os.makedirs(os.path.join(tmp_dir, name))
+        conf.set(f"fs.viewfs.mounttable.bucket.link./{name}", f"file://{tmp_dir}/{name}")
+    yield tmp_dir
+    for name in ("in", "out"):
+        conf.unset(f"fs.viewfs.mounttable.bucket.link./{name}")
+    spark._jvm.org.apache.hadoop.fs.FileSystem.closeAll()
+
+
+def put(folder, name, text):
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+def landing(spark):
+    where = {"source": "viewfs://bucket/in", "manifest": "viewfs://bucket/out/manifest",
+             "out": "viewfs://bucket/out/rows"}
+
+    def run(read=lambda p: read_string_csv(spark, p), **options):
+        return M.land_table(spark, **where, read=read, **options)
+
+    def rows():
+        return sorted(r.V for r in M.read_landed(spark, where["manifest"], where["out"]).collect())
+
+    return run, rows, where
+
+
+def test_each_object_is_landed_once(spark, mounted):
+    run, rows, where = landing(spark)
+    for name, v in (("a.csv", 1), ("b.csv", 2)):
+        put(f"{mounted}/in", name, f"ID,V\n{name},{v}\n")
+    put(f"{mounted}/in", "note.txt", "no table")
+    assert run(pattern="*.csv") == 2 and rows() == ["1", "2"]
+    assert run(pattern="*.csv") == 0 and rows() == ["1", "2"]
+    put(f"{mounted}/in", "c.csv", "ID,V\nc,3\n")
+    assert run(pattern="*.csv") == 1 and rows() == ["1", "2", "3"]
+    put(f"{mounted}/in", "a.csv", "ID,V\na.csv,10\n")  # replaced: another length
+    assert run(pattern="*.csv") == 1 and rows() == ["1", "10", "2", "3"]
+    os.utime(f"{mounted}/in/b.csv", (2_000_000_000, 2_000_000_000))  # same length, another time
+    assert run(pattern="*.csv") == 1
+    current = {os.path.basename(r.path): r for r in M.current_objects(spark, where["manifest"]).collect()}
+    assert sorted(current) == ["a.csv", "b.csv", "c.csv"] and current["a.csv"].length == len("ID,V\na.csv,10\n")
+    assert current["b.csv"].modified.timestamp() == 2_000_000_000
+
+
+def test_a_failed_run_is_landed_again(spark, mounted):
+    run, rows, _ = landing(spark)
+    for k in range(5):
+        put(f"{mounted}/in", f"{k}.csv", f"ID,V\n{k},{k}\n")
+    calls = []
+
+    def fails_late(paths):
+        calls.append(len(paths))
+        if len(calls) == 2:
+            raise OSError("lost")
+        return read_string_csv(spark, paths)
+
+    with pytest.raises(OSError):
+        run(fails_late, per_pass=2)
+    assert rows() == ["0", "1"]  # the first pass is committed
+    assert run(per_pass=2) == 3 and rows() == list("01234")
+
+
+def test_rows_of_a_failed_write_are_not_seen(spark, mounted, monkeypatch):
+    run, rows, where = landing(spark)
+    put(f"{mounted}/in", "a.csv", "ID,V\na,1\n")
+    assert run() == 1
+    put(f"{mounted}/in", "b.csv", "ID,V\nb,2\n")
+
+    def stop(paths, run_id):
+        read_string_csv(spark, paths).write.parquet(f"{where['out']}/run={run_id}")
+        raise OSError("after the rows, before the manifest")
+
+    with pytest.raises(OSError):
+        M.land_new(spark, where["source"], where["manifest"], stop)
+    assert rows() == ["1"]
+    assert run() == 1 and rows() == ["1", "2"]
+
+
+def test_csv_to_and_from_a_bucket(spark, mounted):
+    df = spark.createDataFrame([("007", "a, b"), ("008", None)], "ID string, N string")
+    write_csv(df, "viewfs://bucket/out/t.csv")
+    back = read_string_csv(spark, "viewfs://bucket/out/t.csv")
+    assert sorted(back.collect()) == [("007", "a, b"), ("008", None)]
+
+
+def test_files_are_bound_by_name(spark, tmp_dir):
+    for k in range(12):
+        put(tmp_dir, f"a{k:02}.csv", f"ID,V\n{k},v{k}\n")
+        put(tmp_dir, f"b{k:02}.csv", f'V,ID,"X, 1"\r\n"w, {k}",{100 + k},x\r\n')
+    put(tmp_dir, "c.csv", "ID\n999\n")
+    put(tmp_dir, "d.csv", "")  # empty
+    put(tmp_dir, "e.csv", "﻿ID,V\n")  # a header alone, with a byte order mark
+    groups = H.read_headers(spark, tmp_dir)
+    assert {k: len(v) for k, v in groups.items()} == {("ID", "V"): 13, ("V", "ID", "X, 1"): 12, ("ID",): 1}
+    df = H.read_any_csv(spark, tmp_dir, source=True)
+    assert df.columns == ["ID", "V", "X, 1", "source"]
+    got = {r.ID: (r.V, r["X, 1"]) for r in df.collect()}
+    assert len(got) == 25 and got["3"] == ("v3", None) and got["103"] == ("w, 3", "x") and got["999"] == (None, None)
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 3  # scans, not files
+    fixed = H.read_any_csv(spark, tmp_dir, header=["V", "NEW", "ID"])
+    assert fixed.columns == ["V", "NEW", "ID"] and fixed.filter("NEW IS NULL").count() == 25
+    with pytest.raises(ValueError, match="c.csv"):
+        H.read_any_csv(spark, tmp_dir, required=["V"])
+    put(tmp_dir, "f.csv", "ID,ID\n1,2\n")
+    with pytest.raises(ValueError, match="repeated"):
+        H.read_any_csv(spark, tmp_dir)
+
+
+@pytest.mark.parametrize("text,want", [
+    (b"", None), (b"a,b", ["a", "b"]), (b"a,b\nc", ["a", "b"]), (b'"a\nb",c\n', ["a\nb", "c"]),
+    (b'"a""b",c\r\n1', ['a"b', "c"]), ("é,漢\n".encode(), ["é", "漢"])])
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_first_record(text, want, size):
+    assert H.first_record(text[i:i + size] for i in range(0, len(text), size)) == want
