@@ -5,7 +5,8 @@ Spark queries over the typed tables.
 Totals are a partial+final hash aggregate. The leader board ranks every
 player: ranks are running totals over the different point values, so tied
 players, however many, share one row of that computation. The game log keeps
-n rows in each of a fixed number of groups before it orders what is left.
+n rows of every scan task, then of each of a fixed number of groups of tasks,
+before it orders what is left.
 """
 
 from __future__ import annotations
@@ -49,12 +50,25 @@ def season_totals(box: DataFrame, key: str = "PLAYER_ID") -> DataFrame:
 def leader_board(totals: DataFrame, stat: str = LEADER_STAT) -> DataFrame:
     """All rows with their RANK by ``stat`` (ties share a rank, NULLs come
     last). Rows are counted per value first; a value's rank is one more than
-    the rows with larger values, a running total over range partitions."""
+    the rows with larger values, a running total over range partitions. Values
+    that hold more than a shuffle partition's share of the rows (0 points, no
+    points) are dealt out over salted copies of their rank, so that no task
+    reads all rows of a value."""
+    buckets = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = totals.groupBy(F.col(stat).alias("__stat")).agg(F.count(F.lit(1)).alias("__n"))
     order = [F.col("__stat").desc_nulls_last()]
     ranks = running_totals(counts, order, {"__before": F.col("__n")})
-    ranked = totals.join(ranks, totals[stat].eqNullSafe(ranks["__stat"]))
-    return ranked.select(*totals.columns, (F.col("__before") + 1).cast("int").alias("RANK"))
+    fair = ranks.agg(F.sum("__n")).scalar() / buckets
+    hot = ranks.filter(F.col("__n") > fair).select(F.col("__stat").alias("__hot"), F.lit(True).alias("__is_hot"))
+    # at most one hot value per shuffle partition
+    marked = totals.join(F.broadcast(hot), F.col(stat).eqNullSafe(F.col("__hot")), "left").withColumn(
+        "__salt", F.when(F.col("__is_hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in totals.columns]),
+                                                   F.lit(buckets)).cast("int")).otherwise(0))
+    copies = F.when(F.col("__n") > fair, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted = ranks.select("__stat", "__before", F.explode(copies).alias("__copy"))
+    ranked = marked.join(salted, F.col(stat).eqNullSafe(F.col("__stat")) & (F.col("__salt") == F.col("__copy")))
+    return ranked.select(*[F.col(f"`{c}`") for c in totals.columns],
+                         (F.col("__before") + 1).cast("int").alias("RANK"))
 
 
 def newest_games(games: DataFrame, n: int = GAME_LOG_ROWS, date: str = "GAME_DATE",
@@ -80,13 +94,13 @@ def newest_raw_games(raw: DataFrame, profile: Profile, n: int = GAME_LOG_ROWS,
     ranked by the parsed date alone, n are kept, and only those n are typed.
     Typing is row-local, so this equals typing first and cutting after.
 
-    Rows fall into ``NEWEST_GROUPS`` groups by a hash of their key; of each
-    group the n newest are kept, first by every task of the scan, then by the
-    group's. The final order merges at most ``NEWEST_GROUPS`` x n rows.
+    Every task of the scan keeps its n newest rows. The tasks form
+    ``NEWEST_GROUPS`` groups by their number, of each of which n are kept, so
+    the final order merges at most ``NEWEST_GROUPS`` x n rows.
     """
     order = _newest_first(F.col("__date"), key, raw.columns)
     parsed = (raw.withColumn("__date", parse_iso_date(date))
-              .withColumn("__group", F.pmod(F.xxhash64(*key), F.lit(NEWEST_GROUPS))))
+              .withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(NEWEST_GROUPS))))
     newest = Window.partitionBy("__group").orderBy(*order)
     kept = parsed.withColumn("__place", F.row_number().over(newest)).filter(F.col("__place") <= n)
     top = kept.orderBy(*order).limit(n)

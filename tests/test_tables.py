@@ -154,3 +154,34 @@ def test_stringify_and_unknown_kind(spark):
     assert out.asDict() == {"id": "1", "money": "12345678.50", "x": "0.1"}
     with pytest.raises(ValueError, match="unknown column kind"):
         Rule("decimal")
+
+
+def test_leader_board_deals_out_hot_values(spark):
+    """Two thirds of all players have 0 points or none; the rows of a value
+    are joined by many tasks."""
+    from statflow.plans import reports as R
+
+    rows = [(f"p{i}", None if i % 3 == 0 else 0 if i % 3 == 1 else i, "x") for i in range(3000)]
+    totals = spark.createDataFrame(rows, "PLAYER_ID string, PTS long, __other string").repartition(4).checkpoint()
+    board = R.leader_board(totals)
+    got = {r.PLAYER_ID: r.RANK for r in board.collect()}
+    points = sorted((p for _, p, _ in rows if p), reverse=True)
+    place = {p: k + 1 for k, p in enumerate(points)} | {0: len(points) + 1}
+    none = 1 + sum(p is not None for _, p, _ in rows)
+    assert got == {i: place[p] if p is not None else none for i, p, _ in rows}
+    assert board.columns == [*totals.columns, "RANK"]
+
+
+def test_newest_games_keeps_n_rows_a_task(spark):
+    from pyspark.sql import functions as F
+
+    from statflow.operators.profile import Profile
+    from statflow.plans import reports as R
+
+    games = spark.range(0, 4000, 1, 8).select(
+        F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 900).cast("int")),
+                      "yyyy-MM-dd").alias("GAME_DATE"),
+        F.lpad(F.col("id").cast("string"), 6, "0").alias("GAME_ID"), F.lit("1").alias("TEAM_ID"))
+    got = R.newest_raw_games(games, Profile({}), 25).collect()
+    want = games.orderBy(F.col("GAME_DATE").desc(), F.col("GAME_ID").desc()).limit(25).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
