@@ -27,7 +27,7 @@ column are the bits of two numbers, and a character moves the band down by one
 in a few operations. All of it is built-in functions.
 
 Repeated lines are pre-aggregated to one, told apart by 128 bits, before they
-are joined. The different lines are kept in a table bucketed by a 64-bit hash,
+they are joined. The different lines are kept in a table bucketed by these bits,
 so that verification, by text, moves the candidates, not the lines.
 
 Defined results: NULL and empty texts have no lines; blank lines always stay;
@@ -49,8 +49,9 @@ from statflow.session import ensure_checkpoint_dir
 EDITS = 2
 #: A line of so many characters may have one edit, of twice as many two.
 CHARS_PER_EDIT = 12
-#: Fixed value: frequent letters whose numbers are compared in the second round.
-LETTERS = "eanrit"
+#: Fixed value: characters whose numbers are compared first, in groups about as
+#: frequent as each other.
+LETTERS = ("e", "a", "n", "r", "i", "t", "os", "hdl", "ucm", "pgbfy", "vkwjxqz", "0123456789")
 
 
 def _mark(key: str, text: str) -> Column:
@@ -75,20 +76,21 @@ def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def letter_counts(line: Column) -> Column:
-    """The numbers of ``LETTERS``, mod 1,024, side by side in 64 bits."""
+    """The numbers of characters of each of ``LETTERS``, mod 32, side by side
+    in 64 bits."""
     out = F.lit(0).cast("long")
-    for k, c in enumerate(LETTERS):
-        n = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(1023)), 10 * k))
+    for k, letters in enumerate(LETTERS):
+        n = (F.char_length(line) - F.char_length(F.translate(line, letters, ""))).cast("long")
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(31)), 5 * k))
     return out
 
 
 def letters_apart(a: Column, b: Column) -> Column:
-    """At least so many letters does one line have more than the other."""
+    """At least so many characters does one line have more than the other."""
     out = F.lit(0).cast("long")
     for k in range(len(LETTERS)):
-        d = (F.shiftright(a, 10 * k) - F.shiftright(b, 10 * k)).bitwiseAND(F.lit(1023))
-        out = out + F.least(d, 1024 - d)
+        d = (F.shiftright(a, 5 * k) - F.shiftright(b, 5 * k)).bitwiseAND(F.lit(31))
+        out = out + F.least(d, 32 - d)
     return out
 
 
@@ -243,16 +245,23 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _texts(pairs: DataFrame, kept: DataFrame, name: str) -> DataFrame:
+    """``pairs`` plus the hash, text and place of the lines whose handles are
+    in the column ``name``. Few handles meet light rows, then their lines where
+    these are: what is few is hashed, the lines stream by."""
+    ids = kept.select(F.col("_handle").alias(name), F.col("_line_hash").alias(f"_h{name}"))
+    lines_there = kept.select(F.col("_line_hash").alias(f"_h{name}"), F.col("_line").alias(f"_l{name}"),
+                              F.col("_first").alias(f"_f{name}"))
+    return pairs.hint("shuffle_hash").join(ids, name).hint("shuffle_hash").join(lines_there, f"_h{name}")
+
+
 def _verified(pairs: DataFrame, kept: DataFrame, edits: int) -> DataFrame:
     """The later line (its 64-bit handle and its hash) of every pair of handles
-    (a, b) that is close enough. Candidates meet their lines where these are:
-    the few are hashed, the lines stream by."""
-    def side(name: str) -> DataFrame:
-        return kept.select(F.col("_handle").alias(name), F.col("_line").alias(f"_l{name}"),
-                           F.col("_line_hash").alias(f"_h{name}"), F.col("_first").alias(f"_f{name}"))
-
-    both = (pairs.hint("shuffle_hash").join(side("a"), "a").hint("shuffle_hash").join(side("b"), "b"))
-    near = both.filter(similar(F.col("_la"), F.col("_lb"), edits))
+    (a, b) that is close enough."""
+    both = _texts(_texts(pairs, kept, "a"), kept, "b")
+    # letters first: most pairs that share a segment by chance end there
+    may = letters_apart(letter_counts(F.col("_la")), letter_counts(F.col("_lb"))) <= 2 * edits
+    near = both.filter(F.when(may, similar(F.col("_la"), F.col("_lb"), edits)).otherwise(False))
     later = F.col("_fa") < F.col("_fb")
     return near.select(F.when(later, F.col("b")).otherwise(F.col("a")).alias("_handle"),
                        F.when(later, F.col("_hb")).otherwise(F.col("_ha")).alias("_line_hash")).distinct()
@@ -262,6 +271,11 @@ def near_lines(kept: DataFrame, folder: str, edits: int = EDITS) -> DataFrame:
     """The hashes of the different lines ``kept`` (_handle, _line_hash, _line,
     _first) that are close to an earlier one."""
     spark = kept.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
     length = F.char_length("_line")
     own = kept.filter(length >= CHARS_PER_EDIT).select(
         F.col("_handle"), F.coalesce(F.col("_first.id"), F.lit(-(1 << 63))).alias("_id"), F.col("_line"))
@@ -269,23 +283,21 @@ def near_lines(kept: DataFrame, folder: str, edits: int = EDITS) -> DataFrame:
     heads = index.groupBy("_key").agg(F.min_by("_handle", "_id").alias("a"), F.count(F.lit(1)).alias("_n"))
     probe = own.select(F.col("_handle").alias("b"), F.col("_id").alias("_idb"),
                        F.explode(probe_keys(F.col("_line"), length, edits)).alias("_key"))
-    (probe.join(heads, "_key").filter((F.col("a") != F.col("b")) | (F.col("_n") > 1))
-     .write.parquet(f"{folder}/met"))
-    met = spark.read.parquet(f"{folder}/met")
-
+    met = stored(probe.join(heads, "_key").filter((F.col("a") != F.col("b")) | (F.col("_n") > 1)), "met")
     ordered = met.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    _verified(ordered, kept, edits).write.parquet(f"{folder}/first")
-    first = spark.read.parquet(f"{folder}/first")
+    first = stored(_verified(ordered, kept, edits), "first")
 
+    # second round: the lists that an open probe asks for
     open_probes = met.filter("_n > 1").join(first.select(F.col("_handle").alias("b")), "b", "left_anti")
-    letters = kept.select(F.col("_handle"), letter_counts(F.col("_line")).alias("_c"))
-    # only lists that an open probe asks for, and only lines in them
-    asked = index.join(open_probes.select("_key").distinct(), "_key", "left_semi")
-    listed = asked.join(letters, "_handle").select(F.col("_handle").alias("a2"), F.col("_id").alias("_ida"),
-                                                   F.col("_c").alias("_ca"), "_key")
-    asking = open_probes.join(letters.withColumnRenamed("_handle", "b").withColumnRenamed("_c", "_cb"), "b")
+    asked = open_probes.select("_key").distinct()
+    listed = stored(index.join(asked, "_key", "left_semi"), "listed")
+    few = listed.select("_handle").union(open_probes.select("b")).distinct().withColumnRenamed("_handle", "a")
+    letters = stored(_texts(few, kept, "a").select("a", letter_counts(F.col("_la")).alias("_ca")), "letters")
+    rows = listed.select(F.col("_handle").alias("a2"), F.col("_id").alias("_ida"), "_key").join(
+        letters.withColumnRenamed("a", "a2"), "a2")
+    asking = open_probes.join(letters.select(F.col("a").alias("b"), F.col("_ca").alias("_cb")), "b")
     near = letters_apart(F.col("_ca"), F.col("_cb")) <= 2 * edits
-    rest = (asking.join(listed, "_key")
+    rest = (asking.join(rows, "_key")
             .filter((F.col("a2") != F.col("b")) & (F.col("a2") != F.col("a")) & (F.col("_ida") <= F.col("_idb")) & near)
             .select(F.least("a2", "b").alias("a"), F.greatest("a2", "b").alias("b")).distinct())
     second = _verified(rest.join(ordered, ["a", "b"], "left_anti"), kept, edits)
@@ -304,7 +316,7 @@ def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int
     table = "lines_" + uuid.uuid4().hex
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # its files are in the shared folder; only its name is in the catalog
-    (different.withColumn("_handle", F.xxhash64("_line")).write.bucketBy(buckets, "_handle")
+    (different.withColumn("_handle", F.xxhash64("_line")).write.bucketBy(buckets, "_line_hash")
      .option("path", f"{folder}/different").saveAsTable(table))
     try:
         kept = spark.table(table)

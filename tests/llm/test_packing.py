@@ -1,5 +1,6 @@
 """Packed pieces against the tokenizers library, plans against their bounds."""
 
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -125,3 +126,80 @@ def test_a_hot_length(spark):
     out = packing.assign(cut, 64).collect()
     assert len(out) == len(rows)
     assert check_sequences(out, 64) <= 1.1 * plain_best_fit(Counter(r[2] for r in rows), 64) + 2
+
+
+def brute_sums(counts, gap):
+    """The fewest available lengths that add up to ``gap``, three at most."""
+    for n in (1, 2, 3):
+        for own in itertools.combinations_with_replacement(sorted(counts), n):
+            if sum(own) == gap and not Counter(own) - Counter(counts):
+                return n
+    return None
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 3), max_size=8), st.data())
+def test_index_of_sums(counts, data):
+    """Whatever was used before, the index finds a combination if there is one."""
+    free = np.zeros(41, np.int64)
+    for n, c in counts.items():
+        free[n] = c
+    index = packing.Sums(free)
+    for gap in data.draw(st.lists(st.integers(1, 40), max_size=12)):
+        left = {n: int(free[n]) for n in range(1, 41) if free[n]}
+        found = index.complement(gap)
+        assert (found and len(found)) == brute_sums(left, gap)
+        for n in found or ():
+            assert sum(found) == gap
+            free[n] -= 1
+        assert (free >= 0).all()
+
+
+def test_order_is_kept(spark):
+    rnd = random.Random(4)
+    texts = {i: D.prose(rnd, rnd.randrange(150)) for i in range(200)}
+    rows = [(i % 150, texts[i % 150], i) for i in range(200)]  # 50 documents stand twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place long").repartition(6)
+    out = packing.pack_in_order(docs, PATH, ["place"], 128, block_pieces=64).collect()
+    check_sequences(out, 128)
+    assert {(r.doc_id, r.take) for r in out} == {(i, place) for i, _, place in rows}
+    assert len({(r.take, r.piece) for r in out}) == len(out)
+    for i, text, place in rows:
+        assert sum(r.length for r in out if r.take == place) == len(ids(text)) + 1
+    # blocks are ranges of the order; sequences of a block follow their first piece
+    blocks = {}
+    for r in out:
+        blocks.setdefault(r.sequence_id >> 20, []).append(r)
+    assert all(len(b) <= 64 for b in blocks.values()) and len(blocks) > 3
+    ends = [max((r.take, r.piece) for r in blocks[b]) for b in sorted(blocks)]
+    starts = [min((r.take, r.piece) for r in blocks[b]) for b in sorted(blocks)]
+    assert all(e < s for e, s in zip(ends, starts[1:]))
+    for b in blocks.values():
+        least = {}
+        for r in b:
+            least[r.sequence_id] = min(least.get(r.sequence_id, (r.take, r.piece)), (r.take, r.piece))
+        assert [v for _, v in sorted(least.items())] == sorted(least.values())
+
+
+def test_schedules_decide_the_order_of_sequences(spark, tmp_dir, monkeypatch):
+    """The mix with its schedules turned round gives the sources' sequences in
+    the other order."""
+    import corpus_pipeline
+    from statflow.llm import mixing
+
+    rnd = random.Random(8)
+    rows = [(i, D.prose(rnd, 40), "en", "a" if i % 2 else "b") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+
+    def mean_place(schedules, name):
+        real = mixing.mix
+        monkeypatch.setattr(mixing, "mix", lambda d, key: real(d, schedules=schedules, key=key))
+        corpus_pipeline.mixed(spark, docs, "").write.parquet(f"{tmp_dir}/{name}")
+        monkeypatch.setattr(mixing, "mix", real)
+        out = corpus_pipeline.packed(spark, spark.read.parquet(f"{tmp_dir}/{name}"), "").collect()
+        of = {i: s for i, _, _, s in rows}
+        return {s: np.mean([r.take for r in out if of[r.doc_id] == s]) for s in "ab"}
+
+    up, down = [(1.0, 9.0), (9.0, 1.0), (1.0, 1.0)], [(9.0, 1.0), (1.0, 9.0), (1.0, 1.0)]
+    one, other = mean_place(up, "up"), mean_place(down, "down")
+    assert (one["a"] > one["b"]) != (other["a"] > other["b"])
