@@ -2,7 +2,7 @@
 
 Toxic documents go, repeated lines go (short ones too), one document of each group of near
 copies stays, sources are mixed to target weights in training order, and the
-mix is packed into sequences. Every stage is written as Parquet in the shared
+mix is packed into sequences that follow that order. Every stage is written as Parquet in the shared
 folder and read again by the next, so a lost executor costs at most a stage's
 tasks.
 
@@ -16,6 +16,7 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statflow.llm import jaccard, line_dedup, mixing, packing, toxicity
 from statflow.session import ensure_checkpoint_dir
@@ -44,7 +45,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, TOKENIZER)
+    """The mix stands in training order in its files: the order of a row is its
+    file's number and its place there."""
+    part = F.regexp_extract("_metadata.file_name", r"part-([0-9]+)", 1).cast("long")
+    placed = docs.select("*", part.alias("_part"), F.col("_metadata.file_name").alias("_file"),
+                         F.col("_metadata.row_index").alias("_row"))
+    return packing.pack_in_order(placed, TOKENIZER, ["_part", "_file", "_row"])
 
 
 STAGES = [
