@@ -481,12 +481,14 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     and all documents without shingles."""
     found = jaccard_components(docs, key, text).select("doc_id", "mark", "group")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
-    kept = found.filter("group IS NOT NULL").groupBy("group").agg(first.alias("_f")).select("_f.mark")
-    bare = found.filter("group IS NULL").select("mark").distinct()
-    marked = docs.withColumn("_mark", _mark(key, text))
-    own = marked.join(kept, marked["_mark"] == kept["mark"], "left_semi").dropDuplicates(["_mark"])
-    rest = marked.join(bare, marked["_mark"] == bare["mark"], "left_semi")
-    return own.unionByName(rest).drop("_mark")
+    name = "_jaccard_mark"
+    kept = (found.filter("group IS NOT NULL").groupBy("group").agg(first.alias("_f"))
+            .select(F.col("_f.mark").alias(name)))
+    bare = found.filter("group IS NULL").select(F.col("mark").alias(name)).distinct()
+    marked = docs.withColumn(name, _mark(key, text))
+    own = marked.join(kept, name, "left_semi").dropDuplicates([name])
+    rest = marked.join(bare, name, "left_semi")
+    return own.unionByName(rest).drop(name)
 
 
 def _answered(rows: DataFrame, answered: DataFrame) -> DataFrame:

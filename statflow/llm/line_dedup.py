@@ -27,7 +27,7 @@ column are the bits of two numbers, and a character moves the band down by one
 in a few operations. All of it is built-in functions.
 
 Repeated lines are pre-aggregated to one, told apart by 128 bits, before they
-they are joined. The different lines are kept in a table bucketed by these bits,
+are joined. The different lines are kept in a table bucketed by these bits,
 so that verification, by text, moves the candidates, not the lines.
 
 Defined results: NULL and empty texts have no lines; blank lines always stay;

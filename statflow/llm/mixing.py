@@ -111,8 +111,8 @@ def targets(sources: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOC
 def mix(docs: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES, share: float = SHARE,
         max_epochs: int = MAX_EPOCHS, size: Column | None = None, text: str = "text",
         source: str = "source", key: str = "doc_id") -> DataFrame:
-    """``docs`` plus size, source_size, target, taken (words the mix takes, all
-    epochs together) and takes: one (epoch, words, position) per epoch in which
+    """``docs`` (columns named as the result's give way) plus size, source_size,
+    target, taken (words the mix takes, all epochs together) and takes: one (epoch, words, position) per epoch in which
     words are taken, by position; of documents without words the first epoch's."""
     size = word_count(F.col(text)) if size is None else size
     sized = docs.withColumn("size", size).withColumn(_SKEY, source_key(F.col(source)))
@@ -159,10 +159,14 @@ def by_position(mixed: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The mix as documents: a row per epoch taken, in training order. The one
     document per source at which its target is reached gives its first words."""
-    columns = docs.columns
-    out = by_position(mix(docs, key=key))
+    # the other columns ride along in one, so that their names are free
+    own = (key, "text", "source")
+    other = [c for c in docs.columns if c not in own]
+    carried = F.struct(*[F.col(f"`{c}`") for c in other]) if other else F.lit(None)
+    out = by_position(mix(docs.select(*own, carried.alias("_mix_row")), key=key))
     cut = F.when(F.col("words") < F.col("size"), first_words_at(F.col("text"), F.col("words")))
-    return out.withColumn("text", F.coalesce(cut, F.col("text"))).select(*columns)
+    return out.withColumn("text", F.coalesce(cut, F.col("text"))).select(
+        *[F.col("_mix_row").getField(c).alias(c) if c in other else F.col(f"`{c}`") for c in docs.columns])
 
 
 def first_words_at(text: Column, n: Column) -> Column:

@@ -82,22 +82,26 @@ def bloom_size(urls: int) -> int:
     return max(1, -(-urls * BITS_PER_URL // BLOCK_BITS))
 
 
-def mark_listed(pages: DataFrame, listed: DataFrame, canonical: str, blocks: int) -> DataFrame:
-    """``pages`` plus boolean ``listed``: its ``canonical`` is in ``listed``
-    (one column of that name, distinct and not NULL)."""
-    columns = pages.columns
-    masks = _block_and_masks(F.col(canonical), blocks)
+def mark_listed(pages: DataFrame, listed: DataFrame, canonical: str, blocks: int,
+                name: str = "listed") -> DataFrame:
+    """``pages`` plus boolean ``name``: its ``canonical`` is in ``listed``
+    (one column of that name, distinct and not NULL). Rows without one are
+    dealt over all blocks, by a hash of the row."""
+    columns = [F.col(f"`{c}`") for c in pages.columns]
+    block, *masks = _block_and_masks(F.col(canonical), blocks)
+    spread = F.pmod(F.xxhash64(*columns), F.lit(blocks).cast("long"))
+    masks = [F.when(F.col(canonical).isNull(), spread).otherwise(block).alias("_url_block"), *masks]
     probed = pages.select("*", *masks).join(bloom_blocks(listed, canonical, blocks),
                                             "_url_block", "left")
     possible = F.col(canonical).isNotNull()
     for i in range(BLOCK_WORDS):
         possible &= F.col(f"_url_w{i}").bitwiseAND(F.col(f"_url_m{i}")) == F.col(f"_url_m{i}")
     marked = probed.withColumn("_url_possible", F.coalesce(possible, F.lit(False)))
-    misses = marked.filter(~F.col("_url_possible")).select(*columns, F.lit(False).alias("listed"))
+    misses = marked.filter(~F.col("_url_possible")).select(*columns, F.lit(False).alias(name))
     exact = listed.select(F.col(canonical).alias("_url_listed")).hint("shuffle_hash")
     hits = (marked.filter("_url_possible")
             .join(exact, F.col(canonical) == F.col("_url_listed"), "left")
-            .select(*columns, F.col("_url_listed").isNotNull().alias("listed")))
+            .select(*columns, F.col("_url_listed").isNotNull().alias(name)))
     return misses.unionByName(hits)
 
 
@@ -111,9 +115,9 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     lhost, lpath = url_parts(F.col(listed_url))
     canon = (listed.select(canonical_url(lhost, lpath).alias("_url_canon"))
              .filter(F.col("_url_canon").isNotNull()).distinct())
-    marked = mark_listed(parts, canon, "_url_canon", bloom_size(canon.count()))
+    marked = mark_listed(parts, canon, "_url_canon", bloom_size(canon.count()), "_url_is_listed")
     name, verdict = first_rule(F.col("_url_host"), F.col("_url_path"), rules)
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    method = F.when(F.col("listed"), "block").otherwise("allow")
-    return marked.select(*kept, F.col("_url_host").alias("host"), F.col("_url_path").alias("path"),
+    method = F.when(F.col("_url_is_listed"), "block").otherwise("allow")
+    return marked.select(*[F.col(f"`{c}`") for c in kept], F.col("_url_host").alias("host"), F.col("_url_path").alias("path"),
                          name.alias("rule"), F.coalesce(verdict, method).alias("verdict"))

@@ -62,6 +62,15 @@ def test_odd_documents(spark):
     assert jaccard.distinct_documents(D.empty_documents(spark)).collect() == []
 
 
+def test_clashing_columns_keep_their_values(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "")], "doc_id long, text string")
+    for name in ("_mark", "mark", "group", "n", "class"):
+        docs = docs.withColumn(name, docs["doc_id"] * 10)
+    out = jaccard.distinct_documents(docs)
+    assert out.columns == docs.columns
+    assert sorted(tuple(r)[2:] for r in out.collect()) == [(10,) * 5, (30,) * 5]
+
+
 def test_connected_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (200, 200), (101, 100)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -105,3 +105,15 @@ def test_documents_without_words_stay_in_the_mix(spark):
     assert all(0 <= r.position <= 1 for r in rows)
     kept = {r.doc_id: r.text for r in mixing.mixed_documents(docs).collect()}
     assert {i: kept[i] for i in (*blank, 50)} == {**blank, 50: ""}
+
+
+def test_clashing_columns_keep_their_values(spark):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"),
+                                  (F.col("id") % 2).cast("string").alias("source"))
+    names = ["size", "position", "words", "taken", "takes", "target", "source_size", "weight"]
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id").cast("string")))
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert [r[n] for n in names] == [f"{n}{r.doc_id}" for n in names]

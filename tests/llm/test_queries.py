@@ -2,15 +2,17 @@
 brute force where SQL has none."""
 
 import os
+import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 
 import corpus_pipeline
 from statflow.llm.queries import QUERIES
-from tests.llm import test_aligned, test_jaccard, test_packing, test_tiers
+from tests.llm import test_aligned, test_jaccard, test_mixing, test_packing, test_tiers
 from tools.check_oracles import TABLES, duck_rows, spark_rows
 
 SF = os.environ.get("STATFLOW_TEST_SF", "/root/testdata/sf0.001")
@@ -59,6 +61,57 @@ def test_align_query(spark):
         assert r.groups_sha256 == test_aligned.hashlib.sha256(groups.encode()).hexdigest()
 
 
+def test_mix_query(spark):
+    """Each source's taken words come to its target."""
+    rows = QUERIES["op1_mix"][0](spark, SF).collect()
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    taken, target, size = Counter(), {}, {}
+    for r in rows:
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]], size[source[r.doc_id]] = r.target, r.source_size
+        assert 0 <= r.taken <= 2 * r["size"]
+    assert {r.doc_id for r in rows} == set(source)
+    want = test_mixing.brute_targets(size)
+    assert all(abs(target[s] - want[s]) < 1e-6 * want[s] + 1e-6 and abs(taken[s] - want[s]) <= 1 for s in size)
+
+
+def test_ann_query_recall(spark):
+    """Recall at 5 against brute force with production parameters, on the
+    largest table at hand."""
+    folder = SF.replace("sf0.001", "sf0.1")
+    if not os.path.isdir(folder):
+        folder = SF
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    ids = np.array([r.vec_id for r in rows])
+    vectors = np.array([r.embedding for r in rows], np.float64)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    got = {}
+    for r in QUERIES["op6_ann"][0](spark, folder).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    hits = asked = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        scores = unit @ unit[q]
+        scores[q] = -2
+        best = ids[np.lexsort((ids, -scores))[:5]]
+        hits += len(set(best.tolist()) & set(got[int(ids[q])]))
+        asked += 5
+        for i, s in got[int(ids[q])].items():
+            assert abs(s - scores[np.flatnonzero(ids == i)[0]]) < 1e-9
+    assert hits >= 0.9 * asked
+
+
+def test_toxicity_query(spark):
+    """Held-out labels: found, and clean texts left alone."""
+    folder = SF.replace("sf0.001", "sf0.01")
+    folder = folder if os.path.isdir(folder) else SF
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = QUERIES["op7_toxicity"][0](spark, folder).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    judged = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert sum(p == t for p, t in judged) >= 0.97 * len(judged)
+
+
 def test_pipeline_stages(spark, tmp_dir):
     """Every stage works on what its predecessor kept, and its decisions hold."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")

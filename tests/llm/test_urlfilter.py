@@ -53,3 +53,16 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     assert urlfilter.judge_urls(none, one.select("url"), URL_RULES).collect() == []
     assert [r.verdict for r in urlfilter.judge_urls(one, none.select("url"), URL_RULES).collect()] == ["allow"]
+
+
+def test_clashing_columns_and_pages_without_host(spark):
+    rows = [(i, None if i % 3 else f"http://a{i}.com/x", f"own{i}") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, listed string")
+    listed = pages.select("url").filter("page_id = 30")
+    out = {r.page_id: r for r in urlfilter.judge_urls(pages, listed, URL_RULES).collect()}
+    assert len(out) == 60 and all(out[i].listed == f"own{i}" for i in range(60))
+    assert [i for i, r in out.items() if r.verdict == "block"] == [30]
+    # rows without a URL are dealt over the filter's blocks
+    marked = pages.withColumn("c", F.lit(None).cast("string"))
+    block = urlfilter.mark_listed(marked, listed.selectExpr("url AS c"), "c", 8, "hit")
+    assert block.count() == 60 and block.filter("hit").count() == 0
