@@ -141,6 +141,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoint", required=True,
                     help="shared folder for this stream's progress; keep it between runs")
+    st.add_argument("--columns", default=None,
+                    help="comma-separated header of the drops; without it the folder must hold one already")
     st.add_argument("--continuous", action="store_true",
                     help="keep running (1-minute trigger) instead of availableNow")
 
@@ -172,7 +174,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         write_csv(good, args.out)
         write_parquet(bad, args.quarantine)
     elif args.cmd == "land-stream":
-        header = read_string_csv(spark, args.source).columns
+        header = args.columns.split(",") if args.columns else read_string_csv(spark, args.source).columns
         q = land_stream(spark, args.source, header, STREAM_PROFILES[args.table], args.out,
                         args.checkpoint, f"land_{args.table}", available_now=not args.continuous)
         q.awaitTermination()

@@ -102,3 +102,33 @@ def test_land_stream_job(spark, tmp_dir):
                 "--checkpoint", os.path.join(tmp_dir, "progress")])
     got = spark.read.parquet(out)
     assert got.count() == 1 and dict(got.dtypes)["GAME_DATE"] == "date"
+
+
+def test_land_stream_job_starts_on_an_empty_folder(spark, tmp_dir):
+    from statflow.sources import write_csv
+
+    src, out = os.path.join(tmp_dir, "drops"), os.path.join(tmp_dir, "typed")
+    os.makedirs(src)
+    args = ["land-stream", "--table", "team_box", "--source", src, "--out", out, "--checkpoint",
+            os.path.join(tmp_dir, "progress"), "--columns", ",".join(X.TEAM_BOX_HEADER)]
+    run(spark, args)
+    write_csv(X.frame(spark, X.TEAM_BOX_HEADER, X.TEAM_BOX_ROWS).coalesce(1), f"{tmp_dir}/day1")
+    for name in os.listdir(f"{tmp_dir}/day1"):
+        if name.endswith(".csv"):
+            os.link(f"{tmp_dir}/day1/{name}", f"{src}/{name}")
+    run(spark, args)
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_daily_versioned_and_once(spark, tmp_dir):
+    from statflow.sources import read_table, read_tables
+
+    base, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "out")
+    no_nan = [tuple("0.2" if v == "NaN" else v for v in r) for r in X.INFO_ROWS]
+    _write_sources(spark, base, no_nan)
+    run(spark, ["daily", "--source", base, "--out", out, "--versioned", "--by-name"])
+    assert read_tables(spark, out)["nba_player_information"].count() == 3
+    url, driver = "jdbc:derby:memory:statflow_once;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    for _ in range(2):
+        run(spark, ["daily", "--source", base, "--jdbc-url", url, "--driver", driver, "--once"])
+    assert read_table(spark, url, "nba_player_information", driver=driver).count() == 3
