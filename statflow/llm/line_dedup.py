@@ -66,8 +66,10 @@ def _line_array(text: Column) -> Column:
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every line that is not blank: _line_at (doc id, mark, place), its hash
     and text without white space at the ends."""
-    rows = docs.select(F.col(key).cast("long").alias("_id"), _mark(key, text).alias("_m"),
-                       F.posexplode(_line_array(F.col(text))).alias("_p", "_raw"))
+    # the mark is made before the lines are dealt out, once per text
+    whole = docs.select(F.col(key).cast("long").alias("_id"), _mark(key, text).alias("_m"),
+                        _line_array(F.col(text)).alias("_ls"))
+    rows = whole.select("_id", "_m", F.posexplode("_ls").alias("_p", "_raw"))
     line = F.btrim("_raw", F.lit(WHITE_SPACE))
     return (rows.select(F.struct(F.col("_id").alias("id"), F.col("_m").alias("mark"),
                                  F.col("_p").alias("place")).alias("_line_at"), line.alias("_line"))
@@ -287,10 +289,12 @@ def near_lines(kept: DataFrame, folder: str, edits: int = EDITS) -> DataFrame:
     ordered = met.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = stored(_verified(ordered, kept, edits), "first")
 
-    # second round: the lists that an open probe asks for
+    # second round: the lists that an open probe asks for. A line probes with
+    # its own segments too, so all lines of a list stand in ``met`` under its key
     open_probes = met.filter("_n > 1").join(first.select(F.col("_handle").alias("b")), "b", "left_anti")
     asked = open_probes.select("_key").distinct()
-    listed = stored(index.join(asked, "_key", "left_semi"), "listed")
+    listed = stored(met.filter("_n > 1").join(asked, "_key", "left_semi").select(
+        F.col("b").alias("_handle"), F.col("_idb").alias("_id"), "_key").distinct(), "listed")
     few = listed.select("_handle").union(open_probes.select("b")).distinct().withColumnRenamed("_handle", "a")
     letters = stored(_texts(few, kept, "a").select("a", letter_counts(F.col("_la")).alias("_ca")), "letters")
     rows = listed.select(F.col("_handle").alias("a2"), F.col("_id").alias("_ida"), "_key").join(
