@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from statflow.session import ensure_checkpoint_dir
 
@@ -16,3 +17,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that nothing refers to any
+    more. Its cleaner acts when their objects are collected, which a driver with
+    room to spare may put off for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
