@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statflow.llm import jaccard, line_dedup, mixing, packing, toxicity
+from statflow.llm.store import release
 from statflow.session import ensure_checkpoint_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,20 +34,24 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)  # what the stage before has shuffled
     return line_dedup.deduped_documents(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)  # what the stage before has shuffled
     return jaccard.distinct_documents(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)  # what the stage before has shuffled
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix stands in training order in its files: the order of a row is its
     file's number and its place there."""
+    release(spark)
     part = F.regexp_extract("_metadata.file_name", r"part-([0-9]+)", 1).cast("long")
     placed = docs.select("*", part.alias("_part"), F.col("_metadata.file_name").alias("_file"),
                          F.col("_metadata.row_index").alias("_row"))
