@@ -98,7 +98,7 @@ class Encoder:
             return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
         first = Memo(encode, BYTES_KEPT // 4).__getitem__
-        later = Memo(lambda t: encode(" " + t)).__getitem__
+        later = Memo(lambda t: encode(" " + t), 6 * BYTES_KEPT).__getitem__
         has_special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
         has_more_space = re.compile(r"\s ").search
 
