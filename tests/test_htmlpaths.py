@@ -1,10 +1,12 @@
 """Element paths: against ElementTree on random trees, and what HTML implies."""
 
+import re
 import xml.etree.ElementTree as ET
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from statflow.operators.htmlpaths import blocks_by_path, parse_path, path_blocks
 from statflow.plans import stat_tables as T
@@ -111,3 +113,20 @@ def test_columns_are_kept(spark):
     df = spark.createDataFrame([(1, "<p>a", "z")], "id int, html string, a string")
     (row,) = path_blocks(df, "html", {"found": "/html/body/p"}, keep=["id", "a"]).collect()
     assert (row.id, row.a, row.found) == (1, "z", ["a"])
+
+
+def test_pages_of_one_row_group_are_parsed_by_all_tasks(spark, tmp_dir):
+    from statflow.plans.landing_queries import profile_pages
+
+    (spark.range(0, 400, 1, 1).selectExpr("id AS c_custkey", "'BUILDING' AS c_mktsegment")
+     .write.parquet(f"{tmp_dir}/customer.parquet"))
+    parts = profile_pages(spark, tmp_dir).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= spark.sparkContext.defaultParallelism and sum(r["count"] for r in parts) == 400
+
+
+@pytest.mark.parametrize("html", ["<P>a</P ><DIV>b</div><script><div>x</script><title><div>t</title>",
+                                  "<div>a<title>b</div></title></div><textarea><div></textarea>", "<div", "</div", "<div>a</div"])
+def test_tags_without_attributes_are_read_as_others(html):
+    paths = {"d": parse_path("/html/body/div"), "p": parse_path("/html/body/p"), "s": parse_path("/html/*/*")}
+    spaced = re.sub(r"<(/?[A-Za-z]+)>", r"<\1 >", html)  # these take the way of tags with attributes
+    assert blocks_by_path(html, paths) == blocks_by_path(spaced, paths)
