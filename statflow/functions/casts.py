@@ -4,7 +4,7 @@ Raw statistics arrive as strings. The historical job relied on Spark 3's
 lenient ``cast``: bad input became NULL and ``'12.5'`` became ``12``. Spark 4
 runs with ANSI on, where ``cast`` raises and ``try_cast('12.5' AS INT)`` is
 NULL. These expressions reproduce the lenient results without touching any
-session setting, and stay inside whole-stage codegen (no Python).
+session setting, and stay Spark expressions (no Python).
 """
 
 from __future__ import annotations
@@ -17,8 +17,23 @@ from statflow.functions._col import as_col
 # The lenient cast trims every character up to U+0020 (blanks
 # and ASCII control characters) around a plain decimal number with an
 # optional sign.
-_BLANKS = "".join(chr(i) for i in range(0x21))
-_DECIMAL = r"^[\x00-\x20]*[+-]?(\d+\.?\d*|\.\d*)[\x00-\x20]*\z"  # \z: true end of text
+# Group 1 is the sign and the digits before the point, or the sign and the point
+# where there are none. (\z: true end of text.)
+_DECIMAL = r"^[\x00-\x20]*([+-]?(?:\d+|\.))(?:(?<!\.)\.)?\d*[\x00-\x20]*\z"
+
+
+def apart(c: Column | str) -> Column:
+    """The same value, its projection compiled expression by expression.
+
+    Spark compiles a chain of projections with all their columns into one
+    method. Beyond 8,000 bytes of code, which a dozen typed columns reach, the
+    JVM never compiles that method further and interprets it for every row
+    (``spark.sql.codegen.hugeMethodLimit`` avoids that, where a session sets
+    it). A projection that holds a lambda is compiled into a method per
+    expression instead, whatever the session's settings: one column apart, a
+    cheap one, serves all columns beside it.
+    """
+    return F.get(F.transform(F.array(as_col(c)), lambda x: x), F.lit(0))
 
 
 def int_trunc(c: Column | str) -> Column:
@@ -26,13 +41,12 @@ def int_trunc(c: Column | str) -> Column:
 
     ``'12.5'``->12, ``'-3.9'``->-3, ``' 7 '``->7, ``'.'``->0; exponents,
     ``'NaN'``, thousands separators, empty and out-of-range values -> NULL.
-    One regex validates the text; then only the sign and the digits before
-    the point are cast, so no double rounding can creep in.
+    One regex validates the text and cuts out the sign and the digits before
+    the point; only these are cast, so no double rounding can creep in.
     """
-    v = as_col(c)
-    head = F.substring_index(F.trim(v, F.lit(_BLANKS)), ".", 1)
-    whole = F.when(head.isin("", "+", "-"), F.lit(0)).otherwise(head.try_cast("int"))
-    return F.when(v.rlike(_DECIMAL), whole)
+    head = F.regexp_extract(as_col(c), _DECIMAL, 1)
+    return F.when(head == "", F.lit(None).cast("int")).when(head.endswith("."), F.lit(0)).otherwise(
+        head.try_cast("int"))
 
 
 # The sources' missing-value markers.

@@ -17,6 +17,9 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from statflow.functions.casts import apart
 
 
 @dataclass(frozen=True)
@@ -88,7 +91,10 @@ def iso_date_gen(name: str, ts: str, k: str) -> Gen:
 
 
 def raw_frame(df: DataFrame, gens: Sequence[Gen]) -> DataFrame:
-    return df.selectExpr(*[f"{g.raw} AS `{g.name}`" for g in gens])
+    """The raw columns. The first that is passed on as it is stands apart, so
+    that the many of a landing are compiled one by one."""
+    first = next((g.name for g in gens if g.raw == g.expect), None)
+    return df.select(*[(apart(F.expr(g.raw)) if g.name == first else F.expr(g.raw)).alias(g.name) for g in gens])
 
 
 def oracle_select(gens: Sequence[Gen], source: str, where: str | None = None) -> str:

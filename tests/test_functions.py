@@ -124,3 +124,24 @@ def test_array_helpers(spark):
     assert got[0].odd == ["b", "d"] and got[0].even == ["a", "c", "e"]
     assert got[0].pad == ["b", "d", "--", "--"]
     assert got[1].odd == [] and got[1].pad == ["--"] * 4
+
+
+def test_int_trunc_takes_one_point_only(spark):
+    values = {"..5": None, "1..5": None, ".5": 0, "-.": 0, "5.": 5, "+5.9": 5, "5.5.": None, "\t-7.25 ": -7, "--": None,
+              "": None, ".": 0, "99999999999": None, "1e3": None, "5\n": 5, "5 ": None, None: None}
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(int_trunc("v")).collect()]
+    assert got == list(values.values())
+
+
+def test_many_typed_columns_are_no_single_method(spark):
+    """Whole-stage code (marked ``*``) of that many columns is only interpreted."""
+    from statflow.operators.profile import MANY_RULES, Profile, apply_profile, ints
+
+    names = [f"C{i}" for i in range(MANY_RULES)]
+    raw = spark.range(3).selectExpr("CAST(id AS STRING) AS ID", *[f"concat(id, '.5') AS {n}" for n in names])
+    typed = apply_profile(raw, Profile(ints(names)))
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" in next(x for x in plan.splitlines() if "Project" in x)
+    assert not plan.lstrip().startswith("*")
+    assert [tuple(r) for r in typed.orderBy("ID").collect()] == [(str(i), *[i] * MANY_RULES) for i in range(3)]
