@@ -5,8 +5,8 @@ Spark queries over the typed tables.
 Totals are a partial+final hash aggregate. The leader board ranks every
 player: ranks are running totals over the different point values, so tied
 players, however many, share one row of that computation. The game log keeps
-n rows of every scan task, then of each of a fixed number of groups of tasks,
-before it orders what is left.
+the rows up to the n-th newest date and key, then n of each of a fixed number
+of groups of tasks, before it orders what is left.
 """
 
 from __future__ import annotations
@@ -90,23 +90,43 @@ def _newest_first(date: Column, key: Sequence[str], columns: Sequence[str]) -> l
 def newest_raw_games(raw: DataFrame, profile: Profile, n: int = GAME_LOG_ROWS,
                      date: str = "GAME_DATE",
                      key: Sequence[str] = ("GAME_ID", "TEAM_ID")) -> DataFrame:
-    """Newest-n game log straight from a raw landing, in one scan: rows are
-    ranked by the parsed date alone, n are kept, and only those n are typed.
-    Typing is row-local, so this equals typing first and cutting after.
-
-    Every task of the scan keeps its n newest rows. The tasks form
-    ``NEWEST_GROUPS`` groups by their number, of each of which n are kept, so
-    the final order merges at most ``NEWEST_GROUPS`` x n rows.
+    """Newest-n game log straight from a raw landing: rows are ranked by the
+    parsed date alone, n are kept, and only those n are typed. Typing is
+    row-local, so this equals typing first and cutting after.
+
+    A first job finds date and key of the n-th newest row (a task keeps n rows
+    of these columns alone), so that the scan goes on with n rows and those
+    that equal the last of them in date and key. They form ``NEWEST_GROUPS``
+    groups by the number of their task, of each of which n are kept, so the
+    final order merges at most ``NEWEST_GROUPS`` x n rows.
     """
     order = _newest_first(F.col("__date"), key, raw.columns)
-    parsed = (raw.withColumn("__date", parse_iso_date(date))
-              .withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(NEWEST_GROUPS))))
+    parsed = _up_to_nth(raw.withColumn("__date", parse_iso_date(date)), ["__date", *key], n).withColumn(
+        "__group", F.pmod(F.spark_partition_id(), F.lit(NEWEST_GROUPS)))
     newest = Window.partitionBy("__group").orderBy(*order)
     kept = parsed.withColumn("__place", F.row_number().over(newest)).filter(F.col("__place") <= n)
     top = kept.orderBy(*order).limit(n)
     return apply_profile(top.drop("__date", "__group", "__place"), profile)
 
 
+def _up_to_nth(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
+    """The rows that are not behind the n-th by ``columns`` (largest first,
+    NULLs last); all of fewer than n. Runs a job that reads these columns."""
+    refs = [F.col(f"`{c}`") for c in columns]
+    first = df.select(*refs).orderBy(*[c.desc_nulls_last() for c in refs]).limit(n)
+    # as text: a parsed date may lie beyond Python's years
+    last = (first.orderBy(*[c.asc_nulls_first() for c in refs]).limit(1)
+            .select(*[c.cast("string") for c in refs]).collect())
+    if not last:
+        return df
+    kept = F.lit(True)
+    for c, name, text in reversed(list(zip(refs, columns, last[0], strict=True))):
+        value = F.lit(text).cast(df.schema[name].dataType)
+        before = c.isNotNull() if text is None else F.coalesce(c > value, F.lit(False))
+        kept = before | (c.eqNullSafe(value) & kept)
+    return df.filter(kept)
+
+
 def season_totals_q(spark: SparkSession, sf: str) -> DataFrame:
     return season_totals(D.flow_box(spark, sf))
 

@@ -156,3 +156,24 @@ def test_season_filter(spark):
     assert [r[0] for r in season_games(df, "2023-24", "Playoffs").collect()] == ["42023"]
     with pytest.raises(ValueError):
         season_games(df, "2023-24", "Summer")
+
+
+def test_newest_games_sort_no_more_than_the_newest(spark):
+    """Ahead of any sort, the scan goes on with the n newest by date and key,
+    and all that equal the last of these."""
+    from statflow.plans import reports as R
+
+    rows = [(i, f"{2000 + i // 100}-01-01" if i % 7 else None, f"G{i % 50:02d}", None if i % 3 else "1")
+            for i in range(1000)] + [(1000, "12009-1-1", "G", "1")]
+    df = spark.createDataFrame(rows, "id int, d string, g string, t string").withColumn("d", F.col("d").cast("date"))
+
+    def place(r):
+        return tuple((x is None, [-ord(c) for c in x] if x is not None else []) for x in r[1:])
+
+    ordered = sorted(rows[:-1], key=place)
+    ordered = [rows[-1], *ordered]
+    for n in (1, 2, 10, 60, 900, 1001, 5000):
+        want = [r for r in ordered if n > len(ordered) or place(r) <= place(ordered[n - 1]) or r is rows[-1]]
+        got = {r.id for r in R._up_to_nth(df, ["d", "g", "t"], n).select("id").collect()}
+        assert got == {r[0] for r in (want if n > 1 else [rows[-1]])}, n
+    assert R._up_to_nth(df.filter("id < 0"), ["d"], 5).count() == 0
