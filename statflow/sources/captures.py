@@ -49,6 +49,8 @@ from statflow.session import ensure_checkpoint_dir
 #: Bytes of a range; bytes read at a time after its end.
 RANGE_BYTES = 64 << 20
 READ_ON = 1 << 20
+#: Tasks a core that small ranges are dealt to.
+TASKS_PER_CORE = 4
 #: Bytes of text handed to Spark at a time.
 BATCH_BYTES = 4 << 20
 #: Most bytes of a file's outline (headers, parameters; no rows). A file with
@@ -151,6 +153,9 @@ class _RangeReader(DataSourceReader):
         self.ranges = json.loads(options["ranges"])
         self.bytes = int(options["bytes"])
 
+    def __getstate__(self) -> dict:
+        return {}  # a task gets its partition's ranges, never those of all
+
     def partitions(self) -> list[InputPartition]:
         tasks, room = [], 0
         for own in self.ranges:
@@ -163,6 +168,14 @@ class _RangeReader(DataSourceReader):
         return [_Range(t) for t in tasks]
 
 
+def _reader(source: DataSource, kind: type[_RangeReader]) -> _RangeReader:
+    """The reader of a source, whose options (all ranges) stay behind: Spark
+    sends both to every task."""
+    made = kind(source.options)
+    source.options = {}
+    return made
+
+
 class _StatesReader(_RangeReader):
     def read(self, partition: _Range) -> Iterator[tuple]:
         for file, path, start, end, *_ in partition.ranges:
@@ -184,7 +197,7 @@ class CaptureStates(DataSource):
         return "file int, start long, form int, e0 int, d0 long, e1 int, d1 long, e2 int, d2 long"
 
     def reader(self, schema):
-        return _StatesReader(self.options)
+        return _reader(self, _StatesReader)
 
 
 def _row_depth(source, data: np.ndarray) -> int:
@@ -246,7 +259,7 @@ class CaptureParts(DataSource):
         return "file int, at long, upto long, is_row boolean, text string"
 
     def reader(self, schema):
-        return _PartsReader(self.options)
+        return _reader(self, _PartsReader)
 
 
 def _parts(source, start: int, end: int, state: int, depth: int, wanted: int
@@ -327,10 +340,18 @@ def outline_of(pieces: Sequence[tuple[int, int, str]]) -> tuple[list[str | None]
     return (names, int(gaps[0][0]), int(gaps[-1][1])) if gaps else (names, 0, 0)
 
 
-def _read(spark: SparkSession, kind: type[DataSource], ranges: list, range_bytes: int) -> DataFrame:
+def _read(spark: SparkSession, kind: type[DataSource], ranges: list, task_bytes: int) -> DataFrame:
     spark.dataSource.register(kind)
     return (spark.read.format(kind.name()).option("ranges", json.dumps(ranges))
-            .option("bytes", str(range_bytes)).load())
+            .option("bytes", str(task_bytes)).load())
+
+
+def task_bytes(spark: SparkSession, ranges: Sequence[Sequence], range_bytes: int) -> int:
+    """Bytes that a task reads, one range after the other: a range at least,
+    and where there are more ranges than tasks to keep all cores busy, so many
+    as a range has by default. A task costs more than a small range."""
+    fair = sum(r[3] - r[2] for r in ranges) // (TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    return max(range_bytes, min(fair, RANGE_BYTES))
 
 
 def capture_ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
@@ -343,7 +364,8 @@ def capture_ranges(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTE
     ranges = [[k, name, at, min(at + range_bytes, size)]
               for k, (name, size) in enumerate(sizes) for at in range(0, max(size, 1), range_bytes)]
     found = {(r["file"], r["start"]): r for r in
-             (_read(spark, CaptureStates, ranges, range_bytes).collect() if ranges else [])}
+             (_read(spark, CaptureStates, ranges, task_bytes(spark, ranges, range_bytes)).collect()
+              if ranges else [])}
     own: list[list[list]] = [[] for _ in sizes]
     for r in ranges:
         own[r[0]].append(r)
@@ -369,7 +391,7 @@ def read_capture_rows(spark: SparkSession, path: str, columns: Sequence[str] | N
     files = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "file int, source string")
     sound = [r for r in ranges if r[0] not in broken]
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/captures-{uuid.uuid4().hex}"
-    parts = _read(spark, CaptureParts, sound, range_bytes) if sound else spark.createDataFrame(
+    parts = _read(spark, CaptureParts, sound, task_bytes(spark, sound, range_bytes)) if sound else spark.createDataFrame(
         [], "file int, at long, upto long, is_row boolean, text string")
     parts.write.parquet(folder)
     parts = spark.read.parquet(folder)

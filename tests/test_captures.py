@@ -126,3 +126,21 @@ def test_one_capture_is_read_by_many_tasks(spark, tmp_dir):
     assert sorted(int(r.ID) for r in got.filter("status = 'ok'").collect() if r.ID) == \
         sorted(int(r.ID) for r in unpack_rowset_flagged(read_payloads(spark, tmp_dir), "payload", ["ID"])
                .filter("status = 'ok'").collect() if r.ID)
+
+
+def test_a_task_gets_its_own_ranges_only(spark):
+    """Many small ranges share tasks, and no task is sent the ranges of all."""
+    from pyspark import cloudpickle
+
+    ranges = [[k, f"file:/x/{k:05}", 0, 100, 0, 0, 4] for k in range(5000)]
+    assert C.task_bytes(spark, ranges, 100) == 100 * 5000 // (C.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    assert C.task_bytes(spark, ranges, 1 << 20) == 1 << 20
+    many = [[0, "file:/x", k << 18, (k + 1) << 18] for k in range(1_000_000)]
+    assert C.task_bytes(spark, many, 1 << 18) == C.RANGE_BYTES
+    for kind in (C.CaptureStates, C.CaptureParts):
+        source = kind({"ranges": json.dumps(ranges), "bytes": "1000"})
+        reader = source.reader(None)
+        parts = reader.partitions()
+        assert len(parts) == 500 and [r for p in parts for r in p.ranges] == ranges
+        sent = cloudpickle.dumps((source, reader))
+        assert b"/x/00001" not in sent and b"/x/04999" not in sent
