@@ -18,8 +18,10 @@ in two rounds, since one earlier witness is enough for a line to go:
    group costs as many pairs as it has lines.
 2. What no witness was found for probes the rest of the lists that have more
    than one line, for earlier lines with close numbers of some frequent letters
-   (an edit takes one away and adds one at the most). Answered lines stay in
-   the lists as witnesses. No list is cut.
+   (an edit takes one away and adds one at the most). In long lists these
+   numbers must be close in every prefix of some fixed lengths as well: an edit
+   changes one character there, or moves one over its end. Answered lines stay
+   in the lists as witnesses. No list is cut.
 
 Pairs are verified, without the words that both have at the start and the end,
 by banded edit distance on bit vectors: the vertical differences of a band of a
@@ -43,6 +45,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statflow.functions.casts import apart
 from statflow.llm.words import WHITE_SPACE
 from statflow.session import ensure_checkpoint_dir
 
@@ -52,6 +55,10 @@ CHARS_PER_EDIT = 12
 #: Fixed value: characters whose numbers are compared first, in groups about as
 #: frequent as each other.
 LETTERS = ("e", "a", "n", "r", "i", "t", "os", "hdl", "ucm", "pgbfy", "vkwjxqz", "0123456789")
+#: Lists of more lines compare letters in prefixes, too: so many, and each so
+#: many characters longer than the one before.
+LONG_LIST = 16
+PREFIXES, PREFIX_STEP = 8, 48
 
 
 def _mark(key: str, text: str) -> Column:
@@ -96,6 +103,21 @@ def letters_apart(a: Column, b: Column) -> Column:
     return out
 
 
+def prefix_counts(line: Column) -> Column:
+    """``letter_counts`` of the prefixes of fixed lengths that are shorter than
+    the line."""
+    ends = F.sequence(F.lit(1), F.lit(PREFIXES))
+    within_line = F.filter(ends, lambda k: k * PREFIX_STEP < F.char_length(line))
+    return F.transform(within_line, lambda k: letter_counts(F.substr(line, F.lit(1), k * PREFIX_STEP)))
+
+
+def prefixes_apart(a: Column, b: Column) -> Column:
+    """The most that two lines' prefixes (:func:`prefix_counts`) of one length
+    are apart; without any in both: 0."""
+    far = F.zip_with(a, b, lambda x, y: F.coalesce(letters_apart(x, y), F.lit(0).cast("long")))
+    return F.coalesce(F.array_max(far), F.lit(0).cast("long"))
+
+
 def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     """(start, length) of the segments of a line of ``length`` characters."""
     base, rest = F.floor(length / (edits + 1)).cast("int"), length % (edits + 1)
@@ -230,8 +252,8 @@ def similar(a: Column, b: Column, edits: int = EDITS) -> Column:
     """Whether lines are at most as many edits apart as the shorter may have."""
     def check(k: int):
         def run(x: Column) -> Column:
-            apart = F.abs(F.char_length(x["s"]) - F.char_length(x["t"]))
-            return F.when(apart > k, False).otherwise(within(x["s"], x["t"], k))
+            longer = F.abs(F.char_length(x["s"]) - F.char_length(x["t"]))
+            return F.when(longer > k, False).otherwise(within(x["s"], x["t"], k))
 
         return run
 
@@ -269,6 +291,17 @@ def _verified(pairs: DataFrame, kept: DataFrame, edits: int) -> DataFrame:
                        F.when(later, F.col("_hb")).otherwise(F.col("_ha")).alias("_line_hash")).distinct()
 
 
+def probes(own: DataFrame, edits: int = EDITS) -> DataFrame:
+    """(b, _key): the probe keys of the lines ``own`` (_handle, _line) of at
+    least ``CHARS_PER_EDIT`` characters."""
+    line = F.col("_line")
+    # in one method with the rest of the stage the keys are too large for the
+    # JVM to compile; each of the lines has keys, so outer adds no row, and
+    # spares the filter for empty lists that would make the keys twice
+    keys = own.select(apart("_handle").alias("b"), probe_keys(line, F.char_length(line), edits).alias("_keys"))
+    return keys.select("b", F.explode_outer("_keys").alias("_key"))
+
+
 def near_lines(kept: DataFrame, folder: str, edits: int = EDITS) -> DataFrame:
     """The hashes of the different lines ``kept`` (_handle, _line_hash, _line,
     _first) that are close to an earlier one."""
@@ -283,9 +316,7 @@ def near_lines(kept: DataFrame, folder: str, edits: int = EDITS) -> DataFrame:
         F.col("_handle"), F.coalesce(F.col("_first.id"), F.lit(-(1 << 63))).alias("_id"), F.col("_line"))
     index = own.select("_handle", "_id", F.explode(index_keys(F.col("_line"), length, edits)).alias("_key"))
     heads = index.groupBy("_key").agg(F.min_by("_handle", "_id").alias("a"), F.count(F.lit(1)).alias("_n"))
-    probe = own.select(F.col("_handle").alias("b"), F.col("_id").alias("_idb"),
-                       F.explode(probe_keys(F.col("_line"), length, edits)).alias("_key"))
-    met = stored(probe.join(heads, "_key").filter((F.col("a") != F.col("b")) | (F.col("_n") > 1)), "met")
+    met = stored(probes(own, edits).join(heads, "_key").filter((F.col("a") != F.col("b")) | (F.col("_n") > 1)), "met")
     ordered = met.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = stored(_verified(ordered, kept, edits), "first")
 
@@ -294,13 +325,19 @@ def near_lines(kept: DataFrame, folder: str, edits: int = EDITS) -> DataFrame:
     open_probes = met.filter("_n > 1").join(first.select(F.col("_handle").alias("b")), "b", "left_anti")
     asked = open_probes.select("_key").distinct()
     listed = stored(met.filter("_n > 1").join(asked, "_key", "left_semi").select(
-        F.col("b").alias("_handle"), F.col("_idb").alias("_id"), "_key").distinct(), "listed")
-    few = listed.select("_handle").union(open_probes.select("b")).distinct().withColumnRenamed("_handle", "a")
-    letters = stored(_texts(few, kept, "a").select("a", letter_counts(F.col("_la")).alias("_ca")), "letters")
-    rows = listed.select(F.col("_handle").alias("a2"), F.col("_id").alias("_ida"), "_key").join(
-        letters.withColumnRenamed("a", "a2"), "a2")
-    asking = open_probes.join(letters.select(F.col("a").alias("b"), F.col("_ca").alias("_cb")), "b")
-    near = letters_apart(F.col("_ca"), F.col("_cb")) <= 2 * edits
+        F.col("b").alias("_handle"), "_key", "_n").distinct(), "listed")
+    few = (listed.select("_handle", "_n").union(open_probes.select("b", "_n"))
+           .groupBy(F.col("_handle").alias("a")).agg(F.max("_n").alias("_most")))
+    line = F.col("_la")
+    prefixes = F.when(F.col("_most") > LONG_LIST, prefix_counts(line)).otherwise(F.array().cast("array<long>"))
+    letters = stored(_texts(few, kept, "a").select(
+        "a", F.coalesce(F.col("_fa.id"), F.lit(-(1 << 63))).alias("_ida"), letter_counts(line).alias("_ca"),
+        prefixes.alias("_pa")), "letters")
+    rows = listed.select(F.col("_handle").alias("a2"), "_key").join(letters.withColumnRenamed("a", "a2"), "a2")
+    asking = open_probes.join(letters.select(F.col("a").alias("b"), F.col("_ida").alias("_idb"),
+                                             F.col("_ca").alias("_cb"), F.col("_pa").alias("_pb")), "b")
+    near = ((letters_apart(F.col("_ca"), F.col("_cb")) <= 2 * edits)
+            & (prefixes_apart(F.col("_pa"), F.col("_pb")) <= 2 * edits))
     rest = (asking.join(rows, "_key")
             .filter((F.col("a2") != F.col("b")) & (F.col("a2") != F.col("a")) & (F.col("_ida") <= F.col("_idb")) & near)
             .select(F.least("a2", "b").alias("a"), F.greatest("a2", "b").alias("b")).distinct())

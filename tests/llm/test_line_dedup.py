@@ -149,3 +149,56 @@ def test_pipeline_drops_short_repeats(spark):
     out = corpus_pipeline.without_repeated_lines(spark, docs, "").collect()
     assert {r.doc_id: r.text for r in out} == {
         1: texts[1], 2: "\ny", 3: long, 4: "z\n\n."}
+
+
+def probe_methods(plan):
+    """Bytes of the largest method of every stage that Spark compiles whole."""
+    stages = plan._jdf.queryExecution().debug().codegenToSeq()
+    return [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+
+
+def test_probes_are_compiled(spark):
+    """The JVM interprets methods of more than 8,000 bytes for every row."""
+    kept = spark.range(9).select(F.col("id").alias("_handle"),
+                                 F.concat(F.lit("a line of text, number "), "id").alias("_line"))
+    length = F.char_length("_line")
+    old = kept.select("_handle", F.explode(line_dedup.probe_keys(F.col("_line"), length)))
+    new = line_dedup.probes(kept)
+    with_limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")  # Spark's default
+        assert max(probe_methods(old)) > 8000 > max(probe_methods(new))
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", with_limit)
+    assert sorted(new.collect()) == sorted(old.collect())
+
+
+def test_prefixes_tell_variants_of_a_line_apart(spark):
+    """Lines with a few letters put in at different places have about the same
+    letters; within two edits no prefix is further apart than twice that."""
+    rnd = random.Random(3)
+    base = "".join(rnd.choice("abcdehilnorst ") for _ in range(360))
+    variants = [base[:k] + "hgrl" + base[k:] for k in range(10, 350, 34)]
+    rows = [(a, b, False) for a in variants for b in variants if a != b]
+    rows += [(a, edited(rnd, a, rnd.randrange(3)), True) for a in variants * 9]
+    df = spark.createDataFrame(rows, "a string, b string, near boolean")
+    counts, prefixes = line_dedup.letter_counts, line_dedup.prefix_counts
+    out = df.select("near", line_dedup.letters_apart(counts(F.col("a")), counts(F.col("b"))).alias("whole"),
+                    line_dedup.prefixes_apart(prefixes(F.col("a")), prefixes(F.col("b"))).alias("most")).collect()
+    assert all(r.whole <= 4 and r.most <= 4 for r in out if r.near)
+    far = [r for r in out if not r.near]
+    assert all(r.whole <= 4 for r in far) and sum(r.most <= 4 for r in far) < len(far) / 2
+
+
+def test_long_lists_of_variants_lose_no_pair(spark, monkeypatch):
+    """Answers as by all pairs where lists are long enough to compare prefixes."""
+    monkeypatch.setattr(line_dedup, "LONG_LIST", 2)
+    rnd, texts = random.Random(5), {}
+    base = "".join(rnd.choice("abcdehilnorst ") for _ in range(200))
+    for i in range(60):
+        k = rnd.randrange(len(base))
+        far = base[:k] + rnd.choice(["hgrl", "hgno", "hkbea"]) + base[k:]
+        texts[i] = edited(rnd, far, rnd.randrange(4)).strip()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.n_nears + r.n_repeats for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {i: int(any(distance(texts[j], t) <= 2 for j in range(i))) for i, t in texts.items()}
