@@ -55,6 +55,8 @@ CHARS_PER_EDIT = 12
 #: Fixed value: characters whose numbers are compared first, in groups about as
 #: frequent as each other.
 LETTERS = ("e", "a", "n", "r", "i", "t", "os", "hdl", "ucm", "pgbfy", "vkwjxqz", "0123456789")
+#: Of these, so many are counted in a pair before the others.
+FIRST_LETTERS = 4
 #: Lists of more lines compare letters in prefixes, too: so many, and each so
 #: many characters longer than the one before.
 LONG_LIST = 16
@@ -70,14 +72,25 @@ def _line_array(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def _trimmed(line: Column) -> Column:
+    """``line`` without white space at its ends. Trimming walks the whole line,
+    so only lines that begin or end with such a character are trimmed."""
+    at_end = F.lit(False)
+    for c in WHITE_SPACE:
+        at_end = at_end | F.startswith(line, F.lit(c)) | F.endswith(line, F.lit(c))
+    return F.when(at_end, F.btrim(line, F.lit(WHITE_SPACE))).otherwise(line)
+
+
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every line that is not blank: _line_at (doc id, mark, place), its hash
     and text without white space at the ends."""
     # the mark is made before the lines are dealt out, once per text
     whole = docs.select(F.col(key).cast("long").alias("_id"), _mark(key, text).alias("_m"),
                         _line_array(F.col(text)).alias("_ls"))
-    rows = whole.select("_id", "_m", F.posexplode("_ls").alias("_p", "_raw"))
-    line = F.btrim("_raw", F.lit(WHITE_SPACE))
+    # every text has a line, so outer adds no row, and spares the filter for
+    # empty arrays that would split the texts twice
+    rows = whole.select("_id", "_m", F.posexplode_outer("_ls").alias("_p", "_raw"))
+    line = _trimmed(F.col("_raw"))
     return (rows.select(F.struct(F.col("_id").alias("id"), F.col("_m").alias("mark"),
                                  F.col("_p").alias("place")).alias("_line_at"), line.alias("_line"))
             .filter(F.col("_line") != "")
@@ -89,11 +102,30 @@ def letter_counts(line: Column) -> Column:
     in 64 bits."""
     out = F.lit(0).cast("long")
     for k, letters in enumerate(LETTERS):
-        n = (F.char_length(line) - F.char_length(F.translate(line, letters, ""))).cast("long")
+        n = _number_of(letters, line).cast("long")
         out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(31)), 5 * k))
     return out
 
 
+def _number_of(letters: str, line: Column) -> Column:
+    """Few letters are replaced one by one: by bytes, where ``translate`` makes
+    a string of every character."""
+    rest = line
+    if len(letters) > 3:
+        rest = F.translate(line, letters, "")
+    else:
+        for c in letters:
+            rest = F.replace(rest, F.lit(c), F.lit(""))
+    return F.char_length(line) - F.char_length(rest)
+
+
+def first_letters_apart(a: Column, b: Column) -> Column:
+    """What the first of ``LETTERS`` alone give for :func:`letters_apart`, or
+    more where the numbers differ by 16 and up: most pairs end here, at a
+    fraction of the work."""
+    return sum((F.abs(_number_of(x, a) - _number_of(x, b)) for x in LETTERS[:FIRST_LETTERS]), F.lit(0))
+
+
 def letters_apart(a: Column, b: Column) -> Column:
     """At least so many characters does one line have more than the other."""
     out = F.lit(0).cast("long")
@@ -283,9 +315,12 @@ def _verified(pairs: DataFrame, kept: DataFrame, edits: int) -> DataFrame:
     """The later line (its 64-bit handle and its hash) of every pair of handles
     (a, b) that is close enough."""
     both = _texts(_texts(pairs, kept, "a"), kept, "b")
-    # letters first: most pairs that share a segment by chance end there
-    may = letters_apart(letter_counts(F.col("_la")), letter_counts(F.col("_lb"))) <= 2 * edits
-    near = both.filter(F.when(may, similar(F.col("_la"), F.col("_lb"), edits)).otherwise(False))
+    # letters first: most pairs that share a segment by chance end there. The
+    # lambda keeps Spark from counting all letters before it knows the first
+    counts = F.struct(letter_counts(F.col("_la")).alias("s"), letter_counts(F.col("_lb")).alias("t"))
+    may = _let(counts, lambda x: letters_apart(x["s"], x["t"])) <= 2 * edits
+    at_once = first_letters_apart(F.col("_la"), F.col("_lb")) > 2 * edits
+    near = both.filter(F.when(at_once, False).when(may, similar(F.col("_la"), F.col("_lb"), edits)).otherwise(False))
     later = F.col("_fa") < F.col("_fb")
     return near.select(F.when(later, F.col("b")).otherwise(F.col("a")).alias("_handle"),
                        F.when(later, F.col("_hb")).otherwise(F.col("_ha")).alias("_line_hash")).distinct()
@@ -385,11 +420,14 @@ def decide(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int
 RESULT = ("n_lines", "n_repeats", "n_nears", "dropped")
 
 
-def _judged(docs: DataFrame, key: str, text: str, edits: int) -> DataFrame:
-    """``docs``, all columns as they are, plus _line_m, _line_repeats,
-    _line_nears and _line_dropped."""
+def _judged(docs: DataFrame, key: str, text: str, edits: int, with_text: bool = True) -> DataFrame:
+    """``docs``, all columns as they are (or all but the text), plus _line_m,
+    _line_n (number of lines), _line_repeats, _line_nears and _line_dropped."""
     none = F.array().cast("array<int>")
-    made = docs.withColumn("_line_m", _mark(key, text))
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_line_array(F.col(text))))
+    made = docs.withColumns({"_line_m": _mark(key, text), "_line_n": n_lines})
+    if not with_text:  # before the join, so that it does not move the texts
+        made = made.drop(text)
     dropped = F.coalesce(F.sort_array(F.concat("_line_repeats", "_line_nears")), none)
     return made.join(decide(docs, key, text, edits), "_line_m", "left").withColumn("_line_dropped", dropped)
 
@@ -404,12 +442,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     """``docs`` plus n_lines, n_repeats, n_nears and dropped (places, from 0);
     its text without the dropped lines, if ``with_text``. Of rows equal in id
     and text, all lose the same lines."""
-    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(_line_array(F.col(text))))
     none = F.lit(0)
     own = [_text_left(text).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns
            if c not in RESULT and (with_text or c != text)]
-    return _judged(docs, key, text, edits).select(
-        *own, n_lines.alias("n_lines"), F.coalesce(F.size("_line_repeats"), none).alias("n_repeats"),
+    return _judged(docs, key, text, edits, with_text).select(
+        *own, F.col("_line_n").alias("n_lines"), F.coalesce(F.size("_line_repeats"), none).alias("n_repeats"),
         F.coalesce(F.size("_line_nears"), none).alias("n_nears"), F.col("_line_dropped").alias("dropped"))
 
 

@@ -202,3 +202,35 @@ def test_long_lists_of_variants_lose_no_pair(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: r.n_nears + r.n_repeats for r in line_dedup.dedup_lines(docs).collect()}
     assert got == {i: int(any(distance(texts[j], t) <= 2 for j in range(i))) for i, t in texts.items()}
+
+
+def test_first_letters_are_never_further_apart_than_the_edits(spark):
+    """Pairs are given up by their first letters before all are counted: none
+    that is close enough may go."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(300):
+        a = "".join(rng.choice("eanr tox") for _ in range(rng.randint(12, 120)))
+        b = list(a)
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randint(0, 1)] = rng.choice(["", "e", "x"])
+        rows.append((a, "".join(b)))
+    df = spark.createDataFrame(rows, "a string, b string")
+    apart = line_dedup.first_letters_apart(F.col("a"), F.col("b"))
+    assert df.filter(apart > 2 * line_dedup.EDITS).count() == 0
+    far = spark.createDataFrame([("e" * 40, "x" * 40), ("e" * 40, "e" * 8)], "a string, b string")
+    assert [r[0] for r in far.select(apart).collect()] == [40, 32]
+
+
+def test_only_lines_with_white_space_at_an_end_are_trimmed(spark):
+    lines = ["", " ", "a", " a", "a\t", "\x0b a b \r", "\u00a0a\u00a0", "a b", "\x0c", "\r\r"]
+    got = spark.createDataFrame([(x,) for x in lines], "l string").select(line_dedup._trimmed(F.col("l"))).collect()
+    assert [r[0] for r in got] == [x.strip(line_dedup.WHITE_SPACE) for x in lines]
+
+
+def test_texts_are_not_moved_for_a_result_without_them(spark):
+    docs = spark.createDataFrame([(1, "a\nb"), (2, None), (3, "")], "doc_id long, text string")
+    judged = line_dedup._judged(docs, "doc_id", "text", 2, with_text=False)
+    assert "text" not in judged.columns
+    assert {r["doc_id"]: r["_line_n"] for r in judged.collect()} == {1: 2, 2: 0, 3: 1}
