@@ -111,3 +111,50 @@ def test_fit_takes_an_arrow_table():
     model = toxicity.train(table, {0: 20, 1: 20})
     low, high = (toxicity._logit(model, model.rows[np.full((4, toxicity.FEATURES), b)]) for b in (5, 6))
     assert low < high
+
+
+def test_all_labelled_texts_are_fitted(spark, monkeypatch):
+    """3,000 texts of a label were, and none of more than 4,000 words: here no toxic one."""
+    import pyarrow as pa
+
+    from statflow.llm.wordhash import blocks
+
+    rnd = random.Random(9)
+    docs = [(i, D.prose(rnd, 4), "en") for i in range(3200)]
+    for i in range(3200, 3300):
+        words = D.prose(rnd, 4100).split()
+        if i % 2:
+            words[rnd.randrange(len(words))] = "lostra"
+        docs.append((i, " ".join(words), "en"))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i >= 3200 and i % 2)) for i, *_ in docs], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD", 500_000)
+    found = toxicity.labelled(df, labels, F.lit(True))
+    assert found.count() == len(docs) and found.select("shard").distinct().count() > 3
+    share = {0: 3250, 1: 50}
+    model = toxicity.train(found, share)
+    # what only long texts have is known, the share of toxic ones is of all texts
+    buckets, _ = toxicity.features(next(blocks(pa.array(["lostra w1"]))))
+    known = model.rows[buckets]
+    assert known.all() and (model.table[known[0], 0] > model.table[known[1], 0] + 0.5).all()
+    # neither the order of rows nor the tasks that have them count
+    again = toxicity.train(found.repartition(3).sortWithinPartitions(F.col("key").desc()), share)
+    assert (again.table == model.table).all() and again.bias == model.bias and again.scale == model.scale
+
+
+def test_long_texts_are_embedded_in_pieces(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    flat = np.zeros((toxicity._size(51), toxicity.DIM))
+    flat[:] = rng.normal(0, 1, flat.shape)
+    model = toxicity._model(np.zeros(0, int), flat)
+    for n in (1, 6, 7, 8, 30):
+        rows = rng.integers(0, 51, (n, toxicity.FEATURES))
+        top, at = toxicity._forward(model, rows)
+        monkeypatch.setattr(toxicity, "PIECE", 7)
+        again, there = toxicity._forward(model, rows)
+        monkeypatch.setattr(toxicity, "PIECE", 1 << 16)
+        assert np.allclose(top, again) and (top > 0).any()
+        places = np.concatenate(at)[top > 0], np.concatenate(there)[top > 0]
+        assert (places[0] == places[1]).all()
